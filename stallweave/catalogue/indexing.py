@@ -116,7 +116,7 @@ weights AS (
 @query(f"WITH {VECTORS_SQL.format(texts='documents')} SELECT doc_id, pos, round(weight, 6) AS weight FROM weights")
 def document_vectors(spark, sf_dir):
     """Whole texts through the batch encoder, non-zero weights as rows."""
-    encoded = with_embedding(s.load(spark, sf_dir, "documents"), "text", lambda: HashingEncoder(DIM))
+    encoded = with_embedding(s.load_spread(spark, sf_dir, "documents"), "text", lambda: HashingEncoder(DIM))
     return encoded.select("doc_id", F.posexplode("embedding").alias("pos", "w")).where("w <> 0").select(
         "doc_id", "pos", F.round(F.col("w").cast("double"), 6).alias("weight")
     )
@@ -146,7 +146,7 @@ WHERE rank <= 3""")
 def question_topk(spark, sf_dir):
     """Every conversation's last question against all documents."""
     corpus = with_embedding(
-        s.load(spark, sf_dir, "documents").select(F.col("doc_id").alias("item_id"), "text"), "text", lambda: HashingEncoder(DIM)
+        s.load_spread(spark, sf_dir, "documents").select(F.col("doc_id").alias("item_id"), "text"), "text", lambda: HashingEncoder(DIM)
     )
     asked = with_embedding(_questions(spark, sf_dir), "question", lambda: HashingEncoder(DIM))
     hits = nearest(corpus, asked.select(F.col("conv_id").alias("query_id"), "embedding"), DIM, k=3)

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stallweave.operators.tree import flatten_tree
+from stallweave.sources.parquet import spread
 
 FIRST_RUN, SECOND_RUN = "20240101_000000", "20240201_000000"
 
@@ -19,6 +20,11 @@ def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def load_spread(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    """For tables whose rows are costly to shape or encode."""
+    return spread(load(spark, sf_dir, table))
+
+
 # --- listing log: one observation of a product per order line ------------------------------------------
 
 LISTING_TIES = ["order_no", "line_no", "supp_no", "amount"]
@@ -56,7 +62,7 @@ stg_products AS (
 
 def listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship = F.date_format("l_shipdate", "yyyyMMdd_HHmmss")
-    return load(spark, sf_dir, "lineitem").select(
+    return load_spread(spark, sf_dir, "lineitem").select(
         F.col("l_partkey").cast("string").alias("id"),
         F.concat(F.lit("Product "), F.col("l_partkey"), F.lit(" grade "), F.col("l_returnflag")).alias("name"),
         F.when(F.col("l_returnflag") != "N", F.concat(F.lit("Author "), F.col("l_suppkey"))).alias("author_name"),
@@ -201,7 +207,7 @@ stg_sellers AS (
 
 
 def sellers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = load(spark, sf_dir, "lineitem")
+    lines = load_spread(spark, sf_dir, "lineitem")
     known = load(spark, sf_dir, "supplier").where("s_acctbal > 0").select("s_suppkey", "s_name")
     slug = F.lower(F.replace(F.col("s_name"), F.lit("#"), F.lit("-")))
     seller = F.struct(
@@ -241,7 +247,7 @@ stg_reviews AS (
 
 
 def review_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = load(spark, sf_dir, "events")
+    events = load_spread(spark, sf_dir, "events")
 
     def observed(rows: DataFrame, run: str, thanks: int) -> DataFrame:
         review = F.struct(

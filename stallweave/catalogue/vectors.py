@@ -140,9 +140,12 @@ def _cells(spark, sf_dir):
     return celled, centres, path
 
 
-@query("""WITH scaled AS (SELECT vec_id, list_transform(embedding, x -> CAST(x AS DOUBLE) * (label + 1)) AS v FROM embeddings),
-parts AS (SELECT vec_id, unnest(range(len(v))) AS pos, unnest(v) AS x, sqrt(list_dot_product(v, v)) AS len FROM scaled)
-SELECT vec_id, CAST(pos AS INTEGER) AS pos, round(CAST(CAST(x / len AS FLOAT) AS DOUBLE), 5) AS x FROM parts""")
+@query("""WITH parts AS (
+  SELECT vec_id, pos, CAST(x AS DOUBLE) * (label + 1) AS x FROM (
+    SELECT vec_id, label, unnest(range(len(embedding))) AS pos, unnest(embedding) AS x FROM embeddings)),
+lengths AS (SELECT vec_id, sqrt(sum(x * x)) AS len FROM parts GROUP BY vec_id)
+SELECT vec_id, CAST(pos AS INTEGER) AS pos, round(CAST(CAST(x / len AS FLOAT) AS DOUBLE), 5) AS x
+FROM parts JOIN lengths USING (vec_id)""")
 def normalise_vectors(spark, sf_dir):
     """stretched vectors back to length 1."""
     stretched = F.transform("embedding", lambda x: x.cast("double") * (F.col("label") + 1))

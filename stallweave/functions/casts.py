@@ -16,13 +16,17 @@ _FRACTIONAL = {"float", "double"}
 
 
 def text_to_integral(c: Column, target: str) -> Column:
-    """Numeric text to ``int``/``bigint``; 20 integer digits leave room for every BIGINT."""
-    return F.round(c.try_cast("decimal(38,18)")).try_cast(target)
+    """Numeric text to ``int``/``bigint``: plain digits directly, other forms by way of a decimal.
+
+    20 integer digits leave room for every BIGINT.
+    """
+    return F.coalesce(c.try_cast(target), F.round(c.try_cast("decimal(38,18)")).try_cast(target))
 
 
 def text_to_fractional(c: Column, target: str) -> Column:
     """Numeric text to ``float``/``double``; Java's type suffixes (``'1d'``, ``'2f'``) are not numbers here."""
-    return F.when(~c.rlike(r"[0-9.][dDfF]\s*$"), c.try_cast(target))
+    suffixed = F.lower(F.right(F.rtrim(c), F.lit(1))).isin("d", "f") & c.rlike(r"[0-9.][dDfF]\s*$")
+    return F.when(~suffixed, c.try_cast(target))
 
 
 def double_to_integral(c: Column, target: str) -> Column:

@@ -61,6 +61,16 @@ def encoder_udf(factory: Callable[[], Encoder], batch_size: int = 32):
     return encode
 
 
+def spread_rows(df: DataFrame, rows: int, rows_per_task: int = 2000) -> DataFrame:
+    """Rows dealt out for encoding: encoders are slow, so tasks are sized by rows and not by bytes.
+
+    At most 20 tasks per core, so a large backfill does not drown in tasks.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    wanted = -(-rows // rows_per_task)
+    return df.repartition(max(1, min(max(wanted, min(cores, rows)), 20 * cores)))
+
+
 def with_embedding(
     df: DataFrame, text: str | Column, factory: Callable[[], Encoder], alias: str = "embedding", batch_size: int = 32
 ) -> DataFrame:

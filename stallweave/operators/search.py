@@ -205,11 +205,11 @@ def _score_by_blocks(
     corpus_blocks = max(1, -(-corpus.count() // block_rows))
     q = queries.select(
         "*", F.pmod(F.xxhash64("query_id"), F.lit(query_blocks)).alias("qb"),
-        F.explode(F.sequence(F.lit(0), F.lit(corpus_blocks - 1))).cast("bigint").alias("cb"),
+        F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(corpus_blocks - 1).cast("bigint"))).alias("cb"),
     )
     c = corpus.select(
         "*", F.pmod(F.xxhash64("item_id"), F.lit(corpus_blocks)).alias("cb"),
-        F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))).cast("bigint").alias("qb"),
+        F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(query_blocks - 1).cast("bigint"))).alias("qb"),
     )
 
     def score(query_block: pa.Table, corpus_block: pa.Table) -> pa.Table:

@@ -5,11 +5,11 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from stallweave.functions.clock import as_clock
-from stallweave.operators.encode import Encoder, with_embedding
+from stallweave.operators.encode import Encoder, spread_rows, with_embedding
 from stallweave.plans.documents import with_hash
 from stallweave.session import materialise
 from stallweave.sinks.tables import VersionedTable, upsert
@@ -20,35 +20,28 @@ def changed_only(documents: DataFrame, indexed: DataFrame, key: str = "product_i
     return documents.join(indexed.select(key, "content_hash"), [key, "content_hash"], "left_anti")
 
 
-def encode_changed(
-    documents: DataFrame, indexed: DataFrame, encoder: Callable[[], Encoder], now: dt.datetime | str | Column | None = None,
-    batch_size: int = 32,
-) -> DataFrame:
-    """Changed documents with vector and time of indexing."""
-    pending = changed_only(with_hash(documents), indexed)
-    return with_embedding(pending, "document", encoder, batch_size=batch_size).withColumn("indexed_at", as_clock(now))
-
-
 def index_incremental(
     table: VersionedTable, documents: DataFrame, encoder: Callable[[], Encoder],
     now: dt.datetime | str | Column | None = None, prune: bool = False, batch_size: int = 32,
 ) -> dict[str, int]:
     """Encode what changed, replace those rows, count both kinds.
 
-    The encoded rows are written to the shared folder before the merge, so a lost executor never sends texts
-    through the encoder again.  Without changes no new version is written.  Products gone from the mart
-    stay (Q11) unless ``prune``.
+    Changed documents are written to the shared folder, dealt out by rows to the encoder, and the encoded rows
+    are written before the merge: no text is built or encoded twice, whichever executor is lost.  Without
+    changes no new version is written.  Products gone from the mart stay (Q11) unless ``prune``.
     """
     old = table.read()
-    total = documents.count()
-    encoded = materialise(
-        encode_changed(documents, old, encoder, now, batch_size).select(
-            *[F.col(f.name).cast(f.dataType) for f in table.schema.fields]
-        ),
-        "encoded",
-    )
-    indexed = encoded.count()
+    seen = Observation("documents")
+    observed = with_hash(documents).observe(seen, F.count(F.lit(1)).alias("rows"))
+    pending = materialise(changed_only(observed, old), "pending")
+    total, changed = seen.get["rows"], pending.count()
     kept = old.join(documents.select("product_id"), "product_id", "left_semi") if prune else old
-    if indexed or prune:
-        table.replace(upsert(kept, encoded, "product_id"))
-    return {"documents": total, "indexed": indexed, "unchanged": total - indexed}
+    if changed:
+        encoded = with_embedding(spread_rows(pending, changed), "document", encoder, batch_size=batch_size)
+        stamped = encoded.withColumn("indexed_at", as_clock(now)).select(
+            *[F.col(f.name).cast(f.dataType).alias(f.name) for f in table.schema.fields]
+        )
+        table.replace(upsert(kept, materialise(stamped, "encoded"), "product_id"))
+    elif prune:
+        table.replace(kept)
+    return {"documents": total, "indexed": changed, "unchanged": total - changed}

@@ -9,6 +9,7 @@ from stallweave import schemas
 from stallweave.catalogue import shapes as s
 from stallweave.catalogue.layers import _STG_LISTING, FCT_PRODUCTS_SQL, category_dimension
 from stallweave.catalogue.registry import plain, query
+from stallweave.functions.jsonx import is_json
 from stallweave.functions.text import parse_csv_ids
 from stallweave.operators.predicates import override_ids as keep_ids
 from stallweave.operators.predicates import require_key
@@ -148,7 +149,7 @@ def reject_rows(spark, sf_dir):
     """K7: payloads cut short cannot be read and are kept aside, by date."""
     payload = F.when(F.col("event_type") == "error", F.substring("props", 1, 4)).otherwise(F.col("props"))
     rows = s.load(spark, sf_dir, "events").select("event_id", payload.alias("payload"), F.to_date("ts").alias("dt"))
-    _, rejects = bronze.split_rejects(rows, F.get_json_object("payload", "$.k").isNotNull())
+    _, rejects = bronze.split_rejects(rows, is_json(F.col("payload")))
     path = scratch_path(spark, "rejects")
     bronze.write_rejects(rejects, path)
     return spark.read.schema("event_id BIGINT, payload STRING, dt STRING").json(path)

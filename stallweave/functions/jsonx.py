@@ -14,6 +14,11 @@ def json_text(c: Column, path: str) -> Column:
     return F.get_json_object(c, path)
 
 
+def is_json(c: Column) -> Column:
+    """Whether the whole text is one JSON document; path reads are lenient and would not tell."""
+    return F.try_parse_json(c).isNotNull()
+
+
 def json_items(c: Column) -> Column:
     """elements of a JSON array as text; NULL unless the value is an array."""
     return F.when(F.ltrim(c).startswith("["), F.from_json(c, "array<string>"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 from typing import Protocol
@@ -36,9 +37,10 @@ class HashingEncoder:
     def encode(self, texts: list[str]) -> np.ndarray:
         counts = np.zeros((len(texts), self.dim))
         for row, text in enumerate(texts):
-            words = text.replace("\t", " ").replace("\n", " ").replace("\r", " ").split(" ")
-            slots = [_slot(word) % self.dim for word in words if word]
-            counts[row] = np.bincount(slots, minlength=self.dim) if slots else 0.0
+            words = Counter(text.replace("\t", " ").replace("\n", " ").replace("\r", " ").split(" "))
+            words.pop("", None)
+            for word, n in words.items():
+                counts[row, _slot(word) % self.dim] += n
         lengths = np.linalg.norm(counts, axis=1, keepdims=True)
         return (counts / np.where(lengths > 0, lengths, 1.0)).astype(np.float32)
 

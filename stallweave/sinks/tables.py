@@ -16,7 +16,7 @@ from stallweave.sources.parquet import empty, is_absent, try_read
 #: Layers and their folders below the warehouse root.
 LAYERS = {"silver": "silver", "marts": "lakehouse/marts"}
 
-_COMMIT = "version BIGINT, kind STRING, folder STRING, committed_at TIMESTAMP"
+_COMMIT = "version BIGINT, folders ARRAY<STRING>, committed_at TIMESTAMP"
 
 
 def layer_path(warehouse: str, layer: str, model: str) -> str:
@@ -44,8 +44,9 @@ class VersionedTable:
 
     ``replace`` writes a new base (K4, K5).  ``add`` writes only the rows of one batch, so a micro-batch
     costs its own size and not that of the table; ``read`` unites base and batches and keeps the latest row
-    per key; ``compact`` folds the batches into a new base.  A batch version that is already committed is
-    ignored, which makes replays harmless.  Folder names are unique: nothing that can be read is ever
+    per key; ``compact`` folds the batches into a new base.  Every commit names all folders that are live
+    after it, so the newest commit is the whole state.  Batch versions only grow: one that is not above the
+    committed version is a replay and is ignored.  Folder names are unique: nothing that can be read is ever
     overwritten, and a folder left by a lost driver is simply not in the log.
     """
 
@@ -55,68 +56,54 @@ class VersionedTable:
         self.spark, self.root, self.schema = spark, root.rstrip("/"), schema
         self.keys, self.order = list(keys), list(order)
 
-    def commits(self) -> DataFrame:
-        """Log of versions; as many rows as there were batches, never as many as there are records."""
+    def state(self) -> tuple[int, list[str]]:
+        """Committed version (0 before the first) and live folders."""
         try:
-            return self.spark.read.schema(_COMMIT).json(f"{self.root}/_commits")
+            log = self.spark.read.schema(_COMMIT).json(f"{self.root}/_commits")
         except AnalysisException as err:
             if is_absent(err):
-                return self.spark.createDataFrame([], _COMMIT)
+                return 0, []
             raise
+        newest = F.max_by(F.struct("version", "folders"), F.struct("version", "committed_at"))
+        row = log.agg(newest.alias("newest")).first()["newest"]
+        return (row["version"], list(row["folders"])) if row else (0, [])
 
     def version(self) -> int:
-        """Newest committed version, 0 before the first."""
-        return self.commits().agg(F.coalesce(F.max("version"), F.lit(0))).first()[0]
+        return self.state()[0]
 
-    def has(self, version: int) -> bool:
-        return not self.commits().where(F.col("version") == version).isEmpty()
-
-    def _commit(self, df: DataFrame, version: int, kind: str) -> None:
-        folder = f"{kind}-{version:012d}-{uuid.uuid4().hex[:8]}"
+    def _commit(self, df: DataFrame, version: int, kept: list[str]) -> int:
+        folder = f"v{version:012d}-{uuid.uuid4().hex[:8]}"
         df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema.fields]).write.parquet(
             f"{self.root}/{folder}"
         )
-        self.spark.range(1).select(
+        self.spark.range(0, 1, 1, 1).select(
             F.lit(version).cast("bigint").alias("version"),
-            F.lit(kind).alias("kind"),
-            F.lit(folder).alias("folder"),
+            F.array(*[F.lit(name) for name in [*kept, folder]]).alias("folders"),
             F.current_timestamp().alias("committed_at"),
-        ).coalesce(1).write.mode("append").json(f"{self.root}/_commits")
+        ).write.mode("append").json(f"{self.root}/_commits")
+        return version
 
     def replace(self, df: DataFrame) -> int:
         """New base under the next version; ``df`` may read the current one."""
-        version = self.version() + 1
-        self._commit(df, version, "base")
-        return version
+        return self._commit(df, self.version() + 1, [])
 
     def rebase(self, df: DataFrame) -> int:
         """New base under the current version, so that numbers of batches to come stay free."""
-        version = self.version()
-        self._commit(df, version, "base")
-        return version
+        return self._commit(df, self.version(), [])
 
     def add(self, df: DataFrame, version: int) -> bool:
         """Rows of one batch, reduced to one per key; False when the version is already there."""
-        if self.has(version):
+        committed, folders = self.state()
+        if version <= committed:
             return False
-        self._commit(latest_per_key(df, self.keys, self.order) if self.keys else df, version, "batch")
+        self._commit(latest_per_key(df, self.keys, self.order) if self.keys else df, version, folders)
         return True
 
-    def folders(self) -> list[str]:
-        """Folders of the current state: the newest base and the batches after it."""
-        log = self.commits()
-        newest = F.max_by(F.struct("version", "folder"), F.struct("version", "committed_at"))
-        base = log.where("kind = 'base'").agg(newest.alias("b")).select("b.version", "b.folder").first()
-        after = -1 if base["version"] is None else base["version"]
-        batches = log.where((F.col("kind") == "batch") & (F.col("version") > after)).select("folder").collect()
-        names = [row["folder"] for row in batches] + ([base["folder"]] if base["folder"] else [])
-        return [f"{self.root}/{name}" for name in sorted(set(names))]
-
     def read(self) -> DataFrame:
-        folders = self.folders()
+        folders = self.state()[1]
         if not folders:
             return empty(self.spark, self.schema)
-        rows = self.spark.read.schema(self.schema).parquet(*folders)
+        rows = self.spark.read.schema(self.schema).parquet(*[f"{self.root}/{name}" for name in folders])
         return latest_per_key(rows, self.keys, self.order) if self.keys and len(folders) > 1 else rows
 
     def compact(self) -> int:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from stallweave import schemas
@@ -135,12 +134,10 @@ def consumed_ledger(spark, sf_dir):
 
 @query("SELECT 'orders' AS entity, '2024-03-01' AS dt, '20240301_000000' AS run_id, count(*) AS row_count FROM orders")
 def manifest_rows(spark, sf_dir):
-    """Rows counted while they are written, then recorded."""
+    """K1, K3: a run lands, its rows are counted and recorded."""
     root, manifests = scratch_path(spark, "bronze"), scratch_path(spark, "manifests")
-    written = Observation("written")
-    stamped = bronze.stamp(s.load(spark, sf_dir, "orders"), NOW).observe(written, F.count(F.lit(1)).alias("rows"))
-    bronze.append_partitioned(stamped, root)
-    bronze.write_manifest(spark, manifests, NOW, written.get["rows"], "orders")
+    bronze.append_partitioned(bronze.stamp(s.load(spark, sf_dir, "orders"), NOW), root, one_run=True)
+    bronze.write_manifest(spark, manifests, NOW, bronze.landed_rows(spark, root, NOW), "orders")
     return spark.read.schema(schemas.MANIFEST).json(manifests).select("entity", "dt", "run_id", "row_count")
 
 

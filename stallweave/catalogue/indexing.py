@@ -13,7 +13,6 @@ from stallweave.operators.encode import HashingEncoder, with_embedding
 from stallweave.operators.search import nearest
 from stallweave.plans import documents, indexing, marts, retrieval
 from stallweave.session import materialise, scratch_path
-from stallweave.sinks.tables import VersionedTable
 
 DIM = 64
 
@@ -97,7 +96,7 @@ def index_upsert(spark, sf_dir):
     earlier, now = _versions(spark, sf_dir)
     set_by_index = {"product_id", "document", "content_hash", "embedding", "indexed_at"}
     unknown = [F.lit(None).cast(f.dataType).alias(f.name) for f in schemas.PRODUCT_INDEX.fields if f.name not in set_by_index]
-    table = VersionedTable(spark, scratch_path(spark, "index"), schemas.PRODUCT_INDEX)
+    table = indexing.index_table(spark, scratch_path(spark, "index"))
     for rows, clock in ((earlier, "2024-03-01 00:00:00"), (now, "2024-03-02 00:00:00")):
         indexing.index_incremental(table, rows.select("*", *unknown), lambda: HashingEncoder(DIM), clock)
     return plain(table.read().select("product_id", "content_hash", F.size("embedding").alias("dims"), "indexed_at"))
@@ -174,7 +173,7 @@ def prompt_rows(spark, sf_dir):
 UNION ALL SELECT count(*), 0, count(*), 2 FROM documents_built""")
 def index_rerun(spark, sf_dir):
     """Indexing the product documents twice encodes them once."""
-    table = VersionedTable(spark, scratch_path(spark, "index"), schemas.PRODUCT_INDEX)
+    table = indexing.index_table(spark, scratch_path(spark, "index"))
     rows = materialise(built_documents(spark, sf_dir), "documents")
     runs = [
         (*indexing.index_incremental(table, rows, lambda: HashingEncoder(DIM), clock).values(), run)

@@ -22,7 +22,7 @@ from stallweave.operators.ranking import top_k
 
 #: Queries are sent to every task only below this many bytes of vectors; more are scored block by block.
 BROADCAST_BYTES = 64 * 1024 * 1024
-#: Vectors per side of a block in the block-by-block plan.
+#: Corpus vectors of a block in the block-by-block plan.
 BLOCK_ROWS = 8192
 #: Queries multiplied with a batch at a time; bounds the score matrix held by a task.
 SCORE_ROWS = 256
@@ -178,7 +178,8 @@ def nearest(
     if count * dim * 8 <= broadcast_bytes:
         local = _score_in_place(corpus, queries, dim, k)
     else:
-        local = _score_by_blocks(corpus, queries, count, dim, k, block_rows)
+        query_rows = max(block_rows, 4 * broadcast_bytes // (dim * 8))
+        local = _score_by_blocks(corpus, queries, count, dim, k, query_rows, block_rows)
     order = [F.expr("IF(isnan(similarity), -2D, similarity)").desc()]
     return ranked(local, ["query_id"], order, "rank", tiebreak=[F.col("item_id").asc()]).where(F.col("rank") <= k)
 
@@ -198,10 +199,13 @@ def _score_in_place(corpus: DataFrame, queries: DataFrame, dim: int, k: int) ->
 
 
 def _score_by_blocks(
-    corpus: DataFrame, queries: DataFrame, count: int, dim: int, k: int, block_rows: int
+    corpus: DataFrame, queries: DataFrame, count: int, dim: int, k: int, query_rows: int, block_rows: int
 ) -> DataFrame:
-    """Every query block meets every corpus block once; a pair of blocks is one bounded task group."""
-    query_blocks = -(-count // block_rows)
+    """Every query block meets every corpus block once; a pair of blocks is one bounded task group.
+
+    The corpus moves once per query block, so query blocks are as large as a task can hold.
+    """
+    query_blocks = -(-count // query_rows)
     corpus_blocks = max(1, -(-corpus.count() // block_rows))
     q = queries.select(
         "*", F.pmod(F.xxhash64("query_id"), F.lit(query_blocks)).alias("qb"),

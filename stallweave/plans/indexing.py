@@ -5,43 +5,59 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from stallweave.functions.clock import as_clock
 from stallweave.operators.encode import Encoder, spread_rows, with_embedding
 from stallweave.plans.documents import with_hash
+from stallweave.schemas import PRODUCT_INDEX
 from stallweave.session import materialise
-from stallweave.sinks.tables import VersionedTable, upsert
+from stallweave.sinks.tables import VersionedTable
+
+
+#: Refreshes between two rewrites of the whole index.
+COMPACT_EVERY = 20
+
+
+def index_table(spark: SparkSession, root: str) -> VersionedTable:
+    """The index: one row per product, the row indexed last wins."""
+    return VersionedTable(spark, root, PRODUCT_INDEX, ["product_id"], ["indexed_at"])
 
 
 def changed_only(documents: DataFrame, indexed: DataFrame, key: str = "product_id") -> DataFrame:
-    """Documents whose (key, hash) is not indexed yet; ``indexed`` is read with those two columns."""
-    return documents.join(indexed.select(key, "content_hash"), [key, "content_hash"], "left_anti")
+    """Documents whose hash is not the indexed one; of ``indexed`` only key and hash are read.
+
+    An index holds a key once, so this is the anti join on (key, hash), written over the key alone: documents
+    that come out of a join on the product are already placed by it and do not move again.
+    """
+    known = indexed.select(key, F.col("content_hash").alias("_indexed_hash"))
+    changed = F.col("_indexed_hash").isNull() | (F.col("_indexed_hash") != F.col("content_hash"))
+    return documents.join(known, key, "left").where(changed).drop("_indexed_hash")
 
 
 def index_incremental(
     table: VersionedTable, documents: DataFrame, encoder: Callable[[], Encoder],
     now: dt.datetime | str | Column | None = None, prune: bool = False, batch_size: int = 32,
 ) -> dict[str, int]:
-    """Encode what changed, replace those rows, count both kinds.
+    """Encode what changed, add those rows, count both kinds.
 
-    Changed documents are written to the shared folder, dealt out by rows to the encoder, and the encoded rows
-    are written before the merge: no text is built or encoded twice, whichever executor is lost.  Without
-    changes no new version is written.  Products gone from the mart stay (Q11) unless ``prune``.
+    Changed documents are written to the shared folder and dealt out by rows to the encoder, whose output is
+    what the index stores: no text is built or encoded twice, whichever executor is lost.  A refresh writes as
+    many rows as changed; without changes no version is written.  Products gone from the mart stay (Q11)
+    unless ``prune``.
     """
     old = table.read()
     seen = Observation("documents")
     observed = with_hash(documents).observe(seen, F.count(F.lit(1)).alias("rows"))
     pending = materialise(changed_only(observed, old), "pending")
     total, changed = seen.get["rows"], pending.count()
-    kept = old.join(documents.select("product_id"), "product_id", "left_semi") if prune else old
     if changed:
         encoded = with_embedding(spread_rows(pending, changed), "document", encoder, batch_size=batch_size)
-        stamped = encoded.withColumn("indexed_at", as_clock(now)).select(
-            *[F.col(f.name).cast(f.dataType).alias(f.name) for f in table.schema.fields]
-        )
-        table.replace(upsert(kept, materialise(stamped, "encoded"), "product_id"))
-    elif prune:
-        table.replace(kept)
+        version = table.version() + 1
+        table.add(encoded.withColumn("indexed_at", as_clock(now)), version)
+        if version % COMPACT_EVERY == 0:
+            table.compact()
+    if prune:
+        table.replace(table.read().join(documents.select("product_id"), "product_id", "left_semi"))
     return {"documents": total, "indexed": changed, "unchanged": total - changed}

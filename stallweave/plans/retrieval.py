@@ -9,6 +9,7 @@ from stallweave.functions.text import clip, grouped_number
 from stallweave.operators.joins import left_using
 from stallweave.operators.predicates import normalise_filters
 from stallweave.operators.search import nearest
+from stallweave.session import materialise
 
 #: Labels of the context format.
 CONTEXT_HEAD = "Sản phẩm liên quan:"
@@ -40,14 +41,15 @@ def retrieve(index: DataFrame, requests: DataFrame, dim: int, k: int = 5, **limi
     """Top ``k`` products for every request, filters applied before ranking.
 
     ``requests`` has ``query_id``, ``embedding`` and the filter columns as the user set them (P10).  Only ids,
-    vectors and filter columns take part in the ranking; names and documents are joined to the winners.
+    vectors and filter columns take part in the ranking.  The winners are written once; their size is then known
+    when Spark plans the join to names and documents, so few winners meet the index scan in place.
     """
     if not 1 <= k <= MAX_K:
         raise ValueError(f"k must be between 1 and {MAX_K}")
     corpus = index.select(
         F.col("product_id").alias("item_id"), "embedding", "price", "rating_average", "category_name"
     )
-    hits = nearest(corpus, normalise_filters(requests), dim, k, **limits)
+    hits = materialise(nearest(corpus, normalise_filters(requests), dim, k, **limits), "hits")
     return hits.withColumnRenamed("item_id", "product_id").join(index.select(*HIT_COLUMNS), "product_id").select(
         "query_id", "rank", "similarity", *HIT_COLUMNS
     )

@@ -24,15 +24,28 @@ def stamp(df: DataFrame, run_clock: dt.datetime | str | Column, **constants) ->
     )
 
 
-def append_partitioned(df: DataFrame, root: str, partitions: tuple[str, ...] = ("dt", "run_id")) -> None:
+def append_partitioned(
+    df: DataFrame, root: str, partitions: tuple[str, ...] = ("dt", "run_id"), one_run: bool = False
+) -> None:
     """K1: append below ``root/dt=…/run_id=…``; nested columns become JSON text.
 
-    The rebalance step gives every partition value as many equally sized files as it needs: a value holding
-    a third of the rows is split over tasks, small ones share a task instead of leaving one file per task.
-    An empty batch leaves no file.
+    The rows of one run share their partition values, so every task writes its own file (``one_run``, no
+    shuffle).  A mixed log is rebalanced first: a value holding a third of the rows is split over tasks, small
+    ones share a task instead of leaving one file per task.  An empty batch leaves no file.
     """
     flat = nested_to_text(df)
-    flat.hint("rebalance", *partitions).write.mode("append").partitionBy(*partitions).parquet(root)
+    ready = flat if one_run else flat.hint("rebalance", *partitions)
+    ready.write.mode("append").partitionBy(*partitions).parquet(root)
+
+
+def landed_rows(spark: SparkSession, root: str, run_clock: dt.datetime | str) -> int:
+    """Rows of one run as they lie in bronze: one partition, counted from file footers.
+
+    Counting what was written, not what passed through the tasks, stays right when tasks are repeated.
+    """
+    clock = as_clock(run_clock)
+    run = spark.read.parquet(root).where(F.col("dt").cast("string") == run_dt(clock)).where(F.col("run_id") == run_id(clock))
+    return run.count()
 
 
 def write_manifest(

@@ -100,11 +100,22 @@ class VersionedTable:
         return True
 
     def read(self) -> DataFrame:
-        folders = self.state()[1]
+        """Current rows; keys are never NULL.
+
+        Only base rows whose key occurs in a later batch compete with the batches.  The batch keys decide how:
+        when they are few Spark sends them to the base scan and the base is not shuffled.
+        """
+        folders = [f"{self.root}/{name}" for name in self.state()[1]]
         if not folders:
             return empty(self.spark, self.schema)
-        rows = self.spark.read.schema(self.schema).parquet(*[f"{self.root}/{name}" for name in folders])
-        return latest_per_key(rows, self.keys, self.order) if self.keys and len(folders) > 1 else rows
+        base = self.spark.read.schema(self.schema).parquet(folders[0])
+        if not self.keys or len(folders) == 1:
+            return base
+        fresh = self.spark.read.schema(self.schema).parquet(*folders[1:])
+        touched = fresh.select(*self.keys)
+        contested = base.join(touched, self.keys, "left_semi").select(self.schema.names).unionByName(fresh)
+        settled = base.join(touched, self.keys, "left_anti").select(self.schema.names)
+        return settled.unionByName(latest_per_key(contested, self.keys, self.order))
 
     def compact(self) -> int:
         """Fold the batches into one base."""

@@ -14,7 +14,6 @@ from stallweave import schemas
 from stallweave.operators import cells, encode, search
 from stallweave.operators.predicates import build_filter, normalise_filters, override_ids
 from stallweave.plans import documents, indexing, retrieval, rotation
-from stallweave.sinks.tables import VersionedTable
 
 NOW = "2024-03-01 00:00:00"
 
@@ -110,7 +109,7 @@ def test_incremental_index(spark, tmp_path):
             assert len(texts) <= 2
             return super().encode(texts)
 
-    table = VersionedTable(spark, str(tmp_path / "i"), schemas.PRODUCT_INDEX)
+    table = indexing.index_table(spark, str(tmp_path / "i"))
     run = lambda rows, clock, **kw: indexing.index_incremental(table, rows, lambda: SmallBatches(16), clock, batch_size=2, **kw)
     assert run(index_rows(spark, (1, "a b"), (2, "c"), (3, "d e f")), "2024-03-01 00:00:00") == {"documents": 3, "indexed": 3, "unchanged": 0}
     assert run(index_rows(spark, (1, "a b"), (2, "c"), (3, "d e f")), "2024-03-02 00:00:00") == {"documents": 3, "indexed": 0, "unchanged": 3}

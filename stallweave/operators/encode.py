@@ -5,7 +5,6 @@ from __future__ import annotations
 import hashlib
 from collections import Counter
 from collections.abc import Callable, Iterator
-from functools import lru_cache
 from typing import Protocol
 
 import numpy as np
@@ -20,11 +19,6 @@ class Encoder(Protocol):
     def encode(self, texts: list[str]) -> np.ndarray: ...
 
 
-@lru_cache(maxsize=200_000)
-def _slot(token: str) -> int:
-    return int(hashlib.md5(token.encode("utf-8")).hexdigest()[:8], 16)
-
-
 class HashingEncoder:
     """Default encoder without model files: counts of words hashed into ``dim`` slots, length 1.
 
@@ -33,6 +27,15 @@ class HashingEncoder:
 
     def __init__(self, dim: int = 1024):
         self.dim = dim
+        self._slots: dict[str, int] = {}
+
+    def _slot(self, word: str) -> int:
+        slot = self._slots.get(word)
+        if slot is None:
+            if len(self._slots) > 500_000:
+                self._slots.clear()
+            slot = self._slots[word] = int(hashlib.md5(word.encode("utf-8")).hexdigest()[:8], 16) % self.dim
+        return slot
 
     def encode(self, texts: list[str]) -> np.ndarray:
         counts = np.zeros((len(texts), self.dim))
@@ -40,7 +43,7 @@ class HashingEncoder:
             words = Counter(text.replace("\t", " ").replace("\n", " ").replace("\r", " ").split(" "))
             words.pop("", None)
             for word, n in words.items():
-                counts[row, _slot(word) % self.dim] += n
+                counts[row, self._slot(word)] += n
         lengths = np.linalg.norm(counts, axis=1, keepdims=True)
         return (counts / np.where(lengths > 0, lengths, 1.0)).astype(np.float32)
 

@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -65,24 +64,15 @@ def _matrix(column: pa.ChunkedArray | pa.Array, dim: int) -> np.ndarray:
     return rows
 
 
-@dataclass
-class Queries:
-    """A bounded set of queries: unit vectors, optional filters, optional cells to look into."""
-
-    ids: np.ndarray
-    vectors: np.ndarray
-    filters: dict[str, list]
-    cells: list[set[int]] | None
-
-    @classmethod
-    def from_table(cls, table: pa.Table, dim: int) -> "Queries":
-        names = set(table.column_names)
-        return cls(
-            ids=table["query_id"].to_numpy(),
-            vectors=_unit(_matrix(table["embedding"], dim)),
-            filters={f: table[f].to_pylist() for f in _FILTERS if f in names},
-            cells=[set(c) for c in table["cells"].to_pylist()] if "cells" in names else None,
-        )
+def _query_set(table: pa.Table, dim: int) -> dict:
+    """A bounded set of queries as plain arrays: unit vectors, optional filters, optional cells to look into."""
+    names = set(table.column_names)
+    return {
+        "ids": table["query_id"].to_numpy(),
+        "vectors": _unit(_matrix(table["embedding"], dim)),
+        "filters": {f: table[f].to_pylist() for f in _FILTERS if f in names},
+        "cells": table["cells"].to_pylist() if "cells" in names else None,
+    }
 
 
 def _unit(rows: np.ndarray) -> np.ndarray:
@@ -91,10 +81,10 @@ def _unit(rows: np.ndarray) -> np.ndarray:
         return rows / lengths  # a zero vector turns into NaN, as its similarity must
 
 
-def _passes(items: pa.Table, queries: Queries, i: int, names: dict[str, np.ndarray]) -> np.ndarray:
+def _passes(items: pa.Table, queries: dict, i: int, names: dict) -> np.ndarray:
     """Which items a query may return: P9 for one query over a batch."""
     keep = np.ones(items.num_rows, dtype=bool)
-    wanted = {f: values[i] for f, values in queries.filters.items() if values[i] is not None}
+    wanted = {f: values[i] for f, values in queries["filters"].items() if values[i] is not None}
     for bound, column, test in (
         ("min_price", "price", np.greater_equal),
         ("max_price", "price", np.less_equal),
@@ -113,23 +103,23 @@ def _passes(items: pa.Table, queries: Queries, i: int, names: dict[str, np.ndarr
         pattern = _like(f"%{wanted['category_keyword']}%")
         hit = np.array([pattern.fullmatch(v) is not None for v in names["values"]] + [False])
         keep &= hit[names["codes"]]
-    if queries.cells is not None:
+    if queries["cells"] is not None:
         if "cell" not in names:
             names["cell"] = items["cell"].to_numpy()
-        keep &= np.isin(names["cell"], list(queries.cells[i]))
+        keep &= np.isin(names["cell"], queries["cells"][i])
     return keep
 
 
-def _best(items: pa.Table, queries: Queries, dim: int, k: int) -> pa.Table:
+def _best(items: pa.Table, queries: dict, dim: int, k: int) -> pa.Table:
     """Best ``k`` items of this batch for every query."""
     ids = items["item_id"].to_numpy()
     vectors = _unit(_matrix(items["embedding"], dim)).T
-    plain = not queries.filters and queries.cells is None
-    names: dict[str, np.ndarray] = {}
+    plain = not queries["filters"] and queries["cells"] is None
+    names: dict = {}
     found_q, found_i, found_s = [], [], []
-    for i, query_id in enumerate(queries.ids):
+    for i, query_id in enumerate(queries["ids"]):
         if i % SCORE_ROWS == 0:
-            scores = np.round(queries.vectors[i : i + SCORE_ROWS] @ vectors, SCORE_DIGITS)
+            scores = np.round(queries["vectors"][i : i + SCORE_ROWS] @ vectors, SCORE_DIGITS)
         score = scores[i % SCORE_ROWS]
         rows = np.arange(len(ids)) if plain else np.flatnonzero(_passes(items, queries, i, names))
         values = np.where(np.isnan(score[rows]), -np.inf, score[rows])
@@ -188,7 +178,7 @@ def _score_in_place(corpus: DataFrame, queries: DataFrame, dim: int, k: int) ->
     table = queries.toArrow()  # bounded by the caller
     if table.num_rows == 0:
         return corpus.sparkSession.createDataFrame([], _HITS)
-    shared = corpus.sparkSession.sparkContext.broadcast(Queries.from_table(table, dim))
+    shared = corpus.sparkSession.sparkContext.broadcast(_query_set(table, dim))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -219,6 +209,6 @@ def _score_by_blocks(
     def score(query_block: pa.Table, corpus_block: pa.Table) -> pa.Table:
         if not query_block.num_rows or not corpus_block.num_rows:
             return pa.schema([("query_id", pa.int64()), ("item_id", pa.int64()), ("similarity", pa.float64())]).empty_table()
-        return _best(corpus_block, Queries.from_table(query_block, dim), dim, k)
+        return _best(corpus_block, _query_set(query_block, dim), dim, k)
 
     return q.groupBy("qb", "cb").cogroup(c.groupBy("qb", "cb")).applyInArrow(score, _HITS)

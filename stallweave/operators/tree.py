@@ -29,9 +29,9 @@ def flatten_tree(df: DataFrame, payload: str = "payload", max_depth: int = 64) -
     ``n - 1``.  The driver loops over depth, never over rows.
     """
     carried = [name for name in df.columns if name != payload]
-    frontier = df.select(
+    frontier = menu_roots(df, payload, "raw_node").select(
         *carried,
-        F.explode(menu_roots(F.col(payload))).alias("raw_node"),
+        "raw_node",
         F.lit(None).cast("string").alias("parent_menu_id"),
         F.lit(None).cast("bigint").alias("parent_category_id"),
         F.lit(None).cast("string").alias("parent_path"),
@@ -59,21 +59,29 @@ def flatten_tree(df: DataFrame, payload: str = "payload", max_depth: int = 64) -
 
 def _open_level(frontier: DataFrame, carried: list[str], depth: int) -> DataFrame:
     raw = {key: f"_{key}" for key in _NODE_KEYS}
-    opened = frontier.select("*", F.json_tuple("raw_node", *_NODE_KEYS).alias(*raw.values()))
     pick = lambda keys: first_truthy(*[F.col(raw[k]) for k in keys])
-    link = pick(LINK_KEYS)
-    children = F.coalesce(json_items(pick(CHILD_KEYS)), F.array().cast("array<string>"))
-    return opened.select(
+    opened = frontier.select("*", F.json_tuple("raw_node", *_NODE_KEYS).alias(*raw.values())).select(
         *carried,
+        "raw_node",
+        "parent_menu_id",
+        "parent_category_id",
+        "parent_path",
         pick(ID_KEYS).alias("menu_id"),
-        link_category_id(link).alias("category_id"),
         pick(NAME_KEYS).alias("category_name"),
-        link.alias("link"),
+        pick(LINK_KEYS).alias("link"),
+        F.coalesce(json_items(pick(CHILD_KEYS)), F.array().cast("array<string>")).alias("children"),
+    )
+    return opened.select(
+        *carried,
+        "menu_id",
+        link_category_id(F.col("link")).alias("category_id"),
+        "category_name",
+        "link",
         "parent_menu_id",
         "parent_category_id",
         F.lit(depth).alias("level"),
-        child_path(F.col("parent_path"), pick(NAME_KEYS)).alias("path"),
-        (F.size(children) == 0).alias("is_leaf"),
+        child_path(F.col("parent_path"), F.col("category_name")).alias("path"),
+        (F.size("children") == 0).alias("is_leaf"),
         "raw_node",
-        children.alias("children"),
+        "children",
     )

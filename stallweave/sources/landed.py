@@ -10,8 +10,9 @@ from stallweave.functions.jsonx import json_items, json_text
 from stallweave.schemas import ROTATION_STATE
 from stallweave.sources.parquet import is_absent
 
-#: Where a menu payload may keep its tree, in order of preference.
-MENU_ROOTS = ("$.menu_block.items", "$.menu", "$.items", "$.data")
+#: Members of a menu payload that may hold its tree, in order of preference; the first one
+#: holds it under ``items``.
+MENU_MEMBERS = ("menu_block", "menu", "items", "data")
 
 
 def read_documents(spark: SparkSession, path: str, one_per_file: bool = True) -> DataFrame:
@@ -27,17 +28,24 @@ def page_items(pages: DataFrame, payload: str = "payload", field: str = "$.data"
     return pages.select(*kept, F.explode(json_items(json_text(F.col(payload), field))).alias(alias))
 
 
-def _filled(candidate: Column) -> Column:
-    items = json_items(candidate)
-    return F.when(F.size(items) > 0, items)
+def _list_text(c: Column) -> Column:
+    """Text of a JSON array with at least one element."""
+    return F.when(c.startswith("[") & (c != "[]"), c)
 
 
-def menu_roots(payload: Column) -> Column:
-    """Top-level nodes of a menu payload, else of the first field that lists objects."""
-    named = [_filled(json_text(payload, path)) for path in MENU_ROOTS]
+def menu_roots(df: DataFrame, payload: str = "payload", alias: str = "node") -> DataFrame:
+    """One row per top-level node of a menu payload, else of the first member that lists objects.
+
+    One ``json_tuple`` call probes all named places; only payloads without any are read member by member.
+    """
+    kept = [F.col(name) for name in df.columns if name != payload]
+    names = [f"_{member}" for member in MENU_MEMBERS]
+    probed = df.select(*kept, payload, F.json_tuple(payload, *MENU_MEMBERS).alias(*names))
+    block, *others = [F.col(name) for name in names]
     members = F.map_values(F.from_json(payload, "map<string,string>"))
-    listed = F.filter(members, lambda v: v.rlike(r"^\s*\[\s*\{"))
-    return F.coalesce(*named, F.when(F.size(listed) > 0, json_items(F.get(listed, 0))))
+    listed = F.get(F.filter(members, lambda v: v.rlike(r"^\s*\[\s*\{")), 0)
+    chosen = F.coalesce(_list_text(json_text(block, "$.items")), *[_list_text(c) for c in others], listed)
+    return probed.select(*kept, F.explode(json_items(chosen)).alias(alias))
 
 
 def read_state(spark: SparkSession, path: str, one_per_file: bool = True) -> DataFrame:

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Text forms that count as "absent" when the first usable key of a node is chosen.
 FALSY_TEXT = ("", "0", "0.0", "false", "null", "[]", "{}")
+_FALSY = r"\A(?:" + "|".join(re.escape(text) for text in FALSY_TEXT) + r")\z"
 
 
 def json_text(c: Column, path: str) -> Column:
@@ -36,8 +39,8 @@ def explode_items(df: DataFrame, column: str, alias: str) -> DataFrame:
 
 
 def truthy(c: Column) -> Column:
-    """The value unless it is one of the empty forms."""
-    return F.when(c.isNotNull() & ~c.isin(*FALSY_TEXT), c)
+    """The value unless it is NULL or one of the empty forms."""
+    return F.when(~c.rlike(_FALSY), c)
 
 
 def first_truthy(*columns: Column) -> Column:

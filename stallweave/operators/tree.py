@@ -40,7 +40,7 @@ def flatten_tree(df: DataFrame, payload: str = "payload", max_depth: int = 64) -
     for depth in range(1, max_depth + 1):
         level = materialise(_open_level(frontier, carried, depth), f"tree-{depth}")
         levels.append(level)
-        parents = level.where(F.size("children") > 0)
+        parents = level.where(~F.col("is_leaf"))
         if parents.isEmpty():
             break
         frontier = parents.select(

@@ -17,6 +17,8 @@ SESSION_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Plans are built column by column from Python; recording a call site for each would cost more than the call.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 _LOCAL_ROOT: dict[str, str] = {}

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stallweave.functions.clock import as_clock
@@ -48,10 +48,8 @@ def index_incremental(
     unless ``prune``.
     """
     old = table.read()
-    seen = Observation("documents")
-    observed = with_hash(documents).observe(seen, F.count(F.lit(1)).alias("rows"))
-    pending = materialise(changed_only(observed, old), "pending")
-    total, changed = seen.get["rows"], pending.count()
+    pending = materialise(changed_only(with_hash(documents), old), "pending")
+    total, changed = documents.count(), pending.count()
     if changed:
         encoded = with_embedding(spread_rows(pending, changed), "document", encoder, batch_size=batch_size)
         version = table.version() + 1

@@ -32,6 +32,8 @@ from stallweave.llm.tables import per_worker, sliced
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 #: Characters beyond a match that the pattern may look at: two after an apostrophe, one after white space.
 AHEAD = 2
+#: Rank of a pair that is no token.
+NEVER = 1 << 40
 
 
 def read_ranks(data: bytes) -> dict[bytes, int]:
@@ -41,7 +43,7 @@ def read_ranks(data: bytes) -> dict[bytes, int]:
 class Coder(dict):
     """Maps a piece to its tokens; keeps what it has met, up to ``most`` pieces."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, leaf_chars: int = 8192, leaf_bytes: int = 32, most: int = 200_000):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, leaf_chars: int = 8192, leaf_bytes: int = 16, most: int = 400_000):
         super().__init__()
         self.ranks, self.most = ranks, most
         self.bytes_of = [b""] * (max(ranks.values(), default=-1) + 1)
@@ -101,20 +103,24 @@ class Coder(dict):
     # Tokens of one piece.
 
     def merge(self, data: bytes) -> list[int]:
-        """The plain rule: always the leftmost of the adjacent pairs with the least rank."""
-        ranks, parts = self.ranks, [data[i : i + 1] for i in range(len(data))]
-        if len(parts) > 4 * self.leaf_bytes:
-            return self._merge_long(parts)
-        while len(parts) > 1:
-            best, at = None, -1
-            for i in range(len(parts) - 1):
-                rank = ranks.get(parts[i] + parts[i + 1])
-                if rank is not None and (best is None or rank < best):
-                    best, at = rank, i
-            if best is None:
-                break
-            parts[at : at + 2] = [parts[at] + parts[at + 1]]
-        return [ranks[p] for p in parts]
+        """The plain rule: always the leftmost of the adjacent pairs with the least rank.
+
+        Keeps the rank of every adjacent pair; a merge changes two of them.
+        """
+        if len(data) > 64:
+            return self._merge_long([data[i : i + 1] for i in range(len(data))])
+        rank_of = self.ranks.get
+        parts = [data[i : i + 1] for i in range(len(data))]
+        pairs = [rank_of(data[i : i + 2], NEVER) for i in range(len(data) - 1)]
+        while pairs and (least := min(pairs)) != NEVER:
+            at = pairs.index(least)
+            parts[at] += parts.pop(at + 1)
+            del pairs[at]
+            if at:
+                pairs[at - 1] = rank_of(parts[at - 1] + parts[at], NEVER)
+            if at < len(pairs):
+                pairs[at] = rank_of(parts[at] + parts[at + 1], NEVER)
+        return [self.ranks[p] for p in parts]
 
     def _merge_long(self, parts: list[bytes]) -> list[int]:
         """The same rule with a heap of candidate pairs, for windows that had to grow."""

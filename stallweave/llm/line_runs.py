@@ -90,43 +90,61 @@ class LineRuns:
             level += 1
 
 
-def dedup_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, batches: int = 3, fan: int = 3) -> DataFrame:
-    """doc_id, text without repeated lines, n_lines, n_dropped for every row of ``docs`` (doc_id, text, other columns ignored).
-
-    A key of ``min_chars`` code points found in ``min_docs`` documents keeps its lines only in the largest doc_id holding it.
-    Null and empty texts are one empty line and stay "".  Repeats within a document count once and go or stay together;
-    repeated rows of a doc_id count as one document and each is returned.  Rows without doc_id count nowhere and keep all
-    lines.  An empty table gives an empty result.
-    """
+def _marked(docs: DataFrame, min_chars: int, min_docs: int, batches: int, fan: int) -> DataFrame:
+    """``docs`` with ``__gone``, the sorted-out line numbers of each row (null where none)."""
     spark = docs.sparkSession
-    docs = docs.select("doc_id", "text")
-    counts, staged = stored(batch_counts(docs, min_chars, batches), "line-counts")
+    counts, staged = stored(batch_counts(docs.select("doc_id", "text"), min_chars, batches), "line-counts")
     runs = LineRuns(spark, scratch_path(spark, "line-runs"), fan)
     for batch in range(batches):
         runs.add(counts.where(F.col("batch") == batch))
     repeated = materialise(runs.totals().where(F.col("n_docs") >= min_docs).select(*HASH, "last_doc"), "repeated-lines")
     drop_path(spark, staged)
-    rows = docs.withColumn("row_hash", F.xxhash64("text"))
-    where = (
-        rows.where("doc_id IS NOT NULL")
-        .select("doc_id", "row_hash", F.posexplode(F.transform(lines_of(F.col("text")), line_key)).alias("pos", "key"))
+    gone = (
+        docs.where("doc_id IS NOT NULL")
+        .select("doc_id", F.xxhash64("text").alias("row"), F.posexplode(F.transform(lines_of(F.col("text")), line_key)).alias("pos", "key"))
         .where(F.length("key") >= min_chars)
-        .select("doc_id", "row_hash", "pos", *hashed(F.col("key")))
+        .select("doc_id", "row", "pos", *hashed(F.col("key")))
         .join(repeated, HASH)
         .where("doc_id < last_doc")
-        .groupBy("doc_id", "row_hash")
-        .agg(F.collect_set("pos").alias("gone"))
+        .groupBy(F.col("doc_id").alias("__doc"), F.col("row").alias("__row"))
+        .agg(F.collect_set("pos").alias("__gone"))
     )
-    gone = materialise(where, "dropped-lines")
-    lines = lines_of(F.col("text"))
-    stay = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("gone"))
-    return (
-        rows.join(gone, ["doc_id", "row_hash"], "left")
-        .select("doc_id", lines.alias("lines"), F.coalesce("gone", F.array().cast("array<int>")).alias("gone"))
-        .select(
-            "doc_id",
-            F.array_join(F.when(F.size("gone") == 0, F.col("lines")).otherwise(F.transform(stay, lambda i: F.get("lines", i))), "\n").alias("text"),
-            F.size("lines").cast("long").alias("n_lines"),
-            F.size("gone").cast("long").alias("n_dropped"),
-        )
+    gone = materialise(gone, "dropped-lines")
+    return docs.join(gone, (docs["doc_id"] == gone["__doc"]) & (F.xxhash64(docs["text"]) == gone["__row"]), "left").drop("__doc", "__row")
+
+
+def _kept(text: Column, gone: Column) -> Column:
+    lines = lines_of(text)
+    stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), gone)
+    return F.when(gone.isNull(), F.coalesce(text, F.lit(""))).otherwise(F.array_join(F.transform(stay, lambda i: F.get(lines, i)), "\n"))
+
+
+def dedup_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, batches: int = 3, fan: int = 3) -> DataFrame:
+    """doc_id, text without repeated lines, n_lines, n_dropped for every row of ``docs`` (doc_id, text, other columns ignored).
+
+    A key of ``min_chars`` code points found in ``min_docs`` documents keeps its lines only in the largest doc_id holding it.
+    Null and empty texts are one empty line and stay "".  Repeats within a document count once and go or stay together;
+    repeated rows of a doc_id count as one document and each is returned.  Rows without doc_id count nowhere and keep all
+    lines.  An empty table gives an empty result.
+    """
+    text, gone = F.col("text"), F.col("__gone")
+    return _marked(docs.select("doc_id", "text"), min_chars, min_docs, batches, fan).select(
+        "doc_id",
+        _kept(text, gone).alias("text"),
+        F.size(lines_of(text)).cast("long").alias("n_lines"),
+        F.coalesce(F.size(gone), F.lit(0)).cast("long").alias("n_dropped"),
     )
+
+
+def without_repeated_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, batches: int = 3, fan: int = 3) -> DataFrame:
+    """``docs`` with all its columns, the texts without repeated lines and ``n_chars`` (where there is one) their length.
+
+    Rows as in ``dedup_lines``, except that null texts stay null and texts that lose no line stay as they are.
+    """
+    text, gone = F.col("text"), F.col("__gone")
+    new = F.when(gone.isNull(), text).otherwise(_kept(text, gone))
+    changed = {"text": new}
+    if "n_chars" in docs.columns:
+        changed["n_chars"] = F.when(gone.isNull(), F.col("n_chars")).otherwise(F.length(new)).cast(docs.schema["n_chars"].dataType)
+    marked = _marked(docs, min_chars, min_docs, batches, fan)
+    return marked.select(*[changed.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns])

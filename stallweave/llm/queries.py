@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stallweave.llm import bpe_tree, language_filters, line_runs, secret_ledger
+from stallweave.llm import bpe_tree, language_filters, line_runs, minmax_dedup, secret_ledger
 from stallweave.llm.tables import read
 
 
+def op3_minmax_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minmax_dedup.near_duplicates(read(spark, sf_dir, "documents"), width=3, percent=85, bands=32, rows=6)
+
+
 def op5_bpe_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = bpe_tree.encode_decode(read(spark, sf_dir, "documents"))
     return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
@@ -36,7 +40,7 @@ def op10_language_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return named.select("doc_id", "held_out", "lang_pred", F.col("lang_score").alias("score"))
 
 
-QUERIES = {f.__name__: f for f in (op5_bpe_tree, op7_secret_ledger, op8_line_runs, op10_language_filters)}
+QUERIES = {f.__name__: f for f in (op3_minmax_dedup, op5_bpe_tree, op7_secret_ledger, op8_line_runs, op10_language_filters)}
 
 ORACLES = {
     "op8_line_runs": r"""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stallweave.llm import bpe_tree, language_filters, line_runs, minmax_dedup, secret_ledger
+from stallweave.llm import bpe_tree, language_filters, line_runs, minmax_dedup, secret_ledger, toxic_lexicon
 from stallweave.llm.tables import read
 
 
@@ -18,6 +18,11 @@ def op5_bpe_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op6_toxic_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = toxic_lexicon.score_texts(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+    return scored.select("doc_id", "held_out", "score", "predicted")
+
+
 def op7_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_ledger.scan_secrets(read(spark, sf_dir, "documents"))
     spans = F.col("spans")
@@ -40,7 +45,7 @@ def op10_language_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return named.select("doc_id", "held_out", "lang_pred", F.col("lang_score").alias("score"))
 
 
-QUERIES = {f.__name__: f for f in (op3_minmax_dedup, op5_bpe_tree, op7_secret_ledger, op8_line_runs, op10_language_filters)}
+QUERIES = {f.__name__: f for f in (op3_minmax_dedup, op5_bpe_tree, op6_toxic_lexicon, op7_secret_ledger, op8_line_runs, op10_language_filters)}
 
 ORACLES = {
     "op8_line_runs": r"""

@@ -18,7 +18,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stallweave.llm.tables import drop_path, scratch_path
+from stallweave.llm.tables import drop_path, materialise, scratch_path
 
 
 @dataclass(frozen=True)
@@ -145,6 +145,8 @@ def findings(versions: DataFrame, ledger: str, rules: tuple[Rule, ...] = RULES)
         .groupBy("blob")
         .agg(F.sort_array(F.collect_set(F.struct("begin", "rank", "kind", "end"))).alias("spans"))
     )
+    # Written first, so that the join has a plain table on either side and a blob of very many paths can be split.
+    spans = materialise(spans, "spans")
     return versions.select("path", blob_of(F.col("text")).alias("blob")).join(spans, "blob", "left").select(
         "path", "blob", F.coalesce("spans", F.array().cast("array<struct<begin:bigint,rank:int,kind:string,end:bigint>>")).alias("spans")
     )

@@ -5,10 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stallweave.llm import bpe_tree, language_filters, line_runs, minmax_dedup, secret_ledger, toxic_lexicon
+from stallweave.llm import bpe_tree, html_paths, language_filters, line_runs, minmax_dedup, secret_ledger, template_leaks, toxic_lexicon
 from stallweave.llm.tables import read
 
 
+def op1_template_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return template_leaks.leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+def op2_html_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    texts = html_paths.main_text(read(spark, sf_dir, "pages"))
+    return texts.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op3_minmax_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minmax_dedup.near_duplicates(read(spark, sf_dir, "documents"), width=3, percent=85, bands=32, rows=6)
 
@@ -45,7 +54,7 @@ def op10_language_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return named.select("doc_id", "held_out", "lang_pred", F.col("lang_score").alias("score"))
 
 
-QUERIES = {f.__name__: f for f in (op3_minmax_dedup, op5_bpe_tree, op6_toxic_lexicon, op7_secret_ledger, op8_line_runs, op10_language_filters)}
+QUERIES = {f.__name__: f for f in (op1_template_leaks, op2_html_paths, op3_minmax_dedup, op5_bpe_tree, op6_toxic_lexicon, op7_secret_ledger, op8_line_runs, op10_language_filters)}
 
 ORACLES = {
     "op8_line_runs": r"""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stallweave.llm import bpe_tree, html_paths, language_filters, line_runs, minmax_dedup, secret_ledger, template_leaks, toxic_lexicon
+from stallweave.llm import bpe_tree, host_words, html_paths, language_filters, line_runs, minmax_dedup, secret_ledger, sorted_passes, template_leaks, toxic_lexicon
 from stallweave.llm.tables import read
 
 
@@ -22,6 +22,10 @@ def op3_minmax_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minmax_dedup.near_duplicates(read(spark, sf_dir, "documents"), width=3, percent=85, bands=32, rows=6)
 
 
+def op4_host_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return host_words.judge(read(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
+
+
 def op5_bpe_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = bpe_tree.encode_decode(read(spark, sf_dir, "documents"))
     return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
@@ -49,12 +53,22 @@ def op8_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op9_sorted_passes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sorted_passes.near_vectors(read(spark, sf_dir, "embeddings"))
+
+
 def op10_language_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     named = language_filters.identify(read(spark, sf_dir, "documents"))
     return named.select("doc_id", "held_out", "lang_pred", F.col("lang_score").alias("score"))
 
 
-QUERIES = {f.__name__: f for f in (op1_template_leaks, op2_html_paths, op3_minmax_dedup, op5_bpe_tree, op6_toxic_lexicon, op7_secret_ledger, op8_line_runs, op10_language_filters)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_template_leaks, op2_html_paths, op3_minmax_dedup, op4_host_words, op5_bpe_tree,
+        op6_toxic_lexicon, op7_secret_ledger, op8_line_runs, op9_sorted_passes, op10_language_filters,
+    )
+}
 
 ORACLES = {
     "op8_line_runs": r"""

@@ -112,10 +112,11 @@ def judge(pages: DataFrame, rules=RULES, smoothing: float = 1.0) -> DataFrame:
     spark = pages.sparkSession
     rows = parts(pages).withColumn("path_words", F.array_distinct(F.regexp_extract_all(F.lower("path"), F.lit("[a-z]+"), F.lit(0))))
     spots, spots_path = stored(rows.groupBy("host", "path_words").agg(F.count("*").alias("n")), "url-spots")
-    shared = spark.sparkContext.broadcast(fit_segmenter(spots))
+    shared = spark.sparkContext.broadcast(tuple(vars(fit_segmenter(spots)).values()))
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        segment = per_worker(f"segmenter {hash(frozenset(shared.value.costs.items()))}", lambda: lru_cache(100_000)(shared.value.words))
+        segmenter = Segmenter(*shared.value)
+        segment = per_worker(f"segmenter {hash(frozenset(segmenter.costs.items()))}", lambda: lru_cache(100_000)(segmenter.words))
         words = [list(dict.fromkeys(segment(h))) for h in batch.column("host").to_pylist()]
         return pa.RecordBatch.from_arrays([*batch.columns, pa.array(words, pa.list_(pa.string()))], ["host", "path_words", "n", "host_words"])
 

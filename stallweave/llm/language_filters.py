@@ -184,12 +184,12 @@ def held_out(doc_id):
 
 def predict(docs: DataFrame, filters: Filters) -> DataFrame:
     """All columns of ``docs`` with ``lang_pred`` and ``lang_score`` added (replacing columns of those names)."""
-    shared = docs.sparkSession.sparkContext.broadcast(filters)
+    shared = docs.sparkSession.sparkContext.broadcast(tuple(vars(filters).values()))
     docs = docs.drop("lang_pred", "lang_score")
     schema = T.StructType([*docs.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("lang_score", T.DoubleType())])
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        langs, score = shared.value.decide(batch.column("text").to_pylist())
+        langs, score = Filters(*shared.value).decide(batch.column("text").to_pylist())
         return pa.RecordBatch.from_arrays([*batch.columns, pa.array(langs, pa.string()), pa.array(score, pa.float64())], [*batch.schema.names, "lang_pred", "lang_score"])
 
     return docs.mapInArrow(sliced(work), schema)

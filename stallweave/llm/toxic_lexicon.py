@@ -201,11 +201,11 @@ def score_texts(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     empty result.
     """
     rows = docs.select("doc_id", "text").where(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
-    shared = docs.sparkSession.sparkContext.broadcast(fit(rows, labels.where(~held_out(F.col("doc_id"))), **options))
+    shared = docs.sparkSession.sparkContext.broadcast(tuple(vars(fit(rows, labels.where(~held_out(F.col("doc_id"))), **options)).values()))
     docs = docs.drop("held_out", "score", "predicted")
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        lexicon = shared.value
+        lexicon = Lexicon(*shared.value)
         machine = per_worker(f"toxic {hash((frozenset(lexicon.weights.items()), lexicon.exceptions))}", lexicon.automaton)
         scores = []
         for folded in map(fold, batch.column("text").to_pylist()):

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stallweave.llm import bpe_tree, language_filters, line_runs
+from stallweave.llm import bpe_tree, language_filters, line_runs, minmax_dedup, template_leaks
 from stallweave.session import materialise
 
 
@@ -22,15 +22,27 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return line_runs.without_repeated_lines(docs)
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies (five-word shingles, similarity 0.8), the one with the smallest doc_id."""
+    return minmax_dedup.one_of_each(docs)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no item of the ``benchmark`` table, re-parameterised or not."""
+    return template_leaks.without_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, n_tokens, ids (little-endian unsigned 32-bit), decoded bytes and whether they are the text's."""
+    """doc_id, n_tokens, ids (little-endian unsigned 32-bit integers) and the digests of ids and decoded bytes."""
     coded = bpe_tree.encode_decode(docs)
-    return coded.withColumn("ids_sha256", F.sha2("ids", 256)).withColumn("decoded_sha256", F.sha2("decoded", 256)).drop("decoded")
+    return coded.select("doc_id", "n_tokens", "ids", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 STAGES = [
     ("language_id", language_id),
     ("line_dedup", line_dedup),
+    ("near_dedup", near_dedup),
+    ("decontaminate", decontaminate),
     ("encode", encode),
 ]
 
@@ -39,7 +51,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the ``documents`` table, each written and read again."""
+    """All stages over the ``documents`` table, each written and read again.
+
+    Null or letterless texts go in the first stage; rows without doc_id pass all the others; an empty table gives an empty
+    result.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         docs = materialise(stage(spark, docs, sf_dir), f"pipeline-{name}")

@@ -19,10 +19,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stallweave.llm.tables import crc_of, drop_path, per_worker, sliced, stored
+from stallweave.llm.tables import crc_of, drop_path, per_worker, sliced, slices, stored
 
 GRAMS = (3, 4)
 UNKNOWN = "und"
+#: Bytes of text that a task takes at once; its arrays are some fifty times as large.
+SLICE = 2 << 20
 
 
 def letters() -> np.ndarray:
@@ -141,7 +143,7 @@ def fit(rows: DataFrame, per_language: int = 2000, share: float = 0.5, least: in
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = np.empty(0, np.uint64), np.empty(0, np.int32), np.empty(0, np.int64)
-        for batch in batches:
+        for batch in slices(batches, SLICE):
             langs = np.asarray(batch.column("i"))
             h, owner, _ = text_grams(batch.column("text").to_pylist())
             h, lang, n = np.concatenate([held[0], h]), np.concatenate([held[1], langs[owner]]), np.concatenate([held[2], np.ones(len(h), np.int64)])
@@ -192,7 +194,7 @@ def predict(docs: DataFrame, filters: Filters) -> DataFrame:
         langs, score = Filters(*shared.value).decide(batch.column("text").to_pylist())
         return pa.RecordBatch.from_arrays([*batch.columns, pa.array(langs, pa.string()), pa.array(score, pa.float64())], [*batch.schema.names, "lang_pred", "lang_score"])
 
-    return docs.mapInArrow(sliced(work), schema)
+    return docs.mapInArrow(sliced(work, SLICE), schema)
 
 
 def identify(docs: DataFrame, **options) -> DataFrame:

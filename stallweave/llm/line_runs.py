@@ -142,9 +142,8 @@ def without_repeated_lines(docs: DataFrame, min_chars: int = 40, min_docs: int =
     Rows as in ``dedup_lines``, except that null texts stay null and texts that lose no line stay as they are.
     """
     text, gone = F.col("text"), F.col("__gone")
-    new = F.when(gone.isNull(), text).otherwise(_kept(text, gone))
-    changed = {"text": new}
+    changed = _marked(docs, min_chars, min_docs, batches, fan).withColumn("__new", F.when(gone.isNotNull(), _kept(text, gone)))
+    columns = {"text": F.coalesce("__new", "text")}
     if "n_chars" in docs.columns:
-        changed["n_chars"] = F.when(gone.isNull(), F.col("n_chars")).otherwise(F.length(new)).cast(docs.schema["n_chars"].dataType)
-    marked = _marked(docs, min_chars, min_docs, batches, fan)
-    return marked.select(*[changed.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns])
+        columns["n_chars"] = F.coalesce(F.length("__new"), "n_chars").cast(docs.schema["n_chars"].dataType)
+    return changed.select(*[columns.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns])

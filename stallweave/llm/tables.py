@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from stallweave.session import materialise, scratch_path
 
-__all__ = ["ascii_lower", "crc_of", "drop_path", "materialise", "per_worker", "read", "scratch_path", "sliced", "stored"]
+__all__ = ["ascii_lower", "crc_of", "drop_path", "materialise", "per_worker", "read", "scratch_path", "sliced", "slices", "stored"]
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -49,13 +49,15 @@ def drop_path(spark: SparkSession, path: str) -> None:
 def sliced(work: Callable[[pa.RecordBatch], pa.RecordBatch], most_bytes: int = 8 << 20) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Runs ``work`` over slices of about ``most_bytes``, so that a task's memory follows its longest text, not its batch."""
 
-    def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = max(1, batch.num_rows * most_bytes // max(1, batch.nbytes))
-            for start in range(0, batch.num_rows, rows):
-                yield work(batch.slice(start, rows))
+    return lambda batches: map(work, slices(batches, most_bytes))
 
-    return over
+
+def slices(batches: Iterator[pa.RecordBatch], most_bytes: int) -> Iterator[pa.RecordBatch]:
+    """The batches in pieces of about ``most_bytes``, by the mean size of their rows."""
+    for batch in batches:
+        rows = max(1, batch.num_rows * most_bytes // max(1, batch.nbytes))
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
 
 
 def per_worker(name: str, make: Callable[[], Any]) -> Any:

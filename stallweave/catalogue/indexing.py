@@ -15,6 +15,7 @@ from stallweave.plans import documents, indexing, marts, retrieval
 from stallweave.session import materialise, scratch_path
 
 DIM = 64
+SYSTEM_TEXT = "Answer from the list below."
 
 TOP_REVIEWS_SQL = f"""{s.STG_REVIEWS_SQL},
 top_reviews AS (
@@ -115,7 +116,7 @@ weights AS (
 @query(f"WITH {VECTORS_SQL.format(texts='documents')} SELECT doc_id, pos, round(weight, 6) AS weight FROM weights")
 def document_vectors(spark, sf_dir):
     """Whole texts through the batch encoder, non-zero weights as rows."""
-    encoded = with_embedding(s.load_spread(spark, sf_dir, "documents"), "text", lambda: HashingEncoder(DIM))
+    encoded = with_embedding(s.load(spark, sf_dir, "documents"), "text", lambda: HashingEncoder(DIM))
     return encoded.select("doc_id", F.posexplode("embedding").alias("pos", "w")).where("w <> 0").select(
         "doc_id", "pos", F.round(F.col("w").cast("double"), 6).alias("weight")
     )
@@ -145,7 +146,7 @@ WHERE rank <= 3""")
 def question_topk(spark, sf_dir):
     """Every conversation's last question against all documents."""
     corpus = with_embedding(
-        s.load_spread(spark, sf_dir, "documents").select(F.col("doc_id").alias("item_id"), "text"), "text", lambda: HashingEncoder(DIM)
+        s.load(spark, sf_dir, "documents").select(F.col("doc_id").alias("item_id"), "text"), "text", lambda: HashingEncoder(DIM)
     )
     asked = with_embedding(_questions(spark, sf_dir), "question", lambda: HashingEncoder(DIM))
     hits = nearest(corpus, asked.select(F.col("conv_id").alias("query_id"), "embedding"), DIM, k=3)
@@ -154,7 +155,7 @@ def question_topk(spark, sf_dir):
 
 @query(f"""WITH last AS (SELECT conv_id, max(turn) AS last_turn FROM conversations WHERE role = 'user' GROUP BY conv_id),
 contexts AS (SELECT conv_id, '{retrieval.CONTEXT_HEAD} ' || max(text) AS context FROM conversations WHERE role = 'system' GROUP BY conv_id)
-SELECT conv_id, CAST(-1 AS BIGINT) AS position, 'system' AS role, '{retrieval.SYSTEM_PROMPT}' AS content FROM last
+SELECT conv_id, CAST(-1 AS BIGINT) AS position, 'system' AS role, '{SYSTEM_TEXT}' AS content FROM last
 UNION ALL
 SELECT conv_id, turn + 1, role, CASE WHEN turn = last_turn
     THEN COALESCE(context, '{retrieval.CONTEXT_NONE}') || chr(10) || chr(10) || '{retrieval.QUESTION_LABEL}' || text ELSE text END
@@ -166,7 +167,7 @@ def prompt_rows(spark, sf_dir):
     contexts = turns.where("role = 'system'").groupBy("conv_id").agg(
         F.concat(F.lit(f"{retrieval.CONTEXT_HEAD} "), F.max("text")).alias("context")
     )
-    return retrieval.prompt_rows(turns, contexts)
+    return retrieval.prompt_rows(turns, contexts, SYSTEM_TEXT)
 
 
 @query(f"""WITH {DOCUMENTS_SQL} SELECT count(*) AS documents, count(*) AS indexed, CAST(0 AS BIGINT) AS unchanged, 1 AS run FROM documents_built

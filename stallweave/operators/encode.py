@@ -66,14 +66,12 @@ def encoder_udf(factory: Callable[[], Encoder], batch_size: int = 32):
     return encode
 
 
-def spread_rows(df: DataFrame, rows: int, rows_per_task: int = 2000) -> DataFrame:
+def spread_rows(df: DataFrame, rows: int, rows_per_task: int = 200) -> DataFrame:
     """Rows dealt out for encoding: encoders are slow, so tasks are sized by rows and not by bytes.
 
-    At most 20 tasks per core, so a large backfill does not drown in tasks.
+    ``rows_per_task`` is the work that a lost task repeats; the number of tasks follows from it alone.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    wanted = -(-rows // rows_per_task)
-    return df.repartition(max(1, min(max(wanted, min(cores, rows)), 20 * cores)))
+    return df.repartition(max(1, -(-rows // rows_per_task)))
 
 
 def with_embedding(

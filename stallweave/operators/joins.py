@@ -8,6 +8,7 @@ a skewed key on the fact side.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import count
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -70,11 +71,11 @@ def with_parent(categories: DataFrame) -> DataFrame:
     return left_using(categories, parent, "parent_category_id")
 
 
-def ancestors(categories: DataFrame, max_depth: int = 64) -> DataFrame:
+def ancestors(categories: DataFrame) -> DataFrame:
     """``(category_id, ancestor_id, distance)`` for every known ancestor.
 
     One join per tree level on the pairs of the level before; each level is written once, so neither the
-    plan nor a lost executor repeats earlier levels.  A cycle shows as depth beyond ``max_depth``.
+    plan nor a lost executor repeats earlier levels.  A category that is its own ancestor is a cycle and an error.
     """
     edges = materialise(
         categories.where("parent_category_id IS NOT NULL").select("category_id", "parent_category_id"), "edges"
@@ -83,16 +84,17 @@ def ancestors(categories: DataFrame, max_depth: int = 64) -> DataFrame:
     step = edges.select("category_id", F.col("parent_category_id").alias("ancestor_id"), F.lit(1).alias("distance"))
     up = edges.select(F.col("category_id").alias("ancestor_id"), F.col("parent_category_id").alias("next_id"))
     levels: list[DataFrame] = []
-    for depth in range(1, max_depth + 2):
+    for depth in count(1):
         level = materialise(step.join(known, "ancestor_id", "left_semi"), f"ancestors-{depth}")
         levels.append(level)
         if level.isEmpty():
             break
+        own = level.where("category_id = ancestor_id").select("category_id").first()
+        if own is not None:
+            raise ValueError(f"category {own['category_id']} is its own ancestor: cycle")
         step = level.join(up, "ancestor_id").select(
             "category_id", F.col("next_id").alias("ancestor_id"), F.lit(depth + 1).alias("distance")
         )
-    else:
-        raise ValueError(f"hierarchy deeper than {max_depth}: cycle?")
     result = levels[0]
     for level in levels[1:]:
         result = result.unionByName(level)

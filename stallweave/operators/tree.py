@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
+from itertools import count
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -21,12 +22,12 @@ CHILD_KEYS = ("children", "sub_menu", "items")
 _NODE_KEYS = ID_KEYS + NAME_KEYS + LINK_KEYS + CHILD_KEYS
 
 
-def flatten_tree(df: DataFrame, payload: str = "payload", max_depth: int = 64) -> DataFrame:
+def flatten_tree(df: DataFrame, payload: str = "payload") -> DataFrame:
     """Rows ``menu_id … raw_node`` for every node of every payload, next to the other columns of ``df``.
 
     Each round opens one level of all trees at once: a node is parsed by one ``json_tuple`` call, its children
     become the next frontier.  A level is written once to the shared folder, so round ``n`` reads only level
-    ``n - 1``.  The driver loops over depth, never over rows.
+    ``n - 1``.  The driver loops over depth, never over rows; a text holds no cycle, so the loop ends.
     """
     carried = [name for name in df.columns if name != payload]
     frontier = menu_roots(df, payload, "raw_node").select(
@@ -37,7 +38,7 @@ def flatten_tree(df: DataFrame, payload: str = "payload", max_depth: int = 64) -
         F.lit(None).cast("string").alias("parent_path"),
     )
     levels: list[DataFrame] = []
-    for depth in range(1, max_depth + 1):
+    for depth in count(1):
         level = materialise(_open_level(frontier, carried, depth), f"tree-{depth}")
         levels.append(level)
         parents = level.where(~F.col("is_leaf"))
@@ -50,8 +51,6 @@ def flatten_tree(df: DataFrame, payload: str = "payload", max_depth: int = 64) -
             F.col("category_id").alias("parent_category_id"),
             F.col("path").alias("parent_path"),
         )
-    else:
-        raise ValueError(f"tree deeper than {max_depth}")
     rows = reduce(DataFrame.unionByName, levels)
     identified = F.coalesce("menu_id", F.col("category_id").cast("string"), "category_name").isNotNull()
     return rows.where(identified).drop("children")

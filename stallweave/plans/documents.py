@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,10 +23,16 @@ LABELS = {
     "long": "Mô tả: ",
     "reviews": "Đánh giá khách hàng:\n",
 }
-DESCRIPTION_WIDTH = 1500
-REVIEWS_WIDTH = 2000
 REVIEWS_PER_PRODUCT = 5
 
+
+@dataclass(frozen=True)
+class Widths:
+    """Characters kept of the long parts of a document; ``None`` keeps the whole text."""
+
+    description: int | None = 1500
+    reviews: int | None = 2000
+
 PRODUCT_COLUMNS = (
     "product_id", "product_name", "short_description", "description", "brand_name", "category_id",
     "category_name", "seller_id", "seller_name", "price", "rating_average", "review_count",
@@ -44,11 +52,13 @@ def top_reviews(reviews: DataFrame, n: int = REVIEWS_PER_PRODUCT, tiebreak: list
     return top_n_per_group(texts, ["product_id"], ["thanks", "stars"], n, "rn", ties)
 
 
-def product_documents(products: DataFrame, reviews: DataFrame, n: int = REVIEWS_PER_PRODUCT) -> DataFrame:
-    """Product rows with their ``document``."""
+def product_documents(
+    products: DataFrame, reviews: DataFrame, n: int = REVIEWS_PER_PRODUCT, widths: Widths = Widths()
+) -> DataFrame:
+    """Product rows with their ``document``, of ``n`` reviews and the given ``widths``."""
     joined_reviews = concat_ranked(top_reviews(reviews, n), "product_id", "review_text", "rn", "\\n", "reviews_concat")
     rows = left_using(require_key(products, "product_id").select(*PRODUCT_COLUMNS), joined_reviews, "product_id")
-    return rows.withColumn("document", document_text()).drop("reviews_concat", "short_description", "description")
+    return rows.withColumn("document", document_text(widths)).drop("reviews_concat", "short_description", "description")
 
 
 def _text(column: str) -> Column:
@@ -69,7 +79,11 @@ def _rating() -> Column:
     )
 
 
-def document_text() -> Column:
+def _cut(c: Column, width: int | None) -> Column:
+    return c if width is None else clip(c, width)
+
+
+def document_text(widths: Widths = Widths()) -> Column:
     """The document of a product row; the reviews block only where there are reviews."""
     label = {key: F.lit(value) for key, value in LABELS.items()}
     reviews = F.nullif(F.col("reviews_concat"), F.lit(""))
@@ -83,8 +97,8 @@ def document_text() -> Column:
             label["rating"], _rating(), F.lit(" ("), F.coalesce("review_count", F.lit(0)).cast("string"), F.lit(" reviews)")
         ),
         F.concat(label["short"], _text("short_description")),
-        F.concat(label["long"], clip(_text("description"), DESCRIPTION_WIDTH)),
-        F.concat(label["reviews"], clip(reviews, REVIEWS_WIDTH)),
+        F.concat(label["long"], _cut(_text("description"), widths.description)),
+        F.concat(label["reviews"], _cut(reviews, widths.reviews)),
     )
 
 

@@ -82,7 +82,7 @@ def refresh(
             path = write_model(model.build(*inputs), warehouse, model.layer, model.name)
             rows, status, error = spark.read.parquet(path).count(), "ok", None
         except Exception as err:  # noqa: BLE001 - the outcome row carries the reason
-            rows, status, error = None, "failed", f"{type(err).__name__}: {err}"[:500]
+            rows, status, error = None, "failed", f"{type(err).__name__}: {err}"
         result.outcomes.append((model.name, model.layer, status, rows, time.monotonic() - started, error))
     if result.outcomes and not result.passed:
         raise RuntimeError(f"no model passed: {[o[5] for o in result.outcomes]}")

@@ -23,13 +23,6 @@ SELLER_LABEL = "  Seller: "
 DETAIL_LABEL = "  Chi tiết: "
 QUESTION_LABEL = "Câu hỏi của khách: "
 DETAIL_WIDTH = 600
-MAX_K = 20
-
-#: Our own wording; pass another text to ``prompt_rows`` as needed.
-SYSTEM_PROMPT = (
-    "You advise shoppers. Recommend only products from the list given with the question, cite them as [#1], "
-    "name price and rating, weigh strengths and weaknesses, and say so when the list holds nothing suitable."
-)
 
 HIT_COLUMNS = (
     "product_id", "product_name", "category_name", "seller_name", "brand_name", "price", "rating_average",
@@ -44,8 +37,8 @@ def retrieve(index: DataFrame, requests: DataFrame, dim: int, k: int = 5, **limi
     vectors and filter columns take part in the ranking.  The winners are written once; their size is then known
     when Spark plans the join to names and documents, so few winners meet the index scan in place.
     """
-    if not 1 <= k <= MAX_K:
-        raise ValueError(f"k must be between 1 and {MAX_K}")
+    if k < 1:
+        raise ValueError("k must be at least 1")
     corpus = index.select(
         F.col("product_id").alias("item_id"), "embedding", "price", "rating_average", "category_name"
     )
@@ -59,8 +52,9 @@ def _or_unknown(c: str) -> Column:
     return F.coalesce(F.nullif(F.col(c), F.lit("")), F.lit("?"))
 
 
-def hit_block() -> Column:
-    """Text block of one hit."""
+def hit_block(detail_width: int | None = DETAIL_WIDTH) -> Column:
+    """Text block of one hit; ``detail_width`` characters of its document, ``None`` for all."""
+    document = F.coalesce("document", F.lit(""))
     price = F.coalesce(F.concat(grouped_number(F.col("price"), 0), F.lit("đ")), F.lit("?"))
     reviews = F.coalesce("review_count", F.lit(0)).cast("string")
     rating = F.coalesce(
@@ -71,13 +65,13 @@ def hit_block() -> Column:
         F.lit(BRAND_LABEL), _or_unknown("brand_name"), F.lit(CATEGORY_LABEL), _or_unknown("category_name"), F.lit("\n"),
         F.lit(PRICE_LABEL), price, F.lit(RATING_LABEL), rating, F.lit("\n"),
         F.lit(SELLER_LABEL), _or_unknown("seller_name"), F.lit("\n"),
-        F.lit(DETAIL_LABEL), clip(F.coalesce("document", F.lit("")), DETAIL_WIDTH),
+        F.lit(DETAIL_LABEL), document if detail_width is None else clip(document, detail_width),
     )
 
 
-def format_context(requests: DataFrame, hits: DataFrame) -> DataFrame:
+def format_context(requests: DataFrame, hits: DataFrame, detail_width: int | None = DETAIL_WIDTH) -> DataFrame:
     """``(query_id, context)`` for every request, with the fixed text where nothing was found."""
-    blocks = hits.withColumn("block", hit_block()).groupBy("query_id").agg(
+    blocks = hits.withColumn("block", hit_block(detail_width)).groupBy("query_id").agg(
         F.expr("listagg(block, '\\n') WITHIN GROUP (ORDER BY rank)").alias("blocks")
     )
     context = F.coalesce(F.concat(F.lit(CONTEXT_HEAD + "\n"), F.col("blocks")), F.lit(CONTEXT_NONE))
@@ -89,7 +83,7 @@ def augmented_question(context: Column, question: Column) -> Column:
     return F.concat(context, F.lit("\n\n" + QUESTION_LABEL), question)
 
 
-def prompt_rows(turns: DataFrame, contexts: DataFrame, system_prompt: str = SYSTEM_PROMPT) -> DataFrame:
+def prompt_rows(turns: DataFrame, contexts: DataFrame, system_prompt: str) -> DataFrame:
     """Messages ``(conv_id, position, role, content)`` for the last user turn of every conversation.
 
     Order by position: the system text, the earlier turns as spoken, the question behind its context.  Messages

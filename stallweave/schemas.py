@@ -93,3 +93,14 @@ ROTATION_STATE = _schema("category_id BIGINT, last_crawled_at TIMESTAMP")
 LEDGER = _schema("entity STRING, dt STRING, run_id STRING, consumed_at TIMESTAMP")
 
 MANIFEST = _schema("dt STRING, run_id STRING, entity STRING, row_count BIGINT, completed_at TIMESTAMP")
+
+#: Columns of the fact tables, in order.
+FCT_REVIEWS = (
+    "review_id", "product_id", "product_name", "brand_name", "seller_id", "seller_name", "rating", "score", "title",
+    "review_content", "thank_count", "customer_id", "customer_name", "created_at", "purchased_at", "extracted_at_ts", "dt",
+)
+FCT_PRODUCTS = (
+    "product_id", "product_name", "author_name", "brand_name", "price", "original_price", "discount", "discount_rate",
+    "rating_average", "review_count", "inventory_status", "quantity_sold", "seller_id", "seller_name", "is_official",
+    "store_level", "category_id", "thumbnail_url", "extracted_at_ts", "dt",
+)

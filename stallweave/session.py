@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,8 +20,6 @@ SESSION_CONF = {
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
-_LOCAL_ROOT: dict[str, str] = {}
-
 
 def build_session(app_name: str = "stallweave", master: str | None = None, **conf: str) -> SparkSession:
     """Session with the settings above; keyword settings use ``__`` for ``.`` and win over the defaults."""
@@ -37,18 +34,15 @@ def build_session(app_name: str = "stallweave", master: str | None = None, **con
 def shared_root(spark: SparkSession) -> str:
     """Folder every executor can reach: ``spark.checkpoint.dir`` as the cluster names it.
 
-    Only a local master without the setting gets a temporary folder; anywhere else its absence is an error,
+    A local master without the setting uses the session's warehouse folder; anywhere else its absence is an error,
     because a machine-local folder would be lost with its executor.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
+    if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    if context.applicationId not in _LOCAL_ROOT:
-        _LOCAL_ROOT[context.applicationId] = tempfile.mkdtemp(prefix="stallweave-")
-    return _LOCAL_ROOT[context.applicationId]
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/shared"
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

@@ -33,15 +33,6 @@ def read_partitioned(spark: SparkSession, root: str, schema: StructType | None =
     return spark.read.option("mergeSchema", "true").parquet(root)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """A scan with fewer splits than cores (a few large row groups) dealt out evenly over the cores.
-
-    A large table has more splits than cores and is returned as it is, without a shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def try_read(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame | None:
     """The read, or ``None`` when the location does not exist or holds no files."""
     try:
@@ -74,7 +65,7 @@ def read_first_available(
 ) -> DataFrame:
     """First location that exists (and has a row, if asked); typed empty when a schema is given."""
     for path in paths:
-        df = try_read(spark, path)
+        df = try_read(spark, path, schema)
         if df is not None and not (require_rows and df.isEmpty()):
             return df
     if schema is None:

@@ -21,14 +21,21 @@ OUTCOMES = _OUTCOME_ROW + ", completed_at TIMESTAMP"
 
 
 def bronze_stream(
-    spark: SparkSession, root: str, schema: StructType, files_per_batch: int = FILES_PER_BATCH, archive: str | None = None
+    spark: SparkSession, root: str, schema: StructType, files_per_batch: int | None = FILES_PER_BATCH, archive: str | None = None,
+    bytes_per_batch: str | None = None,
 ) -> DataFrame:
-    """New files below ``root``, ``files_per_batch`` at a time.
+    """New files below ``root``, ``files_per_batch`` at a time, or as many as hold ``bytes_per_batch`` (``"10g"``).
+
+    Batches by size are the choice for large logs, whose files may be many and small.
 
     With ``archive`` Spark moves consumed files there.  Moving lags behind processing, so exactly-once rests
     on the checkpoint of the query and not on the move.
     """
-    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
+    reader = spark.readStream.schema(schema)
+    if bytes_per_batch is not None:
+        reader = reader.option("maxBytesPerTrigger", bytes_per_batch)
+    elif files_per_batch is not None:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
     if archive is not None:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
     return reader.parquet(root)
@@ -59,7 +66,7 @@ def silver_stream(
             status, error = "ok", None
         except Exception as err:  # noqa: BLE001 - ingestion goes on, the rows are kept
             batch.write.mode("overwrite").parquet(f"{parked}/batch={batch_id}")
-            status, error = "failed", f"{type(err).__name__}: {err}"[:500]
+            status, error = "failed", f"{type(err).__name__}: {err}"
         outcome = spark.createDataFrame([(batch_id, status, rows, error)], _OUTCOME_ROW)
         outcome.withColumn("completed_at", F.current_timestamp()).coalesce(1).write.mode("append").json(outcomes)
         if version % compact_every == 0:

@@ -97,9 +97,9 @@ def hybrid_topk(spark, sf_dir):
 
 @query(f"WITH {_EXACT_SQL} SELECT query_id, item_id, round(similarity, 6) AS similarity, rank FROM exact")
 def exact_topk_blocks(spark, sf_dir):
-    """D18 by blocks: the plan for more queries than may be sent to every task, on all rows."""
+    """D18 in chunks: queries that do not travel all at once, on all rows."""
     corpus = s.load(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("item_id"), "embedding")
-    hits = nearest(corpus, centroids(spark, sf_dir), DIM, 5, broadcast_bytes=0, block_rows=4096)
+    hits = nearest(corpus, centroids(spark, sf_dir), DIM, 5, chunk_bytes=4 * DIM * 8)
     return hits.withColumn("similarity", F.round("similarity", 6))
 
 
@@ -107,7 +107,7 @@ def exact_topk_blocks(spark, sf_dir):
 SELECT item_id AS product_id, round({_SCORE}, 6) AS similarity FROM corpus JOIN part ON item_id = p_partkey, centroids
 WHERE query_id = 0 AND p_retailprice >= 920 AND p_type ILIKE '%m%' ORDER BY {_SCORE} DESC, item_id LIMIT 5""")
 def single_question_topk(spark, sf_dir):
-    """D18 for one question, planned as a filtered bounded sort."""
+    """D18 for one question, by the plan for many."""
     question = centroids(spark, sf_dir).where("query_id = 0").first()["embedding"]
     hits = retrieve_one(index(spark, sf_dir), question, build_filter(min_price=920, category_keyword="M"), 5)
     return hits.select("product_id", F.round("similarity", 6).alias("similarity"))

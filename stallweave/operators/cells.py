@@ -3,23 +3,28 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stallweave.functions.vectors import l2_normalise
-from stallweave.operators.search import nearest
+from stallweave.operators.search import HITS, Best, best_of, narrowed, query_set
 
-#: Fixed value: number of cells of the index definition.
-LISTS = 100
+#: Rows of a cell that one task group scores; larger cells are split.
+CELL_ROWS = 8192
 
 
-def build_cells(index: DataFrame, lists: int = LISTS, seed: int = 7, iterations: int = 10) -> tuple[DataFrame, np.ndarray]:
-    """Index rows with their ``cell`` and the cell centres (at most ``lists`` vectors).
+def build_cells(
+    index: DataFrame, lists: int | None = None, seed: int = 7, iterations: int = 10
+) -> tuple[DataFrame, np.ndarray]:
+    """Index rows with their ``cell`` and the cell centres.
 
+    ``lists`` cells, by default the square root of the number of rows, so that a cell and the list of centres grow alike.
     Trained on the rows themselves, so it is rebuilt when the corpus has grown, not on an empty table.
     """
+    lists = lists or max(2, round(index.count() ** 0.5))
     vectors = index.withColumn("_v", array_to_vector(l2_normalise(F.col("embedding"))))
     model = KMeans(k=lists, seed=seed, maxIter=iterations, featuresCol="_v", predictionCol="cell").fit(vectors)
     return model.transform(vectors).drop("_v"), np.array(model.clusterCenters())
@@ -49,15 +54,27 @@ def probe(queries: DataFrame, centres: np.ndarray, probes: int) -> DataFrame:
 
 
 def search_cells(
-    celled: DataFrame, queries: DataFrame, centres: np.ndarray, dim: int, k: int = 5, probes: int = 10
+    celled: DataFrame, queries: DataFrame, centres: np.ndarray, dim: int, k: int = 5, probes: int = 10, cell_rows: int = CELL_ROWS
 ) -> DataFrame:
     """Top ``k`` among the probed cells; equals the exact result when every cell is probed.
 
-    Cells no query asks for are pruned from the scan: the list of cells is at most ``LISTS`` numbers.
+    A query is sent to the cells it probes and to no other row; a cell of more than ``cell_rows`` rows is split, and its
+    queries meet every part.
     """
-    probed = probe(queries, centres, probes)
-    wanted = [r[0] for r in probed.select(F.explode("cells")).distinct().collect()]
-    return nearest(celled.where(F.col("cell").isin(wanted)), probed, dim, k)
+    corpus = narrowed(celled)
+    probed = probe(queries.select(F.col("query_id").cast("bigint").alias("query_id"), "embedding"), centres, probes)
+    asked = probed.select("query_id", "embedding", F.explode("cells").alias("cell"))
+    parts = celled.groupBy("cell").agg(F.ceil(F.count("*") / cell_rows).alias("parts"))
+    rows = corpus.join(parts, "cell").withColumn("part", F.pmod(F.xxhash64("item_id"), F.col("parts")))
+    sent = asked.join(parts, "cell").select("query_id", "embedding", "cell", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)).alias("part"))
+
+    def score(some: pa.Table, cell: pa.Table) -> pa.Table:
+        best = Best(query_set(some, dim), dim, k)
+        if some.num_rows and cell.num_rows:
+            best.add(cell)
+        return best.table()
+
+    return best_of(sent.groupBy("cell", "part").cogroup(rows.groupBy("cell", "part")).applyInArrow(score, HITS), k)
 
 
 def recall(exact: DataFrame, approximate: DataFrame) -> DataFrame:

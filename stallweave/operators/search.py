@@ -1,7 +1,7 @@
 """Exact and cell-limited nearest neighbours for a table of queries.
 
 Scoring is a matrix product per Arrow batch inside the tasks; only the best ``k`` rows per query leave a
-batch, so no table of query-document pairs ever exists.  Vectors travel alone: names, texts and prices are
+task, so no table of query-document pairs ever exists.  Vectors travel alone: names, texts and prices are
 joined to the winners afterwards.
 """
 
@@ -12,29 +12,31 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stallweave.functions.vectors import SCORE_DIGITS, cosine_similarity
+from stallweave.functions.vectors import SCORE_DIGITS
 from stallweave.operators.dedupe import ranked
 from stallweave.operators.ranking import top_k
+from stallweave.session import materialise
 
-#: Queries are sent to every task only below this many bytes of vectors; more are scored block by block.
-BROADCAST_BYTES = 64 * 1024 * 1024
-#: Corpus vectors of a block in the block-by-block plan.
-BLOCK_ROWS = 8192
+#: Query vectors that travel to the tasks at a time; a setting of memory, it changes no result.
+CHUNK_BYTES = 64 * 1024 * 1024
 #: Queries multiplied with a batch at a time; bounds the score matrix held by a task.
 SCORE_ROWS = 256
 
-_HITS = "query_id BIGINT, item_id BIGINT, similarity DOUBLE"
+HITS = "query_id BIGINT, item_id BIGINT, similarity DOUBLE"
 _FILTERS = ("min_price", "max_price", "min_rating", "category_keyword")
 
 
 def retrieve_one(index: DataFrame, query: list[float], condition: Column, k: int = 5) -> DataFrame:
-    """D18 for a single question: filters reach the Parquet scan, then a bounded sort by distance."""
-    similarity = cosine_similarity(F.col("embedding"), F.array(*[F.lit(float(x)) for x in query]))
-    scored = index.where(condition).withColumn("similarity", similarity)
-    return top_k(scored, k, (F.lit(1.0) - F.col("similarity")).asc_nulls_last(), F.col("product_id").asc())
+    """D18 for a single question: filters reach the Parquet scan, then the common plan and a join to the winners."""
+    spark, kept = index.sparkSession, index.where(condition)
+    asked = spark.createDataFrame([(0, [float(x) for x in query])], "query_id bigint, embedding array<float>")
+    corpus = kept.select(F.col("product_id").alias("item_id"), "embedding")
+    hits = nearest(corpus, asked, len(query), k).select(F.col("item_id").alias("product_id"), "similarity", "rank")
+    return top_k(kept.join(hits, "product_id"), k, F.col("rank").asc()).drop("rank")
 
 
 def _like(pattern: str) -> re.Pattern:
@@ -52,26 +54,30 @@ def _like(pattern: str) -> re.Pattern:
 
 
 def _matrix(column: pa.ChunkedArray | pa.Array, dim: int) -> np.ndarray:
-    """Rows of a list column as a matrix; a missing or odd-sized vector becomes zeros (similarity NaN)."""
+    """Rows of a list column as a matrix; a missing vector becomes NaN, one of another size is an error."""
     column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-    lengths = np.diff(column.offsets.to_numpy()) if len(column) else np.zeros(0, dtype=int)
-    if column.null_count == 0 and (lengths == dim).all():
-        return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), dim)
-    rows = np.zeros((len(column), dim))
-    for i, vector in enumerate(column.to_pylist()):
-        if vector is not None and len(vector) == dim:
-            rows[i] = vector
+    rows = np.full((len(column), dim), np.nan)
+    there = np.asarray(column.is_valid())
+    lengths = np.asarray(pc.list_value_length(column.drop_null()))
+    if (lengths != dim).any():
+        raise ValueError(f"vector of {lengths[lengths != dim][0]} components, expected {dim}")
+    rows[there] = np.asarray(column.drop_null().flatten(), np.float64).reshape(-1, dim)
     return rows
 
 
-def _query_set(table: pa.Table, dim: int) -> dict:
-    """A bounded set of queries as plain arrays: unit vectors, optional filters, optional cells to look into."""
-    names = set(table.column_names)
+def query_set(table: pa.Table, dim: int) -> dict:
+    """A bounded set of queries as plain arrays: unit vectors and filters, an absent bound as infinity."""
+    names, n = set(table.column_names), table.num_rows
+    bound = lambda f, absent: (
+        table[f].cast(pa.float64()).fill_null(absent).to_numpy() if f in names else np.full(n, absent)
+    )
+    words = table["category_keyword"].to_pylist() if "category_keyword" in names else [None] * n
     return {
         "ids": table["query_id"].to_numpy(),
         "vectors": _unit(_matrix(table["embedding"], dim)),
-        "filters": {f: table[f].to_pylist() for f in _FILTERS if f in names},
-        "cells": table["cells"].to_pylist() if "cells" in names else None,
+        "bounds": [("price", np.greater_equal, bound("min_price", -np.inf)), ("price", np.less_equal, bound("max_price", np.inf)),
+                   ("rating_average", np.greater_equal, bound("min_rating", -np.inf))],
+        "words": [w or None for w in words],
     }
 
 
@@ -81,134 +87,112 @@ def _unit(rows: np.ndarray) -> np.ndarray:
         return rows / lengths  # a zero vector turns into NaN, as its similarity must
 
 
-def _passes(items: pa.Table, queries: dict, i: int, names: dict) -> np.ndarray:
-    """Which items a query may return: P9 for one query over a batch."""
-    keep = np.ones(items.num_rows, dtype=bool)
-    wanted = {f: values[i] for f, values in queries["filters"].items() if values[i] is not None}
-    for bound, column, test in (
-        ("min_price", "price", np.greater_equal),
-        ("max_price", "price", np.less_equal),
-        ("min_rating", "rating_average", np.greater_equal),
-    ):
-        if bound in wanted:
-            if column not in names:
-                names[column] = items[column].cast(pa.float64()).to_numpy(zero_copy_only=False)
+def _passes(items: pa.Table, queries: dict, part: slice) -> np.ndarray:
+    """Which items each query of ``part`` may return: P9 as a matrix.  An absent bound lets NULL pass."""
+    keep = np.ones((len(queries["ids"][part]), items.num_rows), dtype=bool)
+    for column, test, bounds in queries["bounds"]:
+        asked = np.flatnonzero(np.isfinite(bounds[part]))
+        if len(asked):
+            values = items[column].cast(pa.float64()).to_numpy(zero_copy_only=False)
             with np.errstate(invalid="ignore"):
-                keep &= test(names[column], float(wanted[bound]))
-    if wanted.get("category_keyword"):
-        if "codes" not in names:
-            coded = items["category_name"].combine_chunks().dictionary_encode()
-            names["codes"] = coded.indices.fill_null(-1).to_numpy(zero_copy_only=False)
-            names["values"] = coded.dictionary.to_pylist()
-        pattern = _like(f"%{wanted['category_keyword']}%")
-        hit = np.array([pattern.fullmatch(v) is not None for v in names["values"]] + [False])
-        keep &= hit[names["codes"]]
-    if queries["cells"] is not None:
-        if "cell" not in names:
-            names["cell"] = items["cell"].to_numpy()
-        keep &= np.isin(names["cell"], queries["cells"][i])
+                keep[asked] &= test(values[None, :], bounds[part][asked][:, None])
+    words = queries["words"][part]
+    wanted = sorted({w for w in words if w})
+    if wanted:
+        coded = items["category_name"].combine_chunks().dictionary_encode()
+        codes = coded.indices.fill_null(-1).to_numpy(zero_copy_only=False)
+        names = coded.dictionary.to_pylist()
+        for word in wanted:
+            pattern = _like(f"%{word}%")
+            hit = np.array([pattern.fullmatch(v) is not None for v in names] + [False])
+            keep[[i for i, w in enumerate(words) if w == word]] &= hit[codes]
     return keep
 
 
-def _best(items: pa.Table, queries: dict, dim: int, k: int) -> pa.Table:
-    """Best ``k`` items of this batch for every query."""
-    ids = items["item_id"].to_numpy()
-    vectors = _unit(_matrix(items["embedding"], dim)).T
-    plain = not queries["filters"] and queries["cells"] is None
-    names: dict = {}
-    found_q, found_i, found_s = [], [], []
-    for i, query_id in enumerate(queries["ids"]):
-        if i % SCORE_ROWS == 0:
-            scores = np.round(queries["vectors"][i : i + SCORE_ROWS] @ vectors, SCORE_DIGITS)
-        score = scores[i % SCORE_ROWS]
-        rows = np.arange(len(ids)) if plain else np.flatnonzero(_passes(items, queries, i, names))
-        values = np.where(np.isnan(score[rows]), -np.inf, score[rows])
-        if len(rows) > k:  # everything at least as good as the k-th, so ties are cut by id below
-            kth = np.partition(values, len(values) - k)[len(values) - k]
-            near = values >= kth
-            rows, values = rows[near], values[near]
-        chosen = rows[np.lexsort((ids[rows], -values))[:k]]
-        found_q.append(np.full(len(chosen), query_id))
-        found_i.append(ids[chosen])
-        found_s.append(score[chosen])
-    return pa.table(
-        {
-            "query_id": pa.array(np.concatenate(found_q).astype(np.int64)),
-            "item_id": pa.array(np.concatenate(found_i).astype(np.int64)),
-            "similarity": pa.array(np.concatenate(found_s)),
-        }
-    )
+class Best:
+    """The best ``k`` items met so far for each of a set of queries; ties go by item id."""
+
+    def __init__(self, queries: dict, dim: int, k: int):
+        self.queries, self.dim, self.k = queries, dim, k
+        n = len(queries["ids"])
+        self.query, self.item, self.rank, self.score = (np.empty(0, t) for t in (np.int64, np.int64, float, float))
+        self.floor = np.full(n, -np.inf)
+
+    def add(self, items: pa.Table) -> None:
+        """Scores a batch against all queries and keeps what is at least as good as each query's k-th so far."""
+        ids, vectors = items["item_id"].to_numpy(), _unit(_matrix(items["embedding"], self.dim)).T
+        found = [(self.query, self.item, self.rank, self.score)]
+        for start in range(0, len(self.floor), SCORE_ROWS):
+            part = slice(start, start + SCORE_ROWS)
+            score = np.round(self.queries["vectors"][part] @ vectors, SCORE_DIGITS)
+            rank = np.where(np.isnan(score), -2.0, score)
+            rank[~_passes(items, self.queries, part)] = -np.inf
+            floor = self.floor[part]
+            if rank.shape[1] > self.k:
+                own = np.partition(rank, rank.shape[1] - self.k, axis=1)[:, rank.shape[1] - self.k]
+                floor = np.maximum(floor, own)
+            q, i = np.nonzero((rank >= floor[:, None]) & (rank > -np.inf))
+            found.append((q + start, ids[i], rank[q, i], score[q, i]))
+        query, item, rank, score = (np.concatenate(x) for x in zip(*found))
+        order = np.lexsort((item, -rank, query))
+        query = query[order]
+        first = np.flatnonzero(np.r_[True, query[1:] != query[:-1]]) if len(query) else np.empty(0, np.int64)
+        place = np.arange(len(query)) - np.repeat(first, np.diff(np.r_[first, len(query)]))
+        kept = order[place < self.k]
+        self.query, self.item, self.rank, self.score = query[place < self.k], item[kept], rank[kept], score[kept]
+        last = place[place < self.k] == self.k - 1
+        self.floor[self.query[last]] = self.rank[last]
+
+    def table(self) -> pa.Table:
+        ids = np.asarray(self.queries["ids"], np.int64)[self.query]
+        return pa.table({"query_id": pa.array(ids, pa.int64()), "item_id": pa.array(self.item, pa.int64()), "similarity": pa.array(self.score)})
 
 
 def _query_columns(queries: DataFrame) -> list[str]:
-    return [c for c in ("query_id", "embedding", *_FILTERS, "cells") if c in queries.columns]
+    return [c for c in ("query_id", "embedding", *_FILTERS) if c in queries.columns]
 
 
-def nearest(
-    corpus: DataFrame, queries: DataFrame, dim: int, k: int = 5, broadcast_bytes: int = BROADCAST_BYTES,
-    block_rows: int = BLOCK_ROWS,
-) -> DataFrame:
-    """Exact top ``k`` per query as ``(query_id, item_id, similarity, rank)``.
-
-    ``corpus`` has ``item_id``, ``embedding`` and the columns its queries filter on (``price``,
-    ``rating_average``, ``category_name``, ``cell``); ``queries`` has ``query_id``, ``embedding`` and any of
-    the filter columns.  The number of queries decides the plan: few are sent to the tasks and the corpus is
-    read in place; more are hashed into blocks that meet corpus blocks of bounded size.
-    """
-    corpus = corpus.select(
+def narrowed(corpus: DataFrame) -> DataFrame:
+    """Ids, vectors and the columns that queries filter on; nothing else takes part in the ranking."""
+    return corpus.select(
         F.col("item_id").cast("bigint").alias("item_id"), F.col("embedding").cast("array<float>").alias("embedding"),
         *[F.col(c).cast("double").alias(c) for c in ("price", "rating_average") if c in corpus.columns],
         *[c for c in ("category_name", "cell") if c in corpus.columns],
     )
-    queries = queries.select(
-        F.col("query_id").cast("bigint").alias("query_id"),
-        *[c for c in _query_columns(queries) if c != "query_id"],
-    )
-    count = queries.count()
-    if count * dim * 8 <= broadcast_bytes:
-        local = _score_in_place(corpus, queries, dim, k)
-    else:
-        query_rows = max(block_rows, 4 * broadcast_bytes // (dim * 8))
-        local = _score_by_blocks(corpus, queries, count, dim, k, query_rows, block_rows)
-    order = [F.expr("IF(isnan(similarity), -2D, similarity)").desc()]
-    return ranked(local, ["query_id"], order, "rank", tiebreak=[F.col("item_id").asc()]).where(F.col("rank") <= k)
-
 
-def _score_in_place(corpus: DataFrame, queries: DataFrame, dim: int, k: int) -> DataFrame:
-    table = queries.toArrow()  # bounded by the caller
-    if table.num_rows == 0:
-        return corpus.sparkSession.createDataFrame([], _HITS)
-    shared = corpus.sparkSession.sparkContext.broadcast(_query_set(table, dim))
 
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                yield from _best(pa.Table.from_batches([batch]), shared.value, dim, k).to_batches()
-
-    return corpus.mapInArrow(score, _HITS)
+def best_of(hits: DataFrame, k: int) -> DataFrame:
+    """The best ``k`` of every query with their rank; undefined similarities come last."""
+    order = [F.expr("IF(isnan(similarity), -2D, similarity)").desc()]
+    return ranked(hits, ["query_id"], order, "rank", tiebreak=[F.col("item_id").asc()]).where(F.col("rank") <= k)
 
 
-def _score_by_blocks(
-    corpus: DataFrame, queries: DataFrame, count: int, dim: int, k: int, query_rows: int, block_rows: int
-) -> DataFrame:
-    """Every query block meets every corpus block once; a pair of blocks is one bounded task group.
+def nearest(corpus: DataFrame, queries: DataFrame, dim: int, k: int = 5, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+    """Exact top ``k`` per query as ``(query_id, item_id, similarity, rank)``.
 
-    The corpus moves once per query block, so query blocks are as large as a task can hold.
+    ``corpus`` has ``item_id``, ``embedding`` and the columns its queries filter on (``price``, ``rating_average``,
+    ``category_name``); ``queries`` has ``query_id``, ``embedding`` and any of the filter columns.  Queries go to the
+    tasks in chunks of about ``chunk_bytes``; for each chunk the corpus is read where it lies, without a shuffle, and a
+    task sends its best ``k`` per query once.  A chunk's hits are written before the next one, so the driver holds one
+    chunk.  A vector that has not ``dim`` components is an error, NULL has no similarity.
     """
-    query_blocks = -(-count // query_rows)
-    corpus_blocks = max(1, -(-corpus.count() // block_rows))
-    q = queries.select(
-        "*", F.pmod(F.xxhash64("query_id"), F.lit(query_blocks)).alias("qb"),
-        F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(corpus_blocks - 1).cast("bigint"))).alias("cb"),
-    )
-    c = corpus.select(
-        "*", F.pmod(F.xxhash64("item_id"), F.lit(corpus_blocks)).alias("cb"),
-        F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(query_blocks - 1).cast("bigint"))).alias("qb"),
-    )
-
-    def score(query_block: pa.Table, corpus_block: pa.Table) -> pa.Table:
-        if not query_block.num_rows or not corpus_block.num_rows:
-            return pa.schema([("query_id", pa.int64()), ("item_id", pa.int64()), ("similarity", pa.float64())]).empty_table()
-        return _best(corpus_block, _query_set(query_block, dim), dim, k)
-
-    return q.groupBy("qb", "cb").cogroup(c.groupBy("qb", "cb")).applyInArrow(score, _HITS)
+    spark, corpus = corpus.sparkSession, narrowed(corpus)
+    queries = queries.select(F.col("query_id").cast("bigint").alias("query_id"), *[c for c in _query_columns(queries) if c != "query_id"])
+    queries = materialise(queries, "queries")
+    chunks = max(1, -(-queries.count() * dim * 8 // chunk_bytes))
+    hits = None
+    for chunk in range(chunks):
+        table = queries.where(F.pmod(F.xxhash64("query_id"), F.lit(chunks)) == chunk).toArrow()
+        shared = spark.sparkContext.broadcast(query_set(table, dim))
+
+        def score(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            best = Best(shared.value, dim, k)
+            for batch in batches:
+                if batch.num_rows:
+                    best.add(pa.Table.from_batches([batch]))
+            yield from best.table().to_batches()
+
+        found = materialise(best_of(corpus.mapInArrow(score, HITS), k), "hits")
+        shared.unpersist()
+        hits = found if hits is None else hits.unionByName(found)
+    return hits

@@ -171,7 +171,7 @@ def fixture_vectors(spark):
     return items, queries, corpus, asked
 
 
-@pytest.mark.parametrize("limits", [{}, {"broadcast_bytes": 0, "block_rows": 64}, {"broadcast_bytes": 0, "block_rows": 4}])
+@pytest.mark.parametrize("limits", [{}, {"chunk_bytes": 64}, {"chunk_bytes": 300}])
 def test_nearest_equals_brute_force(spark, fixture_vectors, limits):
     items, queries, corpus, asked = fixture_vectors
     rows = search.nearest(corpus, asked, 8, 6, **limits).collect()

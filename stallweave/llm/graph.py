@@ -28,7 +28,7 @@ def components(edges: DataFrame) -> DataFrame:
         least = both.groupBy(F.col("a").alias("u")).agg(F.least(F.min("b"), F.first("a")).alias("m"))
         larger = both.where("b > a").join(least, F.col("a") == F.col("u")).select(F.col("b").alias("a"), F.col("m").alias("b"))
         # Nodes that are the largest of all their links keep one, to their smallest neighbour.
-        large = larger.where("a <> b").union(least.where("u <> m").select("u", "m")).distinct()
+        large = larger.where("a <> b").union(least.where("u <> m").select("u", "m"))
         small_least = large.groupBy(F.col("a").alias("u")).agg(F.min("b").alias("m"))
         small = large.join(small_least, F.col("a") == F.col("u")).select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").union(small_least.select("u", "m"))
         after, after_path = stored(small.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")

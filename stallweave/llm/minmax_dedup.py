@@ -4,11 +4,16 @@ One evaluation of a random permutation of a shingle set gives two values, its sm
 between two sets with their Jaccard similarity, so ``bands * rows`` values need half as many evaluations.  Bands of
 ``rows`` values are candidate buckets; every link is confirmed on the full sets.
 
-Equal sets are one class with its smallest doc_id as representative; only representatives go on.  Inside a bucket no
-list of all pairs is made: a few centres are compared with all members, after which nothing about them is open, so
-they leave the bucket, and so does any bucket whose members have become one component.  The first two rounds take one
-centre a bucket (the smallest, then the one with most links: the likely original of a group of copies), later ones
-twice as many each time, until no bucket is left.  Every candidate pair of different components is thus compared.
+Equal sets are one class with its smallest doc_id as representative; only representatives go on.  Buckets of up to
+``SMALL`` members compare all of them.  A larger one makes no list of its pairs:
+
+1. A set can have no more in common with another than its shingles that any other set of the large buckets has.  With the
+   sizes of both this is an exact bound; it takes out at once all edited copies too far from every other.
+2. Twice a few members, the same ones in all buckets, are compared with the others.  That unites nearly all of a group of
+   copies, and members of one component need no further comparison.
+3. What is not in a bucket's largest component is compared with all its members.
+
+So every pair of different components in a bucket is either compared or ruled out by the bound.
 """
 
 from __future__ import annotations
@@ -17,13 +22,18 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stallweave.llm.graph import components
 from stallweave.llm.shingles import mixed, shingle_sets
 from stallweave.llm.tables import drop_path, per_worker, sliced, stored
 
+#: Members of a bucket that are all compared with each other.
+SMALL = 32
+#: Members of a larger bucket that are compared with the others, turn by turn; at last all outside its main component.
+CENTRES = (8, 64, None)
+
 
 def permutations(count: int) -> tuple[np.ndarray, np.ndarray]:
     """Factors (odd) and offsets of ``count`` permutations of the 64-bit numbers, as columns."""
@@ -83,6 +93,51 @@ def confirmed(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> D
     return with_both.select("a", "b", "text_a", "text_b").mapInArrow(sliced(work, 4 << 20), f"a {kind}, b {kind}").distinct()
 
 
+def lone_shingles(texts: DataFrame, width: int) -> DataFrame:
+    """(doc, lone): how many shingles of each text (doc, text) no other one has; texts without any are left out."""
+
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        sets = shingle_sets(batch.column("text").to_pylist(), width)
+        owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+        return pa.RecordBatch.from_arrays([batch.column("doc").take(pa.array(owner, pa.int64())), pa.array(np.concatenate([np.empty(0, np.uint64), *sets]).view(np.int64))], ["doc", "shingle"])
+
+    kind = texts.schema["doc"].dataType.simpleString()
+    rows = texts.mapInArrow(sliced(work, 2 << 20), f"doc {kind}, shingle long")
+    holders = rows.groupBy("shingle").agg(F.min("doc").alias("doc"), F.max("doc").alias("other"))
+    return holders.where("doc = other").groupBy("doc").agg(F.count("*").alias("lone"))
+
+
+def crowds_of(buckets: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """(key, doc, n, can, m) of the large buckets; ``can`` bounds what a set can have in common with another.
+
+    Members go whose bound rules out every partner: ``common >= percent / 100 * all`` needs
+    ``common * (100 + percent) >= percent * (n + partner's n)``.
+    """
+    large = buckets.where(F.col("m") > SMALL)
+    lone = lone_shingles(texts.join(large.select("doc").distinct(), "doc", "left_semi"), width)
+    able = large.join(lone, "doc", "left").withColumn("can", F.col("n") - F.coalesce("lone", F.lit(0))).where(F.col("can") * 100 >= F.col("n") * percent)
+    least = able.groupBy("key").agg(F.min("n").alias("least_n"))
+    return able.join(least, "key").where(F.col("can") * (100 + percent) >= (F.col("n") + F.col("least_n")) * percent).select("key", "doc", "n", "can", "m")
+
+
+def crowd_pairs(crowds: DataFrame, chosen: Column, percent: int) -> DataFrame:
+    """(a, b): chosen members of each bucket against all members of other components that the bound leaves."""
+    marked = crowds.withColumn("centre", chosen)
+    centres = marked.where("centre").select("key", F.col("doc").alias("c"), F.col("n").alias("c_n"), F.col("can").alias("c_can"), F.col("component").alias("c_component"))
+    able = F.least("can", "c_can") * (100 + percent) >= (F.col("n") + F.col("c_n")) * percent
+    near = F.least("n", "c_n") * 100 >= F.greatest("n", "c_n") * percent
+    once = ~F.col("centre") | (F.col("doc") > F.col("c"))
+    return marked.join(centres, "key").where((F.col("component") != F.col("c_component")) & able & near & once).select(F.col("c").alias("a"), F.col("doc").alias("b")).distinct()
+
+
+def small_pairs(buckets: DataFrame, percent: int) -> DataFrame:
+    """(a, b): all members of each bucket of at most ``SMALL`` whose sizes allow a link."""
+    small = buckets.where(F.col("m") <= SMALL)
+    other = small.select("key", F.col("doc").alias("b"), F.col("n").alias("b_n"))
+    near = F.least("n", "b_n") * 100 >= F.greatest("n", "b_n") * percent
+    return small.join(other, "key").where((F.col("doc") < F.col("b")) & near).select(F.col("doc").alias("a"), "b").distinct()
+
+
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: int = 32, rows: int = 5) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of ``docs`` (doc_id, text; other columns ignored).
 
@@ -94,7 +149,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: i
     """
     spark = docs.sparkSession
     docs = docs.select("doc_id", "text")
-    sketch, sketch_path = stored(sketches(docs, width, bands, rows), "sketches")
+    sketch, _ = stored(sketches(docs, width, bands, rows), "sketches")
     named = sketch.where("doc_id IS NOT NULL AND digest IS NOT NULL")
     classes, _ = stored(named.groupBy("digest").agg(F.min("doc_id").alias("rep")), "classes")
     keys = (
@@ -102,49 +157,39 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: i
         .select(F.col("rep").alias("doc"), "n", F.explode("bands").alias("key"))
         .distinct()
     )
-    shared = keys.groupBy("key").agg(F.count("*").alias("m"), F.min("doc").alias("centre")).where("m > 1").select("key")
-    buckets, path = stored(keys.join(shared, "key", "left_semi"), "buckets")
-    texts, _ = stored(docs.join(buckets.select(F.col("doc").alias("doc_id")).distinct(), "doc_id", "left_semi").select(F.col("doc_id").alias("doc"), "text").distinct(), "bucket-texts")
-    links, link_paths, label, turn = None, [], None, 0
-    while not buckets.isEmpty():
-        turn += 1
-        per_key = buckets.groupBy("key").agg(F.count("*").alias("m"), F.min(F.struct((-F.col("degree") if label is not None else F.lit(0)).alias("d"), "doc")).alias("top"))
-        marked = buckets.join(per_key, "key")
-        share = F.lit(32 << max(0, turn - 3)) / F.col("m")
-        chosen = F.col("doc") == F.col("top.doc") if turn < 3 else F.pmod(F.xxhash64("doc", F.lit(turn)), F.lit(1 << 30)) <= share * (1 << 30)
-        marked, marked_path = stored(marked.withColumn("centre", chosen).drop("top", "m"), "centres")
-        group = "component" if label is not None else "doc"
-        centres = marked.where("centre").select("key", F.col("doc").alias("c"), F.col("n").alias("c_n"), F.col(group).alias("c_group"))
-        rest = marked.select("key", "doc", "n", F.col(group).alias("group"), "centre")
-        pairs = (
-            rest.join(centres, "key")
-            .where((F.col("group") != F.col("c_group")) & (F.least("n", "c_n") * 100 >= F.greatest("n", "c_n") * percent))
-            .where(~F.col("centre") | (F.col("doc") > F.col("c")))
-            .select(F.col("c").alias("a"), F.col("doc").alias("b"))
-            .distinct()
-        )
-        found, found_path = stored(confirmed(pairs, texts, width, percent), "links")
+    shared = keys.groupBy("key").agg(F.count("*").alias("m")).where("m > 1")
+    buckets, buckets_path = stored(keys.join(shared, "key"), "buckets")
+    texts, texts_path = stored(docs.join(buckets.select(F.col("doc").alias("doc_id")).distinct(), "doc_id", "left_semi").select(F.col("doc_id").alias("doc"), "text").distinct(), "bucket-texts")
+    crowds, crowds_path = stored(crowds_of(buckets, texts, width, percent), "crowds")
+    used = [buckets_path, texts_path, crowds_path]
+    pairs = small_pairs(buckets, percent)
+    links, label, link_paths = None, None, []
+    for turn, centres in enumerate(CENTRES):
+        if label is None:
+            members = crowds.withColumn("component", F.col("doc"))
+        else:
+            members = crowds.join(label.withColumnRenamed("node", "doc"), "doc", "left").withColumn("component", F.coalesce("component", "doc"))
+            open_keys = members.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("key")
+            members = members.join(open_keys, "key", "left_semi")
+        if centres is not None:
+            chosen = F.pmod(F.xxhash64("doc", F.lit(turn)), F.lit(1 << 30)) <= F.lit(float(centres)) / F.col("m") * (1 << 30)
+        else:
+            counts = members.groupBy("key", "component").agg(F.count("*").alias("size"))
+            main = counts.groupBy("key").agg(F.max_by("component", F.struct("size", "component")).alias("main"))
+            members, chosen = members.join(main, "key"), F.col("component") != F.col("main")
+        members, members_path = stored(members.withColumn("chosen", chosen), "members")
+        more = crowd_pairs(members, F.col("chosen"), percent)
+        found, found_path = stored(confirmed(pairs.unionByName(more).distinct() if label is None else more, texts, width, percent), "links")
         link_paths.append(found_path)
         links = spark.read.schema(found.schema).parquet(*link_paths)
-        named_groups = components(links)
-        degrees = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("degree"))
-        label, _ = stored(named_groups.join(degrees, "node"), "labels")
-        left = (
-            marked.where("NOT centre").select("key", "doc", "n")
-            .join(label.withColumnRenamed("node", "doc"), "doc", "left")
-            .withColumn("component", F.coalesce("component", "doc"))
-            .withColumn("degree", F.coalesce("degree", F.lit(0)))
-        )
-        open_keys = left.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("key")
-        buckets, next_path = stored(left.join(open_keys, "key", "left_semi"), "buckets")
-        for used in (path, marked_path):
-            drop_path(spark, used)
-        path = next_path
-    members = sketch.select("doc_id", "digest", F.col("n").alias("n_shingles"))
-    found_reps = classes if label is None else classes.join(label.select(F.col("node").alias("rep"), "component"), "rep", "left")
-    component = F.col("rep") if label is None else F.coalesce("component", "rep")
-    groups, _ = stored(found_reps.select("digest", component.alias("group_id")), "groups")
-    out = members.join(groups, "digest", "left")
+        label, label_path = stored(components(links), "labels")
+        used += [members_path, label_path]
+        if crowds.isEmpty():
+            break
+    groups, _ = stored(classes.join(label.select(F.col("node").alias("rep"), "component"), "rep", "left").select("digest", F.coalesce("component", "rep").alias("group_id")), "groups")
+    for path in used + link_paths:
+        drop_path(spark, path)
+    out = sketch.select("doc_id", "digest", F.col("n").alias("n_shingles")).join(groups, "digest", "left")
     whole = F.when(F.col("doc_id").isNotNull(), F.coalesce("group_id", "doc_id"))
     return out.select("doc_id", "n_shingles", whole.alias("component_id"), F.coalesce(F.col("doc_id") == whole, F.lit(True)).alias("kept"))
 

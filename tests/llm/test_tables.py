@@ -103,6 +103,27 @@ def test_near_duplicates_match_plain_version(spark, documents, width, percent):
     assert minmax_dedup.near_duplicates(documents([])).count() == 0
 
 
+def test_crowd_around_the_threshold(spark, documents):
+    """One bucket of very many copies, of which some link with each other, some with one only and some with none."""
+    rng = random.Random(9)
+    base = [f"w{i}" for i in range(150)]
+    rows = []
+    for i in range(330):
+        copy = list(base[: rng.choice([150, 150, 150, 146])])
+        for _ in range(rng.randint(0, 7)):
+            copy[rng.randrange(len(copy))] = f"x{rng.randint(0, 10**6) if rng.random() < 0.7 else rng.randint(0, 3)}"
+        rows.append((i, " ".join(copy)))
+    sets, groups = [plain_set(t, 3) for _, t in rows], Groups(range(len(rows)))
+    for a in range(len(rows)):
+        for b in range(a):
+            both = len(sets[a] & sets[b])
+            if 100 * both >= 85 * (len(sets[a]) + len(sets[b]) - both):
+                groups.join(a, b)
+    got = {r["doc_id"]: r["component_id"] for r in minmax_dedup.near_duplicates(documents(rows), 3, 85, 32, 6).collect()}
+    wanted = {i: groups.find(i) for i in range(len(rows))}
+    assert got == wanted and 10 < len(set(wanted.values())) < 320
+
+
 def test_minmax_values_agree_with_similarity():
     rng = np.random.default_rng(4)
     pool = rng.integers(0, 1 << 62, 3000, dtype=np.uint64)

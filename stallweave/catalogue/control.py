@@ -104,16 +104,17 @@ def request_frontier(spark, sf_dir):
 run AS (SELECT max(ts) - INTERVAL 1 DAY AS start_at FROM events),
 cache AS (SELECT request_key, max(ts) AS fetched_at FROM seen, run WHERE ts < start_at GROUP BY request_key)
 SELECT event_id, request_key FROM seen JOIN run ON ts >= start_at LEFT JOIN cache USING (request_key)
-WHERE fetched_at IS NULL OR fetched_at <= ts - INTERVAL 24 HOUR""")
+WHERE fetched_at IS NULL OR fetched_at <= ts - INTERVAL 24 HOUR
+QUALIFY row_number() OVER (PARTITION BY request_key ORDER BY ts, event_id) = 1""")
 def ttl_dedupe(spark, sf_dir):
-    """Requests of the last day against everything fetched before."""
+    """Requests of the last day against everything fetched before and against each other."""
     seen = s.load(spark, sf_dir, "events").select(
         "event_id", F.concat_ws("/", "user_id", "event_type").alias("request_key"), "ts"
     )
     start_at = F.lit(seen.agg(F.max("ts") - F.expr("INTERVAL 1 DAY")).first()[0])
     requests = seen.where(F.col("ts") >= start_at).withColumnRenamed("ts", "requested_at")
     cache = seen.where(F.col("ts") < start_at).select("request_key", F.col("ts").alias("fetched_at"))
-    return rotation.ttl_dedupe(requests, cache).select("event_id", "request_key")
+    return rotation.ttl_dedupe(requests, cache, tiebreak=[F.asc("event_id")]).select("event_id", "request_key")
 
 
 def _order_partitions(spark, sf_dir):

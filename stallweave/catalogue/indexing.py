@@ -103,6 +103,19 @@ def index_upsert(spark, sf_dir):
     return plain(table.read().select("product_id", "content_hash", F.size("embedding").alias("dims"), "indexed_at"))
 
 
+@query("SELECT doc_id AS product_id, sha256(text) AS content_hash FROM documents")
+def index_same_clock(spark, sf_dir):
+    """Of two refreshes with one clock the later commit wins, in parts of a few rows each."""
+    earlier, now = _versions(spark, sf_dir)
+    set_by_index = {"product_id", "document", "content_hash", "embedding", "indexed_at"}
+    unknown = [F.lit(None).cast(f.dataType).alias(f.name) for f in schemas.PRODUCT_INDEX.fields if f.name not in set_by_index]
+    table = indexing.index_table(spark, scratch_path(spark, "index"))
+    for rows in (earlier, now):
+        part = rows.count() // 2 + 1
+        indexing.index_incremental(table, rows.select("*", *unknown), lambda: HashingEncoder(DIM), "2024-03-01 00:00:00", commit_rows=part)
+    return table.read().select("product_id", "content_hash")
+
+
 VECTORS_SQL = f"""
 words AS (
   SELECT doc_id, unnest(string_split(translate(text, chr(9) || chr(10) || chr(13), '   '), ' ')) AS word FROM {{texts}}),

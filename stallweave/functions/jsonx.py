@@ -12,6 +12,10 @@ FALSY_TEXT = ("", "0", "0.0", "false", "null", "[]", "{}")
 _FALSY = r"\A(?:" + "|".join(re.escape(text) for text in FALSY_TEXT) + r")\z"
 
 
+#: JSON tokens of the values that count as absent.
+_EMPTY_TOKEN = r"\A(?:null|false|\"\"|\[\]|\{\}|-?0+(?:\.0+)?(?:[eE][-+]?[0-9]+)?)\z"
+
+
 def json_text(c: Column, path: str) -> Column:
     """scalar (or nested JSON text) at ``path``; NULL when missing, JSON null or malformed."""
     return F.get_json_object(c, path)
@@ -48,6 +52,15 @@ def first_truthy(*columns: Column) -> Column:
     return F.coalesce(*[truthy(c.cast("string")) for c in columns])
 
 
+def usable_member(document: Column, text: Column, key: str) -> Column:
+    """The text of a member unless its JSON value is null, false, zero or empty.
+
+    The type decides: the texts ``"0"`` and ``"false"`` are values like any other.
+    """
+    token = F.to_json(F.try_variant_get(document, f"$.{key}", "variant"))
+    return F.when(~token.rlike(_EMPTY_TOKEN), text)
+
+
 def nested_to_text(df: DataFrame) -> DataFrame:
     """struct, array and map columns as JSON text, null members kept, text kept as UTF-8."""
     nested = {

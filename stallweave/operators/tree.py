@@ -8,7 +8,7 @@ from itertools import count
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stallweave.functions.jsonx import first_truthy, json_items
+from stallweave.functions.jsonx import json_items, usable_member
 from stallweave.functions.text import child_path, link_category_id
 from stallweave.session import materialise
 from stallweave.sources.landed import menu_roots
@@ -25,7 +25,7 @@ _NODE_KEYS = ID_KEYS + NAME_KEYS + LINK_KEYS + CHILD_KEYS
 def flatten_tree(df: DataFrame, payload: str = "payload") -> DataFrame:
     """Rows ``menu_id … raw_node`` for every node of every payload, next to the other columns of ``df``.
 
-    Each round opens one level of all trees at once: a node is parsed by one ``json_tuple`` call, its children
+    Each round opens one level of all trees at once: a node is parsed once for its texts and once for its types, its children
     become the next frontier.  A level is written once to the shared folder, so round ``n`` reads only level
     ``n - 1``.  The driver loops over depth, never over rows; a text holds no cycle, so the loop ends.
     """
@@ -58,8 +58,9 @@ def flatten_tree(df: DataFrame, payload: str = "payload") -> DataFrame:
 
 def _open_level(frontier: DataFrame, carried: list[str], depth: int) -> DataFrame:
     raw = {key: f"_{key}" for key in _NODE_KEYS}
-    pick = lambda keys: first_truthy(*[F.col(raw[k]) for k in keys])
-    opened = frontier.select("*", F.json_tuple("raw_node", *_NODE_KEYS).alias(*raw.values())).select(
+    pick = lambda keys: F.coalesce(*[usable_member(F.col("_typed"), F.col(raw[k]), k) for k in keys])
+    typed = frontier.withColumn("_typed", F.try_parse_json("raw_node"))
+    opened = typed.select("*", F.json_tuple("raw_node", *_NODE_KEYS).alias(*raw.values())).select(
         *carried,
         "raw_node",
         "parent_menu_id",

@@ -21,8 +21,8 @@ COMPACT_EVERY = 20
 
 
 def index_table(spark: SparkSession, root: str) -> VersionedTable:
-    """The index: one row per product, the row indexed last wins."""
-    return VersionedTable(spark, root, PRODUCT_INDEX, ["product_id"], ["indexed_at"])
+    """The index: one row per product, the row committed last wins, also between refreshes of one clock."""
+    return VersionedTable(spark, root, PRODUCT_INDEX, ["product_id"], last_commit_wins=True)
 
 
 def changed_only(documents: DataFrame, indexed: DataFrame, key: str = "product_id") -> DataFrame:
@@ -38,20 +38,21 @@ def changed_only(documents: DataFrame, indexed: DataFrame, key: str = "product_i
 
 def index_incremental(
     table: VersionedTable, documents: DataFrame, encoder: Callable[[], Encoder],
-    now: dt.datetime | str | Column | None = None, prune: bool = False, batch_size: int = 32,
+    now: dt.datetime | str | Column | None = None, prune: bool = False, batch_size: int = 32, commit_rows: int = 100_000,
 ) -> dict[str, int]:
     """Encode what changed, add those rows, count both kinds.
 
-    Changed documents are written to the shared folder and dealt out by rows to the encoder, whose output is
-    what the index stores: no text is built or encoded twice, whichever executor is lost.  A refresh writes as
-    many rows as changed; without changes no version is written.  Products gone from the mart stay (Q11)
-    unless ``prune``.
+    Documents are built once and written to the shared folder; what changed is dealt out by rows to the encoder and
+    committed in parts of about ``commit_rows``, so a run that dies goes on where it stopped: what is committed counts as
+    unchanged.  Without changes no version is written.  Products gone from the mart stay (Q11) unless ``prune``.
     """
-    old = table.read()
-    pending = materialise(changed_only(with_hash(documents), old), "pending")
+    documents = materialise(with_hash(documents), "hashed-documents")
+    pending = materialise(changed_only(documents, table.read()), "pending")
     total, changed = documents.count(), pending.count()
-    if changed:
-        encoded = with_embedding(spread_rows(pending, changed), "document", encoder, batch_size=batch_size)
+    parts = -(-changed // commit_rows)
+    for part in range(parts):
+        rows = pending.where(F.pmod(F.xxhash64("product_id"), F.lit(parts)) == part)
+        encoded = with_embedding(spread_rows(rows, -(-changed // parts)), "document", encoder, batch_size=batch_size)
         version = table.version() + 1
         table.add(encoded.withColumn("indexed_at", as_clock(now)), version)
         if version % COMPACT_EVERY == 0:

@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 from stallweave.functions.casts import int_or_zero
 from stallweave.functions.clock import EPOCH, as_clock, iso_utc
 from stallweave.functions.jsonx import json_text, truthy
 from stallweave.functions.text import request_key
+from stallweave.operators.dedupe import Order, latest_per_key
 from stallweave.operators.joins import with_default
 from stallweave.operators.predicates import leaves
 from stallweave.operators.ranking import top_k
@@ -83,40 +86,62 @@ def derive_requests(listing: DataFrame, base_url: str, max_review_pages: int = 1
     """``(kind, product_id, seller_id, page, request_key)`` that a listing leads to, each once.
 
     Detail: every product.  Seller: every distinct seller.  Review: every distinct product and seller pair
-    with a positive review count, times the pages.
+    with a positive review count, times the pages.  A row is read once and opened into what it leads to; repeats
+    are dropped in its task before anything moves.
     """
     ids = _pair_ids(listing)
-    none_text, none_int = F.lit(None).cast("string"), F.lit(None).cast("int")
-    details = ids.where("product_id IS NOT NULL").select("product_id").distinct().select(
-        F.lit("detail").alias("kind"), "product_id", none_text.alias("seller_id"), none_int.alias("page"),
-        request_key(F.concat(F.lit(f"{base_url}/products/"), "product_id"), F.create_map(F.lit("platform"), F.lit("web"))).alias("request_key"),
-    )
-    sellers = ids.where((F.col("seller_id") != "")).select("seller_id").distinct().select(
-        F.lit("seller").alias("kind"), none_text.alias("product_id"), "seller_id", none_int.alias("page"),
-        request_key(F.lit(f"{base_url}/sellers"), F.create_map(F.lit("seller_id"), F.col("seller_id"))).alias("request_key"),
+    sold = F.col("seller_id") != ""
+    reviewed = F.col("product_id").isNotNull() & sold & F.col("review_count").isNotNull() & (int_or_zero(F.col("review_count")) > 0)
+    none = F.lit(None).cast("string")
+
+    def lead(kind: str, product: Column, seller: Column, when: Column) -> Column:
+        return F.when(when, F.struct(F.lit(kind).alias("kind"), product.alias("product_id"), seller.alias("seller_id")))
+
+    leads = F.array(
+        lead("detail", F.col("product_id"), none, F.col("product_id").isNotNull()),
+        lead("seller", none, F.col("seller_id"), sold),
+        lead("review", F.col("product_id"), F.col("seller_id"), reviewed),
     )
-    reviewed = ids.where(
-        F.col("product_id").isNotNull() & (F.col("seller_id") != "")
-        & F.col("review_count").isNotNull() & (int_or_zero(F.col("review_count")) > 0)
-    ).select("product_id", "seller_id").distinct()
+    each = ids.select(F.explode(F.array_compact(leads)).alias("lead")).select("lead.*").distinct()
+    pages = F.when(F.col("kind") == "review", F.sequence(F.lit(1), F.lit(max_review_pages))).otherwise(F.array(F.lit(None).cast("int")))
     params = F.create_map(
         F.lit("limit"), F.lit(str(REVIEW_LIMIT)), F.lit("include"), F.lit(REVIEW_INCLUDE),
         F.lit("sort"), F.lit(REVIEW_SORT), F.lit("page"), F.col("page").cast("string"),
         F.lit("product_id"), F.col("product_id"), F.lit("seller_id"), F.col("seller_id"),
     )
-    reviews = reviewed.withColumn("page", F.explode(F.sequence(F.lit(1), F.lit(max_review_pages)))).select(
-        F.lit("review").alias("kind"), "product_id", "seller_id", "page",
-        request_key(F.lit(f"{base_url}/reviews"), params).alias("request_key"),
+    key = (
+        F.when(F.col("kind") == "detail", request_key(F.concat(F.lit(f"{base_url}/products/"), "product_id"), F.create_map(F.lit("platform"), F.lit("web"))))
+        .when(F.col("kind") == "seller", request_key(F.lit(f"{base_url}/sellers"), F.create_map(F.lit("seller_id"), F.col("seller_id"))))
+        .otherwise(request_key(F.lit(f"{base_url}/reviews"), params))
     )
-    return details.unionByName(sellers).unionByName(reviews)
+    return each.withColumn("page", F.explode(pages)).select("kind", "product_id", "seller_id", "page", key.alias("request_key"))
 
 
-def ttl_dedupe(requests: DataFrame, cache: DataFrame, ttl_seconds: int = TTL_SECONDS) -> DataFrame:
+def ttl_dedupe(
+    requests: DataFrame, cache: DataFrame, ttl_seconds: int = TTL_SECONDS, tiebreak: Sequence[Order] | None = None
+) -> DataFrame:
     """Requests whose key was not fetched within the time to live before them.
 
     ``requests`` has ``request_key`` and ``requested_at``; ``cache`` has ``request_key`` and ``fetched_at``.
-    The cache is reduced to the newest fetch per key before it moves.
+    The cache is reduced to the newest fetch per key before it moves.  A request that goes out is a fetch itself:
+    later ones of the same key count from it (``within_run``).
     """
     newest = cache.groupBy("request_key").agg(F.max("fetched_at").alias("fetched_at"))
     fresh = F.col("fetched_at") > F.col("requested_at") - F.make_dt_interval(secs=F.lit(ttl_seconds))
-    return requests.join(newest, "request_key", "left").where(~F.coalesce(fresh, F.lit(False))).drop("fetched_at")
+    asked = requests.join(newest, "request_key", "left").where(~F.coalesce(fresh, F.lit(False))).drop("fetched_at")
+    return within_run(asked, ttl_seconds, tiebreak)
+
+
+def within_run(requests: DataFrame, ttl_seconds: int = TTL_SECONDS, tiebreak: Sequence[Order] | None = None) -> DataFrame:
+    """Of the requests of a key the first, then the first after its time to live, and so on.
+
+    Only the distinct times of a key meet in a list; requests of one moment are one, chosen by ``tiebreak``.
+    """
+    kind = requests.schema["requested_at"].dataType
+    times = requests.groupBy("request_key").agg(F.sort_array(F.collect_set("requested_at")).alias("times"))
+    start = F.struct(F.array().cast(ArrayType(kind)).alias("kept"), F.lit(None).cast(kind).alias("last"))
+    due = lambda acc, t: acc["last"].isNull() | (t >= acc["last"] + F.make_dt_interval(secs=F.lit(ttl_seconds)))
+    step = lambda acc, t: F.when(due(acc, t), F.struct(F.concat(acc["kept"], F.array(t)).alias("kept"), t.alias("last"))).otherwise(acc)
+    kept = times.select("request_key", F.explode(F.aggregate("times", start, step)["kept"]).alias("requested_at"))
+    first = latest_per_key(requests, ["request_key", "requested_at"], [], tiebreak)
+    return first.join(kept.select(F.col("request_key").alias("_key"), F.col("requested_at").alias("_at")), (F.col("request_key") == F.col("_key")) & (F.col("requested_at") == F.col("_at")), "left_semi")

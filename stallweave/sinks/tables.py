@@ -28,11 +28,41 @@ def layer_path(warehouse: str, layer: str, model: str) -> str:
 
 def write_model(df: DataFrame, warehouse: str, layer: str, model: str) -> str:
     """K2: full refresh of a model's folder."""
-    path = layer_path(warehouse, layer, model)
-    df.write.mode("overwrite").parquet(path)
+    return replace_folder(df, layer_path(warehouse, layer, model))
+
+
+def replace_folder(df: DataFrame, path: str) -> str:
+    """Writes ``df`` beside ``path`` and then puts it in its place; until then, and after a failure, the former rows stay.
+
+    ``df`` may read the current folder.  The swap is two renames; a driver lost between them leaves the former rows under
+    ``<path>.old``, from where the next call or ``restore`` brings them back.
+    """
+    fresh, old = f"{path}.new-{uuid.uuid4().hex[:8]}", f"{path}.old"
+    df.write.parquet(fresh)
+    fs, at = _file_system(df.sparkSession, path)
+    if fs.exists(at(path)):
+        fs.delete(at(old), True)
+        fs.rename(at(path), at(old))
+    fs.mkdirs(at(path).getParent())
+    if not fs.rename(at(fresh), at(path)):
+        raise OSError(f"cannot put {fresh} in place of {path}")
+    fs.delete(at(old), True)
     return path
 
 
+def restore(spark: SparkSession, path: str) -> None:
+    """Brings back what a lost driver left under ``<path>.old``."""
+    fs, at = _file_system(spark, path)
+    if not fs.exists(at(path)) and fs.exists(at(f"{path}.old")):
+        fs.rename(at(f"{path}.old"), at(path))
+
+
+def _file_system(spark: SparkSession, path: str):
+    """Hadoop's file system of ``path`` and its path constructor: whatever store Spark writes to."""
+    at = spark._jvm.org.apache.hadoop.fs.Path
+    return at(path).getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
 def register_views(spark: SparkSession, paths: dict[str, str]) -> None:
     """K9: named views over model folders."""
     for name, path in paths.items():
@@ -45,16 +75,18 @@ class VersionedTable:
     ``replace`` writes a new base (K4, K5).  ``add`` writes only the rows of one batch, so a micro-batch
     costs its own size and not that of the table; ``read`` unites base and batches and keeps the latest row
     per key; ``compact`` folds the batches into a new base.  Every commit names all folders that are live
-    after it, so the newest commit is the whole state.  Batch versions only grow: one that is not above the
+    after it, so the newest commit is the whole state.  Of several rows of a key the first by ``order`` counts, or, with
+    ``last_commit_wins``, the one committed last, whatever its clock says.  Batch versions only grow: one that is not above the
     committed version is a replay and is ignored.  Folder names are unique: nothing that can be read is ever
     overwritten, and a folder left by a lost driver is simply not in the log.
     """
 
     def __init__(
-        self, spark: SparkSession, root: str, schema: StructType, keys: Sequence[str] = (), order: Sequence[Order] = ()
+        self, spark: SparkSession, root: str, schema: StructType, keys: Sequence[str] = (), order: Sequence[Order] = (),
+        last_commit_wins: bool = False,
     ):
         self.spark, self.root, self.schema = spark, root.rstrip("/"), schema
-        self.keys, self.order = list(keys), list(order)
+        self.keys, self.order, self.last_commit_wins = list(keys), list(order), last_commit_wins
 
     def state(self) -> tuple[int, list[str]]:
         """Committed version (0 before the first) and live folders."""
@@ -112,6 +144,11 @@ class VersionedTable:
         if not self.keys or len(folders) == 1:
             return base
         fresh = self.spark.read.schema(self.schema).parquet(*folders[1:])
+        if self.last_commit_wins:
+            # Folder names begin with their version, so their text orders as the commits did.
+            commit = F.regexp_extract(F.col("_metadata.file_path"), r"/(v[0-9]{12})-[^/]*/[^/]*$", 1)
+            newest = latest_per_key(fresh.withColumn("_commit", commit), self.keys, ["_commit"]).drop("_commit")
+            return base.join(newest.select(*self.keys), self.keys, "left_anti").select(self.schema.names).unionByName(newest)
         touched = fresh.select(*self.keys)
         contested = base.join(touched, self.keys, "left_semi").select(self.schema.names).unionByName(fresh)
         settled = base.join(touched, self.keys, "left_anti").select(self.schema.names)

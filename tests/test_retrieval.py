@@ -245,4 +245,4 @@ def test_prompt_rows(spark):
 
 def test_k_bounds(spark, fixture_vectors):
     with pytest.raises(ValueError):
-        retrieval.retrieve(None, None, 8, k=21)
+        retrieval.retrieve(None, None, 8, k=0)

@@ -141,7 +141,7 @@ def _questions(spark, sf_dir):
     return turns.groupBy("conv_id").agg(F.max_by("text", "turn").alias("question"))
 
 
-@query(f"""WITH questions AS (
+_TOP_SQL = f"""questions AS (
   SELECT conv_id AS doc_id, max_by(text, turn) AS text FROM conversations WHERE role = 'user' GROUP BY conv_id),
 {VECTORS_SQL.format(texts='documents').replace('words', 'dwords').replace('slots', 'dslots').replace('weights', 'dweights')},
 {VECTORS_SQL.format(texts='questions').replace('words', 'qwords').replace('slots', 'qslots').replace('weights', 'qweights')},
@@ -152,10 +152,14 @@ scored AS (
   FROM qweights q JOIN dweights d USING (pos) GROUP BY ALL),
 rated AS (
   SELECT query_id, item_id, round(dot / (l.len * ql.len), 9) AS similarity
-  FROM scored JOIN lengths l ON item_id = l.doc_id JOIN qlengths ql ON query_id = ql.doc_id)
-SELECT query_id, item_id, round(similarity, 6) AS similarity, CAST(rank AS INTEGER) AS rank FROM (
-  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY similarity DESC, item_id) AS rank FROM rated)
-WHERE rank <= 3""")
+  FROM scored JOIN lengths l ON item_id = l.doc_id JOIN qlengths ql ON query_id = ql.doc_id),
+top AS (
+  SELECT query_id, item_id, similarity, CAST(rank AS INTEGER) AS rank FROM (
+    SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY similarity DESC, item_id) AS rank FROM rated)
+  WHERE rank <= 3)"""
+
+
+@query(f"WITH {_TOP_SQL} SELECT query_id, item_id, round(similarity, 6) AS similarity, rank FROM top")
 def question_topk(spark, sf_dir):
     """Every conversation's last question against all documents."""
     corpus = with_embedding(
@@ -183,6 +187,37 @@ def prompt_rows(spark, sf_dir):
     return retrieval.prompt_rows(turns, contexts, SYSTEM_TEXT)
 
 
+@query(f"""WITH {_TOP_SQL},
+blocks AS (
+  SELECT query_id AS conv_id, string_agg(chr(10) || '[#' || rank || '] Text ' || doc_id || chr(10)
+    || '{retrieval.BRAND_LABEL}?{retrieval.CATEGORY_LABEL}' || lang || chr(10) || '{retrieval.PRICE_LABEL}' || format('{{:,}}', n_chars)
+    || 'đ{retrieval.RATING_LABEL}{retrieval.NO_RATING}' || chr(10) || '{retrieval.SELLER_LABEL}' || source || chr(10)
+    || '{retrieval.DETAIL_LABEL}' || documents.text, chr(10) ORDER BY rank) AS blocks
+  FROM top JOIN documents ON item_id = doc_id GROUP BY query_id),
+last AS (SELECT conv_id, max(turn) AS last_turn FROM conversations WHERE role = 'user' GROUP BY conv_id)
+SELECT conv_id, CAST(-1 AS BIGINT) AS position, 'system' AS role, '{SYSTEM_TEXT}' AS content FROM last
+UNION ALL
+SELECT conv_id, turn + 1, role, CASE WHEN turn = last_turn
+    THEN COALESCE('{retrieval.CONTEXT_HEAD}' || chr(10) || blocks, '{retrieval.CONTEXT_NONE}') || chr(10) || chr(10) || '{retrieval.QUESTION_LABEL}' || text ELSE text END
+FROM conversations JOIN last USING (conv_id) LEFT JOIN blocks USING (conv_id)
+WHERE role <> 'system' AND turn <= last_turn""")
+def rag_prompt_rows(spark, sf_dir):
+    """D18, D20, D21 in one chain: last question, hits, context of whole texts, messages."""
+    none = lambda kind: F.lit(None).cast(kind)
+    texts = s.load(spark, sf_dir, "documents").select(
+        F.col("doc_id").alias("product_id"), F.concat(F.lit("Text "), "doc_id").alias("product_name"), F.col("lang").alias("category_name"),
+        F.col("source").alias("seller_name"), none("string").alias("brand_name"), F.col("n_chars").cast("double").alias("price"),
+        none("double").alias("rating_average"), none("int").alias("review_count"), F.col("text").alias("document"),
+    )
+    index = materialise(with_embedding(texts, "document", lambda: HashingEncoder(DIM)), "text-index")
+    asked = with_embedding(_questions(spark, sf_dir), "question", lambda: HashingEncoder(DIM)).select(
+        F.col("conv_id").alias("query_id"), "embedding", none("double").alias("min_price"), none("double").alias("max_price"),
+        none("double").alias("min_rating"), none("string").alias("category_keyword"),
+    )
+    contexts = retrieval.format_context(asked, retrieval.retrieve(index, asked, DIM, 3), detail_width=None)
+    return retrieval.prompt_rows(s.load(spark, sf_dir, "conversations"), contexts.withColumnRenamed("query_id", "conv_id"), SYSTEM_TEXT)
+
+
 @query(f"""WITH {DOCUMENTS_SQL} SELECT count(*) AS documents, count(*) AS indexed, CAST(0 AS BIGINT) AS unchanged, 1 AS run FROM documents_built
 UNION ALL SELECT count(*), 0, count(*), 2 FROM documents_built""")
 def index_rerun(spark, sf_dir):

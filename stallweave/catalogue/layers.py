@@ -158,6 +158,32 @@ def fct_reviews_enriched(spark, sf_dir):
     return plain(review_facts(spark, sf_dir))
 
 
+@query("""WITH pages AS (
+  SELECT event_id, user_id, event_id // 40 AS page, '20240101_000000' AS run_id FROM events
+  UNION ALL SELECT event_id, user_id, event_id // 40, '20240201_000000' FROM events WHERE event_type = 'purchase'),
+cut AS (SELECT *, user_id < page AS broken FROM pages)
+SELECT DISTINCT 'rejected' AS outcome, user_id AS id, CAST(page AS VARCHAR) AS page, run_id FROM cut WHERE broken
+UNION ALL SELECT 'kept', event_id, CAST(any_value(page) AS VARCHAR), max(run_id) FROM cut WHERE NOT broken GROUP BY event_id""")
+def stg_reviews_rejects(spark, sf_dir):
+    """Every page is either read or set aside; some are cut off in their last review."""
+    raw = s.review_pages(spark, sf_dir)
+    short = F.col("product_id").cast("bigint") < F.col("page").cast("bigint")
+    pages = raw.withColumn("data", F.when(short, F.expr("substr(data, 1, length(data) - 9)")).otherwise(F.col("data")))
+    kept = staging.stg_reviews(pages).select(F.lit("kept").alias("outcome"), F.col("review_id").alias("id"), F.col("page").cast("string"), "run_id")
+    rejected = staging.unreadable(pages).select(F.lit("rejected").alias("outcome"), F.col("product_id").cast("bigint").alias("id"), "page", "run_id")
+    return kept.unionByName(rejected)
+
+
+@query(f"""WITH {s.STG_REVIEWS_SQL},{s.STG_PRODUCTS_SQL}
+SELECT review_id, p.product_name FROM stg_reviews r LEFT JOIN stg_products p ON r.product_id = p.product_id""")
+def fct_reviews_dirty_ids(spark, sf_dir):
+    """Raw ids ``7``, ``7.0`` and ``abc``; no review is multiplied, none is lost."""
+    listing = s.listing(spark, sf_dir)
+    dirty = listing.unionByName(listing.withColumn("id", F.concat("id", F.lit(".0")))).unionByName(listing.withColumn("id", F.lit("abc")))
+    facts = marts.fct_reviews(staged_reviews(spark, sf_dir), staging.stg_products(dirty, s.LISTING_TIES), seen_sellers(spark, sf_dir))
+    return facts.select("review_id", "product_name")
+
+
 @query(f"WITH {FCT_PRODUCTS_SQL} SELECT {as_text('category_id')} FROM fct_products")
 def fct_products_enriched(spark, sf_dir):
     """D10, J2."""

@@ -9,9 +9,9 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 from stallweave.plans import marts, staging
-from stallweave.sinks.tables import layer_path, write_model
+from stallweave.sinks.tables import layer_path, replace_folder, write_model
 
-SUMMARY = "model STRING, layer STRING, status STRING, row_count BIGINT, seconds DOUBLE, error STRING"
+SUMMARY = "model STRING, layer STRING, status STRING, row_count BIGINT, seconds DOUBLE, error STRING, rejected BIGINT"
 
 
 @dataclass(frozen=True)
@@ -22,15 +22,17 @@ class Model:
     layer: str
     inputs: Sequence[str]
     build: Callable[..., DataFrame]
+    #: Input rows that cannot become rows of the model; they are kept beside it and counted.
+    rejects: Callable[..., DataFrame] | None = None
 
 
 MODELS: tuple[Model, ...] = (
     Model("stg_products", "silver", ("products",), staging.stg_products),
     Model("stg_product_details", "silver", ("details",), staging.stg_product_details),
-    Model("stg_seller_info", "silver", ("sellers",), staging.stg_seller_info),
-    Model("stg_reviews", "silver", ("reviews",), staging.stg_reviews),
+    Model("stg_seller_info", "silver", ("sellers",), staging.stg_seller_info, staging.unreadable),
+    Model("stg_reviews", "silver", ("reviews",), staging.stg_reviews, staging.unreadable),
     Model("stg_categories", "silver", ("categories",), staging.stg_categories),
-    Model("dim_products", "marts", ("stg_product_details",), marts.dim_products),
+    Model("dim_products", "marts", ("stg_product_details",), marts.dim_products, lambda rows: marts.unkeyed(rows, "product_id")),
     Model("dim_sellers", "marts", ("stg_seller_info",), marts.dim_sellers),
     Model("dim_categories", "marts", ("stg_categories",), marts.dim_categories),
     Model("fct_reviews", "marts", ("stg_reviews", "stg_products", "stg_seller_info"), marts.fct_reviews),
@@ -66,14 +68,14 @@ def refresh(
 ) -> Refresh:
     """Build the models in their fixed order, each from the written tables of the layer before.
 
-    One failing model does not stop the others; when none passes, the refresh as a whole fails.
+    Rejected rows are replaced below ``<warehouse>/rejects/<model>``.  One failing model does not stop the others; when none passes, the refresh as a whole fails.
     """
     layers = {m.name: m.layer for m in MODELS}
     result = Refresh()
     for model in MODELS:
         if only is not None and model.name not in only:
             continue
-        started = time.monotonic()
+        started, rejected = time.monotonic(), None
         try:
             inputs = [
                 bronze[name] if name in bronze else spark.read.parquet(layer_path(warehouse, layers[name], name))
@@ -81,9 +83,12 @@ def refresh(
             ]
             path = write_model(model.build(*inputs), warehouse, model.layer, model.name)
             rows, status, error = spark.read.parquet(path).count(), "ok", None
+            if model.rejects is not None:
+                kept = replace_folder(model.rejects(*inputs), f"{warehouse.rstrip('/')}/rejects/{model.name}")
+                rejected = spark.read.parquet(kept).count()
         except Exception as err:  # noqa: BLE001 - the outcome row carries the reason
             rows, status, error = None, "failed", f"{type(err).__name__}: {err}"
-        result.outcomes.append((model.name, model.layer, status, rows, time.monotonic() - started, error))
+        result.outcomes.append((model.name, model.layer, status, rows, time.monotonic() - started, error, rejected))
     if result.outcomes and not result.passed:
         raise RuntimeError(f"no model passed: {[o[5] for o in result.outcomes]}")
     return result

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from stallweave import schemas
 from stallweave.functions.casts import text_to, tolerant
 from stallweave.functions.clock import run_id_ts, unix_ts
-from stallweave.functions.jsonx import explode_items, has_items, json_text
+from stallweave.functions.jsonx import explode_items, has_items, is_json, json_text
 from stallweave.operators.dedupe import Order, latest_per_key
 from stallweave.operators.predicates import require_key
 from stallweave.sources.parquet import read_locations
@@ -112,7 +112,10 @@ def stg_seller_info(bronze: DataFrame, tiebreak: Sequence[Order] | None = None)
 
 
 def stg_reviews(bronze: DataFrame, tiebreak: Sequence[Order] | None = None) -> DataFrame:
-    """One row per review, latest observation; elements that are not review objects fall out by key."""
+    """One row per review, latest observation; elements that are not review objects fall out by key.
+
+    Pages that are no JSON give no rows; ``unreadable`` has them.
+    """
     pages = bronze.where(has_items(F.col("data"))).select(
         _typed(bronze, "product_id", "bigint").alias("product_id"),
         _typed(bronze, "seller_id", "bigint").alias("seller_id"),
@@ -144,6 +147,11 @@ def stg_reviews(bronze: DataFrame, tiebreak: Sequence[Order] | None = None) -> D
     return latest_per_key(require_key(flat, "review_id"), ["review_id"], ["extracted_at_ts"], tiebreak)
 
 
+def unreadable(bronze: DataFrame) -> DataFrame:
+    """Raw rows whose document is cut off or no JSON at all; staging gives no rows for them."""
+    return bronze.where(F.col("data").isNotNull() & ~is_json(F.col("data")))
+
+
 def category_rows(bronze: DataFrame) -> DataFrame:
     """Typed category observations, before deduplication."""
     return require_key(bronze, "category_id").select(

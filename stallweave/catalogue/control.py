@@ -14,9 +14,10 @@ from stallweave.operators.predicates import override_ids as keep_ids
 from stallweave.operators.predicates import require_key
 from stallweave.plans import rotation, staging
 from stallweave.plans.refresh import refresh
+from stallweave.plans.refresh import refresh_incremental as incremental
 from stallweave.session import scratch_path
 from stallweave.sinks import bronze
-from stallweave.sinks.tables import VersionedTable, read_ledger, record_consumed, unconsumed
+from stallweave.sinks.tables import VersionedTable, layer_path, read_ledger, record_consumed, unconsumed
 from stallweave.sources.landed import read_state
 from stallweave.streaming.refresh import bronze_stream, read_outcomes, silver_stream
 from stallweave.streaming.ttl import suppress_repeats
@@ -176,6 +177,35 @@ def run_summary(spark, sf_dir):
     return outcome.summary(spark).select("model", "layer", "status", "row_count")
 
 
+@query(f"""WITH {s.STG_PRODUCTS_SQL},{s.STG_DETAILS_SQL},{s.STG_SELLERS_SQL},{s.STG_REVIEWS_SQL}
+SELECT 'stg_products' AS model, product_id AS id, extracted_at_ts, run_id FROM stg_products
+UNION ALL SELECT 'stg_product_details', product_id, extracted_at_ts, run_id FROM stg_details
+UNION ALL SELECT 'stg_seller_info', seller_id, extracted_at_ts, run_id FROM stg_sellers
+UNION ALL SELECT 'stg_reviews', review_id, extracted_at_ts, run_id FROM stg_reviews
+UNION ALL SELECT 'fct_products', product_id, extracted_at_ts, NULL FROM stg_products
+UNION ALL SELECT 'fct_reviews', review_id, extracted_at_ts, NULL FROM stg_reviews""")
+def refresh_incremental(spark, sf_dir):
+    """A refresh of the early runs and one of everything not consumed then equal one full build."""
+    logs = {
+        "products": s.listing(spark, sf_dir), "details": s.details(spark, sf_dir), "sellers": s.sellers(spark, sf_dir),
+        "reviews": s.review_pages(spark, sf_dir), "categories": s.category_log(spark, sf_dir),
+    }
+    warehouse, ledger = scratch_path(spark, "warehouse"), scratch_path(spark, "ledger")
+    early = {name: log.where("run_id < '20240115' AND (run_id < '1997' OR run_id > '2000')") for name, log in logs.items()}
+    for landed in (early, logs):
+        incremental(spark, landed, warehouse, ledger)
+    ids = {"stg_products": "product_id", "stg_product_details": "product_id", "stg_seller_info": "seller_id", "stg_reviews": "review_id",
+           "fct_products": "product_id", "fct_reviews": "review_id"}
+    out = None
+    for model, key in ids.items():
+        layer = "silver" if model.startswith("stg") else "marts"
+        rows = spark.read.parquet(layer_path(warehouse, layer, model))
+        run = F.col("run_id") if "run_id" in rows.columns else F.lit(None).cast("string")
+        part = rows.select(F.lit(model).alias("model"), F.col(key).alias("id"), "extracted_at_ts", run.alias("run_id"))
+        out = part if out is None else out.unionByName(part)
+    return plain(out)
+
+
 def _landed_listing(spark, sf_dir):
     """Listing log landed as several files, in the order the rows have."""
     path = scratch_path(spark, "landed")

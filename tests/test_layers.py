@@ -205,3 +205,40 @@ def test_small_aggregates(spark):
     rows = ranking.profile({"t": df}).collect()
     assert [(r["column_name"], r["type"], r["row_count"], r["column_count"]) for r in rows] == [("k", "string", 3, 2), ("v", "int", 3, 2)]
     assert json.loads(ranking.sample_rows({"t": df.limit(1)}).first()["sample"]) == {"k": "a", "v": 1}
+
+
+def test_failed_overwrite_leaves_the_former_mart(spark, tmp_path):
+    from stallweave.sinks import tables
+
+    path = tables.write_model(spark.range(5), str(tmp_path), "marts", "m")
+    broken = spark.range(3).withColumn("x", F.raise_error(F.lit("no")).cast("int"))
+    with pytest.raises(Exception, match="no"):
+        tables.write_model(broken, str(tmp_path), "marts", "m")
+    assert spark.read.parquet(path).count() == 5
+    assert tables.write_model(spark.read.parquet(path).where("id > 2"), str(tmp_path), "marts", "m") == path
+    assert spark.read.parquet(path).count() == 2
+
+
+def test_incremental_refresh_equals_full_build(spark, tmp_path):
+    from stallweave.catalogue import shapes as s
+    from stallweave.plans import refresh as r
+    from stallweave.sinks.tables import layer_path
+
+    sf = "/root/testdata/sf0.001"
+    logs = {"products": s.listing(spark, sf), "details": s.details(spark, sf), "sellers": s.sellers(spark, sf),
+            "reviews": s.review_pages(spark, sf), "categories": s.category_log(spark, sf)}
+    full, steps, ledger = str(tmp_path / "full"), str(tmp_path / "steps"), str(tmp_path / "ledger")
+    assert r.refresh(spark, logs, full).passed == len(r.MODELS)
+    for landed in ({k: v.where("run_id < '1997' OR run_id LIKE '202401%'") for k, v in logs.items()}, logs, logs):
+        assert r.refresh_incremental(spark, landed, steps, ledger).passed == len(r.MODELS)
+    for model in r.MODELS:
+        a, b = (spark.read.parquet(layer_path(w, model.layer, model.name)) for w in (full, steps))
+        assert a.count() == b.count() and a.exceptAll(b).count() == 0, model.name
+
+
+def test_texts_that_look_absent_are_values(spark):
+    from stallweave.operators.tree import flatten_tree
+
+    payload = '{"data": [{"id": "0", "name": "false", "children": [{"id": 0, "code": "c", "text": "", "name": "kid", "items": "none"}]}, {"id": null, "key": "k", "title": "t", "children": []}]}'
+    rows = flatten_tree(spark.createDataFrame([(payload,)], "payload string")).collect()
+    assert sorted((r["menu_id"], r["category_name"], r["parent_menu_id"], r["level"]) for r in rows) == [("0", "false", None, 1), ("c", "kid", "0", 2), ("k", "t", None, 1)]

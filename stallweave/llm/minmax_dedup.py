@@ -7,8 +7,9 @@ between two sets with their Jaccard similarity, so ``bands * rows`` values need
 Equal sets are one class with its smallest doc_id as representative; only representatives go on.  Buckets of up to
 ``SMALL`` members compare all of them.  A larger one makes no list of its pairs:
 
-1. A set can have no more in common with another than its shingles that any other set of the large buckets has.  With the
-   sizes of both this is an exact bound; it takes out at once all edited copies too far from every other.
+1. Shingles that few documents of large buckets have are joined directly.  Two documents that share none of these can have
+   no more in common than their other shingles.  With the sizes of both this is an exact bound; it takes out at once
+   the edited copies that are too far from every other.
 2. Twice a few members, the same ones in all buckets, are compared with the others.  That unites nearly all of a group of
    copies, and members of one component need no further comparison.
 3. What is not in a bucket's largest component is compared with all its members.
@@ -31,6 +32,8 @@ from stallweave.llm.tables import drop_path, per_worker, sliced, stored
 
 #: Members of a bucket that are all compared with each other.
 SMALL = 32
+#: A shingle of at most so many documents of large buckets is rare.
+RARE = 16
 #: Members of a larger bucket that are compared with the others, turn by turn; at last all outside its main component.
 CENTRES = (8, 64, None)
 
@@ -93,31 +96,47 @@ def confirmed(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> D
     return with_both.select("a", "b", "text_a", "text_b").mapInArrow(sliced(work, 4 << 20), f"a {kind}, b {kind}").distinct()
 
 
-def lone_shingles(texts: DataFrame, width: int) -> DataFrame:
-    """(doc, lone): how many shingles of each text (doc, text) no other one has; texts without any are left out."""
+def crowd_shingles(texts: DataFrame, width: int) -> DataFrame:
+    """(shingle, doc) of all texts (doc, text)."""
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         sets = shingle_sets(batch.column("text").to_pylist(), width)
         owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
-        return pa.RecordBatch.from_arrays([batch.column("doc").take(pa.array(owner, pa.int64())), pa.array(np.concatenate([np.empty(0, np.uint64), *sets]).view(np.int64))], ["doc", "shingle"])
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.empty(0, np.uint64), *sets]).view(np.int64)), batch.column("doc").take(pa.array(owner, pa.int64()))], ["shingle", "doc"])
 
     kind = texts.schema["doc"].dataType.simpleString()
-    rows = texts.mapInArrow(sliced(work, 2 << 20), f"doc {kind}, shingle long")
-    holders = rows.groupBy("shingle").agg(F.min("doc").alias("doc"), F.max("doc").alias("other"))
-    return holders.where("doc = other").groupBy("doc").agg(F.count("*").alias("lone"))
+    return texts.mapInArrow(sliced(work, 2 << 20), f"shingle long, doc {kind}")
 
 
-def crowds_of(buckets: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
-    """(key, doc, n, can, m) of the large buckets; ``can`` bounds what a set can have in common with another.
+def crowds_of(buckets: DataFrame, texts: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataFrame, list[str]]:
+    """(key, doc, n, can, m) of the large buckets, and (a, b) of their documents that share a rare shingle.
 
-    Members go whose bound rules out every partner: ``common >= percent / 100 * all`` needs
-    ``common * (100 + percent) >= percent * (n + partner's n)``.
+    A shingle that at most ``RARE`` of these documents have is rare.  Two documents that share no rare one have at most
+    ``can`` shingles in common, the smaller of their numbers of others; ``common >= percent / 100 * all`` needs
+    ``common * (100 + percent) >= percent * (n + n of the other)``.  Members whose bound rules out every such partner go.
+    Those that do share rare ones are pairs of their own, at most ``RARE`` to a document and shingle.
     """
     large = buckets.where(F.col("m") > SMALL)
-    lone = lone_shingles(texts.join(large.select("doc").distinct(), "doc", "left_semi"), width)
-    able = large.join(lone, "doc", "left").withColumn("can", F.col("n") - F.coalesce("lone", F.lit(0))).where(F.col("can") * 100 >= F.col("n") * percent)
+    sizes = large.groupBy("doc").agg(F.first("n").alias("n"))
+    shingles, path = stored(crowd_shingles(texts.join(sizes, "doc", "left_semi"), width), "crowd-shingles")
+    rare = shingles.groupBy("shingle").agg(F.count("*").alias("holders")).where(F.col("holders") <= RARE)
+    held, held_path = stored(shingles.join(rare.select("shingle"), "shingle", "left_semi"), "rare-shingles")
+    rare_of = held.groupBy("doc").agg(F.count("*").alias("rare"))
+    able = large.join(rare_of, "doc", "left").withColumn("can", F.col("n") - F.coalesce("rare", F.lit(0))).where(F.col("can") * 100 >= F.col("n") * percent)
     least = able.groupBy("key").agg(F.min("n").alias("least_n"))
-    return able.join(least, "key").where(F.col("can") * (100 + percent) >= (F.col("n") + F.col("least_n")) * percent).select("key", "doc", "n", "can", "m")
+    crowds = able.join(least, "key").where(F.col("can") * (100 + percent) >= (F.col("n") + F.col("least_n")) * percent).select("key", "doc", "n", "can", "m")
+    sharing = held.groupBy("shingle").agg(F.sort_array(F.collect_list("doc")).alias("docs")).where(F.size("docs") > 1)
+    pairs = (
+        sharing.select(F.posexplode("docs").alias("i", "a"), "docs")
+        .select("a", F.explode(F.expr("slice(docs, i + 2, size(docs))")).alias("b"))
+        .groupBy("a", "b").agg(F.count("*").alias("shared"))
+        .join(sizes.join(rare_of, "doc", "left").select(F.col("doc").alias("a"), F.col("n").alias("a_n"), (F.col("n") - F.coalesce("rare", F.lit(0))).alias("a_can")), "a")
+        .join(sizes.join(rare_of, "doc", "left").select(F.col("doc").alias("b"), F.col("n").alias("b_n"), (F.col("n") - F.coalesce("rare", F.lit(0))).alias("b_can")), "b")
+        .where((F.col("shared") + F.least("a_can", "b_can")) * (100 + percent) >= (F.col("a_n") + F.col("b_n")) * percent)
+        .where(F.least("a_n", "b_n") * 100 >= F.greatest("a_n", "b_n") * percent)
+        .select("a", "b")
+    )
+    return crowds, pairs, [path, held_path]
 
 
 def crowd_pairs(crowds: DataFrame, chosen: Column, percent: int) -> DataFrame:
@@ -130,6 +149,16 @@ def crowd_pairs(crowds: DataFrame, chosen: Column, percent: int) -> DataFrame:
     return marked.join(centres, "key").where((F.col("component") != F.col("c_component")) & able & near & once).select(F.col("c").alias("a"), F.col("doc").alias("b")).distinct()
 
 
+def joined_labels(label: DataFrame, links: DataFrame) -> DataFrame:
+    """(node, component) after new links (a, b), one step far: each node takes the smallest name among its own and its neighbours'.
+
+    Nodes of one name are surely connected; connected ones may still have different names, and are then compared.
+    """
+    both = links.union(links.select("b", "a"))
+    named = both.join(label.select(F.col("node").alias("b"), "component"), "b", "left").select(F.col("a").alias("node"), F.coalesce("component", "b").alias("component"))
+    return label.unionByName(named).unionByName(both.select(F.col("a").alias("node"), F.col("a").alias("component"))).groupBy("node").agg(F.min("component").alias("component"))
+
+
 def small_pairs(buckets: DataFrame, percent: int) -> DataFrame:
     """(a, b): all members of each bucket of at most ``SMALL`` whose sizes allow a link."""
     small = buckets.where(F.col("m") <= SMALL)
@@ -160,9 +189,10 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: i
     shared = keys.groupBy("key").agg(F.count("*").alias("m")).where("m > 1")
     buckets, buckets_path = stored(keys.join(shared, "key"), "buckets")
     texts, texts_path = stored(docs.join(buckets.select(F.col("doc").alias("doc_id")).distinct(), "doc_id", "left_semi").select(F.col("doc_id").alias("doc"), "text").distinct(), "bucket-texts")
-    crowds, crowds_path = stored(crowds_of(buckets, texts, width, percent), "crowds")
-    used = [buckets_path, texts_path, crowds_path]
-    pairs = small_pairs(buckets, percent)
+    crowds, sharing, used = crowds_of(buckets, texts, width, percent)
+    crowds, crowds_path = stored(crowds, "crowds")
+    used += [buckets_path, texts_path, crowds_path]
+    pairs = small_pairs(buckets, percent).unionByName(sharing)
     links, label, link_paths = None, None, []
     for turn, centres in enumerate(CENTRES):
         if label is None:
@@ -182,7 +212,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: i
         found, found_path = stored(confirmed(pairs.unionByName(more).distinct() if label is None else more, texts, width, percent), "links")
         link_paths.append(found_path)
         links = spark.read.schema(found.schema).parquet(*link_paths)
-        label, label_path = stored(components(links), "labels")
+        label, label_path = stored(components(links) if label is None or centres is None else joined_labels(label, found), "labels")
         used += [members_path, label_path]
         if crowds.isEmpty():
             break

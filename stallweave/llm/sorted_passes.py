@@ -18,6 +18,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,16 +38,22 @@ def _matrix(column: pa.Array) -> np.ndarray:
 
 def _by_length(column: pa.Array) -> Iterator[np.ndarray]:
     """Row numbers of the lists of each length."""
-    sizes = np.asarray(column.value_lengths() if hasattr(column, "value_lengths") else pa.compute.list_value_length(column))
+    sizes = np.asarray(pc.list_value_length(column))
     for size in np.unique(sizes):
         yield np.flatnonzero(sizes == size)
 
 
-def unit_vectors(vectors: DataFrame) -> DataFrame:
-    """vec_id, digest, v (unit length, double) of every vector that can link; the digest names equal vectors."""
+def _unit(column: pa.Array) -> np.ndarray:
+    """Rows of unit length, in double precision."""
+    x = _matrix(column)
+    return x / np.linalg.norm(x, axis=1)[:, None]
+
+
+def good_vectors(vectors: DataFrame) -> DataFrame:
+    """vec_id, digest, v (the components as given) of every vector that can link; the digest names equal vectors."""
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        keep, digests, units = [], [], []
+        keep, digests = [], []
         for i, row in enumerate(batch.column("embedding")):
             values = row.values
             if values is None or not len(values) or values.null_count:
@@ -55,13 +63,12 @@ def unit_vectors(vectors: DataFrame) -> DataFrame:
                 continue
             keep.append(i)
             digests.append(hashlib.blake2b((x + 0.0).tobytes(), digest_size=16).digest())
-            units.append(x / size)
-        ids = batch.column("vec_id").take(pa.array(keep, pa.int64()))
-        return pa.RecordBatch.from_arrays([ids, pa.array(digests, pa.binary()), pa.array(units, pa.list_(pa.float64()))], ["vec_id", "digest", "v"])
+        kept = batch.take(pa.array(keep, pa.int64()))
+        return pa.RecordBatch.from_arrays([kept.column("vec_id"), pa.array(digests, pa.binary()), kept.column("embedding")], ["vec_id", "digest", "v"])
 
     kind = vectors.schema["vec_id"].dataType.simpleString()
     rows = vectors.select("vec_id", "embedding").where("vec_id IS NOT NULL AND embedding IS NOT NULL")
-    return rows.mapInArrow(lambda batches: map(work, batches), f"vec_id {kind}, digest binary, v array<double>")
+    return rows.mapInArrow(lambda batches: map(work, batches), f"vec_id {kind}, digest binary, v {rows.schema['embedding'].dataType.simpleString()}")
 
 
 def pass_count(n: int, window: int, limit: float, miss: float) -> int:
@@ -80,7 +87,7 @@ def ordered(units: DataFrame, passes: int, seed: int) -> DataFrame:
         for batch in batches:
             for rows in _by_length(batch.column("v")):
                 some = batch.take(pa.array(rows))
-                x = _matrix(some.column("v"))
+                x = _unit(some.column("v"))
                 for turn in range(passes):
                     at = (turn, x.shape[1])
                     if at not in planes:
@@ -89,53 +96,89 @@ def ordered(units: DataFrame, passes: int, seed: int) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([pa.array(np.full(len(rows), turn, np.int32)), pa.array(key), some.column("id"), some.column("v")], ["turn", "key", "id", "v"])
 
     kind = units.schema["id"].dataType.simpleString()
-    return units.select("id", "v").mapInArrow(work, f"turn int, key long, id {kind}, v array<double>")
+    return units.select("id", "v").mapInArrow(work, f"turn int, key long, id {kind}, v {units.schema['v'].dataType.simpleString()}")
+
+
+def block_links(turn: np.ndarray, ids: pa.Array, vectors: pa.Array, window: int, limit: float, own: int) -> tuple[pa.Array, pa.Array]:
+    """Links of the first ``own`` rows, in order, with the ``window`` rows after each; thinned to what keeps their components together."""
+    ends_a, ends_b, place = [], [], np.arange(len(ids))
+    for rows in _by_length(vectors):
+        x = _unit(vectors.take(pa.array(rows)))
+        linked = x @ x.T >= limit
+        ahead = place[rows][None, :] - place[rows][:, None]
+        linked &= (ahead > 0) & (ahead <= window) & (place[rows][:, None] < own) & (turn[rows][:, None] == turn[rows][None, :])
+        linked |= linked.T
+        active = np.flatnonzero(linked.any(axis=1))
+        linked = linked[np.ix_(active, active)]
+        label = np.arange(len(active))
+        while len(active):
+            lower = np.minimum(label, np.where(linked, label[None, :], len(active)).min(axis=1))
+            if (lower == label).all():
+                break
+            label = lower
+        moved = np.flatnonzero(label != np.arange(len(active)))
+        ends_a.append(rows[active[moved]])
+        ends_b.append(rows[active[label[moved]]])
+    take = lambda parts: ids.take(pa.array(np.concatenate([np.empty(0, np.int64), *parts]).astype(np.int64)))
+    return take(ends_a), take(ends_b)
 
 
 def neighbour_links(units: DataFrame, passes: int, window: int, limit: float, seed: int, block: int = 256) -> DataFrame:
-    """(a, b): links found between neighbours of any pass, thinned to those that keep a block's components together."""
+    """(a, b): links found between neighbours of any pass.
+
+    Vectors move once for each pass, to their place in its order; a task then walks through its sorted rows with a window.
+    The first and last ``window`` rows of every task are written beside the links, and meet those of the next task.
+    """
+    spark, kind, vector = units.sparkSession, units.schema["id"].dataType.simpleString(), units.schema["v"].dataType.simpleString()
     rows = ordered(units, passes, seed).repartitionByRange("turn", "key", "id").sortWithinPartitions("turn", "key", "id")
-    numbered = F.monotonically_increasing_id()
-    rows, path = stored(rows.withColumn("part", F.shiftright(numbered, 33)).withColumn("place", numbered.bitwiseAND(F.lit((1 << 33) - 1))), "passes")
-    # One number for each sorted partition: where it begins in the whole order.
-    begins, total = [], 0
-    for row in sorted(rows.groupBy("part").agg(F.count("*").alias("n")).collect(), key=lambda r: r["part"]):
-        begins.append((row["part"], total))
-        total += row["n"]
-    offsets = units.sparkSession.createDataFrame(begins, "part long, begin long")
-    placed = rows.join(F.broadcast(offsets), "part").withColumn("place", F.col("place") + F.col("begin"))
-    own = F.floor(F.col("place") / block)
-    blocks = F.when((F.col("place") % block < window) & (own > 0), F.array(own, own - 1)).otherwise(F.array(own))
-    spread = placed.select("turn", "place", "id", "v", F.explode(blocks).alias("block"))
-
-    def compare(group: pa.Table) -> pa.Table:
-        group = group.sort_by("place")
-        ids, turn, place = group.column("id").combine_chunks(), np.asarray(group.column("turn")), np.asarray(group.column("place"))
-        ends_a, ends_b = [], []
-        for rows in _by_length(group.column("v").combine_chunks()):
-            x = _matrix(group.column("v").take(pa.array(rows)))
-            linked = x @ x.T >= limit
-            linked &= np.abs(place[rows][:, None] - place[rows][None, :]) <= window
-            linked &= turn[rows][:, None] == turn[rows][None, :]
-            np.fill_diagonal(linked, False)
-            active = np.flatnonzero(linked.any(axis=1))
-            linked = linked[np.ix_(active, active)]
-            label = np.arange(len(active))
-            while len(active):
-                lower = np.minimum(label, np.where(linked, label[None, :], len(active)).min(axis=1))
-                if (lower == label).all():
-                    break
-                label = lower
-            moved = np.flatnonzero(label != np.arange(len(active)))
-            ends_a.append(rows[active[moved]])
-            ends_b.append(rows[active[label[moved]]])
-        take = lambda parts: ids.take(pa.array(np.concatenate([np.empty(0, np.int64), *parts]).astype(np.int64)))
-        return pa.table({"a": take(ends_a), "b": take(ends_b)})
 
-    kind = units.schema["id"].dataType.simpleString()
-    links, _ = stored(spread.groupBy("block").applyInArrow(compare, f"a {kind}, b {kind}").distinct(), "neighbour-links")
-    drop_path(units.sparkSession, path)
-    return links
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, seen, kept, tail = TaskContext.get().partitionId(), 0, None, None
+
+        def links(table: pa.Table, own: int) -> pa.RecordBatch:
+            turn, ids, v = np.asarray(table["turn"]), table["id"].combine_chunks(), table["v"].combine_chunks()
+            a, b = block_links(turn, ids, v, window, limit, own)
+            n = len(a)
+            blank = lambda t: pa.nulls(n, t)
+            return pa.RecordBatch.from_arrays([a, b, blank(pa.int64()), blank(pa.int64()), blank(pa.bool_()), blank(pa.int32()), blank(v.type)], names)
+
+        def edge(table: pa.Table, at: int, last: bool) -> pa.RecordBatch:
+            n, ids = table.num_rows, table["id"].combine_chunks()
+            return pa.RecordBatch.from_arrays(
+                [ids, ids, pa.array(np.full(n, part)), pa.array(np.arange(at, at + n)), pa.array(np.full(n, last)), table["turn"].combine_chunks(), table["v"].combine_chunks()], names
+            )
+
+        for batch in batches:
+            table = pa.Table.from_batches([batch]).select(["turn", "id", "v"])
+            if seen < window and table.num_rows:
+                yield edge(table.slice(0, window - seen), seen, False)
+            seen += table.num_rows
+            tail = table.slice(max(0, table.num_rows - window)) if tail is None or table.num_rows >= window else pa.concat_tables([tail, table]).slice(max(0, tail.num_rows + table.num_rows - window))
+            kept = table if kept is None else pa.concat_tables([kept, table])
+            while kept.num_rows >= block + window:
+                yield links(kept.slice(0, block + window), block)
+                kept = kept.slice(block)
+        if kept is not None:
+            for start in range(0, kept.num_rows, block):
+                yield links(kept.slice(start, block + window), block)
+            yield edge(tail, seen - tail.num_rows, True)
+
+    names = ["a", "b", "part", "place", "last", "turn", "v"]
+    walked, path = stored(rows.mapInArrow(walk, f"a {kind}, b {kind}, part long, place long, last boolean, turn int, v {vector}"), "walked")
+    # One number for each task that had rows.
+    parts = sorted(r["part"] for r in walked.where("part IS NOT NULL").select("part").distinct().collect())
+    seams = spark.createDataFrame([(p, p, True) for p in parts] + [(q, p, False) for p, q in zip(parts, parts[1:])], "part long, seam long, last boolean")
+
+    def meet(group: pa.Table) -> pa.Table:
+        group = group.sort_by([("part", "ascending"), ("place", "ascending")])
+        own = int(np.count_nonzero(np.asarray(group["last"])))
+        a, b = block_links(np.asarray(group["turn"]), group["a"].combine_chunks(), group["v"].combine_chunks(), window, limit, own)
+        return pa.table({"a": a, "b": b})
+
+    across = walked.join(F.broadcast(seams), ["part", "last"]).groupBy("seam").applyInArrow(meet, f"a {kind}, b {kind}")
+    found, _ = stored(walked.where("part IS NULL").select("a", "b").unionByName(across).distinct(), "neighbour-links")
+    drop_path(spark, path)
+    return found
 
 
 def counted_links(members: DataFrame, limit: float, rest_block: int = 1024, block: int = 4096) -> DataFrame:
@@ -149,9 +192,9 @@ def counted_links(members: DataFrame, limit: float, rest_block: int = 1024, bloc
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict = {}
         for batch in batches:
-            vectors = batch.column("v").to_pylist()
-            for component, v in zip(batch.column("component").to_pylist(), vectors):
-                x = np.asarray(v)
+            for component, v in zip(batch.column("component").to_pylist(), batch.column("v").to_pylist()):
+                x = np.asarray(v, np.float64)
+                x = x / np.linalg.norm(x)
                 held[component] = held[component] + x if component in held else x
         yield pa.RecordBatch.from_arrays([pa.array(list(held), members_type), pa.array(list(held.values()), pa.list_(pa.float64()))], ["component", "v"])
 
@@ -166,10 +209,10 @@ def counted_links(members: DataFrame, limit: float, rest_block: int = 1024, bloc
     centres, centres_path = stored(centres, "component-means")
 
     def near(batch: pa.RecordBatch) -> pa.RecordBatch:
-        inside = [bool(np.dot(v, c) >= close) for v, c in zip(batch.column("v").to_pylist(), batch.column("centre").to_pylist())]
+        inside = [bool(np.dot(v, c) >= close * np.linalg.norm(v)) for v, c in zip(batch.column("v").to_pylist(), batch.column("centre").to_pylist())]
         return pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("component", "id", "copies", "v")), pa.array(inside, pa.bool_())], ["component", "id", "copies", "v", "inside"])
 
-    marked = members.select("component", "id", "copies", "v").join(centres, "component").mapInArrow(lambda b: map(near, b), f"component {kind}, id {kind}, copies long, v array<double>, inside boolean")
+    marked = members.select("component", "id", "copies", "v").join(centres, "component").mapInArrow(lambda b: map(near, b), f"component {kind}, id {kind}, copies long, v {members.schema['v'].dataType.simpleString()}, inside boolean")
     marked, marked_path = stored(marked, "ball-members")
     sizes = marked.groupBy("component").agg(
         F.sum(F.when(F.col("inside"), F.col("copies")).otherwise(0)).alias("ball"), F.count("*").alias("n"), F.sum((~F.col("inside")).cast("long")).alias("rest")
@@ -186,7 +229,7 @@ def counted_links(members: DataFrame, limit: float, rest_block: int = 1024, bloc
         asks, inside = np.asarray(group.column("asks")), np.asarray(group.column("inside"))
         ids = group.column("id").combine_chunks()
         names, copies = np.asarray(ids), np.asarray(group.column("copies"))
-        x = _matrix(group.column("v"))
+        x = _unit(group.column("v"))
         a, b = np.flatnonzero(asks), np.flatnonzero(~asks)
         linked = (x[a] @ x[b].T >= limit) & (names[a][:, None] != names[b][None, :])
         # Vectors outside the ball ask themselves; those inside are told.
@@ -210,7 +253,7 @@ def near_vectors(vectors: DataFrame, limit: float = 0.9, window: int = 64, miss:
     vec_id take no part: no component, no links, kept.  An empty table gives an empty result.
     """
     spark = vectors.sparkSession
-    units, units_path = stored(unit_vectors(vectors), "unit-vectors")
+    units, units_path = stored(good_vectors(vectors), "good-vectors")
     classes, _ = stored(units.groupBy("digest").agg(F.min("vec_id").alias("id"), F.count("*").alias("copies")), "vector-classes")
     single = units.join(classes.select(F.col("digest").alias("d"), "id", "copies"), (F.col("digest") == F.col("d")) & (F.col("vec_id") == F.col("id")))
     single, single_path = stored(single.select("id", "copies", "v").dropDuplicates(["id"]), "single-vectors")

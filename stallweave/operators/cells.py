@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stallweave.functions.vectors import l2_normalise
-from stallweave.operators.search import HITS, Best, best_of, narrowed, query_set
+from stallweave.operators.search import HITS, Best, best_of, narrowed, query_columns, query_set
 
 #: Rows of a cell that one task group scores; larger cells are split.
 CELL_ROWS = 8192
@@ -62,11 +62,12 @@ def search_cells(
     queries meet every part.
     """
     corpus = narrowed(celled)
-    probed = probe(queries.select(F.col("query_id").cast("bigint").alias("query_id"), "embedding"), centres, probes)
-    asked = probed.select("query_id", "embedding", F.explode("cells").alias("cell"))
+    names = query_columns(queries)
+    probed = probe(queries.withColumn("query_id", F.col("query_id").cast("bigint")), centres, probes)
+    asked = probed.select(*names, F.explode("cells").alias("cell"))
     parts = celled.groupBy("cell").agg(F.ceil(F.count("*") / cell_rows).alias("parts"))
     rows = corpus.join(parts, "cell").withColumn("part", F.pmod(F.xxhash64("item_id"), F.col("parts")))
-    sent = asked.join(parts, "cell").select("query_id", "embedding", "cell", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)).alias("part"))
+    sent = asked.join(parts, "cell").select(*names, "cell", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)).alias("part"))
 
     def score(some: pa.Table, cell: pa.Table) -> pa.Table:
         best = Best(query_set(some, dim), dim, k)

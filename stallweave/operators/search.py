@@ -148,7 +148,7 @@ class Best:
         return pa.table({"query_id": pa.array(ids, pa.int64()), "item_id": pa.array(self.item, pa.int64()), "similarity": pa.array(self.score)})
 
 
-def _query_columns(queries: DataFrame) -> list[str]:
+def query_columns(queries: DataFrame) -> list[str]:
     return [c for c in ("query_id", "embedding", *_FILTERS) if c in queries.columns]
 
 
@@ -177,7 +177,7 @@ def nearest(corpus: DataFrame, queries: DataFrame, dim: int, k: int = 5, chunk_b
     chunk.  A vector that has not ``dim`` components is an error, NULL has no similarity.
     """
     spark, corpus = corpus.sparkSession, narrowed(corpus)
-    queries = queries.select(F.col("query_id").cast("bigint").alias("query_id"), *[c for c in _query_columns(queries) if c != "query_id"])
+    queries = queries.select(F.col("query_id").cast("bigint").alias("query_id"), *[c for c in query_columns(queries) if c != "query_id"])
     queries = materialise(queries, "queries")
     chunks = max(1, -(-queries.count() * dim * 8 // chunk_bytes))
     hits = None

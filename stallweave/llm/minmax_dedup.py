@@ -122,7 +122,8 @@ def crowds_of(buckets: DataFrame, texts: DataFrame, width: int, percent: int) ->
     rare = shingles.groupBy("shingle").agg(F.count("*").alias("holders")).where(F.col("holders") <= RARE)
     held, held_path = stored(shingles.join(rare.select("shingle"), "shingle", "left_semi"), "rare-shingles")
     rare_of = held.groupBy("doc").agg(F.count("*").alias("rare"))
-    able = large.join(rare_of, "doc", "left").withColumn("can", F.col("n") - F.coalesce("rare", F.lit(0))).where(F.col("can") * 100 >= F.col("n") * percent)
+    bounds, bounds_path = stored(sizes.join(rare_of, "doc", "left").withColumn("can", F.col("n") - F.coalesce("rare", F.lit(0))).select("doc", "n", "can"), "crowd-bounds")
+    able = large.drop("n").join(bounds.where(F.col("can") * 100 >= F.col("n") * percent), "doc")
     least = able.groupBy("key").agg(F.min("n").alias("least_n"))
     crowds = able.join(least, "key").where(F.col("can") * (100 + percent) >= (F.col("n") + F.col("least_n")) * percent).select("key", "doc", "n", "can", "m")
     sharing = held.groupBy("shingle").agg(F.sort_array(F.collect_list("doc")).alias("docs")).where(F.size("docs") > 1)
@@ -130,13 +131,13 @@ def crowds_of(buckets: DataFrame, texts: DataFrame, width: int, percent: int) ->
         sharing.select(F.posexplode("docs").alias("i", "a"), "docs")
         .select("a", F.explode(F.expr("slice(docs, i + 2, size(docs))")).alias("b"))
         .groupBy("a", "b").agg(F.count("*").alias("shared"))
-        .join(sizes.join(rare_of, "doc", "left").select(F.col("doc").alias("a"), F.col("n").alias("a_n"), (F.col("n") - F.coalesce("rare", F.lit(0))).alias("a_can")), "a")
-        .join(sizes.join(rare_of, "doc", "left").select(F.col("doc").alias("b"), F.col("n").alias("b_n"), (F.col("n") - F.coalesce("rare", F.lit(0))).alias("b_can")), "b")
+        .join(bounds.select(F.col("doc").alias("a"), F.col("n").alias("a_n"), F.col("can").alias("a_can")), "a")
+        .join(bounds.select(F.col("doc").alias("b"), F.col("n").alias("b_n"), F.col("can").alias("b_can")), "b")
         .where((F.col("shared") + F.least("a_can", "b_can")) * (100 + percent) >= (F.col("a_n") + F.col("b_n")) * percent)
         .where(F.least("a_n", "b_n") * 100 >= F.greatest("a_n", "b_n") * percent)
         .select("a", "b")
     )
-    return crowds, pairs, [path, held_path]
+    return crowds, pairs, [path, held_path, bounds_path]
 
 
 def crowd_pairs(crowds: DataFrame, chosen: Column, percent: int) -> DataFrame:
@@ -198,7 +199,9 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: i
         if label is None:
             members = crowds.withColumn("component", F.col("doc"))
         else:
-            members = crowds.join(label.withColumnRenamed("node", "doc"), "doc", "left").withColumn("component", F.coalesce("component", "doc"))
+            # Names meet each document once, and then its rows in the buckets.
+            own = crowds.select("doc").distinct().join(label.withColumnRenamed("node", "doc"), "doc", "left").withColumn("component", F.coalesce("component", "doc"))
+            members = crowds.join(own, "doc")
             open_keys = members.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("key")
             members = members.join(open_keys, "key", "left_semi")
         if centres is not None:

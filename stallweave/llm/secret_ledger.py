@@ -122,7 +122,8 @@ def scan_unseen(versions: DataFrame, ledger: str, rules: tuple[Rule, ...] = RULE
         one = F.col("text").rlike(rule.pattern)
         any_rule = one if any_rule is None else any_rule | one
     suspects_path = f"{ledger}/suspects/{run}"
-    texts.where(any_rule).write.parquet(suspects_path)
+    # A repeated row of the smallest path would be summed twice.
+    texts.where(any_rule).dropDuplicates(["blob"]).write.parquet(suspects_path)
     suspects = spark.read.schema(texts.schema).parquet(suspects_path)
     found = None
     for rule in rules:

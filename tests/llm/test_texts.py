@@ -89,6 +89,15 @@ def test_secrets_match_plain_version(spark, documents):
         assert row["blob"] == hashlib.sha256((texts[0] or "").encode()).hexdigest()
 
 
+def test_repeated_smallest_paths_are_scanned_once(spark, documents):
+    rows = [(0, SECRETS[0]), (0, SECRETS[0]), (7, SECRETS[0]), (None, SECRETS[1]), (None, SECRETS[1]), (3, SECRETS[3]), (3, SECRETS[3]), (3, SECRETS[3])]
+    texts = {hashlib.sha256(t.encode()).hexdigest(): t for _, t in rows}
+    got = secret_ledger.scan_secrets(documents(rows)).collect()
+    assert len(got) == len(rows) and {r["blob"] for r in got} == set(texts)
+    for row in got:
+        assert [tuple(s) for s in row["spans"]] == plain_spans(texts[row["blob"]])
+
+
 def test_ledger_scans_each_pair_once(spark, documents, tmp_path):
     ledger, first, later = str(tmp_path / "ledger"), documents(list(enumerate(SECRETS))), documents([(50, SECRETS[0]), (51, "new token: abcdefghijkl")])
     secret_ledger.scan_unseen(first.withColumnRenamed("doc_id", "path"), ledger)

@@ -2,8 +2,8 @@
 
 Texts become sequences of canonical words: numbers, units after numbers and names turn into typed placeholders, other words
 are lower-cased.  Windows of ``width`` canonical words of every benchmark item are hash-joined with those of every document.
-A document holds an item if it covers enough of the item's windows, or a long stretch of them in order, and if the
-placeholders agree: wherever the item repeats a value, the document must repeat the value it has put there.
+A document holds an item if one place in it covers enough of the item's windows, or a long stretch of them in order, and if
+the placeholders agree there: wherever the item repeats a value, the document must repeat the value it has put there.
 
 Documents send only windows that a bit table of the items' windows may contain; its size is fixed, whatever the
 benchmark, and the join that follows is exact in any case.
@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stallweave.llm.shingles import _BYTE, _STEP, chained, mixed
@@ -146,37 +146,63 @@ def bit_table(windows: DataFrame, size: int) -> np.ndarray:
     return table.astype("<i8").view(np.uint8)
 
 
+def _holds(had: str, longest: str, width: int, cover: float, stretch: int) -> Column:
+    return (F.col(had) / F.col("size") >= cover) | (F.col(longest) + width - 1 >= stretch)
+
+
+def _occurrences(width: int) -> Column:
+    """Where an item may stand to which a pair of windows (shift, run, half) belongs: array of (kind, number).
+
+    The windows of one shift (0); those of shifts within an item's length, in bands that overlap by half (1), which follow
+    insertions and deletions and take no two copies; all lines of ``width`` windows and more (2), for items in pieces.
+    """
+    band = F.floor(F.col("shift") / F.col("half"))
+    make = lambda kind, number: F.struct(F.lit(kind).alias("kind"), number.cast("long").alias("number"))
+    return F.array(make(0, F.col("shift")), make(1, band), make(1, band - 1), F.when(F.col("run") >= width, make(2, F.lit(0))))
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame, width: int = 5, plain: int = 2, cover: float = 0.8, stretch: int = 13, agree: float = 0.8, bits: int = 22) -> DataFrame:
     """doc_id, item_id, coverage, stretch, agreement of every document (doc_id, text) that holds an item (item_id, text).
 
-    ``coverage``: share of the item's windows that the document has; ``stretch``: most words in the item's order without
-    shift; ``agreement``: share of slots whose value is the usual one for the item's value.  A pair counts with
-    ``coverage >= cover`` or ``stretch >= stretch``, and ``agreement >= agree``.  Items of fewer than ``width`` words, or with
+    All three are those of one occurrence, the best that counts.  ``coverage``: share of the item's windows that stand there;
+    ``stretch``: most words in the item's order without shift; ``agreement``: share of slots whose value is the usual one for
+    the item's value.  A pair counts if an occurrence has ``coverage >= cover`` or ``stretch >= stretch``, and
+    ``agreement >= agree``; other copies of the item and stray windows elsewhere do not count against it.  Items of fewer than ``width`` words, or with
     fewer than ``plain`` ordinary words in every window, are not searched.  Null texts and keys match nothing; repeated rows
     of a document or an item count once; empty tables give an empty result; other columns are ignored.
     """
     items, items_path = stored(template_windows(benchmark, "item_id", width, plain).dropDuplicates(["item_id", "place", "hash"]), "item-windows")
-    sizes = items.groupBy("item_id").agg(F.countDistinct("hash").alias("size"))
+    sizes = items.groupBy("item_id").agg(F.countDistinct("hash").alias("size"), F.greatest(F.lit(1), F.floor((F.max("place") + width) / 2)).alias("half"))
     hits, hits_path = stored(template_windows(docs, "doc_id", width, plain, bit_table(items, bits)).dropDuplicates(["doc_id", "place", "hash"]), "leak-hits")
     found = hits.join(items.select("item_id", "hash", F.col("place").alias("at"), F.col("slots").alias("wanted")), "hash")
-    pairs, pairs_path = stored(found.select("doc_id", "item_id", "place", "at", "hash", "slots", "wanted"), "leak-pairs")
-    lines = pairs.groupBy("doc_id", "item_id", (F.col("place") - F.col("at")).alias("shift")).agg(F.countDistinct("at").alias("run"))
-    runs = lines.groupBy("doc_id", "item_id").agg((F.max("run") + width - 1).alias("stretch"))
-    covers = pairs.groupBy("doc_id", "item_id").agg(F.countDistinct("hash").alias("had")).join(sizes, "item_id").withColumn("coverage", F.col("had") / F.col("size"))
-    held = covers.join(runs, ["doc_id", "item_id"]).where((F.col("coverage") >= cover) | (F.col("stretch") >= stretch)).select("doc_id", "item_id", "coverage", "stretch")
+    pairs, pairs_path = stored(found.select("doc_id", "item_id", "place", "at", (F.col("place") - F.col("at")).alias("shift"), "hash", "slots", "wanted"), "leak-pairs")
+    line = ["doc_id", "item_id", "shift"]
+    lines, lines_path = stored(pairs.groupBy(*line).agg(F.countDistinct("at").alias("run")), "leak-lines")
+    # A whole document covers no less of an item than any of its occurrences, so this rules out most pairs at once.
+    covers = pairs.groupBy("doc_id", "item_id").agg(F.countDistinct("hash").alias("had"))
+    longest = lines.groupBy("doc_id", "item_id").agg(F.max("run").alias("longest"))
+    likely = covers.join(longest, ["doc_id", "item_id"]).join(sizes, "item_id").where(_holds("had", "longest", width, cover, stretch)).select("doc_id", "item_id", "size", "half")
+    placed = pairs.join(lines.join(likely, ["doc_id", "item_id"]), line).withColumn("occurrence", F.explode(_occurrences(width)))
+    placed, placed_path = stored(placed.where("occurrence IS NOT NULL"), "leak-occurrences")
+    place = ["doc_id", "item_id", "occurrence"]
+    held = placed.groupBy(*place).agg(F.countDistinct("hash").alias("had"), F.max("run").alias("longest"), F.first("size").alias("size")).where(_holds("had", "longest", width, cover, stretch))
+    held = held.select(*place, (F.col("had") / F.col("size")).alias("coverage"), (F.col("longest") + width - 1).alias("stretch"))
     slots = (
-        pairs.select("doc_id", "item_id", F.explode(F.arrays_zip("wanted", "slots")).alias("slot"))
+        placed.join(held.select(*place), place, "left_semi")
+        .select(*place, F.explode(F.arrays_zip("wanted", "slots")).alias("slot"))
         .where("slot.wanted IS NOT NULL")
-        .groupBy("doc_id", "item_id", F.lower("slot.wanted").alias("wanted"), F.lower("slot.slots").alias("got"))
+        .groupBy(*place, F.lower("slot.wanted").alias("wanted"), F.lower("slot.slots").alias("got"))
         .agg(F.count("*").alias("n"))
-        .groupBy("doc_id", "item_id", "wanted")
+        .groupBy(*place, "wanted")
         .agg(F.max("n").alias("usual"), F.sum("n").alias("n"))
-        .groupBy("doc_id", "item_id")
+        .groupBy(*place)
         .agg((F.sum("usual") / F.sum("n")).alias("agreement"))
     )
-    out = held.join(slots, ["doc_id", "item_id"], "left").withColumn("agreement", F.coalesce("agreement", F.lit(1.0))).where(F.col("agreement") >= agree)
+    out = held.join(slots, place, "left").withColumn("agreement", F.coalesce("agreement", F.lit(1.0))).where(F.col("agreement") >= agree)
+    best = F.max(F.struct("coverage", "stretch", "agreement")).alias("best")
+    out = out.groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", "best.*")
     result, _ = stored(out.select("doc_id", "item_id", "coverage", "stretch", "agreement"), "leaks")
-    for path in (items_path, hits_path, pairs_path):
+    for path in (items_path, hits_path, pairs_path, lines_path, placed_path):
         drop_path(docs.sparkSession, path)
     return result
 

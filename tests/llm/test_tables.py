@@ -261,6 +261,25 @@ def test_leaks_find_every_verbatim_item(spark):
     assert {(r["doc_id"], r["item_id"]) for r in template_leaks.leaks(docs, bench).collect()} == wanted and wanted
 
 
+VARIANT = ITEM.replace("Anna", "Berta").replace("12", "1,900").replace("kg", "pounds").replace("Peter", "Otto").replace(" 5 ", " 77 ")
+
+
+def test_leaks_are_judged_by_occurrence(spark, documents):
+    """Other copies and stray windows with other values take nothing from a place that holds the item."""
+    rng = random.Random(3)
+    # Windows of the item with other values, three at a time and in no order.
+    words = ITEM.split()
+    names = lambda: "".join(rng.choice("abcdefgh") for _ in range(6)).capitalize()
+    stray = [" ".join(str(rng.randint(10, 999)) if w.isdigit() else names() if w in ("Anna", "Peter") else w for w in words[k : k + 7]) for k in rng.choices(range(1, len(words) - 7), k=900)]
+    loose = [f"{s} so {i} it went" for i, s in enumerate(stray)]
+    rows = [
+        (1, f"{ITEM}\n{VARIANT}"), (2, f"{VARIANT} and so on. {ITEM}"), (3, " ".join([*loose[:450], ITEM, *loose[450:]])), (4, " ".join(loose)),
+        (5, f"{VARIANT.replace('red', 'big red')} and so on. {ITEM.replace('red', 'big red')}"),
+    ]
+    got = {(r["doc_id"], r["item_id"]) for r in template_leaks.leaks(documents(rows), spark.createDataFrame([(1, ITEM)], "item_id long, text string")).collect()}
+    assert got == {(d, 1) for d in (1, 2, 3, 5)}
+
+
 # Pipeline.
 
 

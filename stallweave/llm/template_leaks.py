@@ -2,6 +2,8 @@
 
 Texts become sequences of canonical words: numbers, units after numbers and names turn into typed placeholders, other words
 are lower-cased.  Windows of ``width`` canonical words of every benchmark item are hash-joined with those of every document.
+What is a name depends on case and punctuation, so windows of case-folded words, with numbers and units as the only
+placeholders, are joined as well and judged by themselves; they find copies in other case or without punctuation.
 A document holds an item if one place in it covers enough of the item's windows, or a long stretch of them in order, and if
 the placeholders agree there: wherever the item repeats a value, the document must repeat the value it has put there.
 
@@ -26,6 +28,8 @@ UNITS = (
     "days week weeks month months year years usd eur gbp dollar dollars euro euros cent cents percent degree degrees mph kmh kph hz khz mhz ghz kb mb gb tb w kw v a"
 ).split()
 NUMBER, UNIT, NAME = (np.uint64(k) for k in (11, 12, 13))
+#: Keeps the windows of case-folded words apart from the others.
+FOLDED = np.uint64(0x9E3779B97F4A7C15)
 
 
 def _class(points: str | list[int]) -> np.ndarray:
@@ -109,29 +113,36 @@ class Words:
         return chained(self.code, width)[good], owner[good], good
 
 
-WINDOWS = "place long, hash long, slots array<string>"
+WINDOWS = "folded boolean, place long, hash long, slots array<string>"
 
 
 def template_windows(rows: DataFrame, key: str, width: int, plain: int, bits: np.ndarray | None = None) -> DataFrame:
-    """(key, place, hash, slots) of the windows of ``rows`` (key, text); with ``bits`` only those it may contain.
+    """(key, folded, place, hash, slots) of the windows of ``rows`` (key, text); with ``bits`` only those it may contain.
 
+    Every text gives the windows of its words as they are and, ``folded``, those of its case-folded words, which hold no names.
     ``slots`` has an entry for each word of the window: its text where a placeholder stands, else null.
     """
     shared = rows.sparkSession.sparkContext.broadcast(bits) if bits is not None else None
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        words = Words(batch.column(1).to_pylist())
-        h, owner, first = words.windows(width, plain)
-        if shared is not None:
-            table = shared.value
-            spot = (h & np.uint64(8 * len(table) - 1)).astype(np.int64)
-            hit = (table[spot >> 3] >> (spot & 7).astype(np.uint8)) & 1 != 0
-            h, owner, first = h[hit], owner[hit], first[hit]
-        slots = [[words.value(i) if words.slot[i] else None for i in range(f, f + width)] for f in first]
-        return pa.RecordBatch.from_arrays(
-            [batch.column(0).take(pa.array(owner, pa.int64())), pa.array(first - words.begins[owner]), pa.array(h.view(np.int64)), pa.array(slots, pa.list_(pa.string()))],
-            [key, "place", "hash", "slots"],
-        )
+        texts = batch.column(1).to_pylist()
+        parts = []
+        for folded in (False, True):
+            words = Words([t.casefold() if t else t for t in texts] if folded else texts)
+            h, owner, first = words.windows(width, plain)
+            if folded:
+                h = h ^ FOLDED
+            if shared is not None:
+                table = shared.value
+                spot = (h & np.uint64(8 * len(table) - 1)).astype(np.int64)
+                hit = (table[spot >> 3] >> (spot & 7).astype(np.uint8)) & 1 != 0
+                h, owner, first = h[hit], owner[hit], first[hit]
+            slots = [[words.value(i) if words.slot[i] else None for i in range(f, f + width)] for f in first]
+            parts.append(pa.RecordBatch.from_arrays(
+                [batch.column(0).take(pa.array(owner, pa.int64())), pa.array(np.full(len(h), folded)), pa.array(first - words.begins[owner]), pa.array(h.view(np.int64)), pa.array(slots, pa.list_(pa.string()))],
+                [key, "folded", "place", "hash", "slots"],
+            ))
+        return pa.concat_batches(parts)
 
     kind = rows.schema[key].dataType.simpleString()
     return rows.select(key, "text").where(F.col(key).isNotNull() & F.col("text").isNotNull()).mapInArrow(sliced(work, 2 << 20), f"{key} {kind}, {WINDOWS}")
@@ -171,20 +182,21 @@ def leaks(docs: DataFrame, benchmark: DataFrame, width: int = 5, plain: int = 2,
     fewer than ``plain`` ordinary words in every window, are not searched.  Null texts and keys match nothing; repeated rows
     of a document or an item count once; empty tables give an empty result; other columns are ignored.
     """
-    items, items_path = stored(template_windows(benchmark, "item_id", width, plain).dropDuplicates(["item_id", "place", "hash"]), "item-windows")
-    sizes = items.groupBy("item_id").agg(F.countDistinct("hash").alias("size"), F.greatest(F.lit(1), F.floor((F.max("place") + width) / 2)).alias("half"))
-    hits, hits_path = stored(template_windows(docs, "doc_id", width, plain, bit_table(items, bits)).dropDuplicates(["doc_id", "place", "hash"]), "leak-hits")
-    found = hits.join(items.select("item_id", "hash", F.col("place").alias("at"), F.col("slots").alias("wanted")), "hash")
-    pairs, pairs_path = stored(found.select("doc_id", "item_id", "place", "at", (F.col("place") - F.col("at")).alias("shift"), "hash", "slots", "wanted"), "leak-pairs")
-    line = ["doc_id", "item_id", "shift"]
+    items, items_path = stored(template_windows(benchmark, "item_id", width, plain).dropDuplicates(["item_id", "folded", "place", "hash"]), "item-windows")
+    sizes = items.groupBy("item_id", "folded").agg(F.countDistinct("hash").alias("size"), F.greatest(F.lit(1), F.floor((F.max("place") + width) / 2)).alias("half"))
+    hits, hits_path = stored(template_windows(docs, "doc_id", width, plain, bit_table(items, bits)).dropDuplicates(["doc_id", "folded", "place", "hash"]), "leak-hits")
+    pair = ["doc_id", "item_id", "folded"]
+    found = hits.join(items.select("item_id", "folded", "hash", F.col("place").alias("at"), F.col("slots").alias("wanted")), ["folded", "hash"])
+    pairs, pairs_path = stored(found.select(*pair, "place", "at", (F.col("place") - F.col("at")).alias("shift"), "hash", "slots", "wanted"), "leak-pairs")
+    line = [*pair, "shift"]
     lines, lines_path = stored(pairs.groupBy(*line).agg(F.countDistinct("at").alias("run")), "leak-lines")
     # A whole document covers no less of an item than any of its occurrences, so this rules out most pairs at once.
-    covers = pairs.groupBy("doc_id", "item_id").agg(F.countDistinct("hash").alias("had"))
-    longest = lines.groupBy("doc_id", "item_id").agg(F.max("run").alias("longest"))
-    likely = covers.join(longest, ["doc_id", "item_id"]).join(sizes, "item_id").where(_holds("had", "longest", width, cover, stretch)).select("doc_id", "item_id", "size", "half")
-    placed = pairs.join(lines.join(likely, ["doc_id", "item_id"]), line).withColumn("occurrence", F.explode(_occurrences(width)))
+    covers = pairs.groupBy(*pair).agg(F.countDistinct("hash").alias("had"))
+    longest = lines.groupBy(*pair).agg(F.max("run").alias("longest"))
+    likely = covers.join(longest, pair).join(sizes, ["item_id", "folded"]).where(_holds("had", "longest", width, cover, stretch)).select(*pair, "size", "half")
+    placed = pairs.join(lines.join(likely, pair), line).withColumn("occurrence", F.explode(_occurrences(width)))
     placed, placed_path = stored(placed.where("occurrence IS NOT NULL"), "leak-occurrences")
-    place = ["doc_id", "item_id", "occurrence"]
+    place = [*pair, "occurrence"]
     held = placed.groupBy(*place).agg(F.countDistinct("hash").alias("had"), F.max("run").alias("longest"), F.first("size").alias("size")).where(_holds("had", "longest", width, cover, stretch))
     held = held.select(*place, (F.col("had") / F.col("size")).alias("coverage"), (F.col("longest") + width - 1).alias("stretch"))
     slots = (

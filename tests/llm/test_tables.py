@@ -280,6 +280,20 @@ def test_leaks_are_judged_by_occurrence(spark, documents):
     assert got == {(d, 1) for d in (1, 2, 3, 5)}
 
 
+GERMAN = "Gestern kaufte Łukasz in Köln auf der Großen Straße zwölf Äpfel und Öl für Übung, danach fuhr Zoë mit Đorđe nach Žilina zurück"
+
+
+def test_leaks_in_other_case_and_without_punctuation(spark, documents):
+    names = "Then Anna met Peter and Paul Smith near Berlin. Later Otto Brown saw Mary in Rome; Kim Lee and Tom Ford went to Oslo with Ann"
+    items, rows = [(1, ITEM), (2, GERMAN), (3, names)], []
+    for i, text in items:
+        bare = "".join(c for c in text if c.isalnum() or c == " ")
+        rows += [(10 * i + k, copy) for k, copy in enumerate([text.upper(), text.lower(), f"so. {bare}", bare.title(), text.replace(" ", "\n")])]
+    rows += [(100, ITEM.lower().replace("apples", "pears").replace("market", "shop").replace("bought", "got").replace("noon", "one").replace("them", "all")), (101, "so it was all " * 30)]
+    got = {(r["doc_id"], r["item_id"]) for r in template_leaks.leaks(documents(rows), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert got == {(10 * i + k, i) for i, _ in items for k in range(5)}
+
+
 # Pipeline.
 
 

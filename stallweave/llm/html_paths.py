@@ -3,7 +3,8 @@
 A page is read as blocks of text inside containers.  A container's path is the chain of tag and class names from the root, with
 digits generalised, so that the pages of one template share it.  Each page scores its containers by the running text
 they hold; a host's pages vote with these scores, and every page is then extracted from the container its host
-prefers among those it has.
+prefers among those it has.  The score finds where the running text is densest; an article in several containers is wider, so
+what is extracted is the article around it: the element or named container that holds it, or the one that holds the heading.
 """
 
 from __future__ import annotations
@@ -41,6 +42,10 @@ CLOSERS = frozenset("p li dd dt tr option".split())
 HEADS = frozenset("header head".split())
 ARTICLE = frozenset("article main".split())
 
+#: Class and id words of an article's container, unless they stand with words that mark a list of them.
+NAMED = frozenset("article post entry story hentry".split())
+LISTS = frozenset("list lists grid feed archive posts articles entries stories recent latest teaser teasers page wrap wrapper container layout site".split())
+
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>", re.S)
 _ATTRIBUTE = re.compile(r"""(?<![\w-])(class|id|role|hidden|style|aria-hidden)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
@@ -49,7 +54,10 @@ _DIGITS = re.compile(r"\d+")
 
 @dataclass
 class Node:
-    """An open or closed container; ``off`` tells that it is not article text, ``own`` and ``score`` hold its text's weight."""
+    """An open or closed container; ``off`` tells that it is not article text, ``own`` and ``score`` hold its text's weight.
+
+    ``named`` tells that its names are an article's, ``headed`` that a first-level heading stands in it.
+    """
 
     tag: str
     path: str
@@ -59,6 +67,8 @@ class Node:
     own: float = 0.0
     score: float = 0.0
     blocks: list[int] = field(default_factory=list)
+    named: bool = False
+    headed: bool = False
 
 
 def _marks(attributes: str) -> tuple[str, set[str], bool]:
@@ -79,7 +89,7 @@ def parse(page: str) -> tuple[list[Node], list[tuple[str, Node, float]]]:
     """Containers in page order and blocks (text, container, share of its text in links) outside of boilerplate."""
     root = Node("", "", False, False, None)
     nodes, blocks = [root], []
-    top, pieces, linked, link = root, [], 0, False
+    top, pieces, linked, link, heading = root, [], 0, False, False
     at, end = 0, len(page)
 
     def flush() -> None:
@@ -89,6 +99,10 @@ def parse(page: str) -> tuple[list[Node], list[tuple[str, Node, float]]]:
             if text and not top.off:
                 top.blocks.append(len(blocks))
                 blocks.append((text, top, min(1.0, linked / len(text))))
+                # A heading that is a link names the site.
+                node = top if heading and 2 * linked < len(text) else None
+                while node is not None:
+                    node.headed, node = True, node.parent
         pieces, linked = [], 0
 
     while at < end:
@@ -119,6 +133,7 @@ def parse(page: str) -> tuple[list[Node], list[tuple[str, Node, float]]]:
             continue
         if tag in BLOCKS:
             flush()
+            heading = tag == "h1" and not closing
             if not closing and (top.tag == "p" or (top.tag == tag and tag in CLOSERS)):
                 top = top.parent
         if tag in CONTAINERS or tag in ASIDE or tag in MUTE or (not closing and match.group(3)):
@@ -139,7 +154,7 @@ def parse(page: str) -> tuple[list[Node], list[tuple[str, Node, float]]]:
                 if tag in CONTAINERS or off:
                     flush()
                     step = tag + ("." + _DIGITS.sub("0", name) if name else "")
-                    top = Node(tag, top.path if tag == "body" else f"{top.path}/{step}", off, top.within or tag in ARTICLE, top)
+                    top = Node(tag, top.path if tag == "body" else f"{top.path}/{step}", off, top.within or tag in ARTICLE, top, named=bool(words & NAMED) and not words & LISTS)
                     nodes.append(top)
         elif closing:
             node = top
@@ -176,8 +191,24 @@ def votes(page: str | None) -> dict[str, float]:
     return shares
 
 
+def whole(node: Node) -> Node:
+    """The container of the whole article that ``node`` has text of: the nearest article element above it; else, if no heading
+    is in it, the nearest container with an article's name, and if none is in that either, the nearest one with a heading."""
+    above, up = [], node.parent
+    while up is not None and up.tag not in ("body", ""):
+        above.append(up)
+        up = up.parent
+    for up in above if node.tag != "article" else ():
+        if up.tag == "article":
+            return up
+    if node.tag == "article" or node.headed:
+        return node
+    node = next((up for up in above if up.named), node)
+    return node if node.headed else next((up for up in above if up.headed), node)
+
+
 def extract(page: str | None, ranking: list[str]) -> str:
-    """Text of the containers at the first path of ``ranking`` that the page has with text, else at its own best path."""
+    """Text of the articles around the containers at the first path of ``ranking`` that the page has with text, else at its own best path."""
     if not page:
         return ""
     nodes, blocks = scored(page)
@@ -188,9 +219,11 @@ def extract(page: str | None, ranking: list[str]) -> str:
     if path is None:
         path = max(nodes, key=lambda n: n.score).path
 
+    chosen = {id(whole(n)) for n in nodes if n.path == path and n.score > 0}
+
     def inside(node: Node | None) -> bool:
         while node is not None:
-            if node.path == path:
+            if id(node) in chosen:
                 return True
             node = node.parent
         return False

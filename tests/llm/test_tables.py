@@ -191,6 +191,20 @@ def test_pages(spark):
     assert html_paths.main_text(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+SPLIT = (
+    '<body><div class="wrap">{open}<h1>Title</h1><div class="intro"><p>intro {text}</div><div class="body"><p>body {text} {text}<p>more {text} {text}</div>'
+    '<section class="s"><p>section {text}</section><table><tr><td>cell {text}</td></tr></table><blockquote>quote {text}</blockquote>{close}<div class="teaser">another story</div></div></body>'
+)
+
+
+@pytest.mark.parametrize("opened,closed", [("<article>", "</article>"), ('<div class="post">', "</div>"), ('<div class="c1">', "</div>")])
+def test_articles_in_several_containers_are_whole(spark, opened, closed):
+    page = SPLIT.format(open=opened, close=closed, text=LONG)
+    wanted = "\n\n".join(["Title", f"intro {LONG}", f"body {LONG} {LONG}", f"more {LONG} {LONG}", f"section {LONG}", f"cell {LONG}", f"quote {LONG}"])
+    got = html_paths.main_text(spark.createDataFrame([(i, f"http://h/{i}", page) for i in range(3)], "page_id long, url string, html string")).collect()
+    assert [r["text"] for r in got] == [wanted] * 3
+
+
 # URLs.
 
 

@@ -2,8 +2,10 @@
 
 A pass orders the vectors by the signs of random projections, read as one long binary word, and compares every vector with
 its next ``window`` neighbours in that order; fresh projections order every pass anew.  The confirmed links of all passes
-are united to components.  The number of passes follows the number of vectors, so that a pair at the limit is met by
-one of them with the probability asked for.
+are united to components.  The number of passes follows the number of vectors, so that in an even table a pair at the limit
+is met by one of them with the probability asked for.  Whether it is so is measured in the orders: the bits that a vector
+has to share with another to lie within its window tell how likely each pass meets a pair at the limit.  Vectors for
+which all passes together do not reach the probability, as in a hot cone, are compared with each other in full, by blocks.
 
 Equal vectors are one class with a count.  Links are counted inside components, without writing pairs: vectors within half
 the limiting angle of the component's mean direction are all linked with each other, so for these a count is enough; only
@@ -123,8 +125,65 @@ def block_links(turn: np.ndarray, ids: pa.Array, vectors: pa.Array, window: int,
     return take(ends_a), take(ends_b)
 
 
-def neighbour_links(units: DataFrame, passes: int, window: int, limit: float, seed: int, block: int = 256) -> DataFrame:
-    """(a, b): links found between neighbours of any pass.
+def missed(turn: np.ndarray, key: np.ndarray, window: int, limit: float, begin: int, end: int) -> np.ndarray:
+    """Logarithm of the probability that the pass misses a pair at the limit, for the rows from ``begin`` to ``end``.
+
+    Rows that share more bits with a row than those ``window`` places away lie nearer.  A side that ends with the rows given
+    tells nothing; without either, the pass counts for nothing.
+    """
+    at, depth, known = np.arange(begin, end), np.zeros(end - begin, np.int64), np.zeros(end - begin, bool)
+    for other in (at + window, at - window):
+        there = (other >= 0) & (other < len(key))
+        near = other[there]
+        unlike = np.bitwise_xor(key[at[there]], key[near])
+        # Rounding moves an exponent only where 53 bits in a row differ.
+        shared = BITS - np.frexp(unlike.astype(np.float64))[1]
+        depth[there] = np.maximum(depth[there], np.where(turn[at[there]] == turn[near], shared + 1, 0))
+        known |= there
+    return np.where(known, np.log1p(-np.minimum((1 - math.acos(limit) / math.pi) ** depth, 1 - 1e-9)), 0.0)
+
+
+def full_links(units: DataFrame, limit: float, block: int = 8192, chunk: int = 1024) -> DataFrame:
+    """(a, b): links among all of ``units`` (id, v), each with each, thinned to what keeps their components together."""
+    kind = units.schema["id"].dataType.simpleString()
+    blocks = max(1, math.ceil(units.count() / block))
+    placed = units.select("id", "v", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int").alias("own"))
+    left = placed.select("own", F.explode(F.sequence("own", F.lit(blocks - 1))).alias("other"), "id", "v", F.lit(True).alias("asks"))
+    right = placed.select(F.explode(F.sequence(F.lit(0), "own")).alias("own"), F.col("own").alias("other"), "id", "v", F.lit(False).alias("asks"))
+
+    def meet(group: pa.Table) -> pa.Table:
+        ids, v, asks = group["id"].combine_chunks(), group["v"].combine_chunks(), np.asarray(group["asks"])
+        ends_a, ends_b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        for rows in _by_length(v):
+            x = _unit(v.take(pa.array(rows)))
+            told = np.flatnonzero(~asks[rows])
+            mine = np.flatnonzero(asks[rows])
+            for start in range(0, len(mine), chunk):
+                some = mine[start : start + chunk]
+                linked = x[some] @ x[told].T >= limit
+                a, b = np.flatnonzero(linked.any(axis=1)), np.flatnonzero(linked.any(axis=0))
+                if not len(a):
+                    continue
+                linked = linked[np.ix_(a, b)]
+                a, b = rows[some[a]], rows[told[b]]
+                # Labels number the asking rows; each told row takes the least of those it is linked with.
+                label = np.arange(len(a))
+                while True:
+                    down = np.where(linked, label[:, None], len(a)).min(axis=0)
+                    lower = np.minimum(label, np.where(linked, down[None, :], len(a)).min(axis=1))
+                    if (lower == label).all():
+                        break
+                    label = lower
+                ends_a += [a, b]
+                ends_b += [a[label], a[down]]
+        one, two = ids.take(pa.array(np.concatenate(ends_a))), ids.take(pa.array(np.concatenate(ends_b)))
+        return pa.table({"a": one, "b": two}).filter(pc.not_equal(one, two))
+
+    return left.unionByName(right).groupBy("own", "other").applyInArrow(meet, f"a {kind}, b {kind}").distinct()
+
+
+def neighbour_links(units: DataFrame, passes: int, window: int, limit: float, seed: int, miss: float, block: int = 256) -> DataFrame:
+    """(a, b): links found between neighbours of any pass, and those among all vectors whose pairs these may miss by more than ``miss``.
 
     Vectors move once for each pass, to their place in its order; a task then walks through its sorted rows with a window.
     The first and last ``window`` rows of every task are written beside the links, and meet those of the next task.
@@ -134,22 +193,34 @@ def neighbour_links(units: DataFrame, passes: int, window: int, limit: float, se
 
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, seen, kept, tail = TaskContext.get().partitionId(), 0, None, None
+        past = np.empty((2, 0), np.int64)
 
         def links(table: pa.Table, own: int) -> pa.RecordBatch:
             turn, ids, v = np.asarray(table["turn"]), table["id"].combine_chunks(), table["v"].combine_chunks()
             a, b = block_links(turn, ids, v, window, limit, own)
             n = len(a)
             blank = lambda t: pa.nulls(n, t)
-            return pa.RecordBatch.from_arrays([a, b, blank(pa.int64()), blank(pa.int64()), blank(pa.bool_()), blank(pa.int32()), blank(v.type)], names)
+            return pa.RecordBatch.from_arrays([a, b, blank(pa.int64()), blank(pa.int64()), blank(pa.bool_()), blank(pa.int32()), blank(v.type), blank(pa.float64())], names)
+
+        def measure(table: pa.Table, own: int) -> pa.RecordBatch:
+            nonlocal past
+            order = np.concatenate([past, np.stack([np.asarray(table["turn"], np.int64), np.asarray(table["key"])])], axis=1)
+            begin = past.shape[1]
+            n = min(own, table.num_rows)
+            past = order[:, max(0, begin + n - window) : begin + n]
+            blank = lambda t: pa.nulls(n, t)
+            log = missed(order[0], order[1], window, limit, begin, begin + n)
+            ids = table["id"].combine_chunks().slice(0, n)
+            return pa.RecordBatch.from_arrays([ids, blank(ids.type), blank(pa.int64()), blank(pa.int64()), blank(pa.bool_()), blank(pa.int32()), blank(table["v"].type), pa.array(log)], names)
 
         def edge(table: pa.Table, at: int, last: bool) -> pa.RecordBatch:
             n, ids = table.num_rows, table["id"].combine_chunks()
             return pa.RecordBatch.from_arrays(
-                [ids, ids, pa.array(np.full(n, part)), pa.array(np.arange(at, at + n)), pa.array(np.full(n, last)), table["turn"].combine_chunks(), table["v"].combine_chunks()], names
+                [ids, ids, pa.array(np.full(n, part)), pa.array(np.arange(at, at + n)), pa.array(np.full(n, last)), table["turn"].combine_chunks(), table["v"].combine_chunks(), pa.nulls(n, pa.float64())], names
             )
 
         for batch in batches:
-            table = pa.Table.from_batches([batch]).select(["turn", "id", "v"])
+            table = pa.Table.from_batches([batch]).select(["turn", "key", "id", "v"])
             if seen < window and table.num_rows:
                 yield edge(table.slice(0, window - seen), seen, False)
             seen += table.num_rows
@@ -157,14 +228,16 @@ def neighbour_links(units: DataFrame, passes: int, window: int, limit: float, se
             kept = table if kept is None else pa.concat_tables([kept, table])
             while kept.num_rows >= block + window:
                 yield links(kept.slice(0, block + window), block)
+                yield measure(kept.slice(0, block + window), block)
                 kept = kept.slice(block)
         if kept is not None:
             for start in range(0, kept.num_rows, block):
                 yield links(kept.slice(start, block + window), block)
+                yield measure(kept.slice(start, block + window), block)
             yield edge(tail, seen - tail.num_rows, True)
 
-    names = ["a", "b", "part", "place", "last", "turn", "v"]
-    walked, path = stored(rows.mapInArrow(walk, f"a {kind}, b {kind}, part long, place long, last boolean, turn int, v {vector}"), "walked")
+    names = ["a", "b", "part", "place", "last", "turn", "v", "log"]
+    walked, path = stored(rows.mapInArrow(walk, f"a {kind}, b {kind}, part long, place long, last boolean, turn int, v {vector}, log double"), "walked")
     # One number for each task that had rows.
     parts = sorted(r["part"] for r in walked.where("part IS NOT NULL").select("part").distinct().collect())
     seams = spark.createDataFrame([(p, p, True) for p in parts] + [(q, p, False) for p, q in zip(parts, parts[1:])], "part long, seam long, last boolean")
@@ -176,8 +249,12 @@ def neighbour_links(units: DataFrame, passes: int, window: int, limit: float, se
         return pa.table({"a": a, "b": b})
 
     across = walked.join(F.broadcast(seams), ["part", "last"]).groupBy("seam").applyInArrow(meet, f"a {kind}, b {kind}")
-    found, _ = stored(walked.where("part IS NULL").select("a", "b").unionByName(across).distinct(), "neighbour-links")
-    drop_path(spark, path)
+    hot = walked.where("log IS NOT NULL").groupBy(F.col("a").alias("id")).agg(F.sum("log").alias("log")).where(F.col("log") > math.log(miss)).select("id")
+    hot, hot_path = stored(units.select("id", "v").join(hot, "id"), "hot-vectors")
+    met = walked.where("part IS NULL AND log IS NULL").select("a", "b")
+    found, _ = stored(met.unionByName(across).unionByName(full_links(hot, limit)).distinct(), "neighbour-links")
+    for used in (path, hot_path):
+        drop_path(spark, used)
     return found
 
 
@@ -258,7 +335,8 @@ def near_vectors(vectors: DataFrame, limit: float = 0.9, window: int = 64, miss:
     single = units.join(classes.select(F.col("digest").alias("d"), "id", "copies"), (F.col("digest") == F.col("d")) & (F.col("vec_id") == F.col("id")))
     single, single_path = stored(single.select("id", "copies", "v").dropDuplicates(["id"]), "single-vectors")
     n = single.count()
-    links = neighbour_links(single, pass_count(n, window, limit, miss), window, limit, seed)
+    # With some passes to spare, so that an even table has no vectors left to compare in full.
+    links = neighbour_links(single, pass_count(n, window, limit, miss / 10), window, limit, seed, miss)
     labels, labels_path = stored(components(links), "vector-components")
     members = single.join(labels, single["id"] == labels["node"]).select("component", "id", "copies", "v")
     counts = counted_links(members, limit)

@@ -165,6 +165,26 @@ def test_equal_vectors_are_counted(spark):
     assert {r["n_links"] for r in got} == {2000} and {r["component_id"] for r in got} == {0}
 
 
+def test_hot_cone_loses_no_links(spark):
+    """A third of all vectors alike but not linked, with pairs just above the limit among them."""
+    rng = np.random.default_rng(11)
+    n, dim, hot, pairs = 4500, 64, 1500, 300
+    unit = lambda x: x / np.linalg.norm(x, axis=-1, keepdims=True)
+    x = unit(rng.standard_normal((n, dim)))
+    axis = unit(rng.standard_normal(dim))
+    x[:hot] = unit(math.sqrt(0.77) * axis + math.sqrt(0.23) * x[:hot])
+    aside = rng.standard_normal((pairs, dim))
+    aside = unit(aside - (aside * x[:pairs]).sum(axis=1)[:, None] * x[:pairs])
+    x[pairs : 2 * pairs] = 0.905 * x[:pairs] + math.sqrt(1 - 0.905**2) * aside
+    linked = x @ x.T >= 0.9
+    groups = Groups(range(n))
+    for a, b in np.argwhere(linked):
+        groups.join(int(a), int(b))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in sorted_passes.near_vectors(df, window=4).collect()}
+    assert got == {i: (int(linked[i].sum()) - 1, groups.find(i)) for i in range(n)}
+
+
 # Pages.
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stallweave.llm import bpe_tree, host_words, html_paths, language_filters, line_runs, minmax_dedup, secret_ledger, sorted_passes, template_leaks, toxic_lexicon
+from stallweave.llm import bpe_tree, host_words, html_paths, language_filters, line_runs, minmax_dedup, secret_ledger, sorted_passes, template_leaks, token_links, toxic_lexicon, whitening
 from stallweave.llm.tables import read
 
 
@@ -62,11 +62,20 @@ def op10_language_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return named.select("doc_id", "held_out", "lang_pred", F.col("lang_score").alias("score"))
 
 
+def op11_token_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_links.score_links(read(spark, sf_dir, "documents"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(read(spark, sf_dir, "embeddings"), components=32)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_template_leaks, op2_html_paths, op3_minmax_dedup, op4_host_words, op5_bpe_tree,
         op6_toxic_lexicon, op7_secret_ledger, op8_line_runs, op9_sorted_passes, op10_language_filters,
+        op11_token_links, op13_whitening,
     )
 }
 

@@ -267,7 +267,7 @@ def alignments(docs: DataFrame, a_path: str, b_path: str, chunk_bytes: int) -> D
     return docs.select("doc_id", "text").mapInArrow(work, schema)
 
 
-def align(docs: DataFrame, a_path: str = BYTE_VOCABULARY, b_path: str = PIECE_VOCABULARY, chunk_bytes: int = 8 << 20) -> DataFrame:
+def align(docs: DataFrame, a_path: str = BYTE_VOCABULARY, b_path: str = PIECE_VOCABULARY, chunk_bytes: int = 2 << 20) -> DataFrame:
     """doc_id, n_a, n_b, n_groups, n_links, groups for every row of ``docs`` (doc_id, text; other columns ignored).
 
     ``groups`` lists the ids of both tokenizations between common ends, ``a1,a2|b1;a3|b2,b3``.  A text that is null, empty or
@@ -285,7 +285,7 @@ def link_counts(pairs: DataFrame, size_b: int) -> DataFrame:
     return counted.join(highest, F.pmod("code", F.lit(size_b)) == F.col("b")).select("code", "count", (F.col("count") == F.col("highest")).alias("best"))
 
 
-def score_links(docs: DataFrame, a_path: str = BYTE_VOCABULARY, b_path: str = PIECE_VOCABULARY, chunk_bytes: int = 8 << 20) -> DataFrame:
+def score_links(docs: DataFrame, a_path: str = BYTE_VOCABULARY, b_path: str = PIECE_VOCABULARY, chunk_bytes: int = 2 << 20) -> DataFrame:
     """doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256 for every row of ``docs``.
 
     A pair's count is the number of its links in all rows together; n_best counts the document's links whose pair has the

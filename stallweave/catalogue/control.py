@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import dataclasses
+
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stallweave import schemas
 from stallweave.catalogue import shapes as s
@@ -12,16 +15,16 @@ from stallweave.functions.jsonx import is_json
 from stallweave.functions.text import parse_csv_ids
 from stallweave.operators.predicates import override_ids as keep_ids
 from stallweave.operators.predicates import require_key
-from stallweave.plans import rotation, staging
+from stallweave.plans import increments, rotation, staging
 from stallweave.plans.refresh import refresh
-from stallweave.plans.refresh import refresh_incremental as incremental
 from stallweave.session import scratch_path
 from stallweave.sinks import bronze
-from stallweave.sinks.tables import VersionedTable, layer_path, read_ledger, record_consumed, unconsumed
+from stallweave.sinks.tables import VersionedTable, read_ledger, record_consumed, unconsumed
 from stallweave.sources.landed import read_state
 from stallweave.streaming.refresh import bronze_stream, read_outcomes, silver_stream
-from stallweave.streaming.ttl import suppress_repeats
+from stallweave.streaming.ttl import requests_due
 
+FCT_ALL_SQL = f"{s.STG_PRODUCTS_SQL},{s.STG_REVIEWS_SQL}"
 NOW = "2024-03-01 00:00:00"
 BUDGET = 50
 
@@ -186,26 +189,103 @@ UNION ALL SELECT 'fct_products', product_id, extracted_at_ts, NULL FROM stg_prod
 UNION ALL SELECT 'fct_reviews', review_id, extracted_at_ts, NULL FROM stg_reviews""")
 def refresh_incremental(spark, sf_dir):
     """A refresh of the early runs and one of everything not consumed then equal one full build."""
-    logs = {
-        "products": s.listing(spark, sf_dir), "details": s.details(spark, sf_dir), "sellers": s.sellers(spark, sf_dir),
-        "reviews": s.review_pages(spark, sf_dir), "categories": s.category_log(spark, sf_dir),
-    }
-    warehouse, ledger = scratch_path(spark, "warehouse"), scratch_path(spark, "ledger")
-    early = {name: log.where("run_id < '20240115' AND (run_id < '1997' OR run_id > '2000')") for name, log in logs.items()}
-    for landed in (early, logs):
-        incremental(spark, landed, warehouse, ledger)
+    landed, warehouse = _Landed(spark, sf_dir), scratch_path(spark, "warehouse")
+    early = "run_id < '20240115' AND (run_id < '1997' OR run_id > '2000')"
+    for which in (early, f"NOT ({early})"):
+        landed.add(which)
+        increments.refresh_incremental(spark, landed.logs, warehouse, _BUCKETS, landed.feeds)
+    tables = increments.Warehouse(spark, warehouse, _BUCKETS).tables
     ids = {"stg_products": "product_id", "stg_product_details": "product_id", "stg_seller_info": "seller_id", "stg_reviews": "review_id",
            "fct_products": "product_id", "fct_reviews": "review_id"}
     out = None
     for model, key in ids.items():
-        layer = "silver" if model.startswith("stg") else "marts"
-        rows = spark.read.parquet(layer_path(warehouse, layer, model))
+        rows = tables[model].read()
         run = F.col("run_id") if "run_id" in rows.columns else F.lit(None).cast("string")
         part = rows.select(F.lit(model).alias("model"), F.col(key).alias("id"), "extracted_at_ts", run.alias("run_id"))
         out = part if out is None else out.unionByName(part)
     return plain(out)
 
 
+#: Buckets of the sample warehouses; large tables take more.
+_BUCKETS = 4
+
+
+class _Landed:
+    """The raw logs as partitioned folders that grow; a run is a month of the log."""
+
+    def __init__(self, spark, sf_dir):
+        self.shapes = {
+            "products": s.listing(spark, sf_dir), "details": s.details(spark, sf_dir), "sellers": s.sellers(spark, sf_dir),
+            "reviews": s.review_pages(spark, sf_dir), "categories": s.category_log(spark, sf_dir),
+        }
+        root = scratch_path(spark, "landed")
+        schema = {name: T.StructType([*log.schema.fields, T.StructField("month", T.StringType())]) for name, log in self.shapes.items()}
+        self.logs = {name: increments.Log(f"{root}/{name}", schema[name], ("month",)) for name in self.shapes}
+        ties = {"stg_products": lambda log: staging.stg_products(log, s.LISTING_TIES), "stg_seller_info": lambda log: staging.stg_seller_info(log, s.SELLER_TIES)}
+        self.feeds = [dataclasses.replace(f, build=ties.get(f.name, f.build)) for f in increments.FEEDS]
+
+    def add(self, which):
+        for name, log in self.shapes.items():
+            rows = log.where(which).withColumn("month", F.substring("run_id", 1, 6))
+            bronze.append_partitioned(rows, self.logs[name].root, ("month",))
+
+
+@query(f"""WITH {FCT_ALL_SQL},
+least AS (SELECT min(s_suppkey) AS id FROM supplier),
+of_products AS (SELECT product_id, seller_id FROM stg_products), of_reviews AS (SELECT review_id, product_id, seller_id FROM stg_reviews)
+SELECT 'changed' AS part, 'stg_seller_info' AS model, 0 AS id, CAST(NULL AS VARCHAR) AS seller_name, 1 AS row_count
+UNION ALL SELECT 'changed', 'dim_sellers', 0, NULL, 1
+UNION ALL SELECT 'changed', 'fct_products', 0, NULL, count(*) FROM of_products, least WHERE seller_id = least.id HAVING count(*) > 0
+UNION ALL SELECT 'changed', 'fct_reviews', 0, NULL, count(*) FROM of_reviews, least WHERE seller_id = least.id HAVING count(*) > 0
+UNION ALL SELECT 'row', 'fct_products', product_id, if(seller_id = least.id, 'Renamed', s_name), 1
+  FROM of_products LEFT JOIN supplier ON s_suppkey = seller_id, least
+UNION ALL SELECT 'row', 'fct_reviews', review_id, if(seller_id = least.id, 'Renamed', s_name), 1
+  FROM of_reviews LEFT JOIN (SELECT * FROM supplier SEMI JOIN lineitem ON l_suppkey = s_suppkey) ON s_suppkey = seller_id, least""")
+def seller_change(spark, sf_dir):
+    """A new page of one seller rewrites its rows in both fact tables and no others."""
+    landed, warehouse = _Landed(spark, sf_dir), scratch_path(spark, "warehouse")
+    landed.add("true")
+    increments.refresh_incremental(spark, landed.logs, warehouse, _BUCKETS, landed.feeds)
+    least = s.load(spark, sf_dir, "supplier").agg(F.min("s_suppkey").alias("id"))
+    seller = F.struct(F.col("id"), F.lit("Renamed").alias("name"))
+    page = least.select(
+        F.to_json(F.struct(seller.alias("seller"))).alias("data"), F.lit("20240301_000000").alias("extracted_at"),
+        F.to_date(F.lit("2024-03-01")).alias("dt"), F.lit("20240301_000000").alias("run_id"), F.lit("202403").alias("month"),
+    )
+    bronze.append_partitioned(page, landed.logs["sellers"].root, ("month",), one_run=True)
+    outcome = increments.refresh_incremental(spark, landed.logs, warehouse, _BUCKETS, landed.feeds)
+    counts = outcome.summary(spark).where("row_count > 0")
+    tables = increments.Warehouse(spark, warehouse, _BUCKETS).tables
+    out = counts.select(F.lit("changed").alias("part"), "model", F.lit(0).cast("bigint").alias("id"), F.lit(None).cast("string").alias("seller_name"), "row_count")
+    for model, key in (("fct_products", "product_id"), ("fct_reviews", "review_id")):
+        rows = tables[model].read()
+        out = out.unionByName(rows.select(F.lit("row").alias("part"), F.lit(model).alias("model"), F.col(key).alias("id"), "seller_name", F.lit(1).cast("bigint").alias("row_count")))
+    return out
+
+
+@query("""WITH spoiled AS (
+  SELECT strftime(l_shipdate, '%Y') AS landed,
+    CASE WHEN l_quantity = 1 THEN NULL WHEN l_quantity = 2 THEN 'part ' || l_partkey ELSE CAST(l_partkey AS VARCHAR) END AS id FROM lineitem)
+SELECT landed, CASE WHEN id IS NULL THEN 'no key' ELSE 'key is no number' END AS reason, count(*) AS row_count
+FROM spoiled WHERE id IS NULL OR id LIKE 'part%' GROUP BY ALL""")
+def rejects_by_run(spark, sf_dir):
+    """Two refreshes, each with its own runs; the rejects of both are there, counted as they were written."""
+    root = scratch_path(spark, "landed")
+    spoiled = F.when(F.col("l_quantity") == 1, F.lit(None)).when(F.col("l_quantity") == 2, F.concat(F.lit("part "), "l_partkey")).otherwise(F.col("l_partkey").cast("string"))
+    ids = s.load(spark, sf_dir, "lineitem").select(spoiled.alias("id"), F.date_format("l_shipdate", "yyyy").alias("landed"), F.date_format("l_shipdate", "yyyyMMdd_HHmmss").alias("extracted_at"), "l_shipdate")
+    rows = ids.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in schemas.BRONZE_PRODUCTS.fields if f.name not in ("id", "extracted_at", "dt", "run_id")])
+    rows = rows.withColumn("dt", F.to_date("l_shipdate")).withColumn("run_id", F.col("extracted_at")).drop("l_shipdate")
+    schema = T.StructType([*[f for f in rows.schema.fields if f.name != "landed"], T.StructField("landed", T.StringType())])
+    log, warehouse = increments.Log(root, schema, ("landed",)), increments.Warehouse(spark, scratch_path(spark, "warehouse"), _BUCKETS)
+    counted = 0
+    for which in ("landed < '1998'", "landed >= '1998'"):
+        bronze.append_partitioned(rows.where(which), root, ("landed",))
+        counted += increments.feed(warehouse, increments.FEEDS[0], log)[1]
+    kept = spark.read.schema("reason STRING, row STRING, landed STRING").parquet(warehouse.rejects("stg_products"))
+    found = kept.groupBy("landed", "reason").agg(F.count("*").alias("row_count"))
+    return found.where(F.lit(counted) == kept.agg(F.count("*").alias("n")).first()["n"])
+
+
 def _landed_listing(spark, sf_dir):
     """Listing log landed as several files, in the order the rows have."""
     path = scratch_path(spark, "landed")
@@ -241,20 +321,42 @@ def stream_archive(spark, sf_dir):
     return read_outcomes(spark, outcomes).groupBy("status").agg(F.sum("row_count").alias("row_count"))
 
 
-@query("SELECT DISTINCT user_id || '/' || event_type || '/' || strftime(ts, '%Y-%m-%d') AS request_key FROM events")
-def stream_ttl(spark, sf_dir):
-    """Repeats of a key within its day are suppressed by the stream."""
-    landed, out = scratch_path(spark, "requests"), scratch_path(spark, "fetched")
-    events = s.load(spark, sf_dir, "events").select(
-        F.concat_ws("/", "user_id", "event_type", F.date_format("ts", "yyyy-MM-dd")).alias("request_key"),
-        F.col("ts").cast("timestamp").alias("requested_at"),
-    )
-    events.write.parquet(landed)
-    stream = spark.readStream.schema(events.schema).parquet(landed)
-    (
-        suppress_repeats(stream).writeStream.format("parquet").outputMode("append")
-        .option("checkpointLocation", scratch_path(spark, "checkpoint")).option("path", out)
-        .trigger(availableNow=True).start().awaitTermination()
-    )
-    return spark.read.parquet(out).select("request_key")
+_DUE_SQL = """WITH RECURSIVE asked AS (SELECT DISTINCT user_id || '/' || event_type AS request_key, ts FROM events),
+after AS (
+  SELECT a.request_key, a.ts, min(b.ts) AS next_ts FROM asked a JOIN asked b ON a.request_key = b.request_key AND a.ts + INTERVAL 24 HOUR <= b.ts
+  GROUP BY ALL),
+due AS (
+  SELECT request_key, min(ts) AS ts FROM asked GROUP BY request_key
+  UNION ALL SELECT due.request_key, next_ts FROM due JOIN after ON due.request_key = after.request_key AND due.ts = after.ts)
+SELECT request_key, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS requested_at FROM due"""
+
+
+def _asked(spark, sf_dir):
+    at = F.col("ts").cast("timestamp").alias("requested_at")
+    return s.load(spark, sf_dir, "events").select(F.concat_ws("/", "user_id", "event_type").alias("request_key"), at)
+
+
+def _moments(df):
+    return df.select("request_key", F.date_format("requested_at", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("requested_at"))
 
+
+@query(_DUE_SQL)
+def ttl_chain(spark, sf_dir):
+    """Of all requests of a key the first, the first a day later, and so on, with nothing fetched before."""
+    return _moments(rotation.within_run(_asked(spark, sf_dir)))
+
+
+@query(_DUE_SQL)
+def stream_ttl(spark, sf_dir):
+    """The same rule as a state machine, over three landings and as many runs of one stream."""
+    landed, out, checkpoint = (scratch_path(spark, name) for name in ("requests", "fetched", "checkpoint"))
+    events = _asked(spark, sf_dir)
+    day = F.dayofmonth("requested_at")
+    for part in (day <= 10, (day > 10) & (day <= 20), day > 20):
+        events.where(part).write.mode("append").parquet(landed)
+        stream = spark.readStream.schema(events.schema).parquet(landed)
+        (
+            requests_due(stream).writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
+            .option("path", out).trigger(availableNow=True).start().awaitTermination()
+        )
+    return _moments(spark.read.parquet(out))

@@ -13,6 +13,7 @@ from stallweave.operators.dedupe import latest_per_key, merge_latest
 from stallweave.operators.joins import ancestors, check_pk, with_parent
 from stallweave.operators.tree import flatten_tree
 from stallweave.plans import bi, marts, staging
+from stallweave.session import materialise
 
 
 def staged_products(spark, sf_dir):
@@ -246,6 +247,16 @@ def hierarchy_ancestors(spark, sf_dir):
     return ancestors(category_dimension(spark, sf_dir))
 
 
+@query("""WITH chain AS (SELECT c_custkey // 1000 AS line, c_custkey % 1000 AS depth, c_custkey FROM customer)
+SELECT a.c_custkey AS category_id, b.c_custkey AS ancestor_id, CAST(a.depth - b.depth AS INTEGER) AS distance
+FROM chain a JOIN chain b ON a.line = b.line AND a.depth > b.depth AND a.depth % 100 = 99""")
+def deep_ancestors(spark, sf_dir):
+    """Chains of 1,000 levels, one for every 1,000 customers; the ancestors of each hundredth level."""
+    key = F.col("c_custkey")
+    chain = s.load(spark, sf_dir, "customer").select(key.alias("category_id"), F.when(key % 1000 > 0, key - 1).alias("parent_category_id"))
+    return ancestors(chain).where("category_id % 100 = 99")
+
+
 @query(f"""WITH {FCT_PRODUCTS_SQL},{s.STG_REVIEWS_SQL},{s.DIM_CATEGORIES_SQL},
 used AS (
   SELECT 'dim_products.category_id' AS relation, category_id AS missing_key FROM seen_details
@@ -262,13 +273,14 @@ used AS (
     WHERE parent_category_id NOT IN (SELECT category_id FROM dim_categories))
 SELECT relation, missing_key, count(*) AS row_count FROM used GROUP BY ALL""")
 def fk_violations(spark, sf_dir):
-    """J8 over all declared relationships."""
-    details, sellers = seen_details(spark, sf_dir), seen_sellers(spark, sf_dir)
-    products, reviews = staged_products(spark, sf_dir), staged_reviews(spark, sf_dir)
-    return bi.integrity(
+    """J8 over all declared relationships, of written tables."""
+    details, sellers = materialise(seen_details(spark, sf_dir), "details"), materialise(seen_sellers(spark, sf_dir), "sellers")
+    products, reviews = materialise(staged_products(spark, sf_dir), "products"), staged_reviews(spark, sf_dir)
+    tables = (
         marts.dim_products(details), category_dimension(spark, sf_dir), marts.dim_sellers(sellers),
         marts.fct_products(products, sellers, details), marts.fct_reviews(reviews, products, sellers),
     )
+    return bi.integrity(*[materialise(t, f"checked-{i}") for i, t in enumerate(tables)])
 
 
 @query("""SELECT 'order_line' AS relation, l_orderkey || '|' || l_linenumber AS duplicate_key, count(*) AS row_count

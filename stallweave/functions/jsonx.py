@@ -42,6 +42,22 @@ def explode_items(df: DataFrame, column: str, alias: str) -> DataFrame:
     return df.select(*kept, F.explode(json_items(F.col(column))).alias(alias))
 
 
+def explode_variant(df: DataFrame, column: str, alias: str) -> DataFrame:
+    """one row per element of a JSON array, as a VARIANT; the document is parsed once.
+
+    Documents that are no array, or cannot be read, give no rows, as with an inner unnest.
+    """
+    kept = [c for c in df.columns if c != column]
+    parsed = df.select(*kept, F.try_parse_json(F.col(column)).alias("_document"))
+    elements = parsed.lateralJoin(df.sparkSession.tvf.variant_explode(F.col("_document").outer()))
+    return elements.where("key IS NULL").select(*kept, F.col("value").alias(alias))
+
+
+def member(element: Column, path: str, target: str = "string") -> Column:
+    """a member of a VARIANT as text or another type; NULL where it is absent or of no such type."""
+    return F.try_variant_get(element, f"$.{path}", target)
+
+
 def truthy(c: Column) -> Column:
     """The value unless it is NULL or one of the empty forms."""
     return F.when(~c.rlike(_FALSY), c)

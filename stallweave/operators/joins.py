@@ -8,7 +8,7 @@ a skewed key on the fact side.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from itertools import count
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -74,28 +74,55 @@ def with_parent(categories: DataFrame) -> DataFrame:
 def ancestors(categories: DataFrame) -> DataFrame:
     """``(category_id, ancestor_id, distance)`` for every known ancestor.
 
-    One join per tree level on the pairs of the level before; each level is written once, so neither the
-    plan nor a lost executor repeats earlier levels.  A category that is its own ancestor is a cycle and an error.
+    Pointer doubling: with all pairs up to distance m and those of exactly m at hand, one join gives the pairs from m + 1 to
+    2 m, so a chain of n levels takes log2(n) rounds.  A category has one parent, hence every pair is made once.  Each round
+    is written once, so neither the plan nor a lost executor repeats earlier ones.  A category that is its own ancestor is a
+    cycle and an error.
     """
-    edges = materialise(
-        categories.where("parent_category_id IS NOT NULL").select("category_id", "parent_category_id"), "edges"
-    )
     known = categories.select(F.col("category_id").alias("ancestor_id"))
-    step = edges.select("category_id", F.col("parent_category_id").alias("ancestor_id"), F.lit(1).alias("distance"))
-    up = edges.select(F.col("category_id").alias("ancestor_id"), F.col("parent_category_id").alias("next_id"))
-    levels: list[DataFrame] = []
-    for depth in count(1):
-        level = materialise(step.join(known, "ancestor_id", "left_semi"), f"ancestors-{depth}")
-        levels.append(level)
-        if level.isEmpty():
-            break
-        own = level.where("category_id = ancestor_id").select("category_id").first()
+    edges = categories.where("parent_category_id IS NOT NULL").select("category_id", F.col("parent_category_id").alias("ancestor_id"), F.lit(1).alias("distance"))
+    rounds = [materialise(edges.join(known, "ancestor_id", "left_semi").select("category_id", "ancestor_id", "distance"), "ancestors-1")]
+    reach = rounds[0]
+    far = 1
+    while True:
+        own = reach.where("category_id = ancestor_id").select("category_id").first()
         if own is not None:
             raise ValueError(f"category {own['category_id']} is its own ancestor: cycle")
-        step = level.join(up, "ancestor_id").select(
-            "category_id", F.col("next_id").alias("ancestor_id"), F.lit(depth + 1).alias("distance")
-        )
-    result = levels[0]
-    for level in levels[1:]:
-        result = result.unionByName(level)
-    return result.select("category_id", "ancestor_id", "distance")
+        upper = reach.select(F.col("category_id").alias("ancestor_id"), F.col("ancestor_id").alias("next_id"), F.col("distance").alias("further"))
+        jumps = reach.where(F.col("distance") == far)
+        step = jumps.join(upper, "ancestor_id").select("category_id", F.col("next_id").alias("ancestor_id"), (F.col("distance") + F.col("further")).alias("distance"))
+        step = materialise(step, f"ancestors-{far * 2}")
+        if step.isEmpty():
+            return reach
+        rounds.append(step)
+        reach = reduce(DataFrame.unionByName, rounds)
+        far *= 2
+
+
+def foreign_keys(child: DataFrame, name: str, columns: dict[str, str]) -> DataFrame:
+    """(target, relation, key) for every non-null foreign key of a child, opened from one scan; ``{column: target}``."""
+    entry = lambda column, target: F.struct(
+        F.lit(target).alias("target"), F.lit(f"{name}.{column}").alias("relation"), F.col(column).cast("bigint").alias("key")
+    )
+    opened = child.select(F.explode(F.array(*[entry(c, t) for c, t in columns.items()])).alias("fk"))
+    return opened.select("fk.*").where("key IS NOT NULL")
+
+
+def unmatched_keys(used: Sequence[DataFrame], parents: dict[str, DataFrame]) -> DataFrame:
+    """(relation, missing_key, row_count) over any number of relationships at once.
+
+    ``used`` comes from ``foreign_keys``; ``parents`` gives each target's keys.  Keys are counted where they are read, so
+    one row per task, relation and value moves; children and parents then meet in one aggregate over (target, key), without a
+    join, and every table is scanned once.
+    """
+    counted = reduce(DataFrame.unionByName, used).groupBy("target", "relation", "key").agg(F.count("*").alias("row_count"))
+    keys = [
+        df.select(F.lit(target).alias("target"), F.lit(None).cast("string").alias("relation"), F.col(df.columns[0]).cast("bigint").alias("key"), F.lit(None).cast("bigint").alias("row_count"))
+        .where("key IS NOT NULL")
+        for target, df in parents.items()
+    ]
+    met = reduce(DataFrame.unionByName, [counted, *keys]).groupBy("target", "key").agg(
+        F.max(F.col("relation").isNull()).alias("known"), F.collect_set(F.struct("relation", "row_count")).alias("uses")
+    )
+    lost = met.where("NOT known").select(F.explode("uses").alias("use"), F.col("key").alias("missing_key"))
+    return lost.select("use.relation", "missing_key", "use.row_count")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stallweave.functions.text import PATH_SEPARATOR, root_segment
-from stallweave.operators.joins import check_fk, with_category
+from stallweave.operators.joins import foreign_keys, unmatched_keys, with_category
 from stallweave.operators.predicates import with_exprs
 from stallweave.schemas import DIM_PRODUCTS
 
@@ -37,16 +37,15 @@ def integrity(
     dim_products: DataFrame, dim_categories: DataFrame, dim_sellers: DataFrame, fct_products: DataFrame,
     fct_reviews: DataFrame,
 ) -> DataFrame:
-    """J8 over the declared many-to-one relationships of the model."""
-    checks = [
-        (dim_products, "category_id", dim_categories, "category_id", "dim_products.category_id"),
-        (fct_products, "category_id", dim_categories, "category_id", "fct_products.category_id"),
-        (fct_products, "product_id", dim_products, "product_id", "fct_products.product_id"),
-        (fct_products, "seller_id", dim_sellers, "seller_id", "fct_products.seller_id"),
-        (fct_reviews, "product_id", dim_products, "product_id", "fct_reviews.product_id"),
-        (dim_categories, "parent_category_id", dim_categories, "category_id", "dim_categories.parent_category_id"),
+    """J8 over the declared many-to-one relationships of the model, every table read once."""
+    used = [
+        foreign_keys(dim_products, "dim_products", {"category_id": "dim_categories"}),
+        foreign_keys(fct_products, "fct_products", {"category_id": "dim_categories", "product_id": "dim_products", "seller_id": "dim_sellers"}),
+        foreign_keys(fct_reviews, "fct_reviews", {"product_id": "dim_products"}),
+        foreign_keys(dim_categories, "dim_categories", {"parent_category_id": "dim_categories"}),
     ]
-    result = check_fk(*checks[0])
-    for check in checks[1:]:
-        result = result.unionByName(check_fk(*check))
-    return result
+    parents = {
+        "dim_categories": dim_categories.select("category_id"), "dim_products": dim_products.select("product_id"),
+        "dim_sellers": dim_sellers.select("seller_id"),
+    }
+    return unmatched_keys(used, parents)

@@ -1,4 +1,4 @@
-"""Layered refresh of all models, one outcome row per model."""
+"""Layered full refresh of all models, one outcome row per model.  ``increments.py`` refreshes by what is new."""
 
 from __future__ import annotations
 
@@ -7,14 +7,9 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from stallweave.plans import marts, staging
-from stallweave.operators.dedupe import latest_per_key
-from stallweave.schemas import LEDGER
-from stallweave.session import materialise
-from stallweave.sinks.tables import layer_path, read_ledger, record_consumed, replace_folder, restore, unconsumed, write_model
-from stallweave.sources.parquet import try_read
+from stallweave.sinks.tables import read_model, replace_table, write_model
 
 SUMMARY = "model STRING, layer STRING, status STRING, row_count BIGINT, seconds DOUBLE, error STRING, rejected BIGINT"
 
@@ -28,16 +23,14 @@ class Model:
     build: Callable[..., DataFrame]
     #: Input rows that cannot become rows of the model; they are kept beside it and counted.
     rejects: Callable[..., DataFrame] | None = None
-    #: Key by which later observations replace earlier ones; models with a key are merged by incremental refreshes.
-    key: str | None = None
 
 
 MODELS: tuple[Model, ...] = (
-    Model("stg_products", "silver", ("products",), staging.stg_products, key="product_id"),
-    Model("stg_product_details", "silver", ("details",), staging.stg_product_details, key="product_id"),
-    Model("stg_seller_info", "silver", ("sellers",), staging.stg_seller_info, staging.unreadable, key="seller_id"),
-    Model("stg_reviews", "silver", ("reviews",), staging.stg_reviews, staging.unreadable, key="review_id"),
-    Model("stg_categories", "silver", ("categories",), staging.stg_categories, key="category_id"),
+    Model("stg_products", "silver", ("products",), staging.stg_products, staging.keyless),
+    Model("stg_product_details", "silver", ("details",), staging.stg_product_details, staging.keyless),
+    Model("stg_seller_info", "silver", ("sellers",), staging.stg_seller_info, staging.sellerless),
+    Model("stg_reviews", "silver", ("reviews",), staging.stg_reviews, staging.reviewless),
+    Model("stg_categories", "silver", ("categories",), staging.stg_categories, staging.categoryless),
     Model("dim_products", "marts", ("stg_product_details",), marts.dim_products, lambda rows: marts.unkeyed(rows, "product_id")),
     Model("dim_sellers", "marts", ("stg_seller_info",), marts.dim_sellers),
     Model("dim_categories", "marts", ("stg_categories",), marts.dim_categories),
@@ -69,43 +62,13 @@ def downstream(name: str) -> set[str]:
     return chosen
 
 
-def merged(previous: DataFrame | None, fresh: DataFrame, key: str) -> DataFrame:
-    """Earlier rows and new observations, the latest per key; rows without a key are all kept once."""
-    if previous is None:
-        return fresh
-    both = previous.select(fresh.columns).unionByName(fresh)
-    return latest_per_key(both.where(F.col(key).isNotNull()), [key], ["extracted_at_ts"]).unionByName(both.where(F.col(key).isNull()).distinct())
-
-
-def refresh_incremental(spark: SparkSession, bronze: dict[str, DataFrame], warehouse: str, ledger: str) -> Refresh:
-    """Reads only partitions that ``ledger`` does not name, merges them and then records them.
-
-    ``bronze`` has the raw logs by name, each with ``dt`` and ``run_id``; a run is consumed whole, so two refreshes never
-    see one run's ties apart.  The partitions are recorded last and only if every model passed: after a failure the same
-    ones are read again, and merging them twice changes nothing.
-    """
-    seen = read_ledger(spark, ledger, LEDGER)
-    fresh, partitions = {}, None
-    for name, log in bronze.items():
-        runs = log.select(F.lit(name).alias("entity"), F.col("dt").cast("string").alias("dt"), F.col("run_id").cast("string").alias("run_id")).distinct()
-        runs = materialise(unconsumed(runs, seen), "runs")
-        partitions = runs if partitions is None else partitions.unionByName(runs)
-        keys = runs.select(F.col("dt").alias("_dt"), F.col("run_id").alias("_run"))
-        fresh[name] = log.join(keys, (F.col("dt").cast("string") == F.col("_dt")) & (F.col("run_id").cast("string") == F.col("_run")), "left_semi")
-    result = refresh(spark, fresh, warehouse, merge=True)
-    if result.passed == len(result.outcomes):
-        record_consumed(partitions, ledger)
-    return result
-
-
 def refresh(
-    spark: SparkSession, bronze: dict[str, DataFrame], warehouse: str, only: set[str] | None = None, merge: bool = False
+    spark: SparkSession, bronze: dict[str, DataFrame], warehouse: str, only: set[str] | None = None
 ) -> Refresh:
-    """Build the models in their fixed order, each from the written tables of the layer before.
-
-    With ``merge`` the staging models join their former rows, by their key; marts are always built anew from them.
+    """Build the models in their fixed order, each from the written tables of the layer before.
 
-    Rejected rows are replaced below ``<warehouse>/rejects/<model>``.  One failing model does not stop the others; when none passes, the refresh as a whole fails.
+    Rows are counted while they are written.  Rejected rows are replaced below ``<warehouse>/rejects/<model>``.  One failing
+    model does not stop the others; when none passes, the refresh as a whole fails.
     """
     layers = {m.name: m.layer for m in MODELS}
     result = Refresh()
@@ -114,20 +77,10 @@ def refresh(
             continue
         started, rejected = time.monotonic(), None
         try:
-            inputs = [
-                bronze[name] if name in bronze else spark.read.parquet(layer_path(warehouse, layers[name], name))
-                for name in model.inputs
-            ]
-            rows = model.build(*inputs)
-            if merge and model.key is not None:
-                former = layer_path(warehouse, model.layer, model.name)
-                restore(spark, former)
-                rows = merged(try_read(spark, former), rows, model.key)
-            path = write_model(rows, warehouse, model.layer, model.name)
-            rows, status, error = spark.read.parquet(path).count(), "ok", None
+            inputs = [bronze[name] if name in bronze else read_model(spark, warehouse, layers[name], name) for name in model.inputs]
+            rows, status, error = write_model(model.build(*inputs), warehouse, model.layer, model.name), "ok", None
             if model.rejects is not None:
-                kept = replace_folder(model.rejects(*inputs), f"{warehouse.rstrip('/')}/rejects/{model.name}")
-                rejected = spark.read.parquet(kept).count()
+                rejected = replace_table(model.rejects(*inputs), f"{warehouse.rstrip('/')}/rejects/{model.name}")
         except Exception as err:  # noqa: BLE001 - the outcome row carries the reason
             rows, status, error = None, "failed", f"{type(err).__name__}: {err}"
         result.outcomes.append((model.name, model.layer, status, rows, time.monotonic() - started, error, rejected))

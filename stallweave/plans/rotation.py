@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType
 
 from stallweave.functions.casts import int_or_zero
 from stallweave.functions.clock import EPOCH, as_clock, iso_utc
@@ -135,13 +137,38 @@ def ttl_dedupe(
 def within_run(requests: DataFrame, ttl_seconds: int = TTL_SECONDS, tiebreak: Sequence[Order] | None = None) -> DataFrame:
     """Of the requests of a key the first, then the first after its time to live, and so on.
 
-    Only the distinct times of a key meet in a list; requests of one moment are one, chosen by ``tiebreak``.
+    Requests of one moment are one, chosen by ``tiebreak``, before anything else moves.  The times of a key then pass
+    through one task in order, which remembers the last one kept and nothing else: a key with any number of times takes the
+    memory of one batch.  Rows without a key or a time are kept.
     """
-    kind = requests.schema["requested_at"].dataType
-    times = requests.groupBy("request_key").agg(F.sort_array(F.collect_set("requested_at")).alias("times"))
-    start = F.struct(F.array().cast(ArrayType(kind)).alias("kept"), F.lit(None).cast(kind).alias("last"))
-    due = lambda acc, t: acc["last"].isNull() | (t >= acc["last"] + F.make_dt_interval(secs=F.lit(ttl_seconds)))
-    step = lambda acc, t: F.when(due(acc, t), F.struct(F.concat(acc["kept"], F.array(t)).alias("kept"), t.alias("last"))).otherwise(acc)
-    kept = times.select("request_key", F.explode(F.aggregate("times", start, step)["kept"]).alias("requested_at"))
-    first = latest_per_key(requests, ["request_key", "requested_at"], [], tiebreak)
-    return first.join(kept.select(F.col("request_key").alias("_key"), F.col("requested_at").alias("_at")), (F.col("request_key") == F.col("_key")) & (F.col("requested_at") == F.col("_at")), "left_semi")
+    key, at = "request_key", "requested_at"
+    timed = requests.where(F.col(key).isNotNull() & F.col(at).isNotNull())
+    first = latest_per_key(timed, [key, at], [], tiebreak)
+    moments = first.select(key, F.unix_micros(F.col(at).cast("timestamp")).alias("at")).repartition(key).sortWithinPartitions(key, "at")
+    due = moments.mapInArrow(_due_times(ttl_seconds * 1_000_000), "request_key string, at bigint").select(F.col(key).alias("_key"), F.col("at").alias("_at"))
+    kept = first.join(due, (F.col(key) == F.col("_key")) & (F.unix_micros(F.col(at).cast("timestamp")) == F.col("_at")), "left_semi")
+    return kept.unionByName(requests.where(F.col(key).isNull() | F.col(at).isNull()))
+
+
+def _due_times(ttl: int):
+    """Keeps, of (request_key, at) sorted by both, the times at least ``ttl`` after the last one kept."""
+
+    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, last = None, 0
+        for batch in batches:
+            keys, times = batch.column("request_key"), batch.column("at").to_numpy()
+            ends = np.flatnonzero(np.r_[pc.not_equal(keys[1:], keys[:-1]).to_numpy(zero_copy_only=False), True]) + 1 if len(times) else []
+            chosen, start = [], 0
+            for end in ends:
+                here = keys[start].as_py()
+                if here != key:
+                    key = here
+                    chosen.append(start)
+                    last, place = times[start], start
+                while (place := start + int(np.searchsorted(times[start:end], last + ttl))) < end:
+                    chosen.append(place)
+                    last = times[place]
+                start = end
+            yield batch.take(pa.array(chosen, pa.int64()))
+
+    return kept

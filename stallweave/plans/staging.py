@@ -10,13 +10,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stallweave import schemas
 from stallweave.functions.casts import text_to, tolerant
 from stallweave.functions.clock import run_id_ts, unix_ts
-from stallweave.functions.jsonx import explode_items, has_items, is_json, json_text
+from stallweave.functions.jsonx import explode_variant, has_items, is_json, json_text, member
 from stallweave.operators.dedupe import Order, latest_per_key
 from stallweave.operators.predicates import require_key
 from stallweave.sources.parquet import read_locations
@@ -111,39 +111,44 @@ def stg_seller_info(bronze: DataFrame, tiebreak: Sequence[Order] | None = None)
     )
 
 
-def stg_reviews(bronze: DataFrame, tiebreak: Sequence[Order] | None = None) -> DataFrame:
-    """One row per review, latest observation; elements that are not review objects fall out by key.
-
-    Pages that are no JSON give no rows; ``unreadable`` has them.
-    """
+def review_elements(bronze: DataFrame) -> DataFrame:
+    """The typed elements of all pages, each page parsed once, with the element itself as ``_element``."""
     pages = bronze.where(has_items(F.col("data"))).select(
         _typed(bronze, "product_id", "bigint").alias("product_id"),
         _typed(bronze, "seller_id", "bigint").alias("seller_id"),
         _typed(bronze, "page", "int").alias("page"),
         run_id_ts(F.col("extracted_at")).alias("extracted_at_ts"),
-        "dt",
-        "run_id",
-        "data",
+        *[c for c in bronze.columns if c not in ("product_id", "seller_id", "page", "extracted_at", "extracted_at_ts")],
     )
-    parsed = explode_items(pages, "data", "item").withColumn("r", F.from_json("item", schemas.REVIEW_JSON))
-    flat = parsed.select(
-        text_to(F.col("r.id"), "bigint").alias("review_id"),
+    e = F.col("_element")
+    return explode_variant(pages, "data", "_element").select(
+        text_to(member(e, "id"), "bigint").alias("review_id"),
         "product_id",
         "seller_id",
         "page",
-        text_to(F.col("r.rating"), "int").alias("rating"),
-        F.col("r.title").alias("title"),
-        F.col("r.content").alias("review_content"),
-        text_to(F.col("r.thank_count"), "int").alias("thank_count"),
-        text_to(F.col("r.score"), "float").alias("score"),
-        text_to(F.col("r.customer_id"), "bigint").alias("customer_id"),
-        F.col("r.created_by.full_name").alias("customer_name"),
-        F.col("r.purchased_at").alias("purchased_at"),
+        text_to(member(e, "rating"), "int").alias("rating"),
+        member(e, "title").alias("title"),
+        member(e, "content").alias("review_content"),
+        text_to(member(e, "thank_count"), "int").alias("thank_count"),
+        text_to(member(e, "score"), "float").alias("score"),
+        text_to(member(e, "customer_id"), "bigint").alias("customer_id"),
+        member(e, "created_by.full_name").alias("customer_name"),
+        member(e, "purchased_at").alias("purchased_at"),
         "extracted_at_ts",
         "dt",
         "run_id",
-        unix_ts(text_to(F.col("r.created_at"), "bigint")).alias("created_at"),
+        unix_ts(text_to(member(e, "created_at"), "bigint")).alias("created_at"),
+        "_element",
+        *[c for c in pages.columns if c not in ("product_id", "seller_id", "page", "extracted_at_ts", "dt", "run_id", "data")],
     )
+
+
+def stg_reviews(bronze: DataFrame, tiebreak: Sequence[Order] | None = None) -> DataFrame:
+    """One row per review, latest observation; elements that are not review objects fall out by key.
+
+    Pages that are no JSON and elements without a key give no rows; ``reviewless`` has them.
+    """
+    flat = review_elements(bronze.select("product_id", "seller_id", "page", "data", "extracted_at", "dt", "run_id")).drop("_element")
     return latest_per_key(require_key(flat, "review_id"), ["review_id"], ["extracted_at_ts"], tiebreak)
 
 
@@ -152,6 +157,49 @@ def unreadable(bronze: DataFrame) -> DataFrame:
     return bronze.where(F.col("data").isNotNull() & ~is_json(F.col("data")))
 
 
+#: Reasons for which a raw row or an element of it gives no row.
+NO_KEY, NO_NUMBER, OTHER_ID, NOT_READ = "no key", "key is no number", "another id of the same key", "document cannot be read"
+
+
+def _reject(df: DataFrame, reason: Column, partitions: Sequence[str]) -> DataFrame:
+    """(reason, row, partition columns): the row as JSON, so that rejects of all models look alike."""
+    own = [c for c in df.columns if c not in partitions]
+    return df.select(reason.alias("reason"), F.to_json(F.struct(*own)).alias("row"), *partitions).where("reason IS NOT NULL")
+
+
+def keyless(bronze: DataFrame, partitions: Sequence[str] = ("dt", "run_id")) -> DataFrame:
+    """Listing or detail rows without an id, with an id that is no number, or with one of several ids of one
+    number (``1``, ``1.0``) that is not the one kept, which is the latest."""
+    number = _typed(bronze, "id", "bigint")
+    reason = F.when(F.col("id").isNull(), NO_KEY).when(number.isNull(), NO_NUMBER)
+    # One row per id and number moves; the kept id of a number is that of its latest row.
+    ids = bronze.where(number.isNotNull()).groupBy(number.alias("_number"), "id").agg(F.max("extracted_at").alias("_seen"))
+    several = ids.groupBy("_number").agg(F.max_by("id", F.struct("_seen", F.xxhash64("id"))).alias("_kept"), F.count("*").alias("_ids")).where("_ids > 1")
+    others = ids.join(several, "_number").where("id <> _kept").select(F.col("id").alias("_id"))
+    doubled = bronze.join(others, F.col("id") == F.col("_id"), "left_semi")
+    return _reject(bronze, reason, partitions).unionByName(_reject(doubled, F.lit(OTHER_ID), partitions))
+
+
+def sellerless(bronze: DataFrame, partitions: Sequence[str] = ("dt", "run_id")) -> DataFrame:
+    """Seller pages that cannot be read or name no seller."""
+    key = text_to(json_text(F.col("data"), "$.seller.id"), "bigint")
+    return _reject(bronze, F.when(F.col("data").isNull() | key.isNull(), F.when(is_json(F.col("data")), NO_KEY).otherwise(NOT_READ)), partitions)
+
+
+def reviewless(bronze: DataFrame, partitions: Sequence[str] = ("dt", "run_id")) -> DataFrame:
+    """Pages that cannot be read or are no list, and elements without a review id."""
+    document = F.ltrim("data")
+    pages = _reject(bronze, F.when(F.col("data").isNotNull() & ~(is_json(F.col("data")) & document.startswith("[")), NOT_READ), partitions)
+    elements = review_elements(bronze).where("review_id IS NULL")
+    return pages.unionByName(elements.select(F.lit(NO_KEY).alias("reason"), F.to_json("_element").alias("row"), *partitions))
+
+
+def categoryless(bronze: DataFrame, partitions: Sequence[str] = ("dt", "run_id")) -> DataFrame:
+    """Category rows whose id is no number.  Menu nodes without an id are no categories and no rejects."""
+    reason = F.when(F.col("category_id").isNotNull() & _typed(bronze, "category_id", "bigint").isNull(), NO_NUMBER)
+    return _reject(bronze, reason, partitions)
+
+
 def category_rows(bronze: DataFrame) -> DataFrame:
     """Typed category observations, before deduplication."""
     return require_key(bronze, "category_id").select(

@@ -92,6 +92,9 @@ ROTATION_STATE = _schema("category_id BIGINT, last_crawled_at TIMESTAMP")
 
 LEDGER = _schema("entity STRING, dt STRING, run_id STRING, consumed_at TIMESTAMP")
 
+#: Runs that a model has consumed, as folders of its log.
+RUN_LEDGER = _schema("model STRING, run STRING, consumed_at TIMESTAMP")
+
 MANIFEST = _schema("dt STRING, run_id STRING, entity STRING, row_count BIGINT, completed_at TIMESTAMP")
 
 #: Columns of the fact tables, in order.

@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from stallweave.functions.clock import as_clock, run_dt, run_id
 from stallweave.functions.jsonx import nested_to_text
+from stallweave.sinks.keyed import counted
 
 
 def stamp(df: DataFrame, run_clock: dt.datetime | str | Column, **constants) -> DataFrame:
@@ -26,8 +30,8 @@ def stamp(df: DataFrame, run_clock: dt.datetime | str | Column, **constants) ->
 
 def append_partitioned(
     df: DataFrame, root: str, partitions: tuple[str, ...] = ("dt", "run_id"), one_run: bool = False
-) -> None:
-    """K1: append below ``root/dt=…/run_id=…``; nested columns become JSON text.
+) -> int:
+    """Append below ``root/dt=…/run_id=…``; nested columns become JSON text.  Returns the rows written.
 
     The rows of one run share their partition values, so every task writes its own file (``one_run``, no
     shuffle).  A mixed log is rebalanced first: a value holding a third of the rows is split over tasks, small
@@ -35,7 +39,45 @@ def append_partitioned(
     """
     flat = nested_to_text(df)
     ready = flat if one_run else flat.hint("rebalance", *partitions)
-    ready.write.mode("append").partitionBy(*partitions).parquet(root)
+    return counted(ready, lambda rows: rows.write.mode("append").partitionBy(*partitions).parquet(root))
+
+
+#: Folder value of a NULL partition column, as Hive and Spark write it.
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+
+
+def run_folders(spark: SparkSession, root: str, partitions: Sequence[str] = ("dt", "run_id")) -> list[str]:
+    """K8: the runs of a log, as their folders below ``root`` (``dt=…/run_id=…``).
+
+    Only folders are listed, level by level; the driver holds one name for each run.  A missing log has none.
+    """
+    at = spark._jvm.org.apache.hadoop.fs.Path
+    fs = at(root).getFileSystem(spark._jsc.hadoopConfiguration())
+    found = [""] if fs.exists(at(root)) else []
+    for column in partitions:
+        below = []
+        for folder in found:
+            names = [s.getPath().getName() for s in fs.listStatus(at(f"{root}/{folder}" if folder else root)) if s.isDirectory()]
+            below += [f"{folder}/{n}" if folder else n for n in names if n.startswith(f"{column}=")]
+        found = below
+    return sorted(found)
+
+
+def read_runs(spark: SparkSession, root: str, schema: StructType, runs: Sequence[str], partitions: Sequence[str] = ("dt", "run_id")) -> DataFrame:
+    """The rows of some runs of a log and nothing else.
+
+    Only their folders are given to the scan, and the runs stand in it as literals on the partition columns, so the plan's
+    ``PartitionFilters`` name them.
+    """
+    if not runs:
+        return spark.createDataFrame([], schema)
+    parts = [F.concat(F.lit(f"{c}="), F.coalesce(F.col(c).cast("string"), F.lit(NULL_PARTITION))) for c in partitions]
+    read = spark.read.schema(schema).option("basePath", root).parquet(*[f"{root}/{run}" for run in runs])
+    named = [unquote(run) for run in runs]
+    for column, values in zip(partitions, zip(*[run.split("/") for run in runs])):
+        if f"{column}={NULL_PARTITION}" not in values:
+            read = read.where(F.col(column).cast("string").isin(sorted({unquote(v.split("=", 1)[1]) for v in values})))
+    return read.where(F.concat_ws("/", *parts).isin(named))
 
 
 def landed_rows(spark: SparkSession, root: str, run_clock: dt.datetime | str) -> int:
@@ -78,3 +120,12 @@ def split_rejects(df: DataFrame, accepted: Column) -> tuple[DataFrame, DataFrame
 def write_rejects(rejects: DataFrame, root: str) -> None:
     """K7: raw payloads that gave no rows, by date, for a later parser."""
     rejects.hint("rebalance", "dt").write.mode("append").partitionBy("dt").json(root)
+
+
+def write_run_rejects(rejects: DataFrame, root: str, partitions: Sequence[str] = ("dt", "run_id")) -> int:
+    """K7: rejects of some runs, beside those of all others; a run consumed again replaces its own.  Returns the rows written."""
+
+    def write(rows: DataFrame) -> None:
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partitions).parquet(root)
+
+    return counted(rejects.hint("rebalance", *partitions), write)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from stallweave.operators.dedupe import Order, latest_per_key
+from stallweave.sinks.keyed import Pointer, counted
 from stallweave.sources.parquet import empty, is_absent, try_read
 
 #: Layers and their folders below the warehouse root.
@@ -26,35 +27,40 @@ def layer_path(warehouse: str, layer: str, model: str) -> str:
     return f"{warehouse.rstrip('/')}/{LAYERS[layer]}/{model}"
 
 
-def write_model(df: DataFrame, warehouse: str, layer: str, model: str) -> str:
-    """K2: full refresh of a model's folder."""
-    return replace_folder(df, layer_path(warehouse, layer, model))
+def write_model(df: DataFrame, warehouse: str, layer: str, model: str) -> int:
+    """Full refresh of a model; returns its rows, counted while they are written."""
+    return replace_table(df, layer_path(warehouse, layer, model))
 
 
-def replace_folder(df: DataFrame, path: str) -> str:
-    """Writes ``df`` beside ``path`` and then puts it in its place; until then, and after a failure, the former rows stay.
+def read_model(spark: SparkSession, warehouse: str, layer: str, model: str) -> DataFrame:
+    """K2: the current rows of a model."""
+    return read_table(spark, layer_path(warehouse, layer, model))
 
-    ``df`` may read the current folder.  The swap is two renames; a driver lost between them leaves the former rows under
-    ``<path>.old``, from where the next call or ``restore`` brings them back.
+
+def replace_table(df: DataFrame, path: str) -> int:
+    """K2: writes ``df`` into a new folder below ``path`` and then points there; returns the rows written.
+
+    ``df`` may read the current rows.  The pointer is replaced in one step, so readers find the former rows or the new
+    ones and never none, and a failure leaves the former.  Folders that are no longer pointed at are deleted by the next
+    replacement but one, so readers that began before may finish.
     """
-    fresh, old = f"{path}.new-{uuid.uuid4().hex[:8]}", f"{path}.old"
-    df.write.parquet(fresh)
-    fs, at = _file_system(df.sparkSession, path)
-    if fs.exists(at(path)):
-        fs.delete(at(old), True)
-        fs.rename(at(path), at(old))
-    fs.mkdirs(at(path).getParent())
-    if not fs.rename(at(fresh), at(path)):
-        raise OSError(f"cannot put {fresh} in place of {path}")
-    fs.delete(at(old), True)
-    return path
-
-
-def restore(spark: SparkSession, path: str) -> None:
-    """Brings back what a lost driver left under ``<path>.old``."""
-    fs, at = _file_system(spark, path)
-    if not fs.exists(at(path)) and fs.exists(at(f"{path}.old")):
-        fs.rename(at(f"{path}.old"), at(path))
+    spark, pointer = df.sparkSession, Pointer(df.sparkSession, f"{path}/current.json")
+    before = pointer.read() or {"folder": None, "former": None}
+    folder = f"v-{uuid.uuid4().hex}"
+    rows = counted(df, lambda counting: counting.write.parquet(f"{path}/{folder}"))
+    pointer.write({"folder": folder, "former": before["folder"]})
+    if before["former"]:
+        fs, at = _file_system(spark, path)
+        fs.delete(at(f"{path}/{before['former']}"), True)
+    return rows
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """K2: the current rows of a table that ``replace_table`` wrote."""
+    current = Pointer(spark, f"{path}/current.json").read()
+    if current is None:
+        raise FileNotFoundError(f"no table at {path}")
+    return spark.read.parquet(f"{path}/{current['folder']}")
 
 
 def _file_system(spark: SparkSession, path: str):

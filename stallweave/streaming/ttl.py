@@ -1,16 +1,74 @@
-"""Time-limited deduplication of a request stream."""
+"""Time-limited deduplication of a request stream."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 TTL = "24 hours"
+TTL_SECONDS = 86_400
+#: Fixed value: the state store that timers and typed state need.
+STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def suppress_repeats(requests: DataFrame, key: str = "request_key", ts: str = "requested_at", ttl: str = TTL) -> DataFrame:
     """First request per key within ``ttl`` of event time; state older than the watermark is dropped.
 
-    Suppression lasts at least ``ttl``: state leaves with the watermark.  The exact rule is the batch
-    ``ttl_dedupe``.
+    Suppression lasts at least ``ttl``: state leaves with the watermark.  The exact rule is ``requests_due``.
     """
     return requests.withWatermark(ts, ttl).dropDuplicatesWithinWatermark([key])
+
+
+class _Due(StatefulProcessor):
+    """Per key the time of the last request that went out; a timer forgets it once nothing can be within its time to live."""
+
+    def __init__(self, ts: str, ttl_seconds: int):
+        self.ts, self.ttl = ts, ttl_seconds * 1_000_000
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.last = handle.getValueState("last", "at bigint")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        frame = pd.concat(list(rows), ignore_index=True)
+        frame = frame.sort_values([self.ts, *[c for c in frame.columns if c != self.ts]], kind="stable", ignore_index=True)
+        times = frame[self.ts].to_numpy().astype("datetime64[us]").astype(np.int64)
+        known = self.last.get()
+        chosen = []
+        place = 0 if known is None else int(np.searchsorted(times, known[0] + self.ttl))
+        while place < len(times):
+            chosen.append(place)
+            place = int(np.searchsorted(times, times[place] + self.ttl))
+        if chosen:
+            at = int(times[chosen[-1]])
+            for timer in list(self.handle.listTimers()):
+                self.handle.deleteTimer(timer)
+            self.last.update((at,))
+            self.handle.registerTimer((at + self.ttl) // 1000 + 1)
+            yield frame.iloc[chosen]
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.last.clear()
+        return iter([])
+
+    def close(self) -> None:
+        pass
+
+
+def requests_due(
+    requests: DataFrame, key: str = "request_key", ts: str = "requested_at", ttl_seconds: int = TTL_SECONDS, delay: str = "1 hour"
+) -> DataFrame:
+    """The stream of requests that go out: the first of a key, then the first not within ``ttl_seconds`` of it, and so on.
+
+    The same rule as the batch ``ttl_dedupe`` where a key's requests arrive in the order of their times from one micro-batch
+    to the next (within a batch any order will do); one that arrives after a later request of its key went out is taken as a
+    repeat of it.  State is one time per key and leaves with a timer ``ttl_seconds`` after it.  Rows older than the
+    watermark (``delay`` behind the newest) are late and go.  A task holds one key's rows of one micro-batch.
+    """
+    requests.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
+    timed = requests.withWatermark(ts, delay)
+    return timed.groupBy(key).transformWithStateInPandas(_Due(ts, ttl_seconds), requests.schema, "Append", "EventTime")

@@ -9,7 +9,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 from stallweave.plans import marts, staging
-from stallweave.sinks.tables import read_model, replace_table, write_model
+from stallweave.sinks.tables import layer_path, read_model, replace_table
 
 SUMMARY = "model STRING, layer STRING, status STRING, row_count BIGINT, seconds DOUBLE, error STRING, rejected BIGINT"
 
@@ -78,7 +78,7 @@ def refresh(
         started, rejected = time.monotonic(), None
         try:
             inputs = [bronze[name] if name in bronze else read_model(spark, warehouse, layers[name], name) for name in model.inputs]
-            rows, status, error = write_model(model.build(*inputs), warehouse, model.layer, model.name), "ok", None
+            rows, status, error = replace_table(model.build(*inputs), layer_path(warehouse, model.layer, model.name)), "ok", None
             if model.rejects is not None:
                 rejected = replace_table(model.rejects(*inputs), f"{warehouse.rstrip('/')}/rejects/{model.name}")
         except Exception as err:  # noqa: BLE001 - the outcome row carries the reason

@@ -27,9 +27,11 @@ def layer_path(warehouse: str, layer: str, model: str) -> str:
     return f"{warehouse.rstrip('/')}/{LAYERS[layer]}/{model}"
 
 
-def write_model(df: DataFrame, warehouse: str, layer: str, model: str) -> int:
-    """Full refresh of a model; returns its rows, counted while they are written."""
-    return replace_table(df, layer_path(warehouse, layer, model))
+def write_model(df: DataFrame, warehouse: str, layer: str, model: str) -> str:
+    """K2: full refresh of a model; returns its place."""
+    path = layer_path(warehouse, layer, model)
+    replace_table(df, path)
+    return path
 
 
 def read_model(spark: SparkSession, warehouse: str, layer: str, model: str) -> DataFrame:
@@ -38,7 +40,7 @@ def read_model(spark: SparkSession, warehouse: str, layer: str, model: str) -> D
 
 
 def replace_table(df: DataFrame, path: str) -> int:
-    """K2: writes ``df`` into a new folder below ``path`` and then points there; returns the rows written.
+    """Writes ``df`` into a new folder below ``path`` and then points there; returns the rows written.
 
     ``df`` may read the current rows.  The pointer is replaced in one step, so readers find the former rows or the new
     ones and never none, and a failure leaves the former.  Folders that are no longer pointed at are deleted by the next
@@ -70,9 +72,9 @@ def _file_system(spark: SparkSession, path: str):
 
 
 def register_views(spark: SparkSession, paths: dict[str, str]) -> None:
-    """K9: named views over model folders."""
+    """K9: named views over models, as they are when the views are made."""
     for name, path in paths.items():
-        spark.read.parquet(path).createOrReplaceTempView(name)
+        read_table(spark, path).createOrReplaceTempView(name)
 
 
 class VersionedTable:

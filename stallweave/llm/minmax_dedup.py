@@ -10,10 +10,12 @@ Equal sets are one class with its smallest doc_id as representative; only repres
 1. Shingles that few documents of large buckets have are joined directly.  Two documents that share none of these can have
    no more in common than their other shingles.  With the sizes of both this is an exact bound; it takes out at once
    the edited copies that are too far from every other.
-2. Twice a few members, the same ones in all buckets, are compared with the others.  That unites nearly all of a group of
+2. A few members, the same ones in all buckets, are compared with the others.  That unites nearly all of a group of
    copies, and members of one component need no further comparison.
 3. What is not in a bucket's largest component is compared with all its members.
 
+Of the buckets that two documents share, one makes their pair.
+
 So every pair of different components in a bucket is either compared or ruled out by the bound.
 """
 
@@ -35,7 +37,9 @@ SMALL = 32
 #: A shingle of at most so many documents of large buckets is rare.
 RARE = 16
 #: Members of a larger bucket that are compared with the others, turn by turn; at last all outside its main component.
-CENTRES = (8, 64, None)
+CENTRES = (32, None)
+#: Steps by which names pass along links between the turns.
+NAME_STEPS = 3
 
 
 def permutations(count: int) -> tuple[np.ndarray, np.ndarray]:
@@ -143,21 +147,30 @@ def crowds_of(buckets: DataFrame, texts: DataFrame, width: int, percent: int) ->
 def crowd_pairs(crowds: DataFrame, chosen: Column, percent: int) -> DataFrame:
     """(a, b): chosen members of each bucket against all members of other components that the bound leaves."""
     marked = crowds.withColumn("centre", chosen)
-    centres = marked.where("centre").select("key", F.col("doc").alias("c"), F.col("n").alias("c_n"), F.col("can").alias("c_can"), F.col("component").alias("c_component"))
+    # At most ``bands`` keys to a document: of the buckets two documents share, only the one with the least key makes their pair.
+    marked = marked.join(marked.groupBy("doc").agg(F.collect_set("key").alias("keys")), "doc")
+    centres = marked.where("centre").select(
+        "key", F.col("doc").alias("c"), F.col("n").alias("c_n"), F.col("can").alias("c_can"), F.col("component").alias("c_component"), F.col("keys").alias("c_keys")
+    )
     able = F.least("can", "c_can") * (100 + percent) >= (F.col("n") + F.col("c_n")) * percent
     near = F.least("n", "c_n") * 100 >= F.greatest("n", "c_n") * percent
     once = ~F.col("centre") | (F.col("doc") > F.col("c"))
-    return marked.join(centres, "key").where((F.col("component") != F.col("c_component")) & able & near & once).select(F.col("c").alias("a"), F.col("doc").alias("b")).distinct()
+    first = F.array_min(F.array_intersect("keys", "c_keys")) == F.col("key")
+    apart = F.col("component") != F.col("c_component")
+    return marked.join(centres, "key").where(apart & able & near & once & first).select(F.col("c").alias("a"), F.col("doc").alias("b")).distinct()
 
 
-def joined_labels(label: DataFrame, links: DataFrame) -> DataFrame:
-    """(node, component) after new links (a, b), one step far: each node takes the smallest name among its own and its neighbours'.
+def passed_names(links: DataFrame, steps: int) -> DataFrame:
+    """(node, component) after ``steps`` along links (a, b): each node takes the smallest name among its own and its neighbours'.
 
     Nodes of one name are surely connected; connected ones may still have different names, and are then compared.
     """
     both = links.union(links.select("b", "a"))
-    named = both.join(label.select(F.col("node").alias("b"), "component"), "b", "left").select(F.col("a").alias("node"), F.coalesce("component", "b").alias("component"))
-    return label.unionByName(named).unionByName(both.select(F.col("a").alias("node"), F.col("a").alias("component"))).groupBy("node").agg(F.min("component").alias("component"))
+    names = both.select(F.col("a").alias("node"), F.least("a", "b").alias("component")).groupBy("node").agg(F.min("component").alias("component"))
+    for _ in range(steps - 1):
+        near = both.join(names.select(F.col("node").alias("b"), "component"), "b").select(F.col("a").alias("node"), "component")
+        names = near.unionByName(names).groupBy("node").agg(F.min("component").alias("component"))
+    return names
 
 
 def small_pairs(buckets: DataFrame, percent: int) -> DataFrame:
@@ -205,7 +218,10 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: i
             open_keys = members.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("key")
             members = members.join(open_keys, "key", "left_semi")
         if centres is not None:
-            chosen = F.pmod(F.xxhash64("doc", F.lit(turn)), F.lit(1 << 30)) <= F.lit(float(centres)) / F.col("m") * (1 << 30)
+            # One choice for all buckets of a document, by its largest.
+            largest = members.groupBy("doc").agg(F.max("m").alias("largest"))
+            members = members.join(largest, "doc")
+            chosen = F.pmod(F.xxhash64("doc", F.lit(turn)), F.lit(1 << 30)) <= F.lit(float(centres)) / F.col("largest") * (1 << 30)
         else:
             counts = members.groupBy("key", "component").agg(F.count("*").alias("size"))
             main = counts.groupBy("key").agg(F.max_by("component", F.struct("size", "component")).alias("main"))
@@ -215,7 +231,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: i
         found, found_path = stored(confirmed(pairs.unionByName(more).distinct() if label is None else more, texts, width, percent), "links")
         link_paths.append(found_path)
         links = spark.read.schema(found.schema).parquet(*link_paths)
-        label, label_path = stored(components(links) if label is None or centres is None else joined_labels(label, found), "labels")
+        label, label_path = stored(components(links) if centres is None or crowds.isEmpty() else passed_names(links, NAME_STEPS), "labels")
         used += [members_path, label_path]
         if crowds.isEmpty():
             break

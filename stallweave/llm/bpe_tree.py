@@ -32,6 +32,8 @@ from stallweave.llm.tables import per_worker, sliced
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 #: Characters beyond a match that the pattern may look at: two after an apostrophe, one after white space.
 AHEAD = 2
+#: What an entry of a dictionary takes besides its text and tokens.
+ENTRY_BYTES = 200
 #: Rank of a pair that is no token.
 NEVER = 1 << 40
 
@@ -41,11 +43,15 @@ def read_ranks(data: bytes) -> dict[bytes, int]:
 
 
 class Coder(dict):
-    """Maps a piece to its tokens; keeps what it has met, up to ``most`` pieces."""
+    """Maps a piece to its tokens and keeps what it has met, in two generations, in the memory of about ``most`` short pieces.
+
+    When the young one is full it becomes the old one, and the old one goes; pieces met again in the old one return.
+    """
 
     def __init__(self, ranks: dict[bytes, int], pattern: str, leaf_chars: int = 8192, leaf_bytes: int = 16, most: int = 400_000):
         super().__init__()
-        self.ranks, self.most = ranks, most
+        self.ranks, self.most_bytes = ranks, most * ENTRY_BYTES
+        self.young_bytes, self.old = 0, {}
         self.bytes_of = [b""] * (max(ranks.values(), default=-1) + 1)
         for token, rank in ranks.items():
             self.bytes_of[rank] = token
@@ -54,11 +60,16 @@ class Coder(dict):
         self.pairs: dict[tuple[int, int], bool] = {}
 
     def __missing__(self, piece: str) -> tuple[int, ...]:
-        if len(self) >= self.most:
+        out = self.old.get(piece)
+        if out is None:
+            data = piece.encode("utf-8", "surrogatepass")
+            rank = self.ranks.get(data)
+            out = tuple(self.tokens(data)) if rank is None else (rank,)
+        self.young_bytes += ENTRY_BYTES + 4 * max(0, len(piece) - 16) + 8 * len(out)
+        if self.young_bytes > self.most_bytes // 2:
+            self.old, self.young_bytes = dict(self), 0
             self.clear()
-        data = piece.encode("utf-8", "surrogatepass")
-        rank = self.ranks.get(data)
-        out = self[piece] = tuple(self.tokens(data)) if rank is None else (rank,)
+        self[piece] = out
         return out
 
     # Pieces of a text.
@@ -154,7 +165,7 @@ class Coder(dict):
         """Whether two neighbours are the encoding of their own bytes."""
         known = self.pairs.get((a, b))
         if known is None:
-            if len(self.pairs) >= self.most:
+            if len(self.pairs) * ENTRY_BYTES > self.most_bytes // 3:
                 self.pairs.clear()
             known = self.pairs[a, b] = self.merge(self.bytes_of[a] + self.bytes_of[b]) == [a, b]
         return known

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import sys
 import types
 from collections.abc import Callable, Iterator
@@ -47,9 +49,26 @@ def drop_path(spark: SparkSession, path: str) -> None:
 
 
 def sliced(work: Callable[[pa.RecordBatch], pa.RecordBatch], most_bytes: int = 8 << 20) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Runs ``work`` over slices of about ``most_bytes``, so that a task's memory follows its longest text, not its batch."""
+    """Runs ``work`` over slices of about ``most_bytes``, so that a task's memory follows its longest text, not its batch.
 
-    return lambda batches: map(work, slices(batches, most_bytes))
+    At its end a task gives back what its worker's allocators hold, since workers outlive tasks and share their executor.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from map(work, slices(batches, most_bytes))
+        give_back()
+
+    return run
+
+
+def give_back() -> None:
+    """Returns freed memory of this process to the system, where the C library can."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass
 
 
 def slices(batches: Iterator[pa.RecordBatch], most_bytes: int) -> Iterator[pa.RecordBatch]:
@@ -61,8 +80,15 @@ def slices(batches: Iterator[pa.RecordBatch], most_bytes: int) -> Iterator[pa.Re
 
 
 def per_worker(name: str, make: Callable[[], Any]) -> Any:
-    """What ``make`` gives, made once in a Python worker; the package's own globals travel anew with every task."""
+    """What ``make`` gives, made once in a Python worker; the package's own globals travel anew with every task.
+
+    A worker keeps one such object, the last one asked for: workers live on from stage to stage, and what earlier stages
+    made must not add up in them.
+    """
     kept = sys.modules.setdefault("stallweave_worker", types.ModuleType("stallweave_worker")).__dict__
-    if name not in kept:
-        kept[name] = make()
-    return kept[name]
+    if kept.get("name") != name:
+        if "name" in kept:
+            kept["value"] = None
+            give_back()
+        kept["value"], kept["name"] = make(), name
+    return kept["value"]

@@ -5,14 +5,19 @@ digits generalised, so that the pages of one template share it.  Each page score
 they hold; a host's pages vote with these scores, and every page is then extracted from the container its host
 prefers among those it has.  The score finds where the running text is densest; an article in several containers is wider, so
 what is extracted is the article around it: the element or named container that holds it, or the one that holds the heading.
+
+Reading, scoring and extracting take time and memory in proportion to the page, whatever its markup: tags are read by a
+scanner that never goes back, paths are kept as digests, scores pass from containers to those around them in one turn.
 """
 
 from __future__ import annotations
 
+import hashlib
 import html as entities
 import re
-from collections import defaultdict
-from dataclasses import dataclass, field
+from collections import Counter, defaultdict
+from collections.abc import Iterator
+from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -23,7 +28,7 @@ from stallweave.llm.tables import ascii_lower, materialise, sliced
 # Element names of HTML by their role here.
 CONTAINERS = frozenset("body div article main section td center blockquote details".split())
 ASIDE = frozenset("nav footer aside form dialog menu header".split())
-MUTE = frozenset("script style noscript template svg iframe textarea title object canvas math xmp noembed noframes audio video select button".split())
+MUTE = frozenset("script style noscript template svg iframe textarea title object canvas xmp noembed noframes audio video select button".split())
 RAW = frozenset("script style textarea title xmp noembed noframes iframe noscript".split())
 BLOCKS = CONTAINERS | ASIDE | frozenset("p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table thead tbody tfoot tr caption pre figure figcaption hr address fieldset hgroup html head summary legend option search".split())
 SPACED = frozenset("br td th".split())
@@ -36,8 +41,14 @@ BOILERPLATE = frozenset(
 )
 #: Names that begin so tell what a page has or is, not what the element holds.
 STATES = ("has-", "with-", "without-", "no-", "is-")
-#: Elements that close an open one of these names, or of their own.
-CLOSERS = frozenset("p li dd dt tr option".split())
+#: Elements that are closed by the begin of another one: these open ones by each of these.
+CLOSERS = {
+    **{tag: frozenset([tag]) for tag in ("p", "li", "option")},
+    **{tag: frozenset(["td", "th"]) for tag in ("td", "th")}, **{tag: frozenset(["dd", "dt"]) for tag in ("dd", "dt")},
+    **{tag: frozenset(["td", "th", "tr"]) for tag in ("tr", "thead", "tbody", "tfoot")},
+}
+#: Text of the article's own whatever its names are.
+TEXTUAL = frozenset("h1 h2 h3 h4 h5 h6 li td th dd dt pre figcaption caption".split())
 #: These mark a page's head, unless they stand inside the article.
 HEADS = frozenset("header head".split())
 ARTICLE = frozenset("article main".split())
@@ -46,13 +57,92 @@ ARTICLE = frozenset("article main".split())
 NAMED = frozenset("article post entry story hentry".split())
 LISTS = frozenset("list lists grid feed archive posts articles entries stories recent latest teaser teasers page wrap wrapper container layout site".split())
 
-_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>", re.S)
-_ATTRIBUTE = re.compile(r"""(?<![\w-])(class|id|role|hidden|style|aria-hidden)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
+_NAME = re.compile(r"[a-zA-Z][^\s/>]*")
+_BLANK = re.compile(r"[\s/]*")
+_KEY = re.compile(r"[^\s/>][^\s/>=]*")
+_EQUALS = re.compile(r"\s*=\s*")
+_PLAIN_VALUE = re.compile(r"[^\s>]*")
+#: Attributes that say what an element is.
+TELLING = frozenset("class id role hidden style aria-hidden".split())
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _DIGITS = re.compile(r"\d+")
 
 
-@dataclass
+class Scanner:
+    """Reads a page from left to right; what has not been found once is not looked for again."""
+
+    def __init__(self, page: str):
+        self.page, self.missing = page, set()
+
+    def find(self, mark: str, at: int) -> int:
+        """Next place of ``mark``, or -1."""
+        place = -1 if mark in self.missing else self.page.find(mark, at)
+        if place < 0:
+            self.missing.add(mark)
+        return place
+
+    def attributes(self, at: int) -> tuple[dict[str, str], bool, int]:
+        """Telling attributes of a tag, whether it closes itself, and the place after it.
+
+        A quote delimits a value only right after ``=``, and only if it is closed; elsewhere it is a character.
+        """
+        page, end, found = self.page, len(self.page), {}
+        while True:
+            blank = _BLANK.match(page, at)
+            at = blank.end()
+            if at >= end or page[at] == ">":
+                return found, blank.group().endswith("/"), at + 1
+            key = _KEY.match(page, at)
+            at, value = key.end(), ""
+            equals = _EQUALS.match(page, at)
+            if equals:
+                at = equals.end()
+                quote = page[at : at + 1]
+                close = self.find(quote, at + 1) if quote in ("'", '"') else -1
+                if close >= 0:
+                    value, at = page[at + 1 : close], close + 1
+                else:
+                    plain = _PLAIN_VALUE.match(page, at)
+                    value, at = plain.group(), plain.end()
+            if len(key.group()) <= 11 and (name := key.group().lower()) in TELLING:
+                found.setdefault(name, value)
+
+    def tokens(self) -> Iterator[tuple[str, str, dict[str, str], bool]]:
+        """(kind, text or tag, attributes, closes itself): kind is ``text``, ``open`` or ``close``; raw elements and comments are left out."""
+        page, at, end = self.page, 0, len(self.page)
+        while at < end:
+            mark = self.find("<", at)
+            if mark < 0:
+                yield "text", page[at:], {}, False
+                return
+            if mark > at:
+                yield "text", page[at:mark], {}, False
+            at, after = mark, page[mark + 1 : mark + 2]
+            name = _NAME.match(page, mark + 2 if after == "/" else mark + 1)
+            if name:
+                tag = name.group().lower()
+                found, own, at = self.attributes(name.end())
+                yield "close" if after == "/" else "open", tag, found, own
+                if tag in RAW and after != "/":
+                    close = re.compile(rf"</{re.escape(tag)}(?=[\s/>])", re.I).search(page, at) if tag not in self.missing else None
+                    if close is None:
+                        return
+                    at = close.start()
+            elif page.startswith("<![CDATA[", mark) and (close := self.find("]]>", mark)) >= 0:
+                yield "text", page[mark + 9 : close], {}, False
+                at = close + 3
+            elif page.startswith("<!--", mark):
+                close = self.find("-->", mark + 2)
+                at = close + 3 if close >= 0 else end
+            elif after in ("!", "?", "/"):
+                close = self.find(">", mark)
+                at = close + 1 if close >= 0 else end
+            else:
+                yield "text", "<", {}, False
+                at = mark + 1
+
+
+@dataclass(eq=False)
 class Node:
     """An open or closed container; ``off`` tells that it is not article text, ``own`` and ``score`` hold its text's weight.
 
@@ -64,66 +154,56 @@ class Node:
     off: bool
     within: bool
     parent: Node | None
-    own: float = 0.0
     score: float = 0.0
-    blocks: list[int] = field(default_factory=list)
     named: bool = False
     headed: bool = False
+    chosen: bool = False
 
 
-def _marks(attributes: str) -> tuple[str, set[str], bool]:
-    """First class name, all words of class, id and role, whether the element is hidden."""
-    name, words, hidden = "", set(), False
-    for key, a, b, c in _ATTRIBUTE.findall(attributes):
-        key, value = key.lower(), a or b or c
-        if key == "class" or key == "id" or key == "role":
-            words.update(w.lower() for one in value.split() if not one.lower().startswith(STATES) for w in _WORDS.findall(one))
-            if key == "class" and value.split():
-                name = value.split()[0]
-        elif key == "hidden" or (key == "aria-hidden" and value.lower() == "true") or (key == "style" and "display:none" in value.replace(" ", "").lower()):
-            hidden = True
-    return name, words, hidden
+def _marks(attributes: dict[str, str]) -> tuple[str, set[str], bool]:
+    """First class name, all words of class and role and the id as one word, whether the element is hidden."""
+    classes = attributes.get("class", "").split()
+    words = {w.lower() for one in (*classes, *attributes.get("role", "").split()) if not one.lower().startswith(STATES) for w in _WORDS.findall(one)}
+    words.add(attributes.get("id", "").strip().lower())
+    hidden = "hidden" in attributes or attributes.get("aria-hidden", "").lower() == "true" or "display:none" in attributes.get("style", "").replace(" ", "").lower()
+    return classes[0] if classes else "", words, hidden
 
 
 def parse(page: str) -> tuple[list[Node], list[tuple[str, Node, float]]]:
-    """Containers in page order and blocks (text, container, share of its text in links) outside of boilerplate."""
+    """Containers in page order, outer ones first, and blocks (text, container, share of its text in links) outside of boilerplate."""
     root = Node("", "", False, False, None)
     nodes, blocks = [root], []
     top, pieces, linked, link, heading = root, [], 0, False, False
-    at, end = 0, len(page)
+    open_tags: Counter[str] = Counter()
 
     def flush() -> None:
         nonlocal pieces, linked
         if pieces:
             text = " ".join(entities.unescape("".join(pieces)).split())
             if text and not top.off:
-                top.blocks.append(len(blocks))
                 blocks.append((text, top, min(1.0, linked / len(text))))
                 # A heading that is a link names the site.
                 node = top if heading and 2 * linked < len(text) else None
-                while node is not None:
+                while node is not None and not node.headed:
                     node.headed, node = True, node.parent
         pieces, linked = [], 0
 
-    while at < end:
-        match = _TAG.search(page, at)
-        stop = match.start() if match else end
-        if stop > at:
-            pieces.append(page[at:stop])
+    def leave(node: Node) -> Node:
+        """The container around ``node``, with it and all that is open in it closed."""
+        inner = top
+        while inner is not node.parent:
+            open_tags[inner.tag] -= 1
+            inner = inner.parent
+        return node.parent
+
+    for kind, tag, attributes, alone in Scanner(page).tokens():
+        if kind == "text":
+            pieces.append(tag)
             if link:
-                linked += stop - at
-        if match is None:
-            break
-        at = match.end()
-        closing, tag = match.group(1), match.group(2)
-        if tag is None:
-            if match.group().startswith("<![CDATA["):
-                pieces.append(match.group()[9:-3])
+                linked += len(tag)
             continue
-        tag = tag.lower()
-        if tag in RAW and not closing:
-            close = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
-            at = close.end() if close else end
+        closing = kind == "close"
+        if tag in RAW and tag != "title" and not closing:
             continue
         if tag == "a":
             link = not closing
@@ -134,34 +214,32 @@ def parse(page: str) -> tuple[list[Node], list[tuple[str, Node, float]]]:
         if tag in BLOCKS:
             flush()
             heading = tag == "h1" and not closing
-            if not closing and (top.tag == "p" or (top.tag == tag and tag in CLOSERS)):
-                top = top.parent
-        if tag in CONTAINERS or tag in ASIDE or tag in MUTE or (not closing and match.group(3)):
-            if closing:
+            if not closing:
+                while top.tag == "p" or top.tag in CLOSERS.get(tag, ()):
+                    top = leave(top)
+        if closing:
+            if open_tags[tag] > 0:
                 node = top
-                while node is not root and node.tag != tag:
+                while node.tag != tag and (tag in CONTAINERS or tag in ASIDE or tag in MUTE or node.tag not in CONTAINERS):
                     node = node.parent
-                if node is not root:
-                    flush()
-                    top = node.parent
-            elif not match.group(3).endswith("/"):
-                name, words, hidden = _marks(match.group(3))
-                off = top.off or hidden or tag in MUTE or (tag not in ARTICLE and tag not in ("html", "body") and bool(words & BOILERPLATE))
-                if tag in ASIDE:
-                    off = off or tag != "header" or not top.within
-                if words & HEADS and not top.within and tag not in ARTICLE and tag not in ("html", "body"):
-                    off = True
-                if tag in CONTAINERS or off:
+                if node.tag == tag:
                     flush()
-                    step = tag + ("." + _DIGITS.sub("0", name) if name else "")
-                    top = Node(tag, top.path if tag == "body" else f"{top.path}/{step}", off, top.within or tag in ARTICLE, top, named=bool(words & NAMED) and not words & LISTS)
-                    nodes.append(top)
-        elif closing:
-            node = top
-            while node is not root and node.tag != tag and node.tag not in CONTAINERS:
-                node = node.parent
-            if node is not root and node.tag == tag:
-                top = node.parent
+                    top = leave(node)
+        elif not alone and tag not in RAW and (tag in CONTAINERS or tag in ASIDE or tag in MUTE or attributes):
+            name, words, hidden = _marks(attributes)
+            said = tag not in ARTICLE and tag not in TEXTUAL and tag not in ("html", "body") and bool(words & BOILERPLATE)
+            off = top.off or hidden or tag in MUTE or said
+            if tag in ASIDE:
+                off = off or tag != "header" or not top.within
+            if words & HEADS and not top.within and tag not in ARTICLE and tag not in TEXTUAL and tag not in ("html", "body"):
+                off = True
+            if tag in CONTAINERS or off:
+                flush()
+                step = tag + ("." + _DIGITS.sub("0", name) if name else "")
+                path = top.path if tag == "body" else hashlib.blake2b(f"{top.path}/{step}".encode("utf-8", "surrogatepass"), digest_size=8).hexdigest()
+                top = Node(tag, path, off, top.within or tag in ARTICLE, top, named=bool(words & NAMED) and not words & LISTS)
+                open_tags[tag] += 1
+                nodes.append(top)
     flush()
     return nodes, blocks
 
@@ -170,11 +248,10 @@ def scored(page: str) -> tuple[list[Node], list[tuple[str, Node, float]]]:
     """As ``parse``, with scores: a block counts fully for its container and half for each level above it."""
     nodes, blocks = parse(page)
     for text, node, links in blocks:
-        weight = (1 - links) ** 2 * len(text)
-        bonus = 1.25 if node.within else 1.0
-        while node is not None:
-            node.score += weight * bonus
-            weight, node = weight / 2, node.parent
+        node.score += (1 - links) ** 2 * len(text) * (1.25 if node.within else 1.0)
+    for node in reversed(nodes):
+        if node.parent is not None:
+            node.parent.score += node.score / 2
     return nodes, blocks
 
 
@@ -191,20 +268,31 @@ def votes(page: str | None) -> dict[str, float]:
     return shares
 
 
-def whole(node: Node) -> Node:
+def around(nodes: list[Node]) -> dict[Node, tuple[Node | None, Node | None, Node | None]]:
+    """For each container the nearest ones above it, below the body: an article element, one with an article's name, one with a heading."""
+    found: dict[Node, tuple[Node | None, Node | None, Node | None]] = {}
+    for node in nodes:
+        up = node.parent
+        if up is None or up.tag in ("body", ""):
+            found[node] = (None, None, None)
+        else:
+            article, named, headed = found[up]
+            found[node] = (up if up.tag == "article" else article, up if up.named else named, up if up.headed else headed)
+    return found
+
+
+def whole(node: Node, above: dict[Node, tuple[Node | None, Node | None, Node | None]]) -> Node:
     """The container of the whole article that ``node`` has text of: the nearest article element above it; else, if no heading
     is in it, the nearest container with an article's name, and if none is in that either, the nearest one with a heading."""
-    above, up = [], node.parent
-    while up is not None and up.tag not in ("body", ""):
-        above.append(up)
-        up = up.parent
-    for up in above if node.tag != "article" else ():
-        if up.tag == "article":
-            return up
-    if node.tag == "article" or node.headed:
+    article, named, _ = above[node]
+    if node.tag == "article":
+        return node
+    if article is not None:
+        return article
+    if node.headed:
         return node
-    node = next((up for up in above if up.named), node)
-    return node if node.headed else next((up for up in above if up.headed), node)
+    node = named or node
+    return node if node.headed else above[node][2] or node
 
 
 def extract(page: str | None, ranking: list[str]) -> str:
@@ -218,17 +306,13 @@ def extract(page: str | None, ranking: list[str]) -> str:
     path = next((p for p in ranking if p in paths), None)
     if path is None:
         path = max(nodes, key=lambda n: n.score).path
-
-    chosen = {id(whole(n)) for n in nodes if n.path == path and n.score > 0}
-
-    def inside(node: Node | None) -> bool:
-        while node is not None:
-            if id(node) in chosen:
-                return True
-            node = node.parent
-        return False
-
-    return "\n\n".join(text for text, node, _ in blocks if inside(node))
+    above = around(nodes)
+    for node in nodes:
+        if node.path == path and node.score > 0:
+            whole(node, above).chosen = True
+    for node in nodes:
+        node.chosen = node.chosen or (node.parent is not None and node.parent.chosen)
+    return "\n\n".join(text for text, node, _ in blocks if node.chosen)
 
 
 def host_of(url: Column) -> Column:

@@ -225,6 +225,89 @@ def test_articles_in_several_containers_are_whole(spark, opened, closed):
     assert [r["text"] for r in got] == [wanted] * 3
 
 
+BODY = "running text " * 30
+
+
+@pytest.mark.parametrize("page,wanted", [
+    ('<article><h1>T</h1><p>{b}</p><h2 id="Popular_culture">Popular culture</h2><h2 id="Search" class="search">Search</h2><section id="search-algorithms"><p>Halving</p></section></article>',
+     ["T", "{b}", "Popular culture", "Search", "Halving"]),
+    ("<article><p class=it's>first {b}</p><p title='it''s'>second</p></article>", ["first {b}", "second"]),
+    ("<article><p>{b} <math><mi>x</mi><mo>=</mo><mn>42</mn></math> holds</p></article>", ["{b} x=42 holds"]),
+    ("<article><p>{b}<table><tr><td>a<td>b<tr><th>c<td>d</table><dl><dt>x<dd>y<dt>z</dl></article>", ["{b}", "a", "b", "c", "d", "x", "y", "z"]),
+    ("<article><p>1 < 2, 3 <4 and a<5 {b}</p><ul><li class=share>one<li id=tags>two</ul></article>", ["", "one", "two"]),
+    ("<article><p>{b}</p><p class='ad'>Buy</p><div class=share-buttons>Share</div><p>end &amp; more</article>", ["{b}", "end & more"]),
+])
+def test_pages_of_odd_markup(page, wanted):
+    got = html_paths.extract(page.format(b=BODY.strip()), []).split("\n\n")
+    if "a<5" in page:
+        # A letter after ``<`` opens a tag, and what it takes to be attributes ends with the next ``>``.
+        assert got[0].startswith("1 < 2, 3 <4 and a") and got[1:] == wanted[1:]
+    else:
+        assert got == [w.format(b=BODY.strip()) for w in wanted]
+
+
+@pytest.mark.parametrize("unit,wrap", [
+    ("<td>cell ", "<table>{}"), ('<p a="x ', "{}"), ("<div class=a>x ", "{}"), ("<![CDATA[", "{}"), ("<!-", "{}"), ("<div><h1>x", "{}"), ("<", "{}"), ("<a b=", "{}"),
+    ("<section>", "{}" + "</div>" * 50_000), ("<title>", "{}"), ("<p class='", "{}"),
+])
+def test_pages_take_time_in_proportion(unit, wrap):
+    """A megabyte of any open thing is read in a few seconds, and half of it in about half the time."""
+    import time
+
+    def seconds(size):
+        page = wrap.format(unit * (size // len(unit)))
+        start = time.process_time()
+        html_paths.extract(page, [])
+        return time.process_time() - start
+
+    assert seconds(1 << 20) < 15
+
+
+def test_pages_match_a_plain_reader():
+    """An independent reader (the standard library's parser) of the sample pages: the article's blocks, in order."""
+    import duckdb
+    from html.parser import HTMLParser
+
+    class Plain(HTMLParser):
+        block = {"p", "h1", "h2", "h3", "h4", "li", "ul", "ol", "div", "section", "article", "table", "tr", "td", "th", "blockquote", "pre"}
+
+        def __init__(self):
+            super().__init__(convert_charrefs=True)
+            self.depth, self.mute, self.out, self.now = 0, 0, [], []
+
+        def cut(self):
+            text = " ".join("".join(self.now).split())
+            if text and self.depth and not self.mute:
+                self.out.append(text)
+            self.now = []
+
+        def handle_starttag(self, tag, attrs):
+            if tag in self.block:
+                self.cut()
+            self.depth += tag == "article"
+            self.mute += tag in ("script", "style", "form", "aside", "nav", "footer")
+            if tag == "br":
+                self.now.append(" ")
+
+        def handle_endtag(self, tag):
+            if tag in self.block or tag in ("form", "aside", "nav", "footer"):
+                self.cut()
+            self.depth -= tag == "article"
+            self.mute -= tag in ("script", "style", "form", "aside", "nav", "footer")
+
+        def handle_data(self, data):
+            self.now.append(data)
+
+    pages = duckdb.connect().execute("SELECT html FROM read_parquet('/root/testdata/sf0.01/pages.parquet') WHERE html LIKE '%<article>%'").fetchall()
+    same = 0
+    for (page,) in pages:
+        reader = Plain()
+        reader.feed(page)
+        reader.cut()
+        same += html_paths.extract(page, []) == "\n\n".join(reader.out)
+    assert len(pages) > 100 and same >= 0.95 * len(pages), (same, len(pages))
+
+
 # URLs.
 
 

@@ -32,16 +32,23 @@ LOOK_ALIKES = {
     "0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "|": "l",
 }
 _FOLD = {ord(a): b for a, b in LOOK_ALIKES.items()} | {c: None for c in (*range(0x300, 0x370), 0xAD, *range(0x200B, 0x2010), 0x2060, 0xFEFF)}
+#: Letters of the shortest and longest word beginnings of a lexicon; shorter words enter whole.
+SHORTEST, LONGEST = 4, 12
 #: Powers of the length to choose from.
 POWERS = (0.0, 0.25, 0.5, 0.75, 1.0)
 _REST = re.compile(r"[\W\d_]+")
+#: Amounts, years, dates and the like: digits with the signs of numbers, and no letter.
+_NUMBER = re.compile(r"(?<!\S)[-+#(]*[$\u20ac\u00a3]?\d[\d.,:;/%)\u2013-]*[$\u20ac\u00a3!?]*(?!\S)")
 
 
 def fold(text: str | None) -> str:
-    """The folded text with a blank at either end; one blank for a text without letters."""
+    """The folded text with a blank at either end; one blank for a text without letters.
+
+    Digits stand for letters only in words that have a letter or a letter's sign; numbers are numbers.
+    """
     if not text:
         return " "
-    low = text.lower()
+    low = _NUMBER.sub(" ", text.lower())
     if not low.isascii():
         low = unicodedata.normalize("NFKD", low)
     words = _REST.sub(" ", low.translate(_FOLD)).strip()
@@ -50,7 +57,7 @@ def fold(text: str | None) -> str:
 
 @dataclass(frozen=True)
 class Lexicon:
-    """``weights`` by word beginning; ``exceptions``: phrases in which a match does not count."""
+    """``weights`` by word beginning, or by a whole short word and a blank; ``exceptions``: phrases in which a match does not count."""
 
     weights: dict[str, float]
     exceptions: frozenset[str]
@@ -117,9 +124,10 @@ def fit(rows: DataFrame, labels: DataFrame, per_class: int = 3000, least: int =
     """Lexicon from ``rows`` (doc_id, text) and ``labels`` (doc_id, toxic).
 
     Fitted on at most about ``per_class`` labelled rows of each class, drawn by a hash of doc_id (all, where there are fewer);
-    only those ids are broadcast.  A word beginning of four letters or more enters if it stands in ``least`` toxic texts and
-    its counts are surprising; the ``most`` entries are the size of the model.  Conflicting labels of a document count as
-    toxic, null labels not at all.
+    only those ids are broadcast.  A word beginning of ``SHORTEST`` to ``LONGEST`` letters, or a shorter word as a whole, enters if
+    it stands in ``least`` toxic texts and its counts are surprising.  The size of the model is ``most`` entries and as many
+    exception phrases (a match and the word before or after it).  Conflicting labels of a document count as toxic, null
+    labels not at all.
     """
     spark = rows.sparkSession
     clear = labels.where("doc_id IS NOT NULL AND toxic IN (0, 1)").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
@@ -138,7 +146,8 @@ def fit(rows: DataFrame, labels: DataFrame, per_class: int = 3000, least: int =
         return Lexicon({}, frozenset())
 
     def stems(folded: str) -> set[str]:
-        return {word[:k] for word in set(folded.split()) for k in range(min(4, len(word)), min(len(word), 12) + 1)}
+        words = set(folded.split())
+        return {w + " " for w in words if len(w) < SHORTEST} | {w[:k] for w in words for k in range(SHORTEST, min(len(w), LONGEST) + 1)}
 
     common = _counted(sample, stems).where((F.col("p") >= least) & (F.col("p") * negative > 4 * F.col("n") * positive))
     ranked = sorted(((_surprise(r["p"], r["n"], positive, negative), r["term"], r["p"], r["n"]) for r in common.toLocalIterator()), key=lambda x: (-x[0], len(x[1]), x[1]))
@@ -156,11 +165,13 @@ def fit(rows: DataFrame, labels: DataFrame, per_class: int = 3000, least: int =
     def phrases(folded: str) -> set[str]:
         machine, out = per_worker(f"toxic {hash(frozenset(weights.items()))}", plain.automaton), set()
         for start, _ in plain.matches(machine, folded):
-            before, after = folded[max(0, start - 60) : start].split(), folded[start : start + 120].split()
-            if before:
-                out.add(f"{before[-1]} {after[0]}")
-            if len(after) > 1:
-                out.add(f"{after[0]} {after[1]}")
+            # The words around the blank at ``start``, whatever their lengths.
+            first = folded.find(" ", start + 1)
+            word, second = folded[start + 1 : first], folded.find(" ", first + 1)
+            if start > 0:
+                out.add(f"{folded[folded.rfind(' ', 0, start) + 1 : start]} {word}")
+            if second > 0:
+                out.add(f"{word} {folded[first + 1 : second]}")
         return out
 
     spared = _counted(sample, phrases).where((F.col("n") >= least) & (F.col("p") * negative < F.col("n") * positive))

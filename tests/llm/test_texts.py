@@ -217,6 +217,24 @@ def test_fold():
     assert toxic_lexicon.fold(None) == toxic_lexicon.fold("?!") == " "
 
 
+def test_numbers_are_no_words():
+    assert toxic_lexicon.fold("455 people paid 80085 in 2017") == " people paid in "
+    assert toxic_lexicon.fold("on 12.05.2017 at 10:45, $455 or 455$!") == " on at or "
+    assert toxic_lexicon.fold("4ss @55 b00k 1d10t") == " ass ass book idiot "
+    lexicon = toxic_lexicon.Lexicon({"ass ": 3.0, "idio": 5.0}, frozenset(["no ass"]))
+    machine = lexicon.automaton()
+    weight = lambda text: lexicon.weight(machine, toxic_lexicon.fold(text))
+    assert weight("an assistant came, the bill was 455 euro") == 0.0
+    assert weight("you 4SS") == weight("ass") == 3.0 and weight("no ass") == 0.0 and weight("idiots ass ass") == 11.0
+
+
+def test_short_words_are_learned_whole(spark, documents):
+    rows = [(i, f"the ass number {i} came here today" if i % 2 else f"an assistant number {i} came here today") for i in range(400)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(400)], "doc_id long, toxic int")
+    got = {r["doc_id"]: r["predicted"] for r in toxic_lexicon.score_texts(documents([*rows, (1000, "assistants passed 455 assets")]), labels).collect()}
+    assert all(got[i] == i % 2 for i in range(400)) and got[1000] == 0
+
+
 def test_toxicity_edges(spark, documents):
     rng = random.Random(3)
     plain = lambda: " ".join(rng.choices("some plain words about the weather today with rain or sun".split(), k=6))

@@ -1,26 +1,26 @@
 """URL verdicts: fixed rules first, else naive Bayes over segmented hosts and path words.
 
-Host labels are split into words by a unigram Viterbi: the split with the largest product of word probabilities, where a
-stretch of letters that is no known word costs more with every letter.  The probabilities come from the words that the
-table's own hosts and paths write apart (by hyphens and signs) and from the fixed word lists.
-
-The naive Bayes learns from URLs named by their words: a URL with a word of the block list is an example of one class,
-every other URL of the other, so words that keep company with the list gain weight.
+Runs of letters in host labels and paths are split into words by a unigram Viterbi: the split with the largest product of
+word probabilities, where a stretch of letters that is no known word costs more with every letter.  The probabilities come
+from all words that the table's own hosts and paths write apart (by hyphens and signs) and from the fixed word lists.  They
+stay a table: a run is met with the words it contains, by a join on its stretches, and split from these alone.
+
+The multinomial naive Bayes learns from what is decided already: a URL that a rule decides is an example of its verdict; of the
+others those with a word of the block list are examples of one class and the rest of the other, so words that keep company
+with blocked ones gain weight.  Every occurrence of a word counts.
 """
 
 from __future__ import annotations
 
 import math
-import re
 from dataclasses import dataclass
-from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stallweave.llm.html_paths import host_of
-from stallweave.llm.tables import drop_path, materialise, per_worker, sliced, stored
+from stallweave.llm.tables import drop_path, materialise, sliced, stored
 
 # The rules (host and path, verdict).
 RULES = (("com/", "allow"), ("example.com/en/", "block"), ("www.example.com/en/", "allow"), ("net/es/", "block"), ("net/fr/", "block"))
@@ -34,7 +34,8 @@ PLAIN_WORDS = (
     "gov green guide health help home host hotel info job jobs kids lab law learn life list live local love map market media money movie music my net new news now online open page pet photo play "
     "press pro radio school science search secure server shop site smart social soft sport sports star store study tech the time top tour town trade travel tv university video web wiki work world your"
 ).split()
-_LETTERS = re.compile(r"[a-z]+")
+#: Letters of the longest host label, and of the longest known word.
+LABEL = 63
 
 
 @dataclass(frozen=True)
@@ -66,10 +67,6 @@ class Segmenter:
             end = start
         return tuple(reversed(words))
 
-    def words(self, host: str) -> list[str]:
-        """Words of all labels but the last, which is a registry's."""
-        return [w for label in host.split(".")[:-1] for run in _LETTERS.findall(label) for w in self.split(run)]
-
 
 def parts(pages: DataFrame) -> DataFrame:
     """page_id, host, path; null urls and urls without ``://`` have neither."""
@@ -87,17 +84,40 @@ def rule_of(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
     return rule, verdict
 
 
-def fit_segmenter(spots: DataFrame, most: int = 50_000) -> Segmenter:
-    """Segmenter from (host, path_words, n); its vocabulary, a model's, holds the ``most`` frequent words written apart."""
-    apart = F.filter(F.flatten(F.transform(F.split("host", r"\."), lambda label: F.when(label.contains("-"), F.regexp_extract_all(label, F.lit("[a-z]+"), F.lit(0))).otherwise(F.array().cast("array<string>")))), lambda w: F.length(w) > 1)
-    rows = spots.select("n", F.explode(F.concat(apart, F.filter("path_words", lambda w: F.length(w) > 1))).alias("word"))
-    top = rows.groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(most).collect()
-    counts = {w: 1.0 for w in (*BLOCK_WORDS, *PLAIN_WORDS)}
-    total = sum(r["n"] for r in top) or 1
-    for r in top:
-        counts[r["word"]] = counts.get(r["word"], 0.0) + 1e4 * r["n"] / total
-    whole = sum(counts.values())
-    return Segmenter({w: math.log(whole / c) for w, c in counts.items()}, math.log(whole * 10), math.log(10), max(map(len, counts)))
+def word_costs(apart: DataFrame) -> tuple[DataFrame, float]:
+    """(word, cost) of all words of ``apart`` (word, n) and the fixed lists, and the cost of an unknown word.
+
+    A listed word counts 1 and the table's own words 10,000 together, by their shares.  Known words have at most ``LABEL`` letters.
+    """
+    spark = apart.sparkSession
+    counted = apart.where(F.length("word").between(2, LABEL)).groupBy("word").agg(F.sum("n").alias("n"))
+    counted = materialise(counted, "url-apart")
+    total = counted.agg(F.sum("n").alias("n")).first()["n"] or 1
+    fixed = sorted({*BLOCK_WORDS, *PLAIN_WORDS})
+    listed = spark.range(1).select(F.explode(F.array(*map(F.lit, fixed))).alias("word"), F.lit(1.0).alias("weight"))
+    weights = counted.select("word", (F.col("n") * (1e4 / total)).alias("weight")).unionByName(listed).groupBy("word").agg(F.sum("weight").alias("weight"))
+    whole = len(fixed) + (1e4 if not counted.isEmpty() else 0.0)
+    return weights.select("word", (-F.log(F.col("weight") / whole)).alias("cost")), math.log(whole * 10)
+
+
+def split_runs(runs: DataFrame, costs: DataFrame, unknown: float) -> DataFrame:
+    """(run, words) for every distinct run of letters.
+
+    Stretches of a run that are known words reach it by a join; a run has fewer than its length times ``LABEL`` of them.
+    """
+    length = F.length("run")
+    stretches = F.flatten(F.transform(F.sequence(F.lit(1), length), lambda i: F.transform(F.sequence(F.lit(1), F.least(F.lit(LABEL), length - i + 1)), lambda k: F.substr(F.col("run"), i, k))))
+    met = runs.select("run", F.explode(F.array_distinct(stretches)).alias("word")).join(costs, "word")
+    known = met.groupBy("run").agg(F.collect_list("word").alias("known"), F.collect_list("cost").alias("costs"))
+
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        out = []
+        for run, words, prices in zip(*(batch.column(c).to_pylist() for c in ("run", "known", "costs"))):
+            own = dict(zip(words or (), prices or ()))
+            out.append(list(Segmenter(own, unknown, math.log(10), max(map(len, own), default=1)).split(run)))
+        return pa.RecordBatch.from_arrays([batch.column("run"), pa.array(out, pa.list_(pa.string()))], ["run", "words"])
+
+    return runs.join(known, "run", "left").select("run", "known", "costs").mapInArrow(sliced(work), "run string, words array<string>")
 
 
 def judge(pages: DataFrame, rules=RULES, smoothing: float = 1.0) -> DataFrame:
@@ -106,39 +126,48 @@ def judge(pages: DataFrame, rules=RULES, smoothing: float = 1.0) -> DataFrame:
     Without a rule the verdict is the naive Bayes': block with positive log odds.  A url without host and path has no words and is
     judged by the classes' sizes.  Repeated rows each come back; an empty table gives an empty result.
 
-    Everything is learned and scored on the distinct pairs of host and path words with their numbers of pages; the verdicts are
-    joined back, so a host with a third of all pages is one row until then.
+    Everything is learned and scored on the distinct combinations of host, path words and decision with their numbers of pages, and
+    on the distinct runs of letters; the scores are joined back, so a host with a third of all pages is one row until then.
     """
-    spark = pages.sparkSession
-    rows = parts(pages).withColumn("path_words", F.array_distinct(F.regexp_extract_all(F.lower("path"), F.lit("[a-z]+"), F.lit(0))))
-    spots, spots_path = stored(rows.groupBy("host", "path_words").agg(F.count("*").alias("n")), "url-spots")
-    shared = spark.sparkContext.broadcast(tuple(vars(fit_segmenter(spots)).values()))
-
-    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        segmenter = Segmenter(*shared.value)
-        segment = per_worker(f"segmenter {hash(frozenset(segmenter.costs.items()))}", lambda: lru_cache(100_000)(segmenter.words))
-        words = [list(dict.fromkeys(segment(h))) for h in batch.column("host").to_pylist()]
-        return pa.RecordBatch.from_arrays([*batch.columns, pa.array(words, pa.list_(pa.string()))], ["host", "path_words", "n", "host_words"])
-
-    split = spots.mapInArrow(sliced(work), "host string, path_words array<string>, n long, host_words array<string>")
-    tokens = F.concat(F.transform("host_words", lambda w: F.concat(F.lit("h:"), w)), F.transform("path_words", lambda w: F.concat(F.lit("p:"), w)))
-    listed = F.arrays_overlap(F.concat("host_words", "path_words"), F.array(*[F.lit(w) for w in BLOCK_WORDS]))
-    named, named_path = stored(split.withColumn("tokens", tokens).withColumn("bad", listed.cast("int")), "url-words")
-    counts = named.select("n", "bad", F.explode("tokens").alias("token")).groupBy("token").agg(F.sum(F.col("n") * F.col("bad")).alias("bad"), F.sum(F.col("n") * (1 - F.col("bad"))).alias("good"))
+    letters = lambda c: F.regexp_extract_all(c, F.lit("[a-z]+"), F.lit(0))
+    rule, verdict = rule_of(F.col("host"), F.col("path"), rules)
+    rows = parts(pages).withColumn("path_runs", F.sort_array(letters(F.lower("path")))).withColumn("rule", rule).withColumn("decided", verdict)
+    spots = rows.groupBy("host", "path_runs", "decided").agg(F.count("*").alias("n"))
+    # All labels but the last, which is a registry's.
+    labels = F.slice(F.split("host", r"\."), F.lit(1), F.greatest(F.size(F.split("host", r"\.")) - 1, F.lit(0)))
+    host_runs = F.flatten(F.transform(labels, letters))
+    spots, spots_path = stored(spots.withColumn("host_runs", host_runs).withColumn("spot", F.xxhash64("host", "path_runs", F.coalesce("decided", F.lit("")))), "url-spots")
+    hyphened = F.flatten(F.transform(labels, lambda label: F.when(label.contains("-"), letters(label)).otherwise(F.array().cast("array<string>"))))
+    costs, unknown = word_costs(spots.select("n", F.explode(F.concat(hyphened, "path_runs")).alias("word")))
+    runs = spots.select(F.explode(F.concat("host_runs", "path_runs")).alias("run")).distinct()
+    split, split_path = stored(split_runs(runs, costs, unknown), "url-runs")
+    # One row for each run of a spot and place (host or path), with how often it stands there.
+    used = spots.select("spot", "n", "decided", F.explode(F.concat(*[F.transform(f"{p}_runs", lambda r, p=p: F.struct(F.lit(p).alias("place"), r.alias("run"))) for p in ("host", "path")])).alias("at"))
+    used = used.groupBy("spot", "n", "decided", "at.place", "at.run").agg(F.count("*").alias("times"))
+    words = used.join(split, "run").select("spot", "n", "decided", "place", "times", F.explode("words").alias("word"))
+    named, named_path = stored(
+        words.groupBy("spot", "n", "decided", F.concat("place", F.lit(":"), "word").alias("token"), "word").agg(F.sum("times").alias("times")), "url-words"
+    )
+    listed = F.col("word").isin(*BLOCK_WORDS)
+    classes = named.groupBy("spot").agg(F.max(listed.cast("int")).alias("listed"))
+    classes = spots.select("spot", "n", "decided").join(classes, "spot", "left")
+    bad = F.coalesce((F.col("decided") == "block").cast("int"), "listed", F.lit(0))
+    classes, classes_path = stored(classes.select("spot", "n", bad.alias("bad")), "url-classes")
+    weight = F.col("n") * F.col("times")
+    counts = named.select("spot", "token", weight.alias("weight")).join(classes.select("spot", "bad"), "spot").groupBy("token").agg(
+        F.sum(F.col("weight") * F.col("bad")).alias("bad"), F.sum(F.col("weight") * (1 - F.col("bad"))).alias("good")
+    )
     counts, counts_path = stored(counts, "url-counts")
     sums = counts.agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"), F.count("*").alias("size")).first()
-    classes = named.agg(F.sum(F.col("n") * F.col("bad")).alias("bad"), F.sum(F.col("n") * (1 - F.col("bad"))).alias("good")).first()
+    sizes = classes.agg(F.sum(F.col("n") * F.col("bad")).alias("bad"), F.sum(F.col("n") * (1 - F.col("bad"))).alias("good")).first()
     of = lambda row, key: float(row[key] or 0)
-    prior = math.log((of(classes, "bad") + 1) / (of(classes, "good") + 1))
+    prior = math.log((of(sizes, "bad") + 1) / (of(sizes, "good") + 1))
     below = {k: of(sums, k) + smoothing * (sums["size"] + 1) for k in ("bad", "good")}
     odds = counts.select("token", (F.log((F.col("bad") + smoothing) / below["bad"]) - F.log((F.col("good") + smoothing) / below["good"])).alias("odds"))
-    scored = (
-        named.select("host", "path_words", F.explode("tokens").alias("token")).join(odds, "token").groupBy("host", "path_words").agg(F.sum("odds").alias("odds"))
-    )
-    scored = materialise(scored.select(F.col("host").alias("spot_host"), F.col("path_words").alias("spot_words"), "odds"), "url-scores")
-    for path in (spots_path, named_path, counts_path):
-        drop_path(spark, path)
-    rule, verdict = rule_of(F.col("host"), F.col("path"), rules)
+    scored = named.select("spot", "token", "times").join(odds, "token").groupBy("spot").agg(F.sum(F.col("odds") * F.col("times")).alias("odds"))
+    scored = materialise(scored, "url-scores")
+    for path in (spots_path, split_path, named_path, classes_path, counts_path):
+        drop_path(pages.sparkSession, path)
     score = F.coalesce("odds", F.lit(0.0)) + prior
-    joined = rows.join(scored, (F.col("host") == F.col("spot_host")) & (F.col("path_words") == F.col("spot_words")), "left")
-    return joined.select("page_id", "host", "path", rule.alias("rule"), F.coalesce(verdict, F.when(score > 0, "block").otherwise("allow")).alias("verdict"), score.alias("score"))
+    joined = rows.withColumn("spot", F.xxhash64("host", "path_runs", F.coalesce("decided", F.lit("")))).join(scored, "spot", "left")
+    return joined.select("page_id", "host", "path", "rule", F.coalesce("decided", F.when(score > 0, "block").otherwise("allow")).alias("verdict"), score.alias("score"))

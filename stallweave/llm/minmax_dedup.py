@@ -127,7 +127,7 @@ def crowds_of(buckets: DataFrame, texts: DataFrame, width: int, percent: int) ->
     held, held_path = stored(shingles.join(rare.select("shingle"), "shingle", "left_semi"), "rare-shingles")
     rare_of = held.groupBy("doc").agg(F.count("*").alias("rare"))
     bounds, bounds_path = stored(sizes.join(rare_of, "doc", "left").withColumn("can", F.col("n") - F.coalesce("rare", F.lit(0))).select("doc", "n", "can"), "crowd-bounds")
-    able = large.drop("n").join(bounds.where(F.col("can") * 100 >= F.col("n") * percent), "doc")
+    able, able_path = stored(large.drop("n").join(bounds.where(F.col("can") * 100 >= F.col("n") * percent), "doc"), "crowd-members")
     least = able.groupBy("key").agg(F.min("n").alias("least_n"))
     crowds = able.join(least, "key").where(F.col("can") * (100 + percent) >= (F.col("n") + F.col("least_n")) * percent).select("key", "doc", "n", "can", "m")
     sharing = held.groupBy("shingle").agg(F.sort_array(F.collect_list("doc")).alias("docs")).where(F.size("docs") > 1)
@@ -141,14 +141,13 @@ def crowds_of(buckets: DataFrame, texts: DataFrame, width: int, percent: int) ->
         .where(F.least("a_n", "b_n") * 100 >= F.greatest("a_n", "b_n") * percent)
         .select("a", "b")
     )
-    return crowds, pairs, [path, held_path, bounds_path]
+    return crowds, pairs, [path, held_path, bounds_path, able_path]
 
 
 def crowd_pairs(crowds: DataFrame, chosen: Column, percent: int) -> DataFrame:
     """(a, b): chosen members of each bucket against all members of other components that the bound leaves."""
     marked = crowds.withColumn("centre", chosen)
-    # At most ``bands`` keys to a document: of the buckets two documents share, only the one with the least key makes their pair.
-    marked = marked.join(marked.groupBy("doc").agg(F.collect_set("key").alias("keys")), "doc")
+    # Of the buckets two documents share, only the one with the least key makes their pair.
     centres = marked.where("centre").select(
         "key", F.col("doc").alias("c"), F.col("n").alias("c_n"), F.col("can").alias("c_can"), F.col("component").alias("c_component"), F.col("keys").alias("c_keys")
     )
@@ -214,13 +213,14 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: i
         else:
             # Names meet each document once, and then its rows in the buckets.
             own = crowds.select("doc").distinct().join(label.withColumnRenamed("node", "doc"), "doc", "left").withColumn("component", F.coalesce("component", "doc"))
-            members = crowds.join(own, "doc")
+            members, members_path = stored(crowds.join(own, "doc"), "named-members")
+            used.append(members_path)
             open_keys = members.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("key")
             members = members.join(open_keys, "key", "left_semi")
+        # What a document needs of all its buckets, at most ``bands`` keys and the size of the largest.
+        members = members.join(members.groupBy("doc").agg(F.max("m").alias("largest"), F.collect_set("key").alias("keys")), "doc")
         if centres is not None:
-            # One choice for all buckets of a document, by its largest.
-            largest = members.groupBy("doc").agg(F.max("m").alias("largest"))
-            members = members.join(largest, "doc")
+            # One choice for all buckets of a document.
             chosen = F.pmod(F.xxhash64("doc", F.lit(turn)), F.lit(1 << 30)) <= F.lit(float(centres)) / F.col("largest") * (1 << 30)
         else:
             counts = members.groupBy("key", "component").agg(F.count("*").alias("size"))

@@ -345,6 +345,36 @@ def test_segments_and_bayes(spark):
         assert math.isclose(sum(cost.get(w, 5.0 + 2.3 * len(w)) for w in segment.split(name)), cheapest(name))
 
 
+def test_bayes_is_multinomial_and_learns_from_rules(spark):
+    """Occurrences count; ruled urls teach: held out, they are told better than by the word list."""
+    rows = [(i, f"https://site{'abcdefgh'[i % 8]}.example.{'com' if i % 2 else 'net'}/{'fr/rumour/rumour' if i % 2 == 0 else 'garden/plants'}/{i}") for i in range(200)]
+    # No rule for these: words that only ruled urls have told about.
+    rows += [(1000 + i, f"https://new{'xyz'[i % 3]}.example.org/{'rumour/' * 12 + 'garden' if i % 2 else 'rumour/garden/plants'}") for i in range(4)]
+    got = {r["page_id"]: (r["verdict"], r["rule"]) for r in host_words.judge(spark.createDataFrame([*rows, rows[0]], "page_id long, url string")).collect()}
+    assert all(got[i] == (("block", "net/fr/") if i % 2 == 0 else ("allow", "com/")) for i in range(200))
+    assert all(got[1000 + i] == ("block" if i % 2 else "allow", None) for i in range(4))
+    by_list = sum((i % 2 == 1) == any(w in u for w in host_words.BLOCK_WORDS) for i, u in rows[200:])
+    assert by_list < 4
+    # One unwanted word among thirty good ones is no unwanted url.
+    more = [(i, f"https://a{i}.cheappills.org/pills/pills") if i % 2 else (i, f"https://b{i}.storybook.org/story/story") for i in range(100)]
+    more.append((500, "https://x.org/pills/" + "story/" * 30))
+    got = {r["page_id"]: r["verdict"] for r in host_words.judge(spark.createDataFrame(more, "page_id long, url string")).collect()}
+    assert got[500] == "allow" and got[1] == "block" and got[0] == "allow"
+
+
+def test_runs_are_split_with_all_known_words(spark):
+    words = spark.createDataFrame([("apple", 5), ("tree", 5), ("appletree", 1), ("x" * 64, 9)], "word string, n long")
+    costs, unknown = host_words.word_costs(words)
+    table = {r["word"]: r["cost"] for r in costs.collect()}
+    assert "x" * 64 not in table and {"apple", "tree", "pills", "garden"} <= set(table) and table["apple"] < table["appletree"]
+    runs = spark.createDataFrame([("appletreepills",), ("zzzzapple",), ("q" * 200,), ("a",)], "run string")
+    got = {r["run"]: r["words"] for r in host_words.split_runs(runs, costs, unknown).collect()}
+    assert got["appletreepills"] in (["appletree", "pills"], ["apple", "tree", "pills"]) and got["zzzzapple"] == ["zzzz", "apple"]
+    assert "".join(got["q" * 200]) == "q" * 200 and got["a"] == ["a"]
+    whole = host_words.Segmenter(table, unknown, math.log(10), max(map(len, table)))
+    assert all(list(whole.split(run)) == words for run, words in got.items())
+
+
 # Leaks.
 
 

@@ -142,7 +142,8 @@ def judge(pages: DataFrame, rules=RULES, smoothing: float = 1.0) -> DataFrame:
     runs = spots.select(F.explode(F.concat("host_runs", "path_runs")).alias("run")).distinct()
     split, split_path = stored(split_runs(runs, costs, unknown), "url-runs")
     # One row for each run of a spot and place (host or path), with how often it stands there.
-    used = spots.select("spot", "n", "decided", F.explode(F.concat(*[F.transform(f"{p}_runs", lambda r, p=p: F.struct(F.lit(p).alias("place"), r.alias("run"))) for p in ("host", "path")])).alias("at"))
+    placed = lambda place: F.transform(f"{place}_runs", lambda run: F.struct(F.lit(place).alias("place"), run.alias("run")))
+    used = spots.select("spot", "n", "decided", F.explode(F.concat(placed("host"), placed("path"))).alias("at"))
     used = used.groupBy("spot", "n", "decided", "at.place", "at.run").agg(F.count("*").alias("times"))
     words = used.join(split, "run").select("spot", "n", "decided", "place", "times", F.explode("words").alias("word"))
     named, named_path = stored(

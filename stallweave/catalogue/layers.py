@@ -56,30 +56,30 @@ def seen_details(spark, sf_dir):
     return staged_details(spark, sf_dir).where(f"NOT ({NO_DETAILS})")
 
 
-def _columns(schema, alias: str, **other: str) -> str:
-    """Select list of a table contract; ``other`` gives the columns that come from elsewhere."""
-    return ", ".join(f"{other.get(n, f'{alias}.{n}')} AS {n}" for n in schema)
-
-
 #: Pages that were not collected, so that facts meet keys without a dimension row.
 NO_SELLER, NO_DETAILS = "seller_review_count > 400", "discount > 45"
 
 _SPARSE_SQL = f"""
 seen_sellers AS (FROM stg_sellers WHERE NOT {NO_SELLER}),"""
 
+#: What a seen seller's newest order line says of it; seen are those whose line is of 40 pieces or fewer.
+_SHOP = """(SELECT {'name': s_name, 'official': l.l_discount >= 0.05, 'level': if(l.l_returnflag = 'A', 'OFFICIAL_STORE', 'NONE')}
+  FROM newest_sale, supplier WHERE s_suppkey = l_suppkey AND l_suppkey = seller_id AND l.l_quantity <= 40)"""
+
 FCT_PRODUCTS_SQL = f"""{s.STG_PRODUCTS_SQL},{s.STG_SELLERS_SQL},{s.STG_DETAILS_SQL},{_SPARSE_SQL}
 seen_details AS (FROM stg_details WHERE NOT {NO_DETAILS}),
 fct_products AS (
-  SELECT {_columns(schemas.FCT_PRODUCTS, 'listed', discount_rate='listed.discount_rate::DOUBLE', rating_average='listed.rating_average::DOUBLE',
-                   seller_name='shop.seller_name', is_official='shop.is_official', store_level='shop.store_level', category_id='page.category_id')}
-  FROM seen_sellers shop RIGHT JOIN (seen_details page RIGHT JOIN stg_products listed ON page.product_id = listed.product_id)
-    ON shop.seller_id = listed.seller_id)"""
+  SELECT product_id, product_name, author_name, brand_name, price, original_price, discount, discount_rate::DOUBLE AS discount_rate,
+    rating_average::DOUBLE AS rating_average, review_count, inventory_status, quantity_sold, seller_id, shop.name AS seller_name,
+    shop.official AS is_official, shop.level AS store_level, category_id, thumbnail_url, extracted_at_ts, dt
+  FROM (SELECT *, {_SHOP} AS shop, (SELECT 1000 + p_size % 25 FROM part WHERE p_partkey = product_id AND p_size <= 45)::BIGINT AS category_id FROM stg_products))"""
 
 FCT_REVIEWS_SQL = f"""{s.STG_REVIEWS_SQL},{s.STG_PRODUCTS_SQL},{s.STG_SELLERS_SQL},{_SPARSE_SQL}
 fct_reviews AS (
-  SELECT {_columns(schemas.FCT_REVIEWS, 'said', product_name='listed.product_name', brand_name='listed.brand_name', seller_name='shop.seller_name')}
-  FROM stg_products listed RIGHT JOIN (seen_sellers shop RIGHT JOIN stg_reviews said ON shop.seller_id = said.seller_id)
-    ON listed.product_id = said.product_id)"""
+  SELECT review_id, product_id, listed.name AS product_name, listed.brand AS brand_name, seller_id, shop.name AS seller_name, rating, score, title,
+    review_content, thank_count, customer_id, customer_name, created_at, purchased_at, extracted_at_ts, dt
+  FROM (SELECT *, {_SHOP} AS shop, (SELECT {{'name': format('Product {{}} grade {{}}', l_partkey, l.l_returnflag), 'brand': 'Brand ' || l.l_linestatus}}
+                                    FROM newest_line WHERE l_partkey = product_id) AS listed FROM stg_reviews))"""
 
 DIM_PRODUCTS_SQL = f"""{s.STG_DETAILS_SQL},
 dim_products AS (

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stallweave.catalogue import shapes as s
@@ -9,8 +12,10 @@ from stallweave.catalogue.layers import DIM_PRODUCTS_SQL, FCT_PRODUCTS_SQL, prod
 from stallweave.catalogue.registry import plain, query
 from stallweave.functions.text import csv_ids, grouped_number, link_category_id
 from stallweave.operators.predicates import build_filter, normalise_filters
-from stallweave.operators.ranking import coverage, profile, row_count, sample_rows
+from stallweave.operators.ranking import coverage, distinct_sketches, merged_sketches, profile, row_count, sample_rows, top_k
 from stallweave.plans import marts, reports
+from stallweave.session import scratch_path
+from stallweave.sinks import bronze
 from stallweave.sources.listing import inventory, list_files
 
 #: Columns of the sample tables, for the SQL side of the profile.
@@ -81,6 +86,60 @@ def table_profile(spark, sf_dir):
     )
 
 
+_PROFILED = ("orders", "supplier", "nation")
+
+
+@query(" UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, '{c}' AS column_name, (SELECT count(*) FROM {t} WHERE {c} IS NULL) AS null_count, "
+    f"(SELECT count(*) FROM {t} WHERE {c} IS NOT NULL) > 0 AS has_values, TRUE AS near FROM (SELECT 1)"
+    for t in _PROFILED for c in TABLE_COLUMNS[t].split()
+))
+def column_values(spark, sf_dir):
+    """Nulls of every column, exactly; its distinct values within 3 % of the exact count."""
+    tables = {t: s.load(spark, sf_dir, t) for t in _PROFILED}
+    exact = None
+    for name, df in tables.items():
+        counts = df.agg(*[F.countDistinct(c).alias(c) for c in df.columns])
+        rows = counts.select(F.inline(F.array(*[F.struct(F.lit(name).alias("table_name"), F.lit(c).alias("column_name"), F.col(c).alias("exact")) for c in df.columns])))
+        exact = rows if exact is None else exact.unionByName(rows)
+    near = F.abs(F.col("distinct_estimate") - F.col("exact")) <= F.greatest(F.col("exact") * 0.03, F.lit(0.5))
+    found = profile(tables, values=True).join(exact, ["table_name", "column_name"])
+    return found.select("table_name", "column_name", "null_count", (F.col("distinct_estimate") > 0).alias("has_values"), near.alias("near"))
+
+
+@query("""SELECT event_type, count(DISTINCT user_id) AS users, TRUE AS near, count(DISTINCT strftime(ts, '%Y-%m-%d')) AS stored
+FROM events GROUP BY event_type""")
+def distinct_by_run(spark, sf_dir):
+    """A2: users per type from one stored sketch per run (day) and type, merged; within 3 % of the exact count beside them."""
+    path = scratch_path(spark, "sketches")
+    events = s.load(spark, sf_dir, "events").withColumn("run", F.date_format("ts", "yyyy-MM-dd"))
+    distinct_sketches(events, ["run", "event_type"], "user_id").write.parquet(path)
+    stored = spark.read.parquet(path)
+    merged = merged_sketches(stored, ["event_type"], "estimate").join(stored.groupBy("event_type").agg(F.count("*").alias("stored")), "event_type")
+    exact = events.groupBy("event_type").agg(F.countDistinct("user_id").alias("users"))
+    near = F.abs(F.col("estimate") - F.col("users")) <= F.greatest(F.col("users") * 0.03, F.lit(0.5))
+    return merged.join(exact, "event_type").select("event_type", "users", near.alias("near"), "stored")
+
+
+@query("""SELECT 'orders' AS table_name, (SELECT min(o_orderkey) FROM orders) AS first_key
+UNION ALL SELECT 'part', (SELECT min(p_partkey) FROM part) UNION ALL SELECT 'events', (SELECT min(event_id) FROM events)""")
+def ordered_samples(spark, sf_dir):
+    """The first row of each table by its key."""
+    keys = {"orders": "o_orderkey", "part": "p_partkey", "events": "event_id"}
+    firsts = [top_k(s.load(spark, sf_dir, t), 1, F.col(k).asc()).select(F.lit(t).alias("table_name"), F.col(k).alias("first_key")) for t, k in keys.items()]
+    return reduce(DataFrame.unionByName, firsts)
+
+
+@query("SELECT strftime(o_orderdate, '%Y') AS prefix, TRUE AS has_objects, TRUE AS has_bytes FROM orders GROUP BY ALL")
+def landed_inventory(spark, sf_dir):
+    """Every landed partition has objects, and these have bytes."""
+    root = scratch_path(spark, "inventory")
+    orders = s.load(spark, sf_dir, "orders")
+    bronze.append_partitioned(orders.withColumn("year", F.date_format("o_orderdate", "yyyy")), root, ("year",))
+    found = inventory(list_files(spark, root, ".parquet"), F.regexp_extract("path", "/year=([0-9]+)/", 1))
+    return found.select("prefix", (F.col("objects") > 0).alias("has_objects"), (F.col("bytes") > 0).alias("has_bytes"))
+
+
 @query()
 def table_samples(spark, sf_dir):
     """Any one row per table; which row is open, so rows only."""

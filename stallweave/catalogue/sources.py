@@ -141,6 +141,14 @@ def mart_snapshot(spark, sf_dir):
     return spark.sql("SELECT category_name, count(*) AS products FROM v_dim_products GROUP BY category_name")
 
 
+@query("SELECT p_partkey, p_name FROM part ORDER BY p_partkey LIMIT 100")
+def csv_preview_ordered(spark, sf_dir):
+    """K6: a preview of the first rows by key."""
+    path = scratch_path(spark, "preview")
+    bronze.csv_preview(s.load(spark, sf_dir, "part").select("p_partkey", "p_name").orderBy("p_partkey"), path, rows=100)
+    return spark.read.schema("p_partkey BIGINT, p_name STRING").csv(path, header=True)
+
+
 @query()
 def csv_preview(spark, sf_dir):
     """K6: any sample of the batch; which rows it holds is open, so rows only."""

@@ -139,6 +139,11 @@ class VersionedTable:
         self._commit(latest_per_key(df, self.keys, self.order) if self.keys else df, version, folders)
         return True
 
+    def amend(self, df: DataFrame) -> None:
+        """Rows that belong to the versions already there, at their own size; the order of rows decides, not that of commits."""
+        version, folders = self.state()
+        self._commit(latest_per_key(df, self.keys, self.order), version, folders)
+
     def read(self) -> DataFrame:
         """Current rows; keys are never NULL.
 

@@ -2,16 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Iterable, Sequence
 from functools import reduce
 
-import pandas as pd
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
-from stallweave.session import materialise
 from stallweave.sources.listing import list_files
 
 _ABSENT = {"PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"}
@@ -73,50 +72,52 @@ def read_first_available(
     return empty(spark, schema)
 
 
-def _footer_shapes(columns: Sequence[str]):
-    def shapes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import pyarrow.fs as pafs
-        import pyarrow.parquet as pq
+#: What Spark says of files whose types do not merge.
+_DISAGREE = {"CANNOT_MERGE_SCHEMAS", "CANNOT_MERGE_INCOMPATIBLE_DATA_TYPE"}
 
-        for batch in batches:
-            found = []
-            for path in batch["path"]:
-                filesystem, inner = pafs.FileSystem.from_uri(path)
-                footer = pq.read_schema(filesystem.open_input_file(inner))
-                types = dict(zip(footer.names, footer.types))
-                found.append(";".join(f"{name}={types.get(name, '')}" for name in columns))
-            yield pd.DataFrame({"path": batch["path"], "shape": found})
 
-    return shapes
+def agreeing(spark: SparkSession, paths: Sequence[str]) -> list[DataFrame]:
+    """S3: reads of ``paths`` (folders), as few as their files' types allow.
+
+    Spark merges the footers of all paths in one distributed job, through the file system it reads with.  Where types do not
+    merge the paths are halved, so a log whose types changed k times takes about k log n such jobs; a folder that disagrees
+    in itself is read file by file.
+    """
+    if not paths:
+        return []
+    try:
+        return [spark.read.option("mergeSchema", "true").parquet(*paths)]
+    except (PySparkException, Py4JJavaError) as err:
+        if isinstance(err, AnalysisException) and is_absent(err):
+            return []
+        if not _disagree(err):
+            raise
+    if len(paths) == 1:
+        inside = [r["path"] for r in list_files(spark, paths[0], suffix=".parquet").select("path").orderBy("path").collect()]
+        return [spark.read.parquet(path) for path in inside] if inside == list(paths) else agreeing(spark, inside)
+    half = len(paths) // 2
+    return agreeing(spark, paths[:half]) + agreeing(spark, paths[half:])
+
+
+def _disagree(err: Exception) -> bool:
+    """Whether an error says so; it comes from the JVM unconverted."""
+    return any(name in str(err) for name in _DISAGREE)
+
+
+def folders_with_files(spark: SparkSession, root: str) -> list[str]:
+    """Folders below ``root`` that hold Parquet files, in the order of their names: one name for each run."""
+    folder = F.regexp_replace("path", r"/[^/]+$", "")
+    return [r["folder"] for r in list_files(spark, root, suffix=".parquet").select(folder.alias("folder")).distinct().orderBy("folder").collect()]
 
 
 def read_drifting(spark: SparkSession, root: str, columns: Sequence[str]) -> DataFrame:
     """S3: only ``columns``, each as text, from files whose physical types disagree.
 
-    Footers are read inside tasks; files are grouped by the types of the wanted columns and every group is
-    one ordinary scan.  A directory whose files agree is named once, so the driver holds what Spark's own
-    file index would hold, or less.  Partition values in the path are not read: the payload columns count.
+    The driver holds the folders, one for each run, and no file of a folder that agrees in itself.  Partition values in the
+    path are not read: the payload columns count.
     """
-    files = list_files(spark, root, suffix=".parquet").select("path")
-    shapes = materialise(
-        files.mapInPandas(_footer_shapes(list(columns)), "path string, shape string").withColumn(
-            "folder", F.regexp_replace("path", r"/[^/]+$", "")
-        ),
-        "shapes",
-    )
-    folders = shapes.groupBy("folder").agg(F.min("shape").alias("shape"), F.max("shape").alias("other"))
-    uniform = folders.where("shape = other").select(F.col("folder").alias("path"), "shape")
-    mixed = shapes.join(folders.where("shape <> other"), "folder", "left_semi").select("path", "shape")
-    groups: dict[str, list[str]] = {}
-    for row in uniform.unionByName(mixed).toLocalIterator():
-        groups.setdefault(row["shape"], []).append(row["path"])
-    text_schema = StructType.fromDDL(", ".join(f"`{name}` STRING" for name in columns))
-    frames = []
-    for shape, paths in sorted(groups.items()):
-        present = {name for name, kind in (part.split("=", 1) for part in shape.split(";")) if kind}
-        df = spark.read.option("mergeSchema", "false").parquet(*sorted(paths))
-        frames.append(
-            df.select(*[(F.col(n) if n in present else F.lit(None)).cast("string").alias(n) for n in columns])
-        )
-    return union_by_name(frames) if frames else empty(spark, text_schema)
-
+    frames = [
+        df.select(*[(F.col(n) if n in df.columns else F.lit(None)).cast("string").alias(n) for n in columns])
+        for df in agreeing(spark, folders_with_files(spark, root))
+    ]
+    return union_by_name(frames) if frames else empty(spark, StructType([StructField(n, StringType()) for n in columns]))

@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from stallweave.operators.dedupe import latest_per_key, merge_latest
+from stallweave.operators.dedupe import latest_per_key
+from stallweave.sinks.bronze import run_folders
+from stallweave.sinks.keyed import Pointer
 from stallweave.sinks.tables import VersionedTable
-from stallweave.sources.parquet import try_read
 
 #: Fixed value: collection units per refresh.
 FILES_PER_BATCH = 5
@@ -89,8 +90,16 @@ def read_outcomes(spark: SparkSession, path: str) -> DataFrame:
 def retry_parked(
     spark: SparkSession, table: VersionedTable, transform: Callable[[DataFrame], DataFrame], parked: str, schema: StructType
 ) -> int:
-    """Fold parked rows in once their problem is fixed; late merging gives the same table."""
-    rows = try_read(spark, parked, schema)
-    if rows is None:
-        return table.version()
-    return table.rebase(merge_latest(table.read(), transform(rows).select(table.schema.names), table.keys, table.order))
+    """Adds parked rows once their problem is fixed; late adding gives the same table.  Returns the batches added.
+
+    Only batches not added before are read, and only their rows are written.  They are noted last: a driver lost before adds
+    them again, which changes nothing.
+    """
+    done = Pointer(spark, f"{parked}/added.json")
+    added = done.read() or []
+    waiting = [run for run in run_folders(spark, parked, ("batch",)) if run not in added]
+    if waiting:
+        rows = spark.read.schema(schema).parquet(*[f"{parked}/{run}" for run in waiting])
+        table.amend(transform(rows).select(table.schema.names))
+        done.write(added + waiting)
+    return len(waiting)

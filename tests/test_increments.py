@@ -221,3 +221,55 @@ def test_all_failing_is_an_error(spark, tmp_path):
 
     with pytest.raises(RuntimeError):
         inc.refresh_incremental(spark, inc.logs_below(str(tmp_path / "raw")), str(tmp_path / "w"), feeds=[dataclasses.replace(f, build=broken) for f in inc.FEEDS])
+
+
+def test_drifting_types_blanks_and_colons(spark, tmp_path):
+    from stallweave.sources.parquet import agreeing, folders_with_files, read_drifting
+
+    root = str(tmp_path / "raw logs")
+    kinds = ["long", "long", "string", "string", "double", "double", "double", "long"]
+    for i, kind in enumerate(kinds):
+        df = spark.range(i, i + 1).select(F.col("id").cast(kind).alias("id"), F.lit(f"v{i}").alias("v"))
+        df = df.drop("v") if i == 1 else df
+        df.write.parquet(f"{root}/dt=2024-01-01 0{i}%3A00/run_id={i}")
+    # One folder that disagrees in itself.
+    spark.range(50, 51).select(F.col("id").cast("string").alias("id")).write.mode("append").parquet(f"{root}/dt=2024-01-01 00%3A00/run_id=0")
+    spark.range(0).write.parquet(f"{root}/dt=x/run_id=9")
+    folders = folders_with_files(spark, root)
+    assert len(folders) == 9 and all("raw logs" in f and "%3A" in f for f in folders[:8])
+    got = sorted((r["id"], r["v"]) for r in read_drifting(spark, root, ["id", "v", "none"]).collect() if True for r in [r.asDict() | {"v": r["v"] or ""}])
+    assert got == sorted([("0", "v0"), ("1", ""), ("2", "v2"), ("3", "v3"), ("4.0", "v4"), ("5.0", "v5"), ("6.0", "v6"), ("7", "v7"), ("50", "")])
+    assert 4 <= len(agreeing(spark, folders)) <= 9
+    nothing = read_drifting(spark, str(tmp_path / "none"), ["a"])
+    assert nothing.columns == ["a"] and nothing.count() == 0
+
+
+def test_parked_batches_are_added_once(spark, tmp_path):
+    from stallweave.sinks.tables import VersionedTable
+    from stallweave.streaming.refresh import retry_parked
+
+    schema = spark.createDataFrame([(1, "1", "a")], "k bigint, t string, v string").schema
+    make = lambda *rows: spark.createDataFrame(list(rows), schema)
+    table = VersionedTable(spark, str(tmp_path / "t"), schema, ["k"], ["t"])
+    table.add(make((1, "5", "new"), (2, "1", "b")), 7)
+    parked = str(tmp_path / "parked")
+    assert retry_parked(spark, table, lambda df: df, parked, schema) == 0
+    make((1, "2", "late"), (3, "1", "c"), (2, "2", "B")).write.parquet(f"{parked}/batch=3")
+    folders = table.state()[1]
+    assert retry_parked(spark, table, lambda df: df, parked, schema) == 1
+    assert sorted(map(tuple, table.read().collect())) == [(1, "5", "new"), (2, "2", "B"), (3, "1", "c")]
+    assert table.version() == 7 and table.state()[1][:-1] == folders
+    assert retry_parked(spark, table, lambda df: df, parked, schema) == 0
+    make((4, "1", "d")).write.parquet(f"{parked}/batch=5")
+    assert retry_parked(spark, table, lambda df: df, parked, schema) == 1 and table.read().count() == 4
+
+
+def test_profile_counts_values(spark):
+    from stallweave.operators import ranking
+
+    df = spark.createDataFrame([(1, None), (1, "x"), (None, "y")], "a int, b string")
+    rows = {r["column_name"]: (r["row_count"], r["null_count"], r["distinct_estimate"]) for r in ranking.profile({"t": df}, values=True).collect()}
+    assert rows == {"a": (3, 1, 1), "b": (3, 1, 2)}
+    big = spark.range(40_000).select(F.lit("g").alias("g"), (F.col("id") % 30_011).alias("v"), (F.col("id") % 3).alias("run"))
+    merged = ranking.merged_sketches(ranking.distinct_sketches(big, ["run", "g"], "v"), ["g"], "n").first()["n"]
+    assert abs(merged - 30_011) < 0.03 * 30_011

@@ -38,8 +38,6 @@ SMALL = 32
 RARE = 16
 #: Members of a larger bucket that are compared with the others, turn by turn; at last all outside its main component.
 CENTRES = (32, None)
-#: Steps by which names pass along links between the turns.
-NAME_STEPS = 3
 
 
 def permutations(count: int) -> tuple[np.ndarray, np.ndarray]:
@@ -159,17 +157,18 @@ def crowd_pairs(crowds: DataFrame, chosen: Column, percent: int) -> DataFrame:
     return marked.join(centres, "key").where(apart & able & near & once & first).select(F.col("c").alias("a"), F.col("doc").alias("b")).distinct()
 
 
-def passed_names(links: DataFrame, steps: int) -> DataFrame:
-    """(node, component) after ``steps`` along links (a, b): each node takes the smallest name among its own and its neighbours'.
+def star_names(links: DataFrame, centres: DataFrame) -> tuple[DataFrame, str]:
+    """(node, component) over the links (a, b) of ``centres`` (doc), and the path of what was written for it.
 
-    Nodes of one name are surely connected; connected ones may still have different names, and are then compared.
+    A document is named by the smallest of its centres, and the centres that documents share are united; that graph has the
+    centres for nodes, so it stays small.  Nodes of one name are surely connected; connected ones may still have different
+    names, and are then compared.
     """
-    both = links.union(links.select("b", "a"))
-    names = both.select(F.col("a").alias("node"), F.least("a", "b").alias("component")).groupBy("node").agg(F.min("component").alias("component"))
-    for _ in range(steps - 1):
-        near = both.join(names.select(F.col("node").alias("b"), "component"), "b").select(F.col("a").alias("node"), "component")
-        names = near.unionByName(names).groupBy("node").agg(F.min("component").alias("component"))
-    return names
+    stars = links.join(centres.select(F.col("doc").alias("a")), "a", "left_semi").unionByName(centres.select(F.col("doc").alias("a"), F.col("doc").alias("b")))
+    seen, path = stored(stars.groupBy("b").agg(F.min("a").alias("least"), F.collect_set("a").alias("centres")), "stars")
+    whole = components(seen.select(F.explode("centres").alias("a"), F.col("least").alias("b")).distinct())
+    named = seen.select(F.col("b").alias("node"), "least").join(whole.select(F.col("node").alias("least"), "component"), "least", "left")
+    return named.select("node", F.coalesce("component", "least").alias("component")), path
 
 
 def small_pairs(buckets: DataFrame, percent: int) -> DataFrame:
@@ -231,10 +230,13 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: i
         found, found_path = stored(confirmed(pairs.unionByName(more).distinct() if label is None else more, texts, width, percent), "links")
         link_paths.append(found_path)
         links = spark.read.schema(found.schema).parquet(*link_paths)
-        label, label_path = stored(components(links) if centres is None or crowds.isEmpty() else passed_names(links, NAME_STEPS), "labels")
-        used += [members_path, label_path]
-        if crowds.isEmpty():
+        if centres is None or crowds.isEmpty():
+            label, label_path = stored(components(links), "labels")
+            used += [members_path, label_path]
             break
+        names, stars_path = star_names(found, members.where("chosen").select("doc").distinct())
+        label, label_path = stored(names, "labels")
+        used += [members_path, label_path, stars_path]
     groups, _ = stored(classes.join(label.select(F.col("node").alias("rep"), "component"), "rep", "left").select("digest", F.coalesce("component", "rep").alias("group_id")), "groups")
     for path in used + link_paths:
         drop_path(spark, path)

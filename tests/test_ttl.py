@@ -80,3 +80,29 @@ def test_stream_forgets_with_its_timer(spark, tmp_path):
     """State leaves a day after the request that went out; a request out of order is taken as a repeat."""
     got = run_stream(spark, tmp_path, [("a", 0), ("z", 30)], [("a", 31), ("z", 29.5)], [("z", 80)], [("a", 79.5), ("q", 81)], delay="2 hours")
     assert sorted(got) == [("a", 0), ("a", 31), ("a", 79.5), ("q", 81), ("z", 30), ("z", 80)]
+
+
+def test_stream_keeps_state_by_buckets(spark, tmp_path):
+    """Keys share the state of their bucket; a state, a frame and a timer per key made the stream grow by 8 ms a key."""
+    stream = spark.readStream.schema(SCHEMA).parquet(str(tmp_path))
+    plan = requests_due(stream)._jdf.queryExecution().logical().toString()
+    assert "FlatMapGroupsInPandasWithState" in plan and "pmod(xxhash64(request_key" in plan
+
+
+def test_stream_of_few_buckets(spark, tmp_path):
+    """Keys that share a bucket keep their own times, over landings and through its timeout."""
+    rows = [(f"k{n}", h) for n in range(40) for h in (n, n + 23, n + 25, n + 60)]
+    ordered = sorted(rows, key=lambda r: r[1])
+    got = run_stream(spark, tmp_path, ordered[:50], ordered[50:120], ordered[120:], buckets=2)
+    assert sorted(got) == sorted(plain(rows))
+
+
+def test_stream_ties_and_missing_times(spark, tmp_path):
+    """Of requests of one moment the first by all columns goes out, and rows without a time are kept, as in the batch."""
+    got = spark.createDataFrame([("a", at(0), 2), ("a", None, 1), ("a", at(0), 1), ("a", None, 1), ("a", at(30), 5)], SCHEMA)
+    where, out = str(tmp_path / "in"), str(tmp_path / "out")
+    got.repartition(3).write.parquet(where)
+    query = requests_due(spark.readStream.schema(SCHEMA).parquet(where)).writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "c"))
+    query.option("path", out).trigger(availableNow=True).start().awaitTermination()
+    rows = spark.read.schema(SCHEMA).parquet(out).collect()
+    assert sorted((r["requested_at"] or START, r["n"]) for r in rows) == [(START, 1), (START, 1), (START, 1), (at(30), 5)]

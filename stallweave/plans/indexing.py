@@ -42,19 +42,22 @@ def index_incremental(
 ) -> dict[str, int]:
     """Encode what changed, add those rows, count both kinds.
 
-    Documents are built once and written to the shared folder; what changed is dealt out by rows to the encoder and
-    committed in parts of about ``commit_rows``, so a run that dies goes on where it stopped: what is committed counts as
+    Documents are built once and written to the shared folder; what changed is written by the parts it is committed in, of about
+    ``commit_rows``, so that each is read once, and dealt out by rows to the encoder. Keys are counted by themselves first: where
+    each comes once, documents and vectors are not sorted to find that out. A build is committed part by part, so a run that dies goes on where it stopped: what is committed counts as
     unchanged.  Without changes no version is written.  Products gone from the mart stay (Q11) unless ``prune``.
     """
-    documents = materialise(with_hash(documents), "hashed-documents")
-    pending = materialise(changed_only(documents, table.read()), "pending")
-    total, changed = documents.count(), pending.count()
+    documents, known = materialise(with_hash(documents), "hashed-documents"), table.read()
+    narrow = changed_only(documents.select("product_id", "content_hash"), known)
+    total, (changed, keys) = documents.count(), narrow.agg(F.count("*"), F.count_distinct("product_id")).first()
     parts = -(-changed // commit_rows)
-    for part in range(parts):
-        rows = pending.where(F.pmod(F.xxhash64("product_id"), F.lit(parts)) == part)
+    part = F.pmod(F.xxhash64("product_id"), F.lit(max(1, parts))).alias("_part")
+    pending = materialise(changed_only(documents, known).select("*", part), "pending", "_part") if changed else None
+    for number in range(parts):
+        rows = pending.where(F.col("_part") == number).drop("_part")
         encoded = with_embedding(spread_rows(rows, -(-changed // parts)), "document", encoder, batch_size=batch_size)
         version = table.version() + 1
-        table.add(encoded.withColumn("indexed_at", as_clock(now)), version)
+        table.add(encoded.withColumn("indexed_at", as_clock(now)), version, unique=keys == changed)
         if version % COMPACT_EVERY == 0:
             table.compact()
     if prune:

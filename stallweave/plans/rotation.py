@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from stallweave.functions.casts import int_or_zero
 from stallweave.functions.clock import EPOCH, as_clock, iso_utc
 from stallweave.functions.jsonx import json_text, truthy
-from stallweave.functions.text import request_key
+from stallweave.functions.text import named_request_key
 from stallweave.operators.dedupe import Order, latest_per_key
 from stallweave.operators.joins import with_default
 from stallweave.operators.predicates import leaves
@@ -106,15 +106,14 @@ def derive_requests(listing: DataFrame, base_url: str, max_review_pages: int = 1
     )
     each = ids.select(F.explode(F.array_compact(leads)).alias("lead")).select("lead.*").distinct()
     pages = F.when(F.col("kind") == "review", F.sequence(F.lit(1), F.lit(max_review_pages))).otherwise(F.array(F.lit(None).cast("int")))
-    params = F.create_map(
-        F.lit("limit"), F.lit(str(REVIEW_LIMIT)), F.lit("include"), F.lit(REVIEW_INCLUDE),
-        F.lit("sort"), F.lit(REVIEW_SORT), F.lit("page"), F.col("page").cast("string"),
-        F.lit("product_id"), F.col("product_id"), F.lit("seller_id"), F.col("seller_id"),
-    )
+    review = {
+        "limit": str(REVIEW_LIMIT), "include": REVIEW_INCLUDE, "sort": REVIEW_SORT, "page": F.col("page").cast("string"),
+        "product_id": F.col("product_id"), "seller_id": F.col("seller_id"),
+    }
     key = (
-        F.when(F.col("kind") == "detail", request_key(F.concat(F.lit(f"{base_url}/products/"), "product_id"), F.create_map(F.lit("platform"), F.lit("web"))))
-        .when(F.col("kind") == "seller", request_key(F.lit(f"{base_url}/sellers"), F.create_map(F.lit("seller_id"), F.col("seller_id"))))
-        .otherwise(request_key(F.lit(f"{base_url}/reviews"), params))
+        F.when(F.col("kind") == "detail", named_request_key(F.concat(F.lit(f"{base_url}/products/"), "product_id"), {"platform": "web"}))
+        .when(F.col("kind") == "seller", named_request_key(F.lit(f"{base_url}/sellers"), {"seller_id": F.col("seller_id")}))
+        .otherwise(named_request_key(F.lit(f"{base_url}/reviews"), review))
     )
     return each.withColumn("page", F.explode(pages)).select("kind", "product_id", "seller_id", "page", key.alias("request_key"))
 

@@ -25,6 +25,8 @@ from stallweave.session import materialise
 CHUNK_BYTES = 64 * 1024 * 1024
 #: Queries multiplied with a batch at a time; bounds the score matrix held by a task.
 SCORE_ROWS = 256
+#: Pairs scored in double precision at a time, of those that single precision does not rule out.
+SCORE_PAIRS = 65_536
 
 HITS = "query_id BIGINT, item_id BIGINT, similarity DOUBLE"
 _FILTERS = ("min_price", "max_price", "min_rating", "category_keyword")
@@ -119,20 +121,37 @@ class Best:
         self.floor = np.full(n, -np.inf)
 
     def add(self, items: pa.Table) -> None:
-        """Scores a batch against all queries and keeps what is at least as good as each query's k-th so far."""
-        ids, vectors = items["item_id"].to_numpy(), _unit(_matrix(items["embedding"], self.dim)).T
+        """Scores a batch against all queries and keeps what is at least as good as each query's k-th so far.
+
+        All pairs are scored in single precision; those that may be as good, given its error, are scored again in double.
+        """
+        ids, vectors = items["item_id"].to_numpy(), _unit(_matrix(items["embedding"], self.dim))
         found = [(self.query, self.item, self.rank, self.score)]
+        rough, unscored = vectors.T.astype(np.float32), np.isnan(vectors).any(axis=1)
+        # What single precision may be wrong by for unit vectors, and the rounding of the scores.
+        slack = (self.dim + 16) * 2.0**-23 + 10.0**-SCORE_DIGITS
+        filtered = any(np.isfinite(bounds).any() for _, _, bounds in self.queries["bounds"]) or any(self.queries["words"])
         for start in range(0, len(self.floor), SCORE_ROWS):
             part = slice(start, start + SCORE_ROWS)
-            score = np.round(self.queries["vectors"][part] @ vectors, SCORE_DIGITS)
-            rank = np.where(np.isnan(score), -2.0, score)
-            rank[~_passes(items, self.queries, part)] = -np.inf
-            floor = self.floor[part]
-            if rank.shape[1] > self.k:
-                own = np.partition(rank, rank.shape[1] - self.k, axis=1)[:, rank.shape[1] - self.k]
-                floor = np.maximum(floor, own)
-            q, i = np.nonzero((rank >= floor[:, None]) & (rank > -np.inf))
-            found.append((q + start, ids[i], rank[q, i], score[q, i]))
+            asked, floor = self.queries["vectors"][part], self.floor[part]
+            near = asked.astype(np.float32) @ rough
+            if unscored.any():
+                near[:, unscored] = -2.0
+            near[np.isnan(asked).any(axis=1)] = -2.0
+            if filtered:
+                near[~_passes(items, self.queries, part)] = -np.inf
+            open_ended = np.flatnonzero(np.isneginf(floor))
+            if len(open_ended) and len(ids) > self.k:
+                # Only queries that have no k-th item yet need the k-th of this batch.
+                floor = floor.copy()
+                floor[open_ended] = np.partition(near[open_ended], len(ids) - self.k, axis=1)[:, len(ids) - self.k] - slack
+            q, i = np.nonzero((near >= (floor - slack)[:, None]) & (near > -np.inf))
+            for some in range(0, len(q), SCORE_PAIRS):
+                rows, places = q[some : some + SCORE_PAIRS], i[some : some + SCORE_PAIRS]
+                score = np.round(np.einsum("nd,nd->n", asked[rows], vectors[places]), SCORE_DIGITS)
+                rank = np.where(np.isnan(score), -2.0, score)
+                kept = rank >= self.floor[part][rows]
+                found.append((rows[kept] + start, ids[places[kept]], rank[kept], score[kept]))
         query, item, rank, score = (np.concatenate(x) for x in zip(*found))
         order = np.lexsort((item, -rank, query))
         query = query[order]
@@ -172,14 +191,16 @@ def nearest(corpus: DataFrame, queries: DataFrame, dim: int, k: int = 5, chunk_b
 
     ``corpus`` has ``item_id``, ``embedding`` and the columns its queries filter on (``price``, ``rating_average``,
     ``category_name``); ``queries`` has ``query_id``, ``embedding`` and any of the filter columns.  Queries go to the
-    tasks in chunks of about ``chunk_bytes``; for each chunk the corpus is read where it lies, without a shuffle, and a
-    task sends its best ``k`` per query once.  A chunk's hits are written before the next one, so the driver holds one
+    tasks in chunks of about ``chunk_bytes``; for each chunk the corpus is read where it lies (of several chunks, from a copy of its narrow
+    columns, so that vectors are not made anew for each), without a shuffle, and a task sends its best ``k`` per query once.  A chunk's hits are written before the next one, so the driver holds one
     chunk.  A vector that has not ``dim`` components is an error, NULL has no similarity.
     """
     spark, corpus = corpus.sparkSession, narrowed(corpus)
     queries = queries.select(F.col("query_id").cast("bigint").alias("query_id"), *[c for c in query_columns(queries) if c != "query_id"])
     queries = materialise(queries, "queries")
     chunks = max(1, -(-queries.count() * dim * 8 // chunk_bytes))
+    if chunks > 1:
+        corpus = materialise(corpus, "corpus")
     hits = None
     for chunk in range(chunks):
         table = queries.where(F.pmod(F.xxhash64("query_id"), F.lit(chunks)) == chunk).toArrow()

@@ -36,7 +36,9 @@ def _due(key: str, ts: str, ttl_seconds: int):
         last = dict(zip(*state.get)) if state.exists else {}
         if not state.hasTimedOut:
             frame = pd.concat(list(frames), ignore_index=True).drop(columns=BUCKET)
-            yield frame.iloc[_going_out(frame, key, ts, ttl, last)]
+            chosen = _going_out(frame, key, ts, ttl, last)
+            if chosen:
+                yield frame.iloc[chosen]
         kept = {name: at for name, at in last.items() if _forgotten_at(at, ttl) > state.getCurrentWatermarkMs()}
         if kept:
             state.update((list(kept), list(kept.values())))

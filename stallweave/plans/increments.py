@@ -8,6 +8,7 @@ each input has been carried over.  Whatever step a driver is lost in, the next r
 
 from __future__ import annotations
 
+import threading
 import time
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
@@ -19,7 +20,7 @@ from pyspark.sql.types import StructType
 from stallweave import schemas
 from stallweave.plans import marts, staging
 from stallweave.plans.refresh import Refresh
-from stallweave.session import materialise
+from stallweave.session import materialise, side_by_side
 from stallweave.sinks.bronze import read_runs, run_folders, write_run_rejects
 from stallweave.sinks.keyed import BUCKETS, KeyedTable
 from stallweave.sinks.tables import layer_path, read_ledger
@@ -49,13 +50,13 @@ class Feed:
 
 @dataclass(frozen=True)
 class Mart:
-    """A mart: which keys of it changed keys of the inputs touch, and its rows for some keys."""
+    """A mart: which keys of it changed keys of the inputs touch, and its rows for some keys or, without these, for all."""
 
     name: str
     key: str
     inputs: Sequence[str]
     touched: Callable[[KeyedTable, dict[str, DataFrame]], DataFrame]
-    rows: Callable[[Tables, DataFrame], DataFrame]
+    rows: Callable[[Tables, DataFrame | None], DataFrame]
 
 
 def _own(source: str) -> Callable[[KeyedTable, dict[str, DataFrame]], DataFrame]:
@@ -81,13 +82,15 @@ def _facts(source: str, key: str, others: dict[str, str], own: Sequence[str] = (
     return touched
 
 
-def _product_rows(tables: Tables, keys: DataFrame) -> DataFrame:
+def _product_rows(tables: Tables, keys: DataFrame | None) -> DataFrame:
     products = tables["stg_products"].lookup(keys)
-    sellers = tables["stg_seller_info"].lookup(products.select("seller_id"))
+    sellers = tables["stg_seller_info"].lookup(keys if keys is None else products.select("seller_id"))
     return marts.fct_products(products, sellers, tables["stg_product_details"].lookup(keys))
 
 
-def _review_rows(tables: Tables, keys: DataFrame) -> DataFrame:
+def _review_rows(tables: Tables, keys: DataFrame | None) -> DataFrame:
+    if keys is None:
+        return marts.fct_reviews(*[tables[name].read() for name in ("stg_reviews", "stg_products", "stg_seller_info")])
     reviews = materialise(tables["stg_reviews"].lookup(keys), "touched-reviews")
     products = tables["stg_products"].lookup(reviews.select("product_id"))
     return marts.fct_reviews(reviews, products, tables["stg_seller_info"].lookup(reviews.select("seller_id")))
@@ -123,6 +126,8 @@ class Warehouse:
     root: str
     buckets: int = BUCKETS
     tables: Tables = field(default_factory=dict)
+    #: All models append to one ledger, and two appends to one folder at a time would remove each other's files.
+    appending: threading.Lock = field(default_factory=threading.Lock, repr=False, compare=False)
 
     def __post_init__(self):
         for layer, models in (("silver", FEEDS), ("marts", MARTS)):
@@ -139,8 +144,9 @@ class Warehouse:
 
 def unconsumed_runs(warehouse: Warehouse, model: str, log: Log) -> list[str]:
     """K8: runs of a log that the model's ledger does not name, from a listing of folders."""
-    ledger = read_ledger(warehouse.spark, warehouse.ledger, schemas.RUN_LEDGER)
-    seen = {r["run"] for r in ledger.where(F.col("model") == model).select("run").distinct().collect()}
+    with warehouse.appending:
+        ledger = read_ledger(warehouse.spark, warehouse.ledger, schemas.RUN_LEDGER)
+        seen = {r["run"] for r in ledger.where(F.col("model") == model).select("run").distinct().collect()}
     return [run for run in run_folders(warehouse.spark, log.root, log.partitions) if run not in seen]
 
 
@@ -158,7 +164,8 @@ def feed(warehouse: Warehouse, model: Feed, log: Log) -> tuple[int, int]:
     changed = warehouse.tables[model.name].merge(model.build(payload), ["extracted_at_ts"])
     if runs:
         rows = warehouse.spark.createDataFrame([(model.name, run) for run in runs], "model STRING, run STRING")
-        rows.withColumn("consumed_at", F.current_timestamp()).coalesce(1).write.mode("append").parquet(warehouse.ledger)
+        with warehouse.appending:
+            rows.withColumn("consumed_at", F.current_timestamp()).coalesce(1).write.mode("append").parquet(warehouse.ledger)
     return changed, rejected
 
 
@@ -172,6 +179,9 @@ def carry(warehouse: Warehouse, model: Mart) -> int:
     reached = {name: source.state()["batch"] for name, source in inputs.items()}
     if known == reached:
         return 0
+    if not table.state()["live"]:
+        # A mart without rows takes all: a list of all keys would only meet the tables that it was read from.
+        return table.put(model.rows(warehouse.tables, None), reached)
     changed = {name: source.changed_since(known.get(name, 0)) for name, source in inputs.items()}
     touched = materialise(model.touched(table, changed), "touched")
     return table.put(model.rows(warehouse.tables, touched), reached)
@@ -180,22 +190,23 @@ def carry(warehouse: Warehouse, model: Mart) -> int:
 def refresh_incremental(spark: SparkSession, logs: dict[str, Log], root: str, buckets: int = BUCKETS, feeds: Sequence[Feed] = FEEDS) -> Refresh:
     """All models, staging first; one outcome each, with the rows changed by this refresh.
 
-    A failing model keeps what it had; its runs or changes are taken up by the next refresh.
+    Models of a layer do not read each other and are built side by side.  A failing model keeps what it had; its runs or changes are
+    taken up by the next refresh.
     """
     warehouse, result = Warehouse(spark, root, buckets), Refresh()
 
-    def attempt(name: str, layer: str, work: Callable[[], tuple[int, int | None]]) -> None:
+    def attempt(name: str, layer: str, work: Callable[[], tuple[int, int | None]]) -> tuple:
         started = time.monotonic()
         try:
             (rows, rejected), status, error = work(), "ok", None
         except Exception as err:  # noqa: BLE001 - the outcome row carries the reason
             (rows, rejected), status, error = (None, None), "failed", f"{type(err).__name__}: {err}"
-        result.outcomes.append((name, layer, status, rows, time.monotonic() - started, error, rejected))
+        return name, layer, status, rows, time.monotonic() - started, error, rejected
 
-    for model in feeds:
-        attempt(model.name, "silver", lambda model=model: feed(warehouse, model, logs[model.log]))
-    for model in MARTS:
-        attempt(model.name, "marts", lambda model=model: (carry(warehouse, model), None))
+    silver = {m.name: lambda m=m: feed(warehouse, m, logs[m.log]) for m in feeds}
+    gold = {m.name: lambda m=m: (carry(warehouse, m), None) for m in MARTS}
+    for layer, models in (("silver", silver), ("marts", gold)):
+        result.outcomes += side_by_side(spark, [lambda name=name, work=work: attempt(name, layer, work) for name, work in models.items()])
     if not result.passed:
         raise RuntimeError(f"no model passed: {[o[5] for o in result.outcomes]}")
     return result

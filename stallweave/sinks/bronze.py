@@ -29,7 +29,7 @@ def stamp(df: DataFrame, run_clock: dt.datetime | str | Column, **constants) ->
 
 
 def append_partitioned(
-    df: DataFrame, root: str, partitions: tuple[str, ...] = ("dt", "run_id"), one_run: bool = False
+    df: DataFrame, root: str, partitions: tuple[str, ...] = ("dt", "run_id"), one_run: bool = False, max_rows: int = 0
 ) -> int:
     """Append below ``root/dt=…/run_id=…``; nested columns become JSON text.  Returns the rows written.
 
@@ -39,7 +39,7 @@ def append_partitioned(
     """
     flat = nested_to_text(df)
     ready = flat if one_run else flat.hint("rebalance", *partitions)
-    return counted(ready, lambda rows: rows.write.mode("append").partitionBy(*partitions).parquet(root))
+    return counted(ready, lambda rows: rows.write.mode("append").option("maxRecordsPerFile", max_rows).partitionBy(*partitions).parquet(root))
 
 
 #: Folder value of a NULL partition column, as Hive and Spark write it.

@@ -13,15 +13,15 @@ import time
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from stallweave import schemas
 from stallweave.plans import marts, staging
 from stallweave.plans.refresh import Refresh
-from stallweave.session import materialise, side_by_side
-from stallweave.sinks.bronze import read_runs, run_folders, write_run_rejects
+from stallweave.session import materialise, shuffles_dropped, side_by_side
+from stallweave.sinks.bronze import PLACE, newest_rows, read_runs, run_folders, write_run_rejects
 from stallweave.sinks.keyed import BUCKETS, KeyedTable
 from stallweave.sinks.tables import layer_path, read_ledger
 
@@ -39,13 +39,17 @@ class Log:
 
 @dataclass(frozen=True)
 class Feed:
-    """A staging table, the log it is fed from, and the rows of the log that give it none."""
+    """A staging table, the log it is fed from, and the rows of the log that give it none.
+
+    Where every run sees most keys again, ``seen`` is the key of a raw row by which ``build`` takes none but the latest ``extracted_at``.
+    """
 
     name: str
     log: str
     key: str
     build: Callable[[DataFrame], DataFrame]
     rejects: Callable[..., DataFrame]
+    seen: Callable[[DataFrame], Column] | None = None
 
 
 @dataclass(frozen=True)
@@ -97,9 +101,9 @@ def _review_rows(tables: Tables, keys: DataFrame | None) -> DataFrame:
 
 
 FEEDS: tuple[Feed, ...] = (
-    Feed("stg_products", "products", "product_id", staging.stg_products, staging.keyless),
-    Feed("stg_product_details", "details", "product_id", staging.stg_product_details, staging.keyless),
-    Feed("stg_seller_info", "sellers", "seller_id", staging.stg_seller_info, staging.sellerless),
+    Feed("stg_products", "products", "product_id", staging.stg_products, staging.keyless, lambda log: log["id"]),
+    Feed("stg_product_details", "details", "product_id", staging.stg_product_details, staging.keyless, lambda log: log["id"]),
+    Feed("stg_seller_info", "sellers", "seller_id", staging.stg_seller_info, staging.sellerless, staging.page_seller),
     Feed("stg_reviews", "reviews", "review_id", staging.stg_reviews, staging.reviewless),
     Feed("stg_categories", "categories", "category_id", staging.stg_categories, staging.categoryless),
 )
@@ -158,9 +162,13 @@ def feed(warehouse: Warehouse, model: Feed, log: Log) -> tuple[int, int]:
     runs = unconsumed_runs(warehouse, model.name, log)
     if not runs and warehouse.tables[model.name].state()["schema"]:
         return 0, 0
-    raw = read_runs(warehouse.spark, log.root, log.schema, runs, log.partitions)
-    payload = raw.select(*[c for c in raw.columns if c not in log.partitions or c in ("dt", "run_id")])
+    # A single run has one stamp; of several the older rows of a key need not move.
+    again = model.seen is not None and len(runs) > 1
+    read = read_runs(warehouse.spark, log.root, log.schema, runs, log.partitions, places=again)
+    raw = read.drop(PLACE)
     rejected = write_run_rejects(model.rejects(raw, tuple(log.partitions)), warehouse.rejects(model.name), log.partitions) if runs else 0
+    latest = newest_rows(read, model.seen(read), "extracted_at") if again else raw
+    payload = latest.select(*[c for c in raw.columns if c not in log.partitions or c in ("dt", "run_id")])
     changed = warehouse.tables[model.name].merge(model.build(payload), ["extracted_at_ts"])
     if runs:
         rows = warehouse.spark.createDataFrame([(model.name, run) for run in runs], "model STRING, run STRING")
@@ -205,8 +213,9 @@ def refresh_incremental(spark: SparkSession, logs: dict[str, Log], root: str, bu
 
     silver = {m.name: lambda m=m: feed(warehouse, m, logs[m.log]) for m in feeds}
     gold = {m.name: lambda m=m: (carry(warehouse, m), None) for m in MARTS}
-    for layer, models in (("silver", silver), ("marts", gold)):
-        result.outcomes += side_by_side(spark, [lambda name=name, work=work: attempt(name, layer, work) for name, work in models.items()])
+    with shuffles_dropped(spark):
+        for layer, models in (("silver", silver), ("marts", gold)):
+            result.outcomes += side_by_side(spark, [lambda name=name, work=work: attempt(name, layer, work) for name, work in models.items()])
     if not result.passed:
         raise RuntimeError(f"no model passed: {[o[5] for o in result.outcomes]}")
     return result

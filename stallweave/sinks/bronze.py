@@ -6,13 +6,14 @@ import datetime as dt
 from collections.abc import Sequence
 from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from stallweave.functions.clock import as_clock, run_dt, run_id
 from stallweave.functions.jsonx import nested_to_text
-from stallweave.sinks.keyed import counted
+from stallweave.session import materialise
+from stallweave.sinks.keyed import CODEC, counted
 
 
 def stamp(df: DataFrame, run_clock: dt.datetime | str | Column, **constants) -> DataFrame:
@@ -39,7 +40,7 @@ def append_partitioned(
     """
     flat = nested_to_text(df)
     ready = flat if one_run else flat.hint("rebalance", *partitions)
-    return counted(ready, lambda rows: rows.write.mode("append").option("maxRecordsPerFile", max_rows).partitionBy(*partitions).parquet(root))
+    return counted(ready, lambda rows: rows.write.mode("append").option("compression", CODEC).option("maxRecordsPerFile", max_rows).partitionBy(*partitions).parquet(root))
 
 
 #: Folder value of a NULL partition column, as Hive and Spark write it.
@@ -63,16 +64,26 @@ def run_folders(spark: SparkSession, root: str, partitions: Sequence[str] = ("dt
     return sorted(found)
 
 
-def read_runs(spark: SparkSession, root: str, schema: StructType, runs: Sequence[str], partitions: Sequence[str] = ("dt", "run_id")) -> DataFrame:
-    """The rows of some runs of a log and nothing else.
+#: Place of a row in a log: 22 bits for its file, by the path's hash, and 40 for its number in the file.
+PLACE = "_place"
+
+
+def read_runs(
+    spark: SparkSession, root: str, schema: StructType, runs: Sequence[str], partitions: Sequence[str] = ("dt", "run_id"), places: bool = False
+) -> DataFrame:
+    """The rows of some runs of a log and nothing else, with their ``places`` where these are asked for.
 
     Only their folders are given to the scan, and the runs stand in it as literals on the partition columns, so the plan's
     ``PartitionFilters`` name them.
     """
     if not runs:
-        return spark.createDataFrame([], schema)
+        empty = spark.createDataFrame([], schema)
+        return empty.withColumn(PLACE, F.lit(0).cast("bigint")) if places else empty
     parts = [F.concat(F.lit(f"{c}="), F.coalesce(F.col(c).cast("string"), F.lit(NULL_PARTITION))) for c in partitions]
     read = spark.read.schema(schema).option("basePath", root).parquet(*[f"{root}/{run}" for run in runs])
+    if places:
+        file = F.pmod(F.xxhash64("_metadata.file_path"), F.lit(1 << 22))
+        read = read.select("*", (F.shiftleft(file, 40) + F.col("_metadata.row_index")).alias(PLACE))
     named = [unquote(run) for run in runs]
     for column, values in zip(partitions, zip(*[run.split("/") for run in runs])):
         if f"{column}={NULL_PARTITION}" not in values:
@@ -80,6 +91,36 @@ def read_runs(spark: SparkSession, root: str, schema: StructType, runs: Sequence
     return read.where(F.concat_ws("/", *parts).isin(named))
 
 
+#: Bitmaps that a join holds at most: 4 KB for 32,768 rows of a log, so 256 MB for two thousand million.
+_MOST_BITMAPS = 65_536
+
+
+def newest_rows(log: DataFrame, key: Column, stamp: str) -> DataFrame:
+    """Of a log read with ``places`` the rows with the latest ``stamp`` of their key, all that share it; a cut by the whole
+    order finds the same rows in these.
+
+    A log sees its keys again in file after file, so a cut of whole rows moves most of them.  Here key, stamp and place move; the places
+    that are kept come back as one bit for each row of the log, and the others are dropped as the log is read again.  Two files of one
+    hash only leave more rows in.  A log too long for that stays as it is.
+    """
+    places = log.select(key.alias("_key"), F.col(stamp).alias("_stamp"), PLACE)
+    # Rows without a key are one more; they share no rank, so that few of them move.
+    apart = F.when(F.col("_key").isNull(), F.col(PLACE))
+    newest = Window.partitionBy("_key").orderBy(F.desc_nulls_last("_stamp"), apart)
+    kept = places.withColumn("_rank", F.rank().over(newest)).where("_rank <= 1")
+    number = F.col(PLACE) + 1
+    block, bit = F.bitmap_bucket_number(number), F.bitmap_bit_position(number)
+    blocks = kept.select(block.alias("_block"), bit.alias("_bit")).repartition("_block").groupBy("_block")
+    bitmaps = materialise(blocks.agg(F.bitmap_construct_agg("_bit").alias("_bits")), "newest")
+    own = [c for c in log.columns if c != PLACE]
+    if bitmaps.count() > _MOST_BITMAPS:
+        return log.select(*own)
+    # Sent to all tasks, whatever Spark takes for small: anything else would move the whole log.
+    met = log.withColumns({"_block": block, "_bit": bit}).join(F.broadcast(bitmaps), "_block")
+    byte = F.conv(F.hex(F.expr("substring(_bits, CAST(_bit DIV 8 AS INT) + 1, 1)")), 16, 10).cast("int")
+    return met.where(F.getbit(byte, (F.col("_bit") % 8).cast("int")) == 1).select(*own)
+
+
 def landed_rows(spark: SparkSession, root: str, run_clock: dt.datetime | str) -> int:
     """Rows of one run as they lie in bronze: one partition, counted from file footers.
 

@@ -2,6 +2,8 @@ from __future__ import annotations
 
 import pytest
 
+#: Under the same name as in the folder above: a run of all tests finds whichever ``conftest`` was loaded first.
+SF_DIR = "/root/testdata/sf0.001"
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
 
@@ -24,4 +26,4 @@ def documents(spark):
 @pytest.fixture(scope="session")
 def small(spark):
     """The sample tables at the smallest scale, by name."""
-    return lambda table: spark.read.parquet(f"/root/testdata/sf0.001/{table}.parquet")
+    return lambda table: spark.read.parquet(f"{SF_DIR}/{table}.parquet")
